@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,12 +28,12 @@ def clip01(n: Column) -> Column:
     return F.greatest(F.least(n, F.lit(1)), F.lit(0))
 
 
-def binomial_log_mass(k: Column, n: Column, p: float) -> Column:
-    """ln of p^k (1-p)^(n-k); the binomial coefficient cancels wherever this is used."""
-    import math
-
+def binomial_log_odds(p1: float, p2: float) -> tuple[float, float]:
+    """ln(p1/p2) per head and ln((1-p1)/(1-p2)) per tail; the binomial coefficient cancels."""
     floor = 1e-300
-    return k * F.lit(math.log(max(p, floor))) + (n - k) * F.lit(math.log(max(1.0 - p, floor)))
+    heads = math.log(max(p1, floor)) - math.log(max(p2, floor))
+    tails = math.log(max(1.0 - p1, floor)) - math.log(max(1.0 - p2, floor))
+    return heads, tails
 
 
 def hinge(label: Column, score: Column) -> Column:

@@ -53,17 +53,17 @@ def component_labels(edges: DataFrame, *, max_rounds: int = 100) -> DataFrame:
     canonical = edges.filter(F.col("src") != F.col("dst")).select(
         F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")
     )
-    stage = Stage(canonical.distinct(), "stars")
-    print_of = [F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
-    before = None
+    fingerprint = {"n": F.count("*"), "hash": F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))}
+    stage = Stage(canonical.distinct(), "stars", fingerprint)
     for _ in range(max_rounds):
-        now = tuple(stage.df.agg(*print_of).first())
-        if now == before or now[0] == 0:
+        if stage.sums["n"] == 0:
             break
-        before = now
-        following = Stage(_small_star(_large_star(stage.df).distinct()).distinct(), "stars")
+        following = Stage(_small_star(_large_star(stage.df).distinct()).distinct(), "stars", fingerprint)
+        settled = following.sums == stage.sums
         stage.drop()
         stage = following
+        if settled:
+            break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     loops = edges.filter(F.col("src") == F.col("dst")).select(F.col("src").alias("id"))
@@ -127,9 +127,14 @@ def page_rank(
     if n <= 1:
         return degrees.select("id", F.lit(1.0).alias("rank"), "degree")
     spread_of = F.greatest(F.ceil(F.col("degree") / hub), F.lit(1)).cast("int")
+    watched = {
+        "held": F.sum(F.when(F.col("degree") == 0, F.col("rank"))),
+        "change": F.sum(F.abs(F.col("rank") - F.col("last"))),
+    }
     state = Stage(
         degrees.select("id", "degree", spread_of.alias("parts"), F.lit(1.0 / n).alias("rank"), F.lit(0.0).alias("last")),
         "ranks",
+        watched,
     )
     out_of = state.df.select(F.col("id").alias("src"), "parts")
     laid_out = Stage(
@@ -142,7 +147,7 @@ def page_rank(
     routes = laid_out.df.repartition(n_parts, "src", "part").persist()
     try:
         for _ in range(max_rounds):
-            held = state.df.agg(F.sum(F.when(F.col("degree") == 0, F.col("rank")))).first()[0] or 0.0
+            held = state.sums["held"] or 0.0
             share = state.df.filter("degree > 0").select(
                 F.col("id").alias("src"),
                 F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
@@ -155,11 +160,11 @@ def page_rank(
                     "id", "degree", "parts", rank.alias("rank"), F.col("rank").alias("last")
                 ),
                 "ranks",
+                watched,
             )
             state.drop()
             state = following
-            change = state.df.agg(F.sum(F.abs(F.col("rank") - F.col("last")))).first()[0]
-            if change <= tolerance:
+            if state.sums["change"] <= tolerance:
                 break
     finally:
         routes.unpersist()

@@ -13,13 +13,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.functions.numeric import binomial_log_mass, sigmoid
+from tamarack.functions.numeric import binomial_log_odds, sigmoid
 from tamarack.operators.text import pack_vectors
-from tamarack.staging import Stage, broadcast_if_bounded
+from tamarack.staging import Stage, broadcast_if_bounded, written
 
 # Slots of a pass that are not weights.
 LOSS, RESIDUAL, ROWS = -1, -2, -3
 
+# Counts of distinct observations up to this number are iterated over on the driver.
+COLLECT_LIMIT = 10_000
+
 
 @dataclass
 class Fit:
@@ -246,17 +249,30 @@ def em_binomial(observations: DataFrame, *, start: tuple[float, float] = (0.79,
     """
     spark = observations.sparkSession
     counted = observations.groupBy("n", "k").agg(F.count("*").alias("w"))
-    stats = Stage(counted.coalesce(1) if spark.sparkContext.master.startswith("local") else counted, "flips")
+    # With a fixed number of flips there are n + 1 rows; many different n may give more.
+    few = counted.limit(COLLECT_LIMIT + 1).toPandas()
+    if len(few) <= COLLECT_LIMIT:
+        k, n, w = (few[c].to_numpy(float) for c in ("k", "n", "w"))
+
+        def expect(p1: float, p2: float):
+            gap = binomial_log_odds(p1, p2)
+            first = w / (1.0 + np.exp(-np.clip(k * gap[0] + (n - k) * gap[1], -700, 700)))
+            return first @ k, first @ n, (w - first) @ k, (w - first) @ n
+
+    else:
+        stats = written(counted, "flips")
+
+        def expect(p1: float, p2: float):
+            gap = binomial_log_odds(p1, p2)
+            k, n, w = F.col("k"), F.col("n"), F.col("w")
+            first = w * sigmoid(k * gap[0] + (n - k) * gap[1])
+            return stats.agg(F.sum(first * k), F.sum(first * n), F.sum((w - first) * k), F.sum((w - first) * n)).first()
+
     p1, p2 = start
     trace = []
     for step in range(1, steps + 1):
-        k, n, w = F.col("k"), F.col("n"), F.col("w")
-        first = sigmoid(binomial_log_mass(k, n, p1) - binomial_log_mass(k, n, p2))
-        heads1, flips1, heads2, flips2 = stats.df.agg(
-            F.sum(w * first * k), F.sum(w * first * n), F.sum(w * (1 - first) * k), F.sum(w * (1 - first) * n)
-        ).first()
-        p1 = heads1 / flips1 if flips1 else p1
-        p2 = heads2 / flips2 if flips2 else p2
+        heads1, flips1, heads2, flips2 = expect(p1, p2)
+        p1 = float(heads1 / flips1) if flips1 else p1
+        p2 = float(heads2 / flips2) if flips2 else p2
         trace.append((step, p1, p2))
-    stats.drop()
     return spark.createDataFrame(trace, "step long, p1 double, p2 double")

@@ -34,7 +34,9 @@ def _block_counts(n_queries: int, n_points: int, cores: int) -> tuple[int, int]:
 
 def _blocked(df: DataFrame, identity: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
     """Give each row its own block, and one copy per block of the other side."""
-    return df.withColumn(own, F.pmod(F.xxhash64(identity), F.lit(n_own)).cast("int")).withColumn(
+    # Fresh column identities, so that both sides may come from one table.
+    fresh = df.select(*[F.col(c).alias(c) for c in df.columns])
+    return fresh.withColumn(own, F.pmod(F.xxhash64(identity), F.lit(n_own)).cast("int")).withColumn(
         other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
     )
 

@@ -1,7 +1,7 @@
 """Training and scoring queries.
 
-Texts are classified as English or not from standardised TF-IDF; embeddings by the half of the label
-range they are in.  Descents run a few steps, so that SQL can follow them weight by weight.
+Texts are classified by a marker in their source from standardised TF-IDF; embeddings by the half of
+the label range they are in.  Descents run a few steps, so that SQL can follow them weight by weight.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from tamarack.sources.tables import table
 
 QUERIES, ORACLES, register = registry()
 
+MARKER = "src1"
 WORDS = 500
 STEPS = 3
-CUTOFF = 0.6
+CUTOFF = 0.06
 SAMPLE_SEED = 11
 SAMPLE_FRACTION = 0.3
 DIMS = 64
@@ -37,12 +38,12 @@ def fixed_weights(size: int) -> np.ndarray:
 
 
 class TextTask:
-    """Rows and scaling of the English / not English task."""
+    """Rows and scaling of the task whether a document's source contains the marker."""
 
     def __init__(self, spark: SparkSession, sf: str):
         self.index: TermIndex = texts.index(spark, sf, WORDS)
         self.features = self.index.tf_idf()
-        self.labels = texts.documents(spark, sf).select("doc_id", contains_flag(F.col("lang"), "en").alias("label"))
+        self.labels = texts.documents(spark, sf).select("doc_id", contains_flag(F.col("source"), MARKER).alias("label"))
         self.rows = learning.sparse_rows(self.features, self.labels).df
         self.scaler = learning.Standardiser.from_moments(self.index.moments(), WORDS)
 
@@ -57,7 +58,7 @@ class TextTask:
 
 _TASK = f"""{texts.moments_sql(WORDS)},
     docs AS MATERIALIZED (
-        SELECT doc_id, CASE WHEN contains(lang, 'en') THEN 1 ELSE 0 END AS y FROM documents
+        SELECT doc_id, CASE WHEN contains(source, '{MARKER}') THEN 1 ELSE 0 END AS y FROM documents
         WHERE doc_id IN (SELECT doc_id FROM counts)),
     z AS MATERIALIZED (
         SELECT d.doc_id, m.idx, CASE WHEN m.std = 0 THEN 0 ELSE (COALESCE(t.value, 0) - m.mean) / m.std END AS z

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A side may carry a broadcast hint only when its row count is bounded by this number.
@@ -33,13 +33,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 class Stage:
-    """A DataFrame that has been written out, and can be dropped once it is superseded."""
+    """A DataFrame that has been written out, and can be dropped once it is superseded.
 
-    def __init__(self, df: DataFrame, name: str):
+    ``sums`` are aggregates over its rows, taken while they are written; see ``self.sums``.
+    """
+
+    def __init__(self, df: DataFrame, name: str, sums: dict[str, Column] | None = None):
         spark = df.sparkSession
         self._spark = spark
         self.path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        observed = Observation(f"{name}-{uuid.uuid4().hex}") if sums else None
+        out = df.observe(observed, *[c.alias(n) for n, c in sums.items()]) if sums else df
+        out.write.parquet(self.path)
+        self.sums = observed.get if observed else {}
         self.df = spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
