@@ -1,119 +1,144 @@
 """Exact nearest neighbours, distance-based outliers and text classification by neighbours.
 
-Both sides are cut into hash blocks; a task compares one block of queries with one block of points
-and passes on only the k nearest per query.  Pairs never become rows.
+A bounded side is handed to every task and the other side is streamed past it where it lies.  When
+both are large, both are cut into hash blocks, and a task compares one block of queries with one
+block of points.  Either way a task keeps only the k nearest per query; pairs never become rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamarack.staging import Stage, parallelism, written
+from tamarack.functions import kernels
+from tamarack.staging import Stage, broadcast_if_bounded, parallelism, spread, written
 
-QUERY_BLOCK = 4_096
-POINT_BLOCK = 16_384
+# Bounds on one block: rows, and cells of its dense matrix.
+BLOCK_ROWS = 4_096
+BLOCK_CELLS = 4_000_000
 SMALLEST_BLOCK = 256
 
+# Below this number of pairs a plain scan is faster than the rounds that avoid it.
+PLAIN_SCAN_PAIRS = 1_000_000_000
+
 
-def _block_counts(n_queries: int, n_points: int, cores: int) -> tuple[int, int]:
-    """Blocks per side: bounded block sizes, and enough pairs of blocks to occupy the cluster."""
-    bq = max(1, -(-n_queries // QUERY_BLOCK))
-    bp = max(1, -(-n_points // POINT_BLOCK))
-    while bq * bp < cores:
-        if n_points // (2 * bp) >= SMALLEST_BLOCK and n_points * bq >= n_queries * bp:
-            bp *= 2
-        elif n_queries // (2 * bq) >= SMALLEST_BLOCK:
-            bq *= 2
-        elif n_points // (2 * bp) >= SMALLEST_BLOCK:
-            bp *= 2
-        else:
-            break
-    return bq, bp
+def _block_rows(cells_per_row: int) -> int:
+    return max(SMALLEST_BLOCK, min(BLOCK_ROWS, BLOCK_CELLS // max(1, cells_per_row)))
 
 
-def _blocked(df: DataFrame, identity: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+def _blocked(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
     """Give each row its own block, and one copy per block of the other side."""
     # Fresh column identities, so that both sides may come from one table.
     fresh = df.select(*[F.col(c).alias(c) for c in df.columns])
-    return fresh.withColumn(own, F.pmod(F.xxhash64(identity), F.lit(n_own)).cast("int")).withColumn(
+    return fresh.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int")).withColumn(
         other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
     )
 
 
 def _merge(candidates: DataFrame, k: int) -> DataFrame:
-    """The k nearest of the block results; a limit inside the window runs before the shuffle too."""
-    nearest = Window.partitionBy("query_id").orderBy("distance", "point_id")
-    ranked = candidates.withColumn("place", F.row_number().over(nearest))
-    return ranked.filter(F.col("place") <= k).select("query_id", "point_id", "distance", "place")
+    """The k nearest of the tasks' results; the limit inside the window runs before the shuffle too."""
+    nearest_first = Window.partitionBy("query_id").orderBy("distance", "point_id")
+    ranked = candidates.withColumn("place", F.row_number().over(nearest_first))
+    return ranked.filter(F.col("place") <= k)
+
+
+def _search(
+    queries: DataFrame, points: DataFrame, k: int, *, sizes: tuple[int, int], block: int, load: Callable, find: Callable
+) -> DataFrame:
+    """(query_id, point_id, distance, place) by the cheapest of three layouts.
+
+    ``load(table)`` turns Arrow rows into vectors; ``find(qid, q, pid, p)`` compares two sets of them.
+    """
+    n_queries, n_points = sizes
+    if min(n_queries, n_points) > block:
+        bq, bp = -(-n_queries // block), -(-n_points // block)
+
+        def compare(q: pa.Table, p: pa.Table) -> pa.Table:
+            qid = q["id"].to_numpy()
+            found = find(qid, load(q), p["id"].to_numpy(), load(p))
+            return pa.Table.from_batches([kernels.neighbour_batch(qid, found)])
+
+        left = _blocked(queries, "qb", bq, "pb", bp).groupBy("qb", "pb")
+        right = _blocked(points, "pb", bp, "qb", bq).groupBy("qb", "pb")
+        return _merge(left.cogroup(right).applyInArrow(compare, kernels.NEIGHBOUR_FIELDS), k)
+
+    if n_points <= n_queries:
+        held = points.toArrow()
+        pid, p = held["id"].to_numpy(), load(held)
+
+        def stream_queries(batches):
+            for batch in batches:
+                qid = batch["id"].to_numpy()
+                yield kernels.neighbour_batch(qid, find(qid, load(batch), pid, p))
+
+        return _merge(spread(queries, "id").mapInArrow(stream_queries, kernels.NEIGHBOUR_FIELDS), k)
+
+    held = queries.toArrow()
+    qid, q = held["id"].to_numpy(), load(held)
+
+    def stream_points(batches):
+        best = kernels.nothing(len(qid))
+        for batch in batches:
+            best = kernels.merge(best, find(qid, q, batch["id"].to_numpy(), load(batch)), k)
+        yield kernels.neighbour_batch(qid, best)
+
+    return _merge(spread(points, "id").mapInArrow(stream_points, kernels.NEIGHBOUR_FIELDS), k)
 
 
 def nearest(
-    queries: DataFrame, points: DataFrame, k: int, *, exclude_self: bool = False, size: tuple[int, int] | None = None
+    queries: DataFrame, points: DataFrame, k: int, *, exclude_self: bool = False, sizes: tuple[int, int] | None = None
 ) -> DataFrame:
     """(query_id, point_id, distance, place): the k nearest points, Euclidean, ties by point id.
 
-    Both inputs have (id LONG, features ARRAY<DOUBLE>).  Distances come from direct differences; the
-    faster expanded form only preselects, with a margin.
+    Both inputs have (id LONG, features ARRAY<DOUBLE>).
+    """
+    first = points.select(F.size("features")).first()
+
+    def load(table):
+        return kernels.dense(table["features"])
+
+    def find(qid, q, pid, p):
+        return kernels.dense_closest(qid, q, pid, p, k, exclude_self)
+
+    return _search(
+        queries.select("id", "features"),
+        points.select("id", "features"),
+        k,
+        sizes=sizes or (queries.count(), points.count()),
+        block=_block_rows(first[0] if first else 1),
+        load=load,
+        find=find,
+    )
+
+
+def nearest_sparse(queries: DataFrame, points: DataFrame, k: int, *, digits: int = 9, cells: int = 4_000) -> DataFrame:
+    """``nearest`` for packed sparse vectors (id LONG, idx ARRAY<INT>, val ARRAY<DOUBLE>).
+
+    Distances are rounded to ``digits`` so that equal texts tie exactly, then ties go by point id.
+    ``cells`` is the number of entries expected in a long vector; it sets the block size.
     """
-    spark = points.sparkSession
-    n_queries, n_points = size if size else (queries.count(), points.count())
-    bq, bp = _block_counts(n_queries, n_points, 2 * parallelism(spark))
-    left = _blocked(queries.select("id", "features"), "id", "qb", bq, "pb", bp)
-    right = _blocked(points.select("id", "features"), "id", "pb", bp, "qb", bq)
-
-    def compare(q, p):
-        import numpy as np
-        import pyarrow as pa
-
-        def matrix(table):
-            flat = table["features"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-            return flat.reshape(table.num_rows, -1) if table.num_rows else np.zeros((0, 1))
-
-        out_q, out_p, out_d = [], [], []
-        if q.num_rows and p.num_rows:
-            qid, pid = q["id"].to_numpy(), p["id"].to_numpy()
-            by_id = np.argsort(pid)
-            qm, pm, pid = matrix(q), matrix(p)[by_id], pid[by_id]
-            p2 = np.einsum("ij,ij->i", pm, pm)
-            margin = min(len(pid), k + 8)
-            for at in range(0, len(qid), 512):
-                qs, ids = qm[at : at + 512], qid[at : at + 512]
-                rough = p2 - 2.0 * (qs @ pm.T)
-                if exclude_self:
-                    rough[ids[:, None] == pid[None, :]] = np.inf
-                picked = np.argpartition(rough, margin - 1, axis=1)[:, :margin]
-                picked.sort(axis=1)
-                # Rows that tie with the last one picked compete on equal terms.
-                kth = np.take_along_axis(rough, picked, 1).max(axis=1)
-                for r in range(len(ids)):
-                    near = picked[r]
-                    if np.isfinite(kth[r]):
-                        slack = 1e-9 * (abs(kth[r]) + p2.max())
-                        near = np.flatnonzero(rough[r] <= kth[r] + slack)
-                    near = near[np.isfinite(rough[r, near])]
-                    diff = pm[near] - qs[r]
-                    exact = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-                    best = np.lexsort((pid[near], exact))[:k]
-                    out_q.append(np.full(len(best), ids[r]))
-                    out_p.append(pid[near][best])
-                    out_d.append(exact[best])
-        empty = [np.zeros(0, np.int64)]
-        return pa.table(
-            {
-                "query_id": np.concatenate(out_q or empty).astype(np.int64),
-                "point_id": np.concatenate(out_p or empty).astype(np.int64),
-                "distance": np.concatenate(out_d or empty).astype(np.float64),
-            }
-        )
-
-    pairs = left.groupBy("qb", "pb").cogroup(right.groupBy("qb", "pb"))
-    return _merge(pairs.applyInArrow(compare, "query_id long, point_id long, distance double"), k)
-
-
-def kth_distance(queries: DataFrame, points: DataFrame, k: int, *, size: tuple[int, int] | None = None) -> DataFrame:
+
+    def find(qid, q, pid, p):
+        return kernels.sparse_closest(qid, q, pid, p, k, digits)
+
+    return _search(
+        queries.select("id", "idx", "val"),
+        points.select("id", "idx", "val"),
+        k,
+        sizes=(queries.count(), points.count()),
+        block=_block_rows(cells),
+        load=kernels.entries,
+        find=find,
+    )
+
+
+def kth_distance(queries: DataFrame, points: DataFrame, k: int, *, sizes: tuple[int, int] | None = None) -> DataFrame:
     """(id, score): distance to the k-th nearest other point, or to the farthest if there are fewer."""
-    found = nearest(queries, points, k, exclude_self=True, size=size)
+    found = nearest(queries, points, k, exclude_self=True, sizes=sizes)
     return found.groupBy(F.col("query_id").alias("id")).agg(F.max("distance").alias("score"))
 
 
@@ -124,11 +149,18 @@ def _strongest(scores: DataFrame, m: int) -> DataFrame:
 def knn_outliers(points: DataFrame, *, k: int = 10, m: int = 5) -> DataFrame:
     """(id, score): the m points farthest from their k-th nearest neighbour."""
     n = points.count()
-    return _strongest(kth_distance(points, points, k, size=(n, n)), m)
+    return _strongest(kth_distance(points, points, k, sizes=(n, n)), m)
 
 
 def knn_outliers_pruned(
-    points: DataFrame, *, k: int = 10, m: int = 5, sample: int = 1_024, probes: int = 8, seed: int = 0
+    points: DataFrame,
+    *,
+    k: int = 10,
+    m: int = 5,
+    sample: int = 1_024,
+    probes: int = 8,
+    seed: int = 0,
+    plain_below: int = PLAIN_SCAN_PAIRS,
 ) -> DataFrame:
     """Same answer as ``knn_outliers`` without scoring every point.
 
@@ -137,103 +169,32 @@ def knn_outliers_pruned(
     However many remain are scored exactly.
     """
     n = points.count()
-    if n <= max(sample, k + 1):
-        return knn_outliers(points, k=k, m=m)
     sample = max(sample, 4 * k)
+    if n <= sample or n * n <= plain_below:
+        return _strongest(kth_distance(points, points, k, sizes=(n, n)), m)
     anchors = points.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample)
-    bound = nearest(points, anchors, k, exclude_self=True, size=(n, sample))
-    # A point with fewer than k anchors beside itself gets no bound and is always scored.
-    bound = bound.groupBy(F.col("query_id").alias("id")).agg(
-        F.max("distance").alias("bound"), F.count("*").alias("_n")
-    )
-    bound = bound.select("id", F.when(F.col("_n") >= k, F.col("bound")).otherwise(F.lit(float("inf"))).alias("bound"))
-    bounds = Stage(bound, "bounds")
+    near_anchors = nearest(points, anchors, k, exclude_self=True, sizes=(n, sample))
+    bounded = near_anchors.groupBy(F.col("query_id").alias("id")).agg(F.max("distance").alias("bound"))
+    bounds = Stage(bounded, "bounds")
 
     n_probes = probes * m
     chosen = bounds.df.orderBy(F.col("bound").desc(), "id").limit(n_probes).select("id")
-    probed = Stage(
-        kth_distance(points.join(F.broadcast(chosen), "id", "left_semi"), points, k, size=(n_probes, n)), "probed"
-    )
-    cutoff = _strongest(probed.df, m).agg(F.min("score"), F.count("*")).first()
-    floor = cutoff[0] if cutoff[1] == m else float("-inf")
-    # Bounds and scores are sums in different orders, so leave room for their last digits.
-    floor = floor - 1e-9 * abs(floor) if floor != float("-inf") else floor
-    left = bounds.df.filter(F.col("bound") >= F.lit(floor)).select("id").join(probed.df.select("id"), "id", "left_anti")
-    n_left = left.count()
+    probing = points.join(broadcast_if_bounded(chosen, n_probes), "id", "left_semi")
+    probed = Stage(kth_distance(probing, points, k, sizes=(n_probes, n)), "probed")
+    weakest = _strongest(probed.df, m).agg(F.min("score"), F.count("*")).first()
+    # Room for the last digits, in which a bound and a score may differ.
+    floor = weakest[0] - 1e-9 * abs(weakest[0]) if weakest[1] == m else float("-inf")
+    rest = bounds.df.filter(F.col("bound") >= F.lit(floor)).select("id").join(probed.df.select("id"), "id", "left_anti")
+    n_rest = rest.count()
     scored = probed.df
-    if n_left:
-        scored = scored.unionByName(kth_distance(points.join(left, "id", "left_semi"), points, k, size=(n_left, n)))
+    if n_rest:
+        scored = scored.unionByName(kth_distance(points.join(rest, "id", "left_semi"), points, k, sizes=(n_rest, n)))
     result = written(_strongest(scored, m), "outliers")
     bounds.drop()
     probed.drop()
     return result
 
 
-def nearest_sparse(queries: DataFrame, points: DataFrame, k: int, *, digits: int = 9) -> DataFrame:
-    """``nearest`` for packed sparse vectors (id LONG, idx ARRAY<INT>, val ARRAY<DOUBLE>).
-
-    Distances are rounded to ``digits`` so that equal texts tie exactly, then ties go by point id.
-    """
-    spark = points.sparkSession
-    n_queries, n_points = queries.count(), points.count()
-    bq, bp = _block_counts(8 * n_queries, n_points, 2 * parallelism(spark))
-    left = _blocked(queries.select("id", "idx", "val"), "id", "qb", bq, "pb", bp)
-    right = _blocked(points.select("id", "idx", "val"), "id", "pb", bp, "qb", bq)
-
-    def compare(q, p):
-        import numpy as np
-        import pyarrow as pa
-
-        def entries(table):
-            idx, val = table["idx"].combine_chunks(), table["val"].combine_chunks()
-            sizes = idx.value_lengths().to_numpy(zero_copy_only=False)
-            flat = idx.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            return np.repeat(np.arange(table.num_rows), sizes), flat, val.flatten().to_numpy(zero_copy_only=False)
-
-        out_q, out_p, out_d = [], [], []
-        if q.num_rows and p.num_rows:
-            qid, pid = q["id"].to_numpy(), p["id"].to_numpy()
-            q_row, q_idx, q_val = entries(q)
-            p_row, p_idx, p_val = entries(p)
-            # Only dimensions that some query uses matter for the products.
-            used = np.unique(q_idx)
-            qm = np.zeros((len(qid), len(used)))
-            qm[q_row, np.searchsorted(used, q_idx)] = q_val
-            q2 = np.bincount(q_row, q_val * q_val, len(qid))
-            p2 = np.bincount(p_row, p_val * p_val, len(pid))
-            at = np.searchsorted(used, p_idx)
-            shared = at < len(used)
-            shared[shared] = used[at[shared]] == p_idx[shared]
-            p_row, at, p_val = p_row[shared], at[shared], p_val[shared]
-            best_d = np.zeros((len(qid), 0))
-            best_p = np.zeros((len(qid), 0), np.int64)
-            for start in range(0, len(pid), 256):
-                stop = min(start + 256, len(pid))
-                lo, hi = np.searchsorted(p_row, [start, stop])
-                pm = np.zeros((stop - start, len(used)))
-                pm[p_row[lo:hi] - start, at[lo:hi]] = p_val[lo:hi]
-                squared = q2[:, None] + p2[None, start:stop] - 2.0 * (qm @ pm.T)
-                d = np.round(np.sqrt(np.maximum(squared, 0.0)), digits)
-                best_d = np.concatenate([best_d, d], axis=1)
-                best_p = np.concatenate([best_p, np.broadcast_to(pid[start:stop], d.shape)], axis=1)
-                order = np.lexsort((best_p, best_d), axis=1)[:, :k]
-                best_d = np.take_along_axis(best_d, order, 1)
-                best_p = np.take_along_axis(best_p, order, 1)
-            width = best_d.shape[1]
-            out_q, out_p, out_d = [np.repeat(qid, width)], [best_p.ravel()], [best_d.ravel()]
-        empty = [np.zeros(0, np.int64)]
-        return pa.table(
-            {
-                "query_id": np.concatenate(out_q or empty).astype(np.int64),
-                "point_id": np.concatenate(out_p or empty).astype(np.int64),
-                "distance": np.concatenate(out_d or empty).astype(np.float64),
-            }
-        )
-
-    pairs = left.groupBy("qb", "pb").cogroup(right.groupBy("qb", "pb"))
-    return _merge(pairs.applyInArrow(compare, "query_id long, point_id long, distance double"), k)
-
-
 def majority_vote(neighbours: DataFrame, *, by: str = "query_id", label: str = "label") -> DataFrame:
     """(by, label): most votes, then the nearest neighbour, then the smallest label."""
     votes = neighbours.groupBy(by, label).agg(F.count("*").alias("_votes"), F.min("distance").alias("_d"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions.hashing import KEY_BITS, sample_key, sample_uniform
 from tamarack.operators.ordering import global_index
+from tamarack.staging import broadcast_if_bounded
 
 RANGE_BITS = 14
 
@@ -81,7 +82,7 @@ def draw_batch(df: DataFrame, *, size: int, ids: list[str], seed: int) -> DataFr
     draws = df.sparkSession.range(size).select(
         F.col("id").alias("draw"), F.floor(sample_uniform(seed, F.col("id")) * n).alias("_i")
     )
-    return indexed.join(F.broadcast(draws), "_i").select("draw", *df.columns)
+    return indexed.join(broadcast_if_bounded(draws, size), "_i").select("draw", *df.columns)
 
 
 def shuffled(df: DataFrame, *, ids: list[str], seed: int) -> DataFrame:

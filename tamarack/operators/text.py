@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tamarack.functions.numeric import ratio_or_zero
 from tamarack.functions.text import NON_LETTERS, is_letters, kept_tokens, letter_words, space_tokens
 from tamarack.staging import broadcast_if_bounded, spread, written
 
@@ -101,7 +102,7 @@ def standardised(features: DataFrame, moments: DataFrame, *, size: int = VOCABUL
 
     An absent entry stands for -mean / std; see ``learning`` for how it is folded into scores.
     """
-    z = F.coalesce(F.try_divide(F.col("value") - F.col("mean"), F.col("std")), F.lit(0.0))
+    z = ratio_or_zero(F.col("value") - F.col("mean"), F.col("std"))
     return features.join(broadcast_if_bounded(moments, size), "idx").select(doc, "idx", z.alias("value"))
 
 

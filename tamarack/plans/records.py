@@ -14,12 +14,13 @@ from tamarack.operators.relational import top_rows
 from tamarack.plans.registry import registry
 from tamarack.sources.lines import dropped_records, keyed_records, pair_records, timed_records
 from tamarack.sources.tables import table
+from tamarack.staging import spread
 
 QUERIES, ORACLES, register = registry()
 
 
 def record_lines(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem")
+    li = spread(table(spark, sf, "lineitem"))
     odd_date = (F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 4)
     when = F.when(odd_date, F.date_format("l_shipdate", "dd/MM/yyyy")).otherwise(
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")

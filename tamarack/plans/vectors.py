@@ -45,7 +45,7 @@ def outliers(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("knn_outliers_pruned", _OUTLIERS)
 def outliers_pruned(spark: SparkSession, sf: str) -> DataFrame:
-    return knn_outliers_pruned(points(spark, sf), sample=128).withColumn("score", F.round("score", 9))
+    return knn_outliers_pruned(points(spark, sf), sample=128, plain_below=0).withColumn("score", F.round("score", 9))
 
 
 @register(

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamarack.functions.rows import computed_once
 from tamarack.operators.ordering import global_index
+from tamarack.staging import spread
 
 # Layout of the delimited record.
 RECORD_FIELDS = 11
@@ -42,20 +44,19 @@ def checked_records(lines: DataFrame) -> DataFrame:
 
     Columns: value, n_fields, key, ts, amount.
     """
-    f = _fields(F.col("value"))
-    complete = lines.select("value", f.alias("_f")).withColumn("n_fields", F.size("_f"))
-    well_formed = F.col("n_fields") == RECORD_FIELDS
+    lines = computed_once(spread(lines.select("value")), _f=_fields(F.col("value")))
+    well_formed = F.size("_f") == RECORD_FIELDS
 
     def field(position: int) -> Column:
         return F.when(well_formed, F.get("_f", F.lit(position)))
 
-    return complete.select(
-        "value",
-        "n_fields",
+    parsed = F.struct(
+        F.size("_f").alias("n_fields"),
         field(KEY_FIELD).alias("key"),
         F.try_to_timestamp(field(TIME_FIELD), F.lit(TIME_FORMAT)).alias("ts"),
         field(AMOUNT_FIELD).try_cast("double").alias("amount"),
     )
+    return computed_once(lines, _p=parsed).select("value", "_p.*")
 
 
 def timed_records(lines: DataFrame) -> DataFrame:

@@ -69,7 +69,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     Large inputs already have many splits and pass through without a shuffle.
     """
     cores = parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() >= 4 * cores:
+    if df.rdd.getNumPartitions() >= 2 * cores:
         return df
     return df.repartition(2 * cores, *keys)
 
