@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.functions import kernels
-from tamarack.staging import Stage, broadcast_if_bounded, parallelism, spread, written
+from tamarack.staging import Stage, broadcast_if_bounded, written
 
 # Bounds on one block: rows, and cells of its dense matrix.
 BLOCK_ROWS = 4_096
@@ -75,7 +74,7 @@ def _search(
                 qid = batch["id"].to_numpy()
                 yield kernels.neighbour_batch(qid, find(qid, load(batch), pid, p))
 
-        return _merge(spread(queries, "id").mapInArrow(stream_queries, kernels.NEIGHBOUR_FIELDS), k)
+        return _merge(queries.mapInArrow(stream_queries, kernels.NEIGHBOUR_FIELDS), k)
 
     held = queries.toArrow()
     qid, q = held["id"].to_numpy(), load(held)
@@ -86,7 +85,7 @@ def _search(
             best = kernels.merge(best, find(qid, q, batch["id"].to_numpy(), load(batch)), k)
         yield kernels.neighbour_batch(qid, best)
 
-    return _merge(spread(points, "id").mapInArrow(stream_points, kernels.NEIGHBOUR_FIELDS), k)
+    return _merge(points.mapInArrow(stream_points, kernels.NEIGHBOUR_FIELDS), k)
 
 
 def nearest(
@@ -115,11 +114,20 @@ def nearest(
     )
 
 
-def nearest_sparse(queries: DataFrame, points: DataFrame, k: int, *, digits: int = 9, cells: int = 4_000) -> DataFrame:
+def nearest_sparse(
+    queries: DataFrame,
+    points: DataFrame,
+    k: int,
+    *,
+    digits: int = 9,
+    cells: int = 4_000,
+    sizes: tuple[int, int] | None = None,
+) -> DataFrame:
     """``nearest`` for packed sparse vectors (id LONG, idx ARRAY<INT>, val ARRAY<DOUBLE>).
 
     Distances are rounded to ``digits`` so that equal texts tie exactly, then ties go by point id.
-    ``cells`` is the number of entries expected in a long vector; it sets the block size.
+    ``cells`` is the number of entries expected in a long vector; it sets the block size.  ``sizes``
+    are upper bounds of the two row counts, which are counted when they are not given.
     """
 
     def find(qid, q, pid, p):
@@ -129,7 +137,7 @@ def nearest_sparse(queries: DataFrame, points: DataFrame, k: int, *, digits: int
         queries.select("id", "idx", "val"),
         points.select("id", "idx", "val"),
         k,
-        sizes=(queries.count(), points.count()),
+        sizes=sizes or (queries.count(), points.count()),
         block=_block_rows(cells),
         load=kernels.entries,
         find=find,

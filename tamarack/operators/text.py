@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from tamarack.functions.numeric import ratio_or_zero
 from tamarack.functions.text import NON_LETTERS, is_letters, kept_tokens, letter_words, space_tokens
-from tamarack.staging import broadcast_if_bounded, spread, written
+from tamarack.staging import broadcast_if_bounded, written
 
 VOCABULARY_SIZE = 20_000
 
 
 def word_count(lines: DataFrame, *, text: str = "value") -> DataFrame:
     """(word, n) over letter-only tokens, lower-cased after the test."""
-    tokens = spread(lines.select(text)).select(F.explode(space_tokens(F.col(text))).alias("_t"))
+    tokens = lines.select(F.explode(space_tokens(F.col(text))).alias("_t"))
     return tokens.filter(is_letters(F.col("_t"))).groupBy(F.lower("_t").alias("word")).agg(F.count("*").alias("n"))
 
 
@@ -23,7 +23,7 @@ def bigram_count(lines: DataFrame, *, text: str = "value", min_exclusive: int =
 
     The bound applies to the final count, never to partial counts.
     """
-    kept = spread(lines.select(text)).select(kept_tokens(F.col(text)).alias("_t")).filter(F.size("_t") > 1)
+    kept = lines.select(kept_tokens(F.col(text)).alias("_t")).filter(F.size("_t") > 1)
     size = F.size("_t") - 1
     pairs = F.explode(F.arrays_zip(F.slice("_t", 1, size).alias("w1"), F.slice("_t", 2, size).alias("w2")))
     return (
@@ -37,8 +37,7 @@ def bigram_count(lines: DataFrame, *, text: str = "value", min_exclusive: int =
 def document_words(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, word): one row per occurrence of a lower-cased run of letters."""
     return (
-        spread(docs.select(doc, text), doc)
-        .select(doc, F.explode(letter_words(F.col(text))).alias("word"))
+        docs.select(doc, F.explode(letter_words(F.col(text))).alias("word"))
         .filter(F.col("word") != "")
         .withColumn("word", F.lower("word"))
     )

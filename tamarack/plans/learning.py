@@ -18,6 +18,7 @@ from tamarack.operators.text import TermIndex
 from tamarack.plans import text as texts
 from tamarack.plans.registry import registry
 from tamarack.sources.tables import table
+from tamarack.staging import spread
 
 QUERIES, ORACLES, register = registry()
 
@@ -259,7 +260,7 @@ def false_positives(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def svm_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "embeddings").select(
+    return spread(table(spark, sf, "embeddings"), "vec_id").select(
         "vec_id", F.when(F.col("label") < 5, 1).otherwise(-1).alias("label"), vec.as_doubles(F.col("embedding")).alias("features")
     )
 

@@ -12,6 +12,7 @@ from tamarack.operators.neighbors import majority_vote, nearest_sparse
 from tamarack.plans.registry import registry
 from tamarack.sources.lines import tagged_documents
 from tamarack.sources.tables import table
+from tamarack.staging import spread
 
 QUERIES, ORACLES, register = registry()
 
@@ -61,8 +62,13 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents")
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_id, text), spread over the cores because splitting text into words is the costly part."""
+    return spread(documents(spark, sf).select("doc_id", "text"), "doc_id")
+
+
 def index(spark: SparkSession, sf: str, size: int = VOCABULARY) -> words.TermIndex:
-    return words.TermIndex(documents(spark, sf).select("doc_id", "text"), size=size)
+    return words.TermIndex(texts(spark, sf), size=size)
 
 
 _KEPT = "list_transform(list_filter(string_split_regex(line, '[ \t\n\r\f]+'), lambda t: regexp_full_match(t, '[a-zA-Z]+')), lambda t: lower(t))"
@@ -70,8 +76,7 @@ _LINES = "lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM docu
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    text = words.spread(documents(spark, sf).select("text"))
-    return text.select(F.explode(F.split("text", "\n")).alias("value"))
+    return texts(spark, sf).select(F.explode(F.split("text", "\n")).alias("value"))
 
 
 @register(
@@ -146,7 +151,7 @@ def rule_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("vocabulary", f"WITH {vocabulary_sql(VOCABULARY)} SELECT word, idx, n AS count FROM vocab")
 def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    return words.vocabulary(words.document_words(documents(spark, sf)))
+    return words.vocabulary(words.document_words(texts(spark, sf)))
 
 
 @register(
@@ -340,7 +345,7 @@ def text_neighbours(spark: SparkSession, sf: str) -> DataFrame:
         F.coalesce("idx", F.array().cast("array<bigint>")).alias("idx"),
         F.coalesce("val", F.array().cast("array<double>")).alias("val"),
     )
-    return nearest_sparse(queries, corpus, NEIGHBOURS)
+    return nearest_sparse(queries, corpus, NEIGHBOURS, sizes=(asked.count(), fitted.n_docs))
 
 
 @register(

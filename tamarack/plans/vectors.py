@@ -11,12 +11,13 @@ from tamarack.operators.neighbors import knn_outliers, knn_outliers_pruned, near
 from tamarack.plans.registry import registry
 from tamarack.sources.lines import labelled_rows
 from tamarack.sources.tables import table
+from tamarack.staging import spread
 
 QUERIES, ORACLES, register = registry()
 
 
 def points(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = table(spark, sf, "embeddings")
+    vectors = spread(table(spark, sf, "embeddings"), "vec_id")
     return vectors.select(F.col("vec_id").alias("id"), vec.as_doubles(F.col("embedding")).alias("features"))
 
 

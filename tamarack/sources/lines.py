@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tamarack.functions.rows import computed_once
 from tamarack.operators.ordering import global_index
-from tamarack.staging import spread
 
 # Layout of the delimited record.
 RECORD_FIELDS = 11
@@ -44,7 +43,7 @@ def checked_records(lines: DataFrame) -> DataFrame:
 
     Columns: value, n_fields, key, ts, amount.
     """
-    lines = computed_once(spread(lines.select("value")), _f=_fields(F.col("value")))
+    lines = computed_once(lines.select("value"), _f=_fields(F.col("value")))
     well_formed = F.size("_f") == RECORD_FIELDS
 
     def field(position: int) -> Column:

@@ -64,9 +64,10 @@ def parallelism(spark: SparkSession) -> int:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread rows over the cluster if the input has too few splits to occupy it.
+    """Hash-spread the rows of a scan over the cluster if it has too few splits to occupy it.
 
-    Large inputs already have many splits and pass through without a shuffle.
+    Large inputs already have many splits and pass through without a shuffle.  Meant for scans only:
+    asking a plan with shuffles for its partitions would run them.
     """
     cores = parallelism(df.sparkSession)
     if df.rdd.getNumPartitions() >= 2 * cores:
