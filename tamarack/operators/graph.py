@@ -43,8 +43,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return least.select("u", F.col("_m").alias("v")).unionByName(others)
 
 
-def component_labels(edges: DataFrame, *, max_rounds: int = 100) -> DataFrame:
-    """(id, component) of every id on an edge; the component is its smallest id.
+def component_labels(edges: DataFrame, nodes: DataFrame | None = None, *, max_rounds: int = 100) -> DataFrame:
+    """(id, component) of every id on an edge or among the nodes; the component is its smallest id.
 
     Alternates large-star and small-star until the edges are stars around their minima (Kiveris et
     al., SoCC 2014): a number of rounds that grows with the logarithm of the graph, not with its
@@ -66,18 +66,20 @@ def component_labels(edges: DataFrame, *, max_rounds: int = 100) -> DataFrame:
             break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    # A star's leaf is labelled by its centre; every other id by itself, which is never smaller.
     loops = edges.filter(F.col("src") == F.col("dst")).select(F.col("src").alias("id"))
-    leaves = stage.df.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    centres = stage.df.select(F.col("v").alias("id"), F.col("v").alias("component"))
-    alone = loops.select("id", F.col("id").alias("component")).join(leaves.select("id"), "id", "left_anti")
-    return leaves.unionByName(centres).unionByName(alone).distinct()
+    own = loops if nodes is None else loops.unionByName(nodes.select("id"))
+    labelled = (
+        stage.df.select(F.col("u").alias("id"), F.col("v").alias("component"))
+        .unionByName(stage.df.select(F.col("v").alias("id"), F.col("v").alias("component")))
+        .unionByName(own.select("id", F.col("id").alias("component")))
+    )
+    return labelled.groupBy("id").agg(F.min("component").alias("component"))
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component) of all nodes and of edge ends that are missing from the nodes."""
-    labels = component_labels(edges)
-    isolated = nodes.select("id").distinct().join(labels, "id", "left_anti")
-    return labels.unionByName(isolated.select("id", F.col("id").alias("component")))
+    return component_labels(edges, nodes)
 
 
 def components_of_size(nodes: DataFrame, edges: DataFrame, *, above: int = 4, up_to: int = 10) -> DataFrame:

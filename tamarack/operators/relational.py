@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamarack.staging import written
+
 
 def distinct_where(df: DataFrame, condition: Column, *columns: str) -> DataFrame:
     """Distinct projection of the rows that satisfy a condition."""
@@ -17,17 +19,17 @@ def keys_meeting_all(df: DataFrame, keys: list[str], conditions: list[Column]) -
     The self semi-join on ``keys`` as one partially aggregated pass: a hot key shrinks to one row
     per task before the shuffle.  NULL keys match nothing.
     """
-    flags = [F.coalesce(c, F.lit(False)) for c in conditions]
-    any_flag = flags[0]
-    for f in flags[1:]:
-        any_flag = any_flag | f
+    # The plain disjunction is what reaches the scan as a pushed filter.
+    any_met = conditions[0]
+    for c in conditions[1:]:
+        any_met = any_met | c
     grouped = (
-        df.filter(any_flag)
+        df.filter(any_met)
         .dropna(subset=keys)
         .groupBy(*keys)
-        .agg(*[F.bool_or(f).alias(f"_has{i}") for i, f in enumerate(flags)])
+        .agg(*[F.bool_or(F.coalesce(c, F.lit(False))).alias(f"_has{i}") for i, c in enumerate(conditions)])
     )
-    for i in range(len(flags)):
+    for i in range(len(conditions)):
         grouped = grouped.filter(F.col(f"_has{i}"))
     return grouped.select(*keys)
 
@@ -44,7 +46,7 @@ def not_exists_in(df: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
 
 def never_linked(facts: DataFrame, excluded: DataFrame, *, who: str, link: str) -> DataFrame:
     """Distinct ``who`` of the facts that never touch a ``link`` of ``excluded``."""
-    touched = facts.select(who, link).distinct().join(excluded.select(link).distinct(), link, "left_semi")
+    touched = facts.select(who, link).join(excluded.select(link).distinct(), link, "left_semi")
     return facts.select(who).distinct().join(touched.select(who).distinct(), who, "left_anti")
 
 
@@ -76,9 +78,12 @@ def count_by_class(classes: DataFrame, facts: DataFrame, *, by: str, link: str,
 
 
 def coverage_ratio(df: DataFrame, *, by: str, item: str, ratio: str = "ratio") -> DataFrame:
-    """Distinct items of a group divided by all distinct items; a NULL group covers nothing."""
-    pairs = df.select(by, item).distinct()
-    total = df.agg(F.countDistinct(item).cast("double")).scalar()
+    """Distinct items of a group divided by all distinct items; a NULL group covers nothing.
+
+    The distinct pairs are written, so that both counts come from them and the facts are read once.
+    """
+    pairs = written(df.select(by, item).distinct(), "coverage")
+    total = pairs.agg(F.countDistinct(item).cast("double")).scalar()
     seen = F.when(F.col(by).isNull(), F.lit(0)).otherwise(F.col("_n"))
     return pairs.groupBy(by).agg(F.count(item).alias("_n")).select(by, F.try_divide(seen.cast("double"), total).alias(ratio))
 
@@ -110,10 +115,13 @@ def divide(
 
 
 def completion(df: DataFrame, *, who: str, item: str, when: str, completed: str = "completed") -> DataFrame:
-    """(who, last first-time) of those who have met every item that occurs in ``df``."""
-    total = df.agg(F.countDistinct(item)).scalar()
-    firsts = df.dropna(subset=[who]).groupBy(who, item).agg(F.min(when).alias("_first"))
-    done = firsts.groupBy(who).agg(F.count(item).alias("_n"), F.max("_first").alias(completed))
+    """(who, last first-time) of those who have met every item that occurs in ``df``.
+
+    First times are written, so that the number of items comes from them and ``df`` is read once.
+    """
+    firsts = written(df.groupBy(who, item).agg(F.min(when).alias("_first")), "first-times")
+    total = firsts.agg(F.countDistinct(item)).scalar()
+    done = firsts.dropna(subset=[who]).groupBy(who).agg(F.count(item).alias("_n"), F.max("_first").alias(completed))
     return done.filter(F.col("_n") == total).select(who, completed)
 
 

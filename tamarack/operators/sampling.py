@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions.hashing import KEY_BITS, sample_key, sample_uniform
 from tamarack.operators.ordering import global_index
-from tamarack.staging import broadcast_if_bounded
+from tamarack.staging import broadcast_if_bounded, written
 
 RANGE_BITS = 14
 
@@ -53,6 +53,8 @@ def sample_exact(
     # At most 2^RANGE_BITS rows per class.
     before = F.sum("_c").over(Window.partitionBy(*by_cols).orderBy("_range")) - F.col("_c")
     needed = counts.withColumn("_before", before).filter(F.col("_before") < n).drop("_c")
+    # Written, so that its true size lets the planner broadcast it and leave the rows in place.
+    needed = written(needed, "sample-ranges")
     joined = keyed.join(needed, [*by_cols, "_range"])
     # Sorting inside a key range, then adding what lies before it, needs no wide class partition.
     place = F.row_number().over(Window.partitionBy(*by_cols, "_range").orderBy("_key", *ids)) + F.col("_before")

@@ -58,13 +58,17 @@ def term_counts(words: DataFrame, vocab: DataFrame, *, size: int = VOCABULARY_SI
     return known.groupBy(doc, "idx").agg(F.count("*").alias("n"))
 
 
-def term_frequency(counts: DataFrame, *, doc: str = "doc_id") -> DataFrame:
-    """(doc, idx, tf): share among the document's in-vocabulary tokens.
+def with_totals(counts: DataFrame, *, doc: str = "doc_id") -> DataFrame:
+    """Add ``total``, the document's in-vocabulary tokens.
 
     A window holds one document's distinct vocabulary words, so at most the vocabulary size.
     """
-    total = F.sum("n").over(Window.partitionBy(doc))
-    return counts.select(doc, "idx", (F.col("n") / total).alias("tf"))
+    return counts.withColumn("total", F.sum("n").over(Window.partitionBy(doc)))
+
+
+def term_frequency(totals: DataFrame, *, doc: str = "doc_id") -> DataFrame:
+    """(doc, idx, tf): share among the document's in-vocabulary tokens."""
+    return totals.select(doc, "idx", (F.col("n") / F.col("total")).alias("tf"))
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
@@ -116,11 +120,13 @@ class TermIndex:
         self.size, self.doc, self.text = size, doc, text
         words = document_words(docs, doc=doc, text=text)
         self.vocab = written(vocabulary(words, size=size), "vocabulary")
-        self.counts = written(term_counts(words, self.vocab, size=size, doc=doc), "term-counts")
+        counts = with_totals(term_counts(words, self.vocab, size=size, doc=doc), doc=doc)
+        self._totals = written(counts, "term-counts")
+        self.counts = self._totals.select(doc, "idx", "n")
         self.n_docs = docs.count()
 
     def tf(self) -> DataFrame:
-        return term_frequency(self.counts, doc=self.doc)
+        return term_frequency(self._totals, doc=self.doc)
 
     def idf(self) -> DataFrame:
         return inverse_document_frequency(self.counts, self.n_docs)
@@ -131,7 +137,7 @@ class TermIndex:
     def transform(self, docs: DataFrame, *, doc: str, text: str) -> DataFrame:
         """TF-IDF of other documents under this vocabulary and this corpus's idf."""
         counts = term_counts(document_words(docs, doc=doc, text=text), self.vocab, size=self.size, doc=doc)
-        return weigh(term_frequency(counts, doc=doc), self.idf(), size=self.size, doc=doc)
+        return weigh(term_frequency(with_totals(counts, doc=doc), doc=doc), self.idf(), size=self.size, doc=doc)
 
     def n_present(self) -> int:
         """Documents with at least one vocabulary word."""
