@@ -56,7 +56,7 @@ def component_labels(edges: DataFrame, nodes: DataFrame | None = None, *, max_ro
     fingerprint = {"n": F.count("*"), "hash": F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))}
     stage = Stage(canonical.distinct(), "stars", fingerprint)
     for _ in range(max_rounds):
-        if stage.sums["n"] == 0:
+        if not stage.sums.get("n"):
             break
         following = Stage(_small_star(_large_star(stage.df).distinct()).distinct(), "stars", fingerprint)
         settled = following.sums == stage.sums

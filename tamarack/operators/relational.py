@@ -135,6 +135,11 @@ def absolute_change(new: DataFrame, old: DataFrame, *, key: str, value: str) ->
     return pairs.agg(F.sum(F.abs(F.col("_a") - F.col("_b"))).alias("change"))
 
 
+def lookup(df: DataFrame, key: str, value) -> DataFrame:
+    """Rows of one key; the filter reaches the scan."""
+    return df.filter(F.col(key) == F.lit(value))
+
+
 def top_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """First ``n`` rows of a total order: local top-n per task, then one merge of those."""
     return df.orderBy(*order).limit(n)

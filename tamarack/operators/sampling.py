@@ -54,8 +54,11 @@ def sample_exact(
     before = F.sum("_c").over(Window.partitionBy(*by_cols).orderBy("_range")) - F.col("_c")
     needed = counts.withColumn("_before", before).filter(F.col("_before") < n).drop("_c")
     # Written, so that its true size lets the planner broadcast it and leave the rows in place.
-    needed = written(needed, "sample-ranges")
-    joined = keyed.join(needed, [*by_cols, "_range"])
+    needed = written(needed.select(*[F.col(c).alias(f"_of_{c}") for c in by_cols], F.col("_range").alias("_r"), "_before"), "sample-ranges")
+    same = F.col("_range") == F.col("_r")
+    for c in by_cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    joined = keyed.join(needed, same)
     # Sorting inside a key range, then adding what lies before it, needs no wide class partition.
     place = F.row_number().over(Window.partitionBy(*by_cols, "_range").orderBy("_key", *ids)) + F.col("_before")
     return joined.withColumn(order, place).filter(F.col(order) <= n).select(*df.columns, order)

@@ -7,20 +7,23 @@ items of the seventh line have a twelfth field.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarack.operators.relational import top_rows
 from tamarack.plans.registry import registry
-from tamarack.sources.lines import dropped_records, keyed_records, pair_records, timed_records
+from tamarack.sources.lines import dropped_records, keyed_records, pair_records, read_lines, timed_records
+from tamarack.sources.sinks import write_pairs
 from tamarack.sources.tables import table
-from tamarack.staging import spread
+from tamarack.staging import checkpoint_root, spread
 
 QUERIES, ORACLES, register = registry()
 
 
 def record_lines(spark: SparkSession, sf: str) -> DataFrame:
-    li = spread(table(spark, sf, "lineitem"))
+    li = spread(table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber")
     odd_date = (F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 4)
     when = F.when(odd_date, F.date_format("l_shipdate", "dd/MM/yyyy")).otherwise(
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
@@ -103,6 +106,21 @@ def dropped(spark: SparkSession, sf: str) -> DataFrame:
     return dropped_records(record_lines(spark, sf))
 
 
+@register(
+    "written_pairs",
+    f"""
+    SELECT 'S' || l_suppkey AS key, ROUND(SUM(l_extendedprice), 2) AS revenue
+    FROM lineitem WHERE {_GOOD_AMOUNT}
+    GROUP BY 1
+    """,
+)
+def written_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums by key written as tab-separated files in the shared folder, and read back as pairs."""
+    path = f"{checkpoint_root(spark)}/pairs-{uuid.uuid4().hex}"
+    write_pairs(revenue_by_key(spark, sf), path, key="key", value="revenue", files=8)
+    return pair_records(read_lines(spark, path)).select("key", F.col("amount").alias("revenue"))
+
+
 @register(
     "pair_records",
     """

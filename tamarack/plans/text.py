@@ -198,6 +198,23 @@ def tf_idf(spark: SparkSession, sf: str) -> DataFrame:
     return index(spark, sf).tf_idf().withColumn("value", F.round("value", 9))
 
 
+@register(
+    "vector_sizes",
+    f"""
+    WITH {tf_idf_sql(VOCABULARY)}
+    SELECT c.doc_id, COUNT(*) AS n_words, CAST(SUM(c.n) AS BIGINT) AS n_tokens,
+           CAST(SUM(CASE WHEN t.value <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_weighted
+    FROM counts c JOIN tfidf t ON t.doc_id = c.doc_id AND t.idx = c.idx GROUP BY 1
+    """,
+)
+def vector_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Non-zero entries of every document's count and TF-IDF vectors."""
+    fitted = index(spark, sf)
+    weighted = fitted.tf_idf().groupBy("doc_id").agg(F.sum(F.when(F.col("value") != 0, 1).otherwise(0)).alias("n_weighted"))
+    sizes = fitted.counts.groupBy("doc_id").agg(F.count("*").alias("n_words"), F.sum("n").alias("n_tokens"))
+    return sizes.join(weighted, "doc_id")
+
+
 @register(
     "feature_moments",
     f"WITH {moments_sql(VOCABULARY)} SELECT idx, ROUND(mean, 9) AS mean, ROUND(std, 9) AS std FROM moments",

@@ -31,6 +31,11 @@ def test_sample_exact_takes_all_of_a_small_class(spark):
     assert rows(got) == [("big", 30), ("small", 1)]
 
 
+def test_sample_exact_keeps_a_null_class(spark):
+    df = spark.createDataFrame([(i, None if i < 10 else "c") for i in range(50)], "id long, c string")
+    assert rows(sampling.sample_exact(df, n=4, ids=["id"], seed=5, by="c").groupBy("c").count()) == [("c", 4), (None, 4)]
+
+
 def test_poisson_sample_has_the_right_moments(spark):
     df = spark.range(20_000)
     counts = sampling.poisson_sample(df, ids=["id"], fraction=0.3, seed=4).groupBy("id").count()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tamarack.operators import cube, text
+from tamarack.operators.relational import lookup
 from tamarack.sources.generators import topic_corpus
 
 
@@ -99,6 +100,12 @@ def test_word_ranks_and_lookup(spark):
     assert rows(text.word_ranks(index.vocab, asked)) == [("dog", 1), ("the", 0)]
 
 
+def test_lookup_of_one_document(spark):
+    index = text.TermIndex(documents(spark, CORPUS), size=100)
+    assert rows(lookup(index.counts, "doc_id", 0)) == [(0, 0, 2), (0, 2, 1), (0, 3, 1), (0, 4, 1)]
+    assert rows(lookup(index.vocab, "word", "the").select("idx")) == [(0,)]
+
+
 def test_pack_vectors_sorted(spark):
     df = spark.createDataFrame([(1, 5, 0.5), (1, 2, 0.25), (2, 1, 1.0)], "d long, idx long, value double")
     assert rows(text.pack_vectors(df, doc="d")) == [(1, [2, 5], [0.25, 0.5]), (2, [1], [1.0])]
