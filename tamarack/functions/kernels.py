@@ -5,7 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-NEIGHBOUR_FIELDS = "query_id long, point_id long, distance double"
+NEIGHBOUR_FIELDS = "query_id long, point_id long, distance double, place int"
+
+# Queries compared at a time, which bounds the size of a dense block.
+CHUNK = 512
 
 
 def dense(column) -> np.ndarray:
@@ -48,8 +51,8 @@ def dense_closest(qid, q, pid, p, k: int, exclude_self: bool) -> tuple[np.ndarra
     p2 = np.einsum("ij,ij->i", p, p)
     width = min(len(pid), k + 8)
     parts = []
-    for at in range(0, len(qid), 512):
-        qs, ids = q[at : at + 512], qid[at : at + 512]
+    for at in range(0, len(qid), CHUNK):
+        qs, ids = q[at : at + CHUNK], qid[at : at + CHUNK]
         rough = p2 - 2.0 * (qs @ p.T)
         if exclude_self:
             rough[ids[:, None] == pid[None, :]] = np.inf
@@ -77,6 +80,14 @@ def sparse_closest(qid, q, pid, p, k: int, digits: int) -> tuple[np.ndarray, np.
     """k nearest packed sparse rows of ``p`` for each of ``q``; distances rounded to ``digits``."""
     if not len(qid) or not len(pid):
         return nothing(len(qid))
+    if len(qid) > CHUNK:
+        row, idx, val = q
+        parts = []
+        for at in range(0, len(qid), CHUNK):
+            lo, hi = np.searchsorted(row, [at, at + CHUNK])
+            part = (row[lo:hi] - at, idx[lo:hi], val[lo:hi])
+            parts.append(sparse_closest(qid[at : at + CHUNK], part, pid, p, k, digits))
+        return np.concatenate([d for d, _ in parts]), np.concatenate([i for _, i in parts])
     (q_row, q_idx, q_val), (p_row, p_idx, p_val) = q, p
     # Only dimensions that some query uses matter for the products.
     used = np.unique(q_idx)
@@ -105,5 +116,7 @@ def neighbour_batch(qid: np.ndarray, found: tuple[np.ndarray, np.ndarray]) -> pa
     distance, point = found
     full = np.isfinite(distance)
     query = np.broadcast_to(np.asarray(qid)[:, None], distance.shape)
-    columns = [pa.array(query[full].astype(np.int64)), pa.array(point[full].astype(np.int64)), pa.array(distance[full])]
-    return pa.RecordBatch.from_arrays(columns, names=["query_id", "point_id", "distance"])
+    place = np.broadcast_to(np.arange(1, distance.shape[1] + 1, dtype=np.int32), distance.shape)
+    columns = [query[full].astype(np.int64), point[full].astype(np.int64), distance[full], place[full]]
+    names = ["query_id", "point_id", "distance", "place"]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)

@@ -145,6 +145,7 @@ def page_rank(
         .select("src", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int").alias("part"), "dst"),
         "edges",
     )
+    kept = {"degree": "long", "parts": "int", "rank": "double"}
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     routes = laid_out.df.repartition(n_parts, "src", "part").persist()
     try:
@@ -155,14 +156,17 @@ def page_rank(
                 F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
                 (F.col("rank") / F.col("degree")).alias("share"),
             )
-            received = routes.join(share, ["src", "part"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("_in"))
-            rank = F.lit((1.0 - damping) / n) + F.lit(damping) * (F.coalesce("_in", F.lit(0.0)) + F.lit(held / (n - 1)))
+            # What a node receives and what it holds meet in one aggregation, without another join.
+            received = routes.join(share, ["src", "part"]).select(
+                F.col("dst").alias("id"), "share", *[F.lit(None).cast(t).alias(c) for c, t in kept.items()]
+            )
+            own = state.df.select("id", F.lit(0.0).alias("share"), *kept)
+            met = received.unionByName(own).groupBy("id").agg(
+                F.sum("share").alias("_in"), *[F.max(c).alias(c) for c in kept]
+            )
+            rank = F.lit((1.0 - damping) / n) + F.lit(damping) * (F.col("_in") + F.lit(held / (n - 1)))
             following = Stage(
-                state.df.join(received, "id", "left").select(
-                    "id", "degree", "parts", rank.alias("rank"), F.col("rank").alias("last")
-                ),
-                "ranks",
-                watched,
+                met.select("id", "degree", "parts", rank.alias("rank"), F.col("rank").alias("last")), "ranks", watched
             )
             state.drop()
             state = following

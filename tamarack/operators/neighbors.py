@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from tamarack.functions import kernels
 from tamarack.staging import Stage, broadcast_if_bounded, written
 
-# Bounds on one block: rows, and cells of its dense matrix.
+# Bounds on one hash block, and on a side that is handed to every task: rows, and matrix cells.
 BLOCK_ROWS = 4_096
+HELD_ROWS = 32_768
 BLOCK_CELLS = 4_000_000
 SMALLEST_BLOCK = 256
 
@@ -25,8 +26,8 @@ SMALLEST_BLOCK = 256
 PLAIN_SCAN_PAIRS = 1_000_000_000
 
 
-def _block_rows(cells_per_row: int) -> int:
-    return max(SMALLEST_BLOCK, min(BLOCK_ROWS, BLOCK_CELLS // max(1, cells_per_row)))
+def _bounded_rows(most: int, cells_per_row: int) -> int:
+    return max(SMALLEST_BLOCK, min(most, BLOCK_CELLS // max(1, cells_per_row)))
 
 
 def _blocked(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
@@ -46,14 +47,15 @@ def _merge(candidates: DataFrame, k: int) -> DataFrame:
 
 
 def _search(
-    queries: DataFrame, points: DataFrame, k: int, *, sizes: tuple[int, int], block: int, load: Callable, find: Callable
+    queries: DataFrame, points: DataFrame, k: int, *, sizes: tuple[int, int], cells: int, load: Callable, find: Callable
 ) -> DataFrame:
     """(query_id, point_id, distance, place) by the cheapest of three layouts.
 
     ``load(table)`` turns Arrow rows into vectors; ``find(qid, q, pid, p)`` compares two sets of them.
     """
     n_queries, n_points = sizes
-    if min(n_queries, n_points) > block:
+    if min(n_queries, n_points) > _bounded_rows(HELD_ROWS, cells):
+        block = _bounded_rows(BLOCK_ROWS, cells)
         bq, bp = -(-n_queries // block), -(-n_points // block)
 
         def compare(q: pa.Table, p: pa.Table) -> pa.Table:
@@ -74,7 +76,8 @@ def _search(
                 qid = batch["id"].to_numpy()
                 yield kernels.neighbour_batch(qid, find(qid, load(batch), pid, p))
 
-        return _merge(queries.mapInArrow(stream_queries, kernels.NEIGHBOUR_FIELDS), k)
+        # A query meets all points in one task, so there is nothing to merge.
+        return queries.mapInArrow(stream_queries, kernels.NEIGHBOUR_FIELDS)
 
     held = queries.toArrow()
     qid, q = held["id"].to_numpy(), load(held)
@@ -108,7 +111,7 @@ def nearest(
         points.select("id", "features"),
         k,
         sizes=sizes or (queries.count(), points.count()),
-        block=_block_rows(first[0] if first else 1),
+        cells=first[0] if first else 1,
         load=load,
         find=find,
     )
@@ -126,7 +129,7 @@ def nearest_sparse(
     """``nearest`` for packed sparse vectors (id LONG, idx ARRAY<INT>, val ARRAY<DOUBLE>).
 
     Distances are rounded to ``digits`` so that equal texts tie exactly, then ties go by point id.
-    ``cells`` is the number of entries expected in a long vector; it sets the block size.  ``sizes``
+    ``cells`` is the number of entries expected in a long vector; it bounds block sizes.  ``sizes``
     are upper bounds of the two row counts, which are counted when they are not given.
     """
 
@@ -138,7 +141,7 @@ def nearest_sparse(
         points.select("id", "idx", "val"),
         k,
         sizes=sizes or (queries.count(), points.count()),
-        block=_block_rows(cells),
+        cells=cells,
         load=kernels.entries,
         find=find,
     )

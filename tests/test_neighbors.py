@@ -33,6 +33,7 @@ def test_nearest_in_every_layout(spark, monkeypatch, layout):
     q = p if layout != "few queries" else p[:20]
     if layout == "blocks":
         monkeypatch.setattr(nb, "BLOCK_ROWS", 40)
+        monkeypatch.setattr(nb, "HELD_ROWS", 40)
         monkeypatch.setattr(nb, "SMALLEST_BLOCK", 40)
     got = nb.nearest(frame(spark, q).repartition(3), frame(spark, p).repartition(5), 4, exclude_self=True)
     same(got, brute(q, p, 4, True))
@@ -107,6 +108,8 @@ def test_nearest_sparse_keeps_documents_without_shared_words(spark, monkeypatch,
     p = rng.integers(0, 3, (60, 25)) * (rng.random((60, 25)) < 0.2) / 4.0
     q = np.concatenate([rng.integers(0, 3, (15, 25)) * (rng.random((15, 25)) < 0.2) / 4.0, np.zeros((1, 25)), p[:2]])
     monkeypatch.setattr(nb, "BLOCK_ROWS", block)
+    monkeypatch.setattr(nb, "HELD_ROWS", block)
+    monkeypatch.setattr(nb.kernels, "CHUNK", 7)
     monkeypatch.setattr(nb, "SMALLEST_BLOCK", block)
     got = nb.nearest_sparse(sparse(spark, q).repartition(2), sparse(spark, p).repartition(4), 7)
     expected = []
