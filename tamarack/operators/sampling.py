@@ -14,19 +14,23 @@ from tamarack.staging import broadcast_if_bounded, written
 RANGE_BITS = 14
 
 
+def poisson_steps(fraction: float) -> list[float]:
+    """P(X <= 0), P(X <= 1), ... of a Poisson variable, up to the last one that differs from 1."""
+    steps, mass, cumulative = [], math.exp(-fraction), 0.0
+    while cumulative + mass < 1.0 - 1e-15 and len(steps) < 1000:
+        cumulative += mass
+        steps.append(cumulative)
+        mass *= fraction / len(steps)
+    return steps
+
+
 def poisson_sample(df: DataFrame, *, ids: list[str], fraction: float, seed: int) -> DataFrame:
     """Sample with replacement: each row appears Poisson(fraction) times.
 
     The number of copies is read off the Poisson distribution at the row's own uniform key.
     """
-    steps, mass, cumulative, k = [], math.exp(-fraction), 0.0, 0
-    while cumulative + mass < 1.0 - 1e-15 and k < 1000:
-        cumulative += mass
-        steps.append(cumulative)
-        k += 1
-        mass *= fraction / k
     u = sample_uniform(seed, *[F.col(c) for c in ids])
-    copies = F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= F.col("_u")))
+    copies = F.size(F.filter(F.array(*[F.lit(s) for s in poisson_steps(fraction)]), lambda s: s <= F.col("_u")))
     return (
         df.withColumn("_u", u)
         .withColumn("_copies", copies)

@@ -167,20 +167,12 @@ def logistic_losses(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(losses, "step long, loss double").withColumn("loss", F.round("loss", 9))
 
 
-def _poisson_copies_sql(key: str) -> str:
-    import math
-
-    mass, cumulative, k, thresholds = math.exp(-SAMPLE_FRACTION), 0.0, 0, []
-    while cumulative + mass < 1.0 - 1e-15 and k < 1000:
-        cumulative += mass
-        thresholds.append(cumulative)
-        k += 1
-        mass *= SAMPLE_FRACTION / k
+def poisson_copies_sql(key: str) -> str:
     u = f"CAST(('0x' || substr(md5(concat_ws('|', '{SAMPLE_SEED}', {key})), 1, 13)) AS BIGINT) / 4503599627370496.0::DOUBLE"
-    return " + ".join(f"CASE WHEN {t!r}::DOUBLE <= {u} THEN 1 ELSE 0 END" for t in thresholds)
+    return " + ".join(f"CASE WHEN {t!r}::DOUBLE <= {u} THEN 1 ELSE 0 END" for t in sampling.poisson_steps(SAMPLE_FRACTION))
 
 
-_SAMPLED = f"SELECT * FROM (SELECT doc_id, y, {_poisson_copies_sql('doc_id')} AS copies FROM docs) WHERE copies > 0"
+_SAMPLED = f"SELECT * FROM (SELECT doc_id, y, {poisson_copies_sql('doc_id')} AS copies FROM docs) WHERE copies > 0"
 
 
 @register(

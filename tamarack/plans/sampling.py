@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamarack.functions.hashing import sample_key
 from tamarack.operators import sampling
 from tamarack.operators.ordering import global_index
 from tamarack.operators.sequences import char_sequences, padded_sequences
-from tamarack.plans.learning import SAMPLE_FRACTION, SAMPLE_SEED, _poisson_copies_sql
+from tamarack.plans.learning import SAMPLE_FRACTION, SAMPLE_SEED, poisson_copies_sql
 from tamarack.plans.registry import registry
 from tamarack.sources.lines import classed_lines
 from tamarack.sources.tables import table
@@ -28,7 +29,7 @@ def _key_sql(*ids: str) -> str:
 
 @register(
     "poisson_sample",
-    f"SELECT doc_id, copies AS n FROM (SELECT doc_id, CAST({_poisson_copies_sql('doc_id')} AS BIGINT) AS copies FROM documents) WHERE copies > 0",
+    f"SELECT doc_id, copies AS n FROM (SELECT doc_id, CAST({poisson_copies_sql('doc_id')} AS BIGINT) AS copies FROM documents) WHERE copies > 0",
 )
 def poisson_sample(spark: SparkSession, sf: str) -> DataFrame:
     """How often each document was drawn."""
@@ -70,8 +71,6 @@ def draw_batch(spark: SparkSession, sf: str) -> DataFrame:
 )
 def shuffled(spark: SparkSession, sf: str) -> DataFrame:
     """Each order's place in a seeded shuffle."""
-    from tamarack.functions.hashing import sample_key
-
     orders = table(spark, sf, "orders").select("o_orderkey")
     return global_index(orders, [sample_key(SEED, F.col("o_orderkey")), F.col("o_orderkey")], index="place")
 
