@@ -185,7 +185,8 @@ def co_occurrence(presence: DataFrame, *, size: int, doc: str = "doc_id", tile_c
         import pyarrow as pa
 
         def emit(tile, total):
-            w1, w2 = np.nonzero(total)
+            # The lower half is the upper one mirrored, which is done after the sums.
+            w1, w2 = np.nonzero(np.triu(total, tile * rows))
             for at in range(0, len(w1), 100_000):
                 a, b = w1[at : at + 100_000], w2[at : at + 100_000]
                 columns = [pa.array(a + tile * rows), pa.array(b), pa.array(total[a, b])]
@@ -216,4 +217,7 @@ def co_occurrence(presence: DataFrame, *, size: int, doc: str = "doc_id", tile_c
             yield from emit(current, total)
 
     partial = per_tile.select("tile", "words").mapInArrow(multiply, "w1 long, w2 long, n long")
-    return partial.groupBy("w1", "w2").agg(F.sum("n").alias("n_docs"))
+    summed = partial.groupBy("w1", "w2").agg(F.sum("n").alias("n_docs"))
+    pair, mirrored = F.struct("w1", "w2"), F.struct(F.col("w2").alias("w1"), F.col("w1").alias("w2"))
+    both = F.when(F.col("w1") == F.col("w2"), F.array(pair)).otherwise(F.array(pair, mirrored))
+    return summed.select(F.explode(both).alias("p"), "n_docs").select("p.w1", "p.w2", "n_docs")

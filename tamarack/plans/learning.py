@@ -23,7 +23,7 @@ from tamarack.staging import spread
 QUERIES, ORACLES, register = registry()
 
 MARKER = "src1"
-WORDS = 500
+WORDS = texts.VOCABULARY
 STEPS = 3
 CUTOFF = 0.06
 SAMPLE_SEED = 11
@@ -61,9 +61,7 @@ _TASK = f"""{texts.moments_sql(WORDS)},
     docs AS MATERIALIZED (
         SELECT doc_id, CASE WHEN contains(source, '{MARKER}') THEN 1 ELSE 0 END AS y FROM documents
         WHERE doc_id IN (SELECT doc_id FROM counts)),
-    z AS MATERIALIZED (
-        SELECT d.doc_id, m.idx, CASE WHEN m.std = 0 THEN 0 ELSE (COALESCE(t.value, 0) - m.mean) / m.std END AS z
-        FROM docs d CROSS JOIN moments m LEFT JOIN tfidf t ON t.doc_id = d.doc_id AND t.idx = m.idx)
+    scale AS MATERIALIZED (SELECT idx, mean, CASE WHEN std = 0 THEN 0 ELSE 1 / std END AS inv FROM moments)
 """
 
 _COPIES_ALL = "SELECT doc_id, y, 1 AS copies FROM docs"
@@ -79,8 +77,10 @@ def _descent_sql(prefix: str, rows: str, start: str, steps: int) -> str:
     for i in range(steps + 1):
         parts.append(
             f"""{prefix}t{i} AS MATERIALIZED (
-            SELECT r.doc_id, r.y, r.copies, SUM(z.z * w.weight) AS theta
-            FROM {prefix}rows r JOIN z ON z.doc_id = r.doc_id JOIN {prefix}w{i} w ON w.idx = z.idx GROUP BY 1, 2, 3)"""
+            SELECT r.doc_id, r.y, r.copies, SUM(x.value * m.inv * w.weight)
+                   - (SELECT SUM(m.mean * m.inv * w.weight) FROM scale m JOIN {prefix}w{i} w ON w.idx = m.idx) AS theta
+            FROM {prefix}rows r JOIN tfidf x ON x.doc_id = r.doc_id JOIN {prefix}w{i} w ON w.idx = x.idx
+            JOIN scale m ON m.idx = x.idx GROUP BY 1, 2, 3)"""
         )
         parts.append(
             f"""{prefix}l{i} AS MATERIALIZED (
@@ -94,10 +94,15 @@ def _descent_sql(prefix: str, rows: str, start: str, steps: int) -> str:
             " THEN 0.5::DOUBLE ELSE 1.1::DOUBLE END"
         )
         parts.append(f"{prefix}a{i} AS MATERIALIZED (SELECT {rate} AS rate)")
+        parts.append(
+            f"{prefix}e{i} AS MATERIALIZED (SELECT doc_id, copies * (1 / (1 + exp(-theta)) - y) AS e FROM {prefix}t{i})"
+        )
         parts.append(
             f"""{prefix}g{i} AS MATERIALIZED (
-            SELECT z.idx, SUM(t.copies * (1 / (1 + exp(-t.theta)) - t.y) * z.z) / (SELECT n FROM {prefix}n) AS g
-            FROM {prefix}t{i} t JOIN z ON z.doc_id = t.doc_id GROUP BY 1)"""
+            SELECT m.idx, (COALESCE(h.s, 0) - m.mean * (SELECT SUM(e) FROM {prefix}e{i})) * m.inv / (SELECT n FROM {prefix}n) AS g
+            FROM scale m LEFT JOIN (
+                SELECT x.idx, SUM(e.e * x.value) AS s FROM {prefix}e{i} e JOIN tfidf x ON x.doc_id = e.doc_id GROUP BY 1
+            ) h ON h.idx = m.idx)"""
         )
         parts.append(
             f"""{prefix}w{i + 1} AS MATERIALIZED (

@@ -18,7 +18,7 @@ QUERIES, ORACLES, register = registry()
 
 VOCABULARY = words.VOCABULARY_SIZE
 CUBE_WORDS = 2_000
-PAIR_WORDS = 250
+PAIR_WORDS = 2_000
 NEIGHBOURS = 10
 
 WORDS_SQL = """

@@ -17,6 +17,17 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_LIMIT = 1_000_000
 
 
+_local: tempfile.TemporaryDirectory | None = None
+
+
+def _local_folder() -> str:
+    """A folder for local mode that goes away with the process."""
+    global _local
+    if _local is None:
+        _local = tempfile.TemporaryDirectory(prefix="tamarack-", ignore_cleanup_errors=True)
+    return _local.name
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -27,7 +38,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tamarack-"))
+        sc.setCheckpointDir(_local_folder())
         current = sc.getCheckpointDir()
     return current.rstrip("/")
 
