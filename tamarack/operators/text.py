@@ -139,6 +139,10 @@ class TermIndex:
         counts = term_counts(document_words(docs, doc=doc, text=text), self.vocab, size=self.size, doc=doc)
         return weigh(term_frequency(with_totals(counts, doc=doc), doc=doc), self.idf(), size=self.size, doc=doc)
 
+    def n_words(self) -> int:
+        """Words in the vocabulary, fewer than ``size`` if the corpus has fewer."""
+        return self.vocab.count()
+
     def n_present(self) -> int:
         """Documents with at least one vocabulary word."""
         return self.counts.select(self.doc).distinct().count()

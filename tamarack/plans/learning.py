@@ -43,17 +43,18 @@ class TextTask:
 
     def __init__(self, spark: SparkSession, sf: str):
         self.index: TermIndex = texts.index(spark, sf, WORDS)
+        self.size = self.index.n_words()
         self.features = self.index.tf_idf()
         self.labels = texts.documents(spark, sf).select("doc_id", contains_flag(F.col("source"), MARKER).alias("label"))
         self.rows = learning.sparse_rows(self.features, self.labels).df
-        self.scaler = learning.Standardiser.from_moments(self.index.moments(), WORDS)
+        self.scaler = learning.Standardiser.from_moments(self.index.moments(), self.size)
 
     def fit(self) -> learning.Fit:
-        return learning.train_logistic(self.rows, size=WORDS, scaler=self.scaler, tolerance=0.0, max_steps=STEPS)
+        return learning.train_logistic(self.rows, size=self.size, scaler=self.scaler, tolerance=0.0, max_steps=STEPS)
 
     def predictions(self, spark: SparkSession) -> DataFrame:
         weights, offset = learning.standardised_weights(spark, self.fit().weights, self.scaler)
-        scores = learning.sparse_scores(self.features, weights, size=WORDS, offset=offset)
+        scores = learning.sparse_scores(self.features, weights, size=self.size, offset=offset)
         return learning.predict_above(scores, cutoff=CUTOFF).join(self.labels, "doc_id")
 
 
@@ -127,8 +128,8 @@ _FIXED = "SELECT idx, ((idx * 37) % 101 - 50) / 1000.0::DOUBLE AS weight FROM mo
 def logistic_loss(spark: SparkSession, sf: str) -> DataFrame:
     """Mean logistic loss at given weights, from scores as columns."""
     task = TextTask(spark, sf)
-    weights, offset = learning.standardised_weights(spark, fixed_weights(WORDS), task.scaler)
-    scores = learning.sparse_scores(task.features, weights, size=WORDS, offset=offset).join(task.labels, "doc_id")
+    weights, offset = learning.standardised_weights(spark, fixed_weights(task.size), task.scaler)
+    scores = learning.sparse_scores(task.features, weights, size=task.size, offset=offset).join(task.labels, "doc_id")
     theta = F.col("score")
     return scores.agg(F.round(F.avg(softplus(theta) - F.col("label") * theta), 9).alias("loss"))
 
@@ -142,8 +143,8 @@ def logistic_loss(spark: SparkSession, sf: str) -> DataFrame:
 )
 def logistic_probabilities(spark: SparkSession, sf: str) -> DataFrame:
     task = TextTask(spark, sf)
-    weights, offset = learning.standardised_weights(spark, fixed_weights(WORDS), task.scaler)
-    scores = learning.sparse_scores(task.features, weights, size=WORDS, offset=offset)
+    weights, offset = learning.standardised_weights(spark, fixed_weights(task.size), task.scaler)
+    scores = learning.sparse_scores(task.features, weights, size=task.size, offset=offset)
     return scores.select("doc_id", F.round(sigmoid(F.col("score")), 9).alias("p"))
 
 
@@ -153,7 +154,7 @@ def logistic_probabilities(spark: SparkSession, sf: str) -> DataFrame:
 )
 def logistic_gradient(spark: SparkSession, sf: str) -> DataFrame:
     task = TextTask(spark, sf)
-    _, gradient = learning.logistic_pass(task.rows, fixed_weights(WORDS), task.scaler, 0.0)
+    _, gradient = learning.logistic_pass(task.rows, fixed_weights(task.size), task.scaler, 0.0)
     return learning.weight_table(spark, gradient).select("idx", F.round("weight", 9).alias("gradient"))
 
 
@@ -193,7 +194,7 @@ def logistic_warm_start(spark: SparkSession, sf: str) -> DataFrame:
     task = TextTask(spark, sf)
     sample = sampling.poisson_sample(task.rows, ids=["doc_id"], fraction=SAMPLE_FRACTION, seed=SAMPLE_SEED)
     fit = learning.train_logistic_warm(
-        task.rows, sample, size=WORDS, scaler=task.scaler, tolerance=0.0, max_steps=STEPS
+        task.rows, sample, size=task.size, scaler=task.scaler, tolerance=0.0, max_steps=STEPS
     )
     return fit.table(spark).withColumn("weight", F.round("weight", 9))
 

@@ -59,7 +59,7 @@ def test_tf_idf_counts_documents_without_words_in_n(spark):
     got = {(r["doc_id"], r["idx"]): r["value"] for r in index.tf_idf().collect()}
     assert got.keys() == expected.keys()
     assert all(math.isclose(got[k], expected[k], abs_tol=1e-12) for k in got)
-    assert index.n_docs == 6 and index.n_present() == 4
+    assert index.n_docs == 6 and index.n_present() == 4 and index.n_words() == 5
 
 
 def test_word_in_every_document_weighs_nothing(spark):
