@@ -18,7 +18,7 @@ from tamarack.operators.text import TermIndex
 from tamarack.plans import text as texts
 from tamarack.plans.registry import registry
 from tamarack.sources.tables import table
-from tamarack.staging import spread
+from tamarack.staging import spread, written
 
 QUERIES, ORACLES, register = registry()
 
@@ -327,7 +327,9 @@ def hinge_gradient(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _svm_fit(spark: SparkSession, sf: str) -> learning.Fit:
-    return learning.train_svm(svm_rows(spark, sf), size=DIMS, c=SVM_C, tolerance=0.0, max_steps=SVM_STEPS)
+    # Every step reads the rows again, so they are laid out once.
+    rows = written(svm_rows(spark, sf), "svm-rows")
+    return learning.train_svm(rows, size=DIMS, c=SVM_C, tolerance=0.0, max_steps=SVM_STEPS)
 
 
 @register(
