@@ -7,7 +7,7 @@ optimizer true sizes, so it never broadcasts something that has grown.
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -16,31 +16,35 @@ from pyspark.sql import functions as F
 # A side may carry a broadcast hint only when its row count is bounded by this number.
 BROADCAST_ROW_LIMIT = 1_000_000
 
+# Tables of this process that have not been dropped yet, by path.
+_kept: dict[str, Stage] = {}
 
-_local: tempfile.TemporaryDirectory | None = None
 
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, one in the warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured.rstrip("/")
 
-def _local_folder() -> str:
-    """A folder for local mode that goes away with the process."""
-    global _local
-    if _local is None:
-        _local = tempfile.TemporaryDirectory(prefix="tamarack-", ignore_cleanup_errors=True)
-    return _local.name
 
+def release(spark: SparkSession) -> None:
+    """Drop every working table that is still kept.  Call it once the results built on them are consumed."""
+    for stage in list(_kept.values()):
+        if stage._spark is spark:
+            stage.drop()
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(_local_folder())
-        current = sc.getCheckpointDir()
-    return current.rstrip("/")
+
+def _release_at_exit() -> None:
+    for stage in list(_kept.values()):
+        try:
+            stage.drop()
+        except Exception:  # the session may have ended already; its folder then goes with its owner
+            return
+
+
+atexit.register(_release_at_exit)
 
 
 class Stage:
@@ -58,8 +62,10 @@ class Stage:
         out.write.parquet(self.path)
         self.sums = observed.get if observed else {}
         self.df = spark.read.schema(df.schema).parquet(self.path)
+        _kept[self.path] = self
 
     def drop(self) -> None:
+        _kept.pop(self.path, None)
         sc = self._spark.sparkContext
         path = sc._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,11 +6,12 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from tamarack import plans
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(plans.all_queries()))
 def test_query_agrees_with_sql(spark, name):
     problem, n, _, _ = check.difference(spark, FOLDER, name)
     assert problem is None
@@ -18,7 +19,8 @@ def test_query_agrees_with_sql(spark, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(plans.all_queries()) == set(plans.all_oracles())
+    assert set(plans.all_queries()) <= set(entry.queries())
 
 
 def test_entry(spark):
