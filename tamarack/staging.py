@@ -23,10 +23,9 @@ _kept: dict[str, Stage] = {}
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; where that is unset, one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
 
 
 def release(spark: SparkSession) -> None:
