@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tamarack.llm import mixing, pii, toolcalls
+from tamarack.llm import chunking, exact, mixing, pii, quality, sentencepiece_fst, toolcalls, toxicity
 from tamarack.plans.registry import registry
 from tamarack.sources.tables import table
 
@@ -22,3 +22,28 @@ def op2_tool_calls(spark, sf_dir):
 @register("op6_mixing", mixing.ORACLE)
 def op6_mixing(spark, sf_dir):
     return mixing.op6(table(spark, sf_dir, "documents"))
+
+
+@register("op4_exact_dedup", exact.ORACLE)
+def op4_exact_dedup(spark, sf_dir):
+    return exact.op4(table(spark, sf_dir, "documents"))
+
+
+@register("op5_sentencepiece")
+def op5_sentencepiece(spark, sf_dir):
+    return sentencepiece_fst.op5(table(spark, sf_dir, "documents"))
+
+
+@register("op7_quality")
+def op7_quality(spark, sf_dir):
+    return quality.op7(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op8_toxicity")
+def op8_toxicity(spark, sf_dir):
+    return toxicity.op8(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op9_fingerprints")
+def op9_fingerprints(spark, sf_dir):
+    return chunking.op9(table(spark, sf_dir, "documents"))
