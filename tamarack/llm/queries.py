@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tamarack.llm import chunking, exact, mixing, pii, quality, sentencepiece_fst, toolcalls, toxicity
+from tamarack.llm import chunking, exact, jaccard, mixing, pii, quality, sentencepiece_fst, toolcalls, toxicity
 from tamarack.plans.registry import registry
 from tamarack.sources.tables import table
 
@@ -47,3 +47,8 @@ def op8_toxicity(spark, sf_dir):
 @register("op9_fingerprints")
 def op9_fingerprints(spark, sf_dir):
     return chunking.op9(table(spark, sf_dir, "documents"))
+
+
+@register("op10_near_duplicates")
+def op10_near_duplicates(spark, sf_dir):
+    return jaccard.op10(table(spark, sf_dir, "documents"))
