@@ -436,7 +436,10 @@ def op10(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without all but one of each component, that of the smallest id; all columns are kept."""
+    """The documents without all but one of each component, that of the smallest id; all columns are kept.
+
+    Rows that share that id all stay, as do rows without an id.
+    """
     gone = components(docs).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
     gone = Stage(gone, "near-copies").df
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")

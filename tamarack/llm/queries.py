@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tamarack.llm import chunking, exact, jaccard, mixing, pii, quality, sentencepiece_fst, toolcalls, toxicity
+from tamarack.llm import chunking, exact, jaccard, mixing, pii, quality, sentencepiece_fst, toolcalls, toxicity, wrappers
 from tamarack.plans.registry import registry
 from tamarack.sources.tables import table
 
@@ -52,3 +52,8 @@ def op9_fingerprints(spark, sf_dir):
 @register("op10_near_duplicates")
 def op10_near_duplicates(spark, sf_dir):
     return jaccard.op10(table(spark, sf_dir, "documents"))
+
+
+@register("op3_html_text")
+def op3_html_text(spark, sf_dir):
+    return wrappers.op3(table(spark, sf_dir, "pages"))
