@@ -9,7 +9,8 @@ For a unigram model an arc weighs minus its piece's score.  A BPE model is no su
 on pairs: going from piece ``a`` to piece ``b`` weighs 0 if the model's merges leave ``a`` and ``b`` as they are on the
 text ``ab``, and infinity otherwise.  A sequence of pieces is the BPE encoding of its text exactly if all its
 neighbouring pairs are left alone: were some merge the first to cross a border, it would already do so on that pair.
-So one finite path remains, with at most one piece ending at each position, and the path is found in one pass.
+So one finite path remains, with at most one piece ending at each position.  It is found depth first, the longest arc
+first, and a position from which the end was not reached is never entered again.
 
 No piece crosses from other characters into ``▁``, so inputs fall into independent chunks there, and the path of a
 frequent chunk is remembered (a bounded number of them per task).
@@ -22,7 +23,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -70,9 +70,11 @@ class Transducer:
         self.pieces = [p for p, _, _ in model["pieces"]]
         kinds = [t for _, _, t in model["pieces"]]
         self.unknown = kinds.index(UNKNOWN)
-        self.silent = {i for i, t in enumerate(kinds) if t == CONTROL}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, t) in enumerate(model["pieces"]) if t == BYTE}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
+        # What a piece decodes to.
+        self.output = [
+            b"" if t == CONTROL else bytes([int(p[3:5], 16)]) if t == BYTE else p.encode() for p, t in zip(self.pieces, kinds, strict=True)
+        ]
         usable = {p: i for i, (p, _, t) in enumerate(model["pieces"]) if t in (NORMAL, USER)}
         self.score = {p: model["pieces"][i][1] for p, i in usable.items()}
         self.ids = usable
@@ -81,17 +83,21 @@ class Transducer:
             self.arcs = {p: usable[p] for p in model["arcs"]}
         else:
             self.arcs = {p: i for p, i in usable.items() if len(p) == 1 or not self.bpe or self._merged(p) == [p]}
-        self.longest = max(map(len, self.arcs), default=1)
-        # Per first two characters, the lengths that occur: the trie's arcs that are worth following.
-        self.lengths: dict[str, list[int]] = {}
+        # The trie: per first three characters, the lengths that occur, longest first; and each piece's next shorter
+        # beginning that is a piece.
+        lengths: dict[str, set[int]] = {}
         for p in self.arcs:
-            self.lengths.setdefault(p[:2], []).append(len(p))
-        self.lengths = {k: sorted(set(v)) for k, v in self.lengths.items()}
+            if len(p) > 2:
+                lengths.setdefault(p[:3], set()).add(len(p))
+        self.lengths = {k: sorted(v, reverse=True) for k, v in lengths.items()}
+        self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.arcs), None) for p in self.arcs}
         if any(ESCAPE in p.lstrip(ESCAPE) for p in self.arcs):
             raise ValueError("pieces cross into white space")
         self.chunks = regex.compile(f"{ESCAPE}*[^{ESCAPE}]+|{ESCAPE}+")
-        self.compatible = lru_cache(1 << 18)(self._compatible)
-        self.memory: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
+        # Two generations: what was looked up lately survives when the older one is dropped.
+        self.memory: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
 
     def _merged(self, text: str) -> list[str]:
         """The model's merges on a short text: again and again the best-scored pair, the leftmost of equals."""
@@ -107,8 +113,16 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _compatible(self, left: str, right: str) -> bool:
-        return self._merged(left + right) == [left, right]
+    def _compatible(self, left: int, right: int) -> bool:
+        """Whether the pair of pieces weighs 0."""
+        key = left << 20 | right
+        answer = self.pairs.get(key)
+        if answer is None:
+            if len(self.pairs) >= REMEMBERED:
+                self.pairs.clear()
+            a, b = self.pieces[left], self.pieces[right]
+            answer = self.pairs[key] = self._merged(a + b) == [a, b]
+        return answer
 
     def normalise(self, text: str) -> str:
         """The normaliser's output, with spaces still as spaces."""
@@ -116,73 +130,97 @@ class Transducer:
             text = regex.sub(" +", " ", text.strip(" "))
         return " " + text if self.prefix and text else text
 
-    def _path(self, chunk: str) -> tuple[int, ...]:
-        """The shortest path over a chunk."""
+    def _longest(self, chunk: str, at: int) -> str:
+        """The longest arc from a position; a character outside the vocabulary is one, too."""
+        n, arcs = len(chunk), self.arcs
+        for length in self.lengths.get(chunk[at : at + 3], ()):
+            if at + length <= n and chunk[at : at + length] in arcs:
+                return chunk[at : at + length]
+        two = chunk[at : at + 2]
+        return two if two in arcs else chunk[at]
+
+    def _merge_path(self, chunk: str) -> list[str]:
+        """The path of weight 0 over a chunk, for a BPE model."""
+        n, arcs, pairs = len(chunk), self.arcs, self.pairs
+        taken: list[str] = []
+        dead: set[int] = set()
+        at, last = 0, -1
+        piece: str | None = self._longest(chunk, 0)
+        while True:
+            if piece is None:
+                dead.add(at)
+                back = taken.pop()
+                at -= len(back)
+                # Across a character outside the vocabulary every pair weighs 0.
+                last = arcs.get(taken[-1], -1) if taken else -1
+                piece = self.shorter.get(back)
+                continue
+            i, end = arcs.get(piece, -1), at + len(piece)
+            fits = end not in dead
+            if fits and last >= 0 and i >= 0:
+                fits = pairs.get(last << 20 | i)
+                if fits is None:
+                    fits = self._compatible(last, i)
+            if fits:
+                taken.append(piece)
+                at, last = end, i
+                if at == n:
+                    return taken
+                piece = self._longest(chunk, at)
+            else:
+                piece = self.shorter.get(piece)
+
+    def _score_path(self, chunk: str) -> list[str]:
+        """The path of least weight over a chunk, for a unigram model."""
         n = len(chunk)
-        cost: list[float | None] = [0.0] + [None] * n
-        last: list[str] = [""] * (n + 1)  # the piece that ends at a position, on the best path
+        cost: list[float] = [0.0] + [float("inf")] * n
+        last: list[str] = [""] * (n + 1)
         for start in range(n):
-            here = cost[start]
-            if here is None:
-                continue
-            before = last[start]
-            known = chunk[start] in self.arcs
-            candidates = [1] if start + 1 == n or not known else [1, *(x for x in self.lengths.get(chunk[start : start + 2], ()) if x > 1)]
-            for length in candidates:
-                end = start + length
-                if end > n:
-                    break
-                piece = chunk[start:end]
-                if length > 1 and piece not in self.arcs:
-                    continue
-                if self.bpe:
-                    # A character outside the vocabulary takes part in no merge.
-                    if cost[end] is not None or (known and before in self.arcs and not self.compatible(before, piece)):
-                        continue
-                    weight = 0.0
-                else:
-                    weight = -self.score[piece] if known else 1e6
-                if cost[end] is None or here + weight < cost[end]:
-                    cost[end], last[end] = here + weight, piece
+            piece: str | None = self._longest(chunk, start)
+            while piece is not None:
+                end, weight = start + len(piece), -self.score[piece] if piece in self.score else 1e6
+                if cost[start] + weight < cost[end]:
+                    cost[end], last[end] = cost[start] + weight, piece
+                following = self.shorter.get(piece)
+                # Single characters are always arcs, known or not.
+                piece = following if following is not None or len(piece) == 1 else piece[0]
+        taken = []
+        while n:
+            taken.append(last[n])
+            n -= len(last[n])
+        return taken[::-1]
+
+    def _path(self, chunk: str) -> list[int]:
         out: list[int] = []
-        at = n
-        while at:
-            piece = last[at]
-            at -= len(piece)
+        for piece in self._merge_path(chunk) if self.bpe else self._score_path(chunk):
             i = self.arcs.get(piece)
             if i is not None:
                 out.append(i)
             elif self.fallback:
-                out.extend(self.bytes[b] for b in reversed(piece.encode("utf-8", "surrogatepass")))
+                out += [self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")]
             else:
                 out.append(self.unknown)
-        return tuple(reversed(out))
+        return out
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        memory = self.memory
+        memory, older = self.memory, self.older
         for chunk in self.chunks.findall(self.normalise(text).replace(" ", ESCAPE)):
             path = memory.get(chunk)
             if path is None:
+                path = older.get(chunk) or self._path(chunk)
                 # A chunk longer than this is rare and not worth remembering.
-                path = self._path(chunk)
                 if len(chunk) <= 64:
                     if len(memory) >= REMEMBERED:
-                        memory.clear()
+                        self.older = older = memory
+                        self.memory = memory = {}
                     memory[chunk] = path
             out += path
         return out
 
     def decode(self, ids: list[int]) -> str:
         """The normalised text of pieces; control pieces are silent."""
-        out = bytearray()
-        pieces, byte_of, silent = self.pieces, self.byte_of, self.silent
-        for i in ids:
-            b = byte_of.get(i)
-            if b is not None:
-                out.append(b)
-            elif i not in silent:
-                out += pieces[i].encode()
+        out = b"".join(map(self.output.__getitem__, ids))
         text = out.decode("utf-8", "replace").replace(ESCAPE, " ")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
