@@ -12,8 +12,8 @@ Documents with the same words are one *node*, named by a hash of the words, so c
   are short; a passage that many documents share hardly occurs in prefixes.
 
 Lists of up to ``SHORT`` nodes give their pairs.  A longer one (thousands of near copies) is first compared with one
-node per size band only.  After that, members that lie in the list's largest component need no comparison among
-themselves; every other member is compared with all of the list.  So no link between components is lost, and a group of
+node per size band only, then those outside the list's largest component with a few more nodes of it.  Members of that
+component need no comparison among themselves; every member that is still outside is compared with all of the list.  So no link between components is lost, and a group of
 m near copies costs about m comparisons.  Every pair found is checked on the whole sets.
 
 Shuffles carry packed arrays of keys and nodes, one per task batch and bucket.  A key's list beyond ``PIECE`` entries
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.llm.common import shuffle_parts, texts
@@ -41,9 +41,11 @@ from tamarack.staging import Stage
 
 WIDTH = 5
 SHORT = 24  # nodes of a list whose pairs are all taken at once
-HEAVY = 8  # documents from which a shingle can count as frequent
-MOST_HEAVY = 200_000  # frequent shingles known to all tasks: 16 bytes each
+HEAVY = 8  # documents from which a cell of shingles can count as frequent
+MOST_HEAVY = 200_000  # frequent cells known to all tasks: 16 bytes each
+CELL_SHIFT = 35  # a cell of the counts is what is left of a shingle's 64 bits
 PIECE = 5_000  # entries of a list per bucket
+ROUNDS = 2  # further nodes that those outside a list's largest component are compared with, before all
 BUCKET_BYTES = 32 << 20
 BOUNDARIES = (0, 4, 8, 16, 32)  # sizes that may part small sets from large ones
 ROWS = 512
@@ -91,27 +93,25 @@ class Shingler:
         return np.unique(total ^ (total >> np.uint64(31)))
 
 
-def prefix(items: np.ndarray, length: int, heavy: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first elements of a set by the global order: those that aren't frequent by value, then by (count, value)."""
-    if not len(heavy):
-        return items[:length]
-    at = np.searchsorted(heavy, items)
-    at[at == len(heavy)] = 0
-    frequent = heavy[at] == items
-    light = items[~frequent]
-    if len(light) >= length:
-        return light[:length]
-    rest, their = items[frequent], counts[at[frequent]]
-    return np.concatenate([light, rest[np.lexsort((rest, their))][: length - len(light)]])
-
-
 def how_often(items: np.ndarray, heavy: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The counts of frequent shingles, 0 for others."""
+    """The counts of shingles in frequent cells, 0 for others."""
     if not len(heavy):
         return np.zeros(len(items), dtype=np.int64)
-    at = np.searchsorted(heavy, items)
+    cells = items >> np.uint64(CELL_SHIFT)
+    at = np.searchsorted(heavy, cells)
     at[at == len(heavy)] = 0
-    return np.where(heavy[at] == items, counts[at], 0)
+    return np.where(heavy[at] == cells, counts[at], 0)
+
+
+def prefix(items: np.ndarray, length: int, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first elements of a set by the global order, and their counts: those that aren't frequent by value, then the
+    others by (count, value)."""
+    light = items[often == 0]
+    if len(light) >= length:
+        return light[:length], np.zeros(length, dtype=np.int64)
+    rest, their = items[often > 0], often[often > 0]
+    order = np.lexsort((rest, their))[: length - len(light)]
+    return np.concatenate([light, rest[order]]), np.concatenate([np.zeros(len(light), dtype=np.int64), their[order]])
 
 
 def subset_keys(first: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,29 +149,54 @@ def members(docs: DataFrame, seed: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, node long, proof string, n int")
 
 
-def _prefix_counts(docs: DataFrame, seed: int) -> DataFrame:
-    """(key, m, c0..): how many documents have a shingle in their prefix by value, in all and by size up to a boundary."""
+def _cell_counts(docs: DataFrame, seed: int, shingles: float) -> DataFrame:
+    """(cell, m, c0..): documents per cell of shingles, in all and by size above a boundary; cells of ``HEAVY`` or more.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen = Shingler(), set()
-        for batch in _strings(batches):
-            keys, kinds = [], []
-            for text in batch.column(1).to_pylist():
-                words = shingler.words(text)
-                node, _ = shingler.node(words, seed)
-                if node in seen or not words:
-                    continue
-                seen.add(node)
-                items = shingler.hashes(words)
-                first = items[: len(items) - needed(len(items)) + 1]
-                keys.append(first)
-                kinds.append(np.full(len(first), sum(len(items) > b for b in BOUNDARIES), dtype=np.int8))
-            flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
-            kind = np.concatenate(kinds) if kinds else np.zeros(0, dtype=np.int8)
-            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(kind, pa.int8())], names=["key", "kind"])
+    A cell is a shingle's first 29 bits; packed with the kind of size in 32 bits, all shingles of all documents are
+    counted.  Cells may hold several shingles: for an order by frequency that is near enough.
+    """
+    buckets = max(shuffle_parts(docs.sparkSession), int(shingles * 4 / BUCKET_BYTES) + 1)
 
-    above = [F.sum((F.col("kind") > i).cast("long")).alias(f"c{i}") for i in range(len(BOUNDARIES))]
-    return docs.mapInArrow(run, "key long, kind byte").groupBy("key").agg(F.count("*").alias("m"), *above)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, seen = Shingler(), set()
+        for whole in batches:
+            cells = [np.zeros(0, dtype=np.uint32)]
+            for batch in _strings(iter([whole])):
+                for text in batch.column(1).to_pylist():
+                    words = shingler.words(text)
+                    node, _ = shingler.node(words, seed)
+                    if node in seen or not words:
+                        continue
+                    seen.add(node)
+                    items = shingler.hashes(words)
+                    kind = np.uint32(sum(len(items) > b for b in BOUNDARIES))
+                    cells.append((items >> np.uint64(CELL_SHIFT)).astype(np.uint32) << np.uint32(3) | kind)
+            flat = np.sort(np.concatenate(cells))
+            bucket = (flat.astype(np.uint64) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+            held = np.unique(bucket)
+            ends = np.searchsorted(bucket, held, side="right")
+            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+            blobs = [flat[x:y].tobytes() for x, y in zip(starts, ends, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "cells"])
+
+    names = ["cell", "m", *(f"c{i}" for i in range(len(BOUNDARIES)))]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A task's buckets are ranges of cells, the kinds of a cell next to each other but for a bucket's ends.
+        parts = [np.frombuffer(x.as_buffer(), np.uint32) for batch in batches for x in batch.column(1)]
+        if parts:
+            flat = np.sort(np.concatenate(parts))
+            cell = flat >> np.uint32(3)
+            starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+            m = np.diff(np.append(starts, len(flat)))
+            often = m >= HEAVY
+            kind = flat & np.uint32(7)
+            above = [np.add.reduceat((kind > i).astype(np.int64), starts)[often] for i in range(len(BOUNDARIES))]
+            columns = [cell[starts][often].astype(np.int64), m[often].astype(np.int64), *above]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    packed = docs.mapInArrow(pack, "bucket int, cells binary")
+    return packed.repartitionById(buckets, "bucket").mapInArrow(count, ", ".join(f"{n} long" for n in names))
 
 
 def boundary(sizes: dict[int, int], entries: float, scans: list[float]) -> int:
@@ -191,9 +216,10 @@ def boundary(sizes: dict[int, int], entries: float, scans: list[float]) -> int:
 
 
 def candidates(docs: DataFrame, seed: int, heavy: np.ndarray, counts: np.ndarray, limit: int, entries: float) -> DataFrame:
-    """(kind, key, a, b): kind 0 a pair of nodes a < b; kind 1 an entry of a long list, node a of b elements."""
+    """(kind, key, a, b): kind 0 a pair of nodes a < b; kind 1 an entry of a long list, node a, whose elements b counts:
+    all of them in its lower 32 bits, the infrequent ones above (0 in the list of an infrequent key)."""
     spark = docs.sparkSession
-    buckets = max(shuffle_parts(spark), int(entries * 20 / BUCKET_BYTES) + 1)
+    buckets = max(shuffle_parts(spark), int(entries * 24 / BUCKET_BYTES) + 1)
     sent = spark.sparkContext.broadcast((heavy, counts))  # at most MOST_HEAVY numbers each
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,24 +237,25 @@ def candidates(docs: DataFrame, seed: int, heavy: np.ndarray, counts: np.ndarray
                     items = shingler.hashes(words)
                     n = len(items)
                     small = 1 < n <= limit
+                    often_here = how_often(items, frequent, known_counts)
+                    # For lists of frequent elements, beside its size, how many infrequent elements a set has.
+                    described = n | int((often_here == 0).sum()) << 32
                     own = []
                     if small:
-                        first = prefix(items, n - needed(n) + 2, frequent, known_counts)
-                        own.append(subset_keys(first, how_often(first, frequent, known_counts)))
+                        own.append(subset_keys(*prefix(items, n - needed(n) + 2, often_here)))
                     if not small or n >= 0.75 * (limit + 1):
-                        first = prefix(items, n - needed(n) + 1, frequent, known_counts)
-                        own.append((first, how_often(first, frequent, known_counts)))
+                        own.append(prefix(items, n - needed(n) + 1, often_here))
                     for k, o in own:
                         keys.append(k)
                         counted.append(o)
                         nodes.append(np.full(len(k), node, dtype=np.int64))
-                        sizes.append(np.full(len(k), n, dtype=np.int32))
+                        sizes.append(np.where(o > 0, described, n))
             if not keys:
                 continue
             key, node, size, often = (np.concatenate(x) for x in (keys, nodes, sizes, counted))
             # A long list's entries go to several buckets; a negative size tells that they do.
             pieces = -(-often // PIECE)
-            size = np.where(pieces > 1, -size, size).astype(np.int32)
+            size = np.where(pieces > 1, -size, size)
             shift = np.where(pieces > 1, node.view(np.uint64) % np.maximum(pieces, 1).astype(np.uint64), 0).astype(np.uint64)
             with np.errstate(over="ignore"):
                 mixed = (key + shift * _SCRAMBLE) * _MULTIPLIER
@@ -253,7 +280,7 @@ def candidates(docs: DataFrame, seed: int, heavy: np.ndarray, counts: np.ndarray
         def lists(bucket_parts: list[tuple]) -> Iterator[pa.RecordBatch]:
             key = np.concatenate([np.frombuffer(p[0], np.uint64) for p in bucket_parts])
             node = np.concatenate([np.frombuffer(p[1], np.int64) for p in bucket_parts])
-            size = np.concatenate([np.frombuffer(p[2], np.int32) for p in bucket_parts])
+            size = np.concatenate([np.frombuffer(p[2], np.int64) for p in bucket_parts])
             order = np.lexsort((node, key))
             key, node, size = key[order], node[order], size[order]
             # Copies from different tasks fall together.
@@ -263,11 +290,12 @@ def candidates(docs: DataFrame, seed: int, heavy: np.ndarray, counts: np.ndarray
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
             lengths = np.diff(np.append(starts, len(key)))
             long = (lengths > SHORT) | (size[starts] < 0)
-            size = np.abs(size)
+            described = np.abs(size)
+            size = described & 0xFFFFFFFF
             rows = np.concatenate([np.arange(s, s + n) for s, n in zip(starts[long], lengths[long], strict=True)]) if long.any() else []
             rows = np.asarray(rows, dtype=np.int64)
             if len(rows):
-                yield _rows(1, key[rows].view(np.int64), node[rows], size[rows].astype(np.int64))
+                yield _rows(1, key[rows].view(np.int64), node[rows], described[rows])
             for n in range(2, SHORT + 1):
                 of_length = starts[(lengths == n) & ~long]
                 for i in range(n - 1):
@@ -346,12 +374,52 @@ def _labels(links: DataFrame) -> DataFrame:
     return component_labels(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
 
+def _may_link(n: str, rare: str, other_n: str, other_rare: str) -> Column:
+    """Whether two members of a long list can link, if they have shared no infrequent element.
+
+    A set is in a frequent element's list only if all its infrequent elements are in its prefix as well, so two sets
+    that share one of those meet in that element's list.  All others share frequent elements at most.
+    """
+    most = F.least(F.col(n) - F.col(rare), F.col(other_n) - F.col(other_rare))
+    return 7 * most >= 3 * (F.col(n) + F.col(other_n))
+
+
+def _stars(entries: DataFrame, stands: DataFrame, on: list[str]) -> DataFrame:
+    """(a, b), a < b: each entry of a list with the node that stands for it, if their sizes allow a link."""
+    return (
+        entries.join(stands, on)
+        .filter((F.col("node") != F.col("stand")) & _may_link("n", "rare", "stand_n", "stand_rare"))
+        .select(F.least("stand", "node").alias("a"), F.greatest("stand", "node").alias("b"))
+    )
+
+
+def _unchecked(pairs: DataFrame, checked: list[DataFrame]) -> DataFrame:
+    for known in checked:
+        pairs = pairs.join(known, ["a", "b"], "left_anti")
+    return pairs
+
+
+def _outside(long: DataFrame, labels: DataFrame) -> tuple[Stage, Stage, Stage]:
+    """The entries of long lists with their components; lists of more than one, with the largest; the entries outside it."""
+    placed = Stage(
+        long.join(labels.select(F.col("id").alias("node"), "component"), "node", "left").select(
+            "key", "node", "n", "rare", F.coalesce("component", "node").alias("component")
+        ),
+        "shingle-placed",
+    )
+    counted = placed.df.groupBy("key", "component").agg(F.count("*").alias("size"))
+    largest = counted.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("largest"), F.count("*").alias("parts"))
+    largest = Stage(largest.filter("parts > 1").select("key", "largest"), "shingle-largest")
+    outside = placed.df.join(largest.df, "key").filter(F.col("component") != F.col("largest")).drop("largest")
+    return placed, largest, Stage(outside, "shingle-outside", {"n": F.count("*")})
+
+
 def components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     docs = texts(docs)
     seed = 0
     while True:
-        known = Stage(members(docs, seed), "shingle-members", {"entries": F.sum(F.floor(F.col("n") / 4) + 1)})
+        known = Stage(members(docs, seed), "shingle-members", {"entries": F.sum(F.floor(F.col("n") / 4) + 1), "shingles": F.sum("n")})
         # Names have 64 bits: should two texts share one, all are named anew.
         clash = known.df.groupBy("node").agg(F.min("proof").alias("low"), F.max("proof").alias("high")).filter("low <> high")
         if clash.isEmpty():
@@ -363,27 +431,24 @@ def components(docs: DataFrame) -> DataFrame:
     top = 4 * max(BOUNDARIES) // 3 + 1
     sizes = {r["n"]: r["count"] for r in nodes.filter(F.col("n") <= top).groupBy("n").count().collect()}
     entries = float(known.sums["entries"] or 0)
-    met = [F.sum(F.col(f"c{i}") * F.col("m") / 2).alias(f"s{i}") for i in range(len(BOUNDARIES))]
-    scans = {f"s{i}": c for i, c in enumerate(met)}
-    often = Stage(_prefix_counts(docs, seed).filter("m > 1"), "shingle-counts", scans)
+    # A set writes a quarter of its elements, and meets the short lists of the rest only.
+    met = {f"s{i}": F.sum(F.col(f"c{i}") * F.least(F.col("m"), F.lit(SHORT)) / 8) for i in range(len(BOUNDARIES))}
+    often = Stage(_cell_counts(docs, seed, float(known.sums["shingles"] or 0)), "shingle-counts", met)
     limit = boundary(sizes, entries, [float(often.sums[f"s{i}"] or 0) for i in range(len(BOUNDARIES))])
-    top_rows = often.df.filter(F.col("m") >= HEAVY).select("key", "m").orderBy(F.col("m").desc(), "key").limit(MOST_HEAVY).toPandas()
+    top_rows = often.df.select("cell", "m").orderBy(F.col("m").desc(), "cell").limit(MOST_HEAVY).toPandas().sort_values("cell")
     often.drop()
-    heavy = top_rows["key"].to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(heavy)
-    heavy, counts = heavy[order], top_rows["m"].to_numpy().astype(np.int64)[order]
+    heavy, counts = top_rows["cell"].to_numpy().astype(np.uint64), top_rows["m"].to_numpy().astype(np.int64)
 
     found = Stage(candidates(docs, seed, heavy, counts, limit, entries), "shingle-candidates")
-    long = found.df.filter("kind = 1").select("key", F.col("a").alias("node"), F.col("b").alias("n"))
-    # Of a long list, one node per size band stands for the others at first.
+    long = found.df.filter("kind = 1").select(
+        "key", F.col("a").alias("node"), F.col("b").bitwiseAND(F.lit(0xFFFFFFFF)).alias("n"), F.shiftright("b", 32).alias("rare")
+    )
+    # Of a long list, one node per size band stands for the others at first: the one with the fewest rare elements.
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3)))
     banded = long.withColumn("band", band)
-    stand = Stage(banded.groupBy("key", "band").agg(F.min("node").alias("stand"), F.min_by("n", "node").alias("stand_n")), "shingle-stands")
-    stars = (
-        banded.join(stand.df, ["key", "band"])
-        .filter((F.col("node") != F.col("stand")) & (4 * F.least("n", "stand_n") >= 3 * F.greatest("n", "stand_n")))
-        .select(F.col("stand").alias("a"), F.col("node").alias("b"))
-    )
+    first = F.min(F.struct("rare", "node", "n")).alias("s")
+    stand = Stage(banded.groupBy("key", "band").agg(first).select("key", "band", "s.*"), "shingle-stands").df
+    stars = _stars(banded, stand.withColumnsRenamed({"node": "stand", "n": "stand_n", "rare": "stand_rare"}), ["key", "band"])
     pairs = Stage(found.df.filter("kind = 0").select("a", "b").unionByName(stars).distinct(), "shingle-pairs")
     ids = nodes.select("node", "wanted")
     listed = found.df.filter("kind = 1").select("a")
@@ -393,32 +458,40 @@ def components(docs: DataFrame) -> DataFrame:
     links = Stage(linked(pairs.df, sets.df), "shingle-links")
     labels = Stage(_labels(links.df), "shingle-labels")
 
-    # Members outside the largest component of their long list against all the list.
-    placed = Stage(
-        long.join(labels.df.select(F.col("id").alias("node"), "component"), "node", "left").select(
-            "key", "node", "n", F.coalesce("component", "node").alias("component")
-        ),
-        "shingle-placed",
-    )
-    counted = placed.df.groupBy("key", "component").agg(F.count("*").alias("size"))
-    largest = counted.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("largest"), F.count("*").alias("parts"))
-    largest = Stage(largest.filter("parts > 1"), "shingle-largest")
-    open_lists = placed.df.join(largest.df.select("key", "largest"), "key")
-    outside = open_lists.filter(F.col("component") != F.col("largest")).select(
-        "key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a")
-    )
-    fits = (F.col("component") != F.col("c_a")) & (4 * F.least("n", "n_a") >= 3 * F.greatest("n", "n_a"))
-    rest = (
-        Stage(outside, "shingle-outside")
-        .df.join(placed.df.join(largest.df.select("key"), "key", "left_semi"), "key")
-        .filter(fits)
-        .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-        .distinct()
-        .join(pairs.df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    )
-    more = Stage(linked(Stage(rest, "shingle-rest").df, sets.df), "shingle-links", {"n": F.count("*")})
-    if more.sums["n"]:
-        labels = Stage(_labels(links.df.unionByName(more.df)), "shingle-labels")
+    checked = [pairs.df]
+    for again in range(1, ROUNDS + 1):
+        placed, largest, outside = _outside(long, labels.df)
+        if not outside.sums["n"]:
+            break
+        # Those outside against one more member of the largest component, another one each time.
+        inside = placed.df.join(largest.df, "key").filter(F.col("component") == F.col("largest"))
+        other = F.min(F.struct(F.xxhash64("node", F.lit(again)).alias("h"), "node", "n", "rare")).alias("s")
+        stand = inside.groupBy("key").agg(other).select(
+            "key", F.col("s.node").alias("stand"), F.col("s.n").alias("stand_n"), F.col("s.rare").alias("stand_rare")
+        )
+        stand = Stage(stand, "shingle-stands").df
+        fresh = Stage(_unchecked(_stars(outside.df, stand, ["key"]).distinct(), checked), "shingle-pairs")
+        checked.append(fresh.df)
+        more = Stage(linked(fresh.df, sets.df), "shingle-links", {"n": F.count("*")})
+        if more.sums["n"]:
+            links = Stage(links.df.unionByName(more.df), "shingle-links")
+            labels = Stage(_labels(links.df), "shingle-labels")
+    # What is still outside, against all of its lists.
+    placed, largest, outside = _outside(long, labels.df)
+    if outside.sums["n"]:
+        against = outside.df.select(
+            "key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("rare").alias("rare_a"), F.col("component").alias("c_a")
+        )
+        fits = (F.col("component") != F.col("c_a")) & _may_link("n", "rare", "n_a", "rare_a")
+        rest = (
+            against.join(placed.df.join(largest.df.select("key"), "key", "left_semi"), "key")
+            .filter(fits)
+            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+            .distinct()
+        )
+        more = Stage(linked(Stage(_unchecked(rest, checked), "shingle-rest").df, sets.df), "shingle-links", {"n": F.count("*")})
+        if more.sums["n"]:
+            labels = Stage(_labels(links.df.unionByName(more.df)), "shingle-labels")
     placed_rows = rows.join(labels.df.select(F.col("id").alias("node"), "component"), "node", "left").select(
         "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("component")
     )
