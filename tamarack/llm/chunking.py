@@ -118,7 +118,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     parts = shuffle_parts(spark)
     base = texts(docs).select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text")
     # As many numbers as there are slices come to the driver.
-    cuts = base.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0] or []
+    cuts = base.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0] or [0]
     # As doubles, ids keep their order, and equal ones stay together.
     splits = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
     slicer = Bucketizer(splits=splits, inputCol="_place", outputCol="_slice")

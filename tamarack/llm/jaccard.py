@@ -172,6 +172,8 @@ def _cell_counts(docs: DataFrame, seed: int, shingles: float) -> DataFrame:
                     kind = np.uint32(sum(len(items) > b for b in BOUNDARIES))
                     cells.append((items >> np.uint64(CELL_SHIFT)).astype(np.uint32) << np.uint32(3) | kind)
             flat = np.sort(np.concatenate(cells))
+            if not len(flat):
+                continue
             bucket = (flat.astype(np.uint64) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
             held = np.unique(bucket)
             ends = np.searchsorted(bucket, held, side="right")

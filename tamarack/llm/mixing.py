@@ -163,7 +163,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
     return (
         sized.df.withColumn("src", key)
         .join(settled, "src")
-        .select("doc_id", "h", "source", "size", "source_size", "target", (F.col("copies") + more.cast("long")).alias("copies"))
+        .select("doc_id", "h", "source", "size", "source_size", "target", F.when(F.col("size") > 0, F.col("copies") + more.cast("long")).otherwise(0).alias("copies"))
     )
 
 

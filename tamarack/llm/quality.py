@@ -166,7 +166,7 @@ def fit(documents: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *, r
     """Maximum likelihood by Adam; both labels weigh the same, and every document as much as its lines' share of it."""
     width = 3 * FEATURES + 3
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         share = min(max(share, 1e-3), 1 - 1e-3)
         return LineModel(np.ones(width), np.zeros(width), np.zeros(width), np.zeros((2, 2)), (0.0, math.log(share / (1 - share))))
     features = np.concatenate([f for f, _ in documents])
