@@ -28,7 +28,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the smallest member of its neighbourhood.
 
     Edges run from the larger id ``u`` to the smaller ``v``.  Minima are partially aggregated, so a
-    hub becomes one row per task; the join's edge side is what the adaptive skew join splits.
+    hub becomes one row per task; the join with them still brings a hub's edges into one task.
     """
     seen = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
     least = seen.groupBy(F.col("e.u").alias("v")).agg(F.min("e.v").alias("_m"))
@@ -93,14 +93,14 @@ def components_of_size(nodes: DataFrame, edges: DataFrame, *, above: int = 4, up
     return nodes.select("id", "title").join(labels.join(fitting, "component"), "id").select("id", "title", "component", "size")
 
 
-def reachable(nodes: DataFrame, edges: DataFrame, seed: DataFrame) -> DataFrame:
-    """Ids that can be reached, edges taken both ways, from the one id in ``seed``.
+def reachable(nodes: DataFrame, edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Ids that can be reached, edges taken both ways, from any id in ``seeds``.
 
-    Undirected reach is the seed's component, so it takes logarithmic rounds on long paths too.
+    Undirected reach is the seeds' components, so it takes logarithmic rounds on long paths too.
     """
     labels = connected_components(nodes, edges)
-    home = labels.join(F.broadcast(seed.select("id").limit(1)), "id", "left_semi").select("component")
-    return labels.join(F.broadcast(home), "component", "left_semi").select("id")
+    home = labels.join(seeds.select("id").distinct(), "id", "left_semi").select("component").distinct()
+    return labels.join(home, "component", "left_semi").select("id")
 
 
 def page_rank(
@@ -172,6 +172,8 @@ def page_rank(
             state = following
             if state.sums["change"] <= tolerance:
                 break
+        else:
+            raise RuntimeError(f"ranks did not settle in {max_rounds} rounds")
     finally:
         routes.unpersist()
         laid_out.drop()

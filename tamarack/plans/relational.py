@@ -22,10 +22,10 @@ def distinct_filter(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "self_semi_join",
     """
-    SELECT DISTINCT a.l_custkey FROM (
-        SELECT o_custkey AS l_custkey, o_orderpriority AS name FROM orders WHERE o_orderstatus = 'F'
-    ) a WHERE EXISTS (
-        SELECT 1 FROM orders b WHERE b.o_orderstatus = 'P' AND b.o_custkey = a.l_custkey AND b.o_orderpriority = a.name)
+    WITH seen AS (
+        SELECT o_custkey, o_orderpriority, bool_or(o_orderstatus = 'F') AS finished, bool_or(o_orderstatus = 'P') AS pending
+        FROM orders GROUP BY ALL)
+    SELECT DISTINCT o_custkey FROM seen WHERE finished AND pending
     """,
 )
 def self_semi_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,16 +34,15 @@ def self_semi_join(spark: SparkSession, sf: str) -> DataFrame:
     both = rel.keys_meeting_all(
         table(spark, sf, "orders"), ["o_custkey", "o_orderpriority"], [status == "F", status == "P"]
     )
-    return both.select(F.col("o_custkey").alias("l_custkey")).distinct()
+    return both.select("o_custkey").distinct()
 
 
 @register(
     "concat_semi",
     """
-    SELECT DISTINCT p.p_brand || ' ' || p.p_type AS full_name
-    FROM part p JOIN lineitem l ON p.p_partkey = l.l_partkey
-    WHERE (l.l_returnflag = 'R' OR l.l_returnflag = 'A') AND EXISTS (
-        SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_totalprice > 499000)
+    SELECT DISTINCT concat_ws(' ', p_brand, p_type) AS full_name
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
+    WHERE o_totalprice > 499000 AND l_returnflag IN ('A', 'R')
     """,
 )
 def concat_semi(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,9 +110,11 @@ def busiest_supplier(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "nested_anti",
     """
-    SELECT DISTINCT o.o_custkey FROM orders o WHERE NOT EXISTS (
-        SELECT 1 FROM orders o2 WHERE o2.o_custkey = o.o_custkey AND EXISTS (
-            SELECT 1 FROM lineitem l WHERE l.l_orderkey = o2.o_orderkey AND l.l_discount = 0.1 AND l.l_quantity > 45))
+    WITH flagged AS (
+        SELECT l_orderkey, max(CASE WHEN l_discount = 0.1 AND l_quantity > 45 THEN 1 ELSE 0 END) AS deep
+        FROM lineitem GROUP BY l_orderkey)
+    SELECT o_custkey FROM orders LEFT JOIN flagged ON l_orderkey = o_orderkey
+    GROUP BY o_custkey HAVING sum(coalesce(deep, 0)) = 0
     """,
 )
 def nested_anti(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,16 +128,13 @@ def nested_anti(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "count_with_zero",
     """
-    SELECT p.p_name, (
-        SELECT COUNT(l.l_suppkey) FROM lineitem l
-        WHERE l.l_quantity = 50 AND l.l_discount = 0.1 AND l.l_tax = 0.08 AND EXISTS (
-            SELECT 1 FROM part p2 WHERE p2.p_partkey = l.l_partkey AND p2.p_name = p.p_name)) AS n
-    FROM part p GROUP BY p.p_name
+    SELECT p_name, count(l_suppkey) AS n
+    FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY p_name
     """,
 )
 def count_with_zero(spark: SparkSession, sf: str) -> DataFrame:
-    rare = table(spark, sf, "lineitem").filter("l_quantity = 50 AND l_discount = 0.1 AND l_tax = 0.08")
-    facts = rare.select(F.col("l_partkey").alias("p_partkey"), "l_suppkey")
+    """Line items per part name, 0 for a name without any."""
+    facts = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_suppkey")
     return rel.count_by_class(table(spark, sf, "part"), facts, by="p_name", link="p_partkey", counted="l_suppkey")
 
 
@@ -174,11 +172,9 @@ def _purchases(spark: SparkSession, sf: str) -> DataFrame:
     "relational_division",
     f"""
     WITH {_BOUGHT},
-    wanted AS (SELECT DISTINCT p_brand FROM part WHERE NOT p_brand = 'Brand#1' AND p_size > 5)
-    SELECT DISTINCT b.o_custkey FROM bought b JOIN wanted w0 ON b.p_brand = w0.p_brand
-    WHERE (SELECT COUNT(*) FROM wanted) = (
-        SELECT COUNT(*) FROM wanted w WHERE EXISTS (
-            SELECT 1 FROM bought b2 WHERE b2.p_brand = w.p_brand AND b2.o_custkey = b.o_custkey))
+    wanted AS (SELECT p_brand FROM part WHERE p_brand <> 'Brand#1' AND p_size > 5 GROUP BY p_brand)
+    SELECT o_custkey FROM bought JOIN wanted USING (p_brand)
+    GROUP BY o_custkey HAVING count(DISTINCT p_brand) = (SELECT count(*) FROM wanted)
     """,
 )
 def relational_division(spark: SparkSession, sf: str) -> DataFrame:
@@ -191,11 +187,9 @@ def relational_division(spark: SparkSession, sf: str) -> DataFrame:
     "relational_division_empty",
     f"""
     WITH {_BOUGHT},
-    wanted AS (SELECT DISTINCT p_brand FROM part WHERE p_size > 1000)
-    SELECT DISTINCT b.o_custkey FROM bought b
-    WHERE (SELECT COUNT(*) FROM wanted) = (
-        SELECT COUNT(*) FROM wanted w WHERE EXISTS (
-            SELECT 1 FROM bought b2 WHERE b2.p_brand = w.p_brand AND b2.o_custkey = b.o_custkey))
+    wanted AS (SELECT p_brand AS brand FROM part WHERE p_size > 1000 GROUP BY p_brand)
+    SELECT o_custkey FROM bought LEFT JOIN wanted ON brand = p_brand
+    GROUP BY o_custkey HAVING count(DISTINCT brand) = (SELECT count(*) FROM wanted)
     """,
 )
 def relational_division_empty(spark: SparkSession, sf: str) -> DataFrame:
@@ -237,13 +231,10 @@ def _lines_per_day(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _WINDOWS = """
-    lats AS (SELECT DISTINCT l_shipdate AS d FROM lineitem),
-    ranked AS (SELECT ROW_NUMBER() OVER (ORDER BY d DESC) AS r, d FROM lats),
-    ranges AS (SELECT a.d AS upper_d, b.d AS lower_d FROM ranked a JOIN ranked b ON b.r = a.r + 19),
-    counts AS (SELECT l_shipdate AS d, COUNT(l_partkey) AS n FROM lineitem GROUP BY 1),
+    days AS (SELECT l_shipdate AS d, count(l_partkey) AS n FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY l_shipdate),
     totals AS (
-        SELECT r.upper_d, r.lower_d, CAST(SUM(c.n) AS BIGINT) AS n
-        FROM ranges r JOIN counts c ON c.d <= r.upper_d AND c.d >= r.lower_d GROUP BY 1, 2)
+        SELECT d AS upper_d, first_value(d) OVER run AS lower_d, CAST(sum(n) OVER run AS BIGINT) AS n
+        FROM days WINDOW run AS (ORDER BY d ROWS 19 PRECEDING) QUALIFY count(*) OVER run = 20)
 """
 
 

@@ -159,3 +159,17 @@ def test_rank_mass_stays_near_one(spark):
     nodes, edges = random_graph(30, 40, 8)
     total = graph.page_rank(*make(spark, nodes, edges)).agg({"rank": "sum"}).first()[0]
     assert np.isclose(total, 1.0, atol=0.1)
+
+
+def test_reachable_from_several_seeds(spark):
+    nodes = spark.createDataFrame([(i,) for i in range(1, 7)], "id long")
+    edges = spark.createDataFrame([(1, 2), (3, 4), (5, 6)], "src long, dst long")
+    seeds = spark.createDataFrame([(1,), (3,)], "id long")
+    assert rows(graph.reachable(nodes, edges, seeds)) == [(1,), (2,), (3,), (4,)]
+
+
+def test_ranks_that_do_not_settle_are_no_result(spark):
+    nodes = spark.createDataFrame([(i,) for i in range(1, 5)], "id long")
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 2)], "src long, dst long")
+    with pytest.raises(RuntimeError):
+        graph.page_rank(nodes, edges, max_rounds=1, tolerance=1e-12)
