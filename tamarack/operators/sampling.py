@@ -16,12 +16,15 @@ RANGE_BITS = 14
 
 def poisson_steps(fraction: float) -> list[float]:
     """P(X <= 0), P(X <= 1), ... of a Poisson variable, up to the last one that differs from 1."""
-    steps, mass, cumulative = [], math.exp(-fraction), 0.0
-    while cumulative + mass < 1.0 - 1e-15 and len(steps) < 1000:
+    # Masses by their logarithms, as those of a large fraction begin below the smallest double.
+    steps, cumulative, log_mass = [], 0.0, -fraction
+    while True:
+        mass, k = math.exp(log_mass), len(steps)
+        if cumulative + mass >= 1.0 - 1e-15 or (k > fraction and mass < 1e-17):
+            return steps
         cumulative += mass
         steps.append(cumulative)
-        mass *= fraction / len(steps)
-    return steps
+        log_mass += math.log(fraction / (k + 1))
 
 
 def poisson_sample(df: DataFrame, *, ids: list[str], fraction: float, seed: int) -> DataFrame:

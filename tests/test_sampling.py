@@ -102,3 +102,10 @@ def test_vector_functions(spark):
     assert np.allclose(dot, (x * x).sum(1)) and np.allclose(norm, np.linalg.norm(x, axis=1))
     first = spark.createDataFrame([([0.5, 0.5],), ([-1.0, 0.0],)], "v array<double>")
     assert [r[0] for r in first.select(vec.first_positive_argmax(v)).collect()] == [0, -1]
+
+
+def test_poisson_steps_of_a_large_fraction():
+    steps = sampling.poisson_steps(800.0)
+    median = next(k for k, p in enumerate(steps) if p >= 0.5)
+    assert abs(median - 800) <= 1
+    assert sampling.poisson_steps(0.0) == []
