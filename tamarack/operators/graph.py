@@ -24,25 +24,38 @@ def never_cited(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.select("id").join(edges.select(F.col("dst").alias("id")).distinct(), "id", "left_anti")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _least_around(edges: DataFrame) -> DataFrame:
+    """(v, _m): the smallest neighbour of every id, over edges from a larger ``u`` to a smaller ``v``."""
+    seen = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
+    return seen.groupBy(F.col("e.u").alias("v")).agg(F.min("e.v").alias("_m"))
+
+
+def _large_star(edges: DataFrame, least: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the smallest member of its neighbourhood.
 
-    Edges run from the larger id ``u`` to the smaller ``v``.  Minima are partially aggregated, so a
-    hub becomes one row per task; the join with them still brings a hub's edges into one task.
+    Edges run from the larger id ``u`` to the smaller ``v``.  ``least`` is a written table: an aggregate inside
+    the join's own plan would keep the adaptive join from splitting the edges of a hub.
     """
-    seen = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
-    least = seen.groupBy(F.col("e.u").alias("v")).agg(F.min("e.v").alias("_m"))
-    joined = edges.join(least, "v")
-    return joined.select("u", F.least("v", "_m").alias("v"))
+    return edges.join(least, "v").select("u", F.least("v", "_m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Hang a node and its smaller neighbours on the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("_m"))
+def _small_star(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Hang a node and its smaller neighbours on the smallest of them; ``least`` (u, _m) is a written table."""
     others = edges.join(least, "u").filter(F.col("v") != F.col("_m")).select(F.col("v").alias("u"), F.col("_m").alias("v"))
     return least.select("u", F.col("_m").alias("v")).unionByName(others)
 
 
+def _round(edges: DataFrame, sums: dict) -> Stage:
+    """One large-star and one small-star step."""
+    around = Stage(_least_around(edges), "least")
+    large = Stage(_large_star(edges, around.df).distinct(), "large-stars")
+    below = Stage(large.df.groupBy("u").agg(F.min("v").alias("_m")), "least")
+    following = Stage(_small_star(large.df, below.df).distinct(), "stars", sums)
+    for passed in (around, large, below):
+        passed.drop()
+    return following
+
+
 def component_labels(edges: DataFrame, nodes: DataFrame | None = None, *, max_rounds: int = 100) -> DataFrame:
     """(id, component) of every id on an edge or among the nodes; the component is its smallest id.
 
@@ -58,7 +71,7 @@ def component_labels(edges: DataFrame, nodes: DataFrame | None = None, *, max_ro
     for _ in range(max_rounds):
         if not stage.sums.get("n"):
             break
-        following = Stage(_small_star(_large_star(stage.df).distinct()).distinct(), "stars", fingerprint)
+        following = _round(stage.df, fingerprint)
         settled = following.sums == stage.sums
         stage.drop()
         stage = following
@@ -87,9 +100,10 @@ def components_of_size(nodes: DataFrame, edges: DataFrame, *, above: int = 4, up
 
     The size counts ids that occur only on edges; they are not output.
     """
-    labels = connected_components(nodes, edges)
+    labels = written(connected_components(nodes, edges), "labels")
     sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
-    fitting = sizes.filter((F.col("size") > above) & (F.col("size") <= up_to))
+    # Written, so that the join with it may be split where one component holds most ids.
+    fitting = written(sizes.filter((F.col("size") > above) & (F.col("size") <= up_to)), "fitting")
     return nodes.select("id", "title").join(labels.join(fitting, "component"), "id").select("id", "title", "component", "size")
 
 

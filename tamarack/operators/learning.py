@@ -15,14 +15,11 @@ from pyspark.sql import functions as F
 
 from tamarack.functions.numeric import binomial_log_odds, sigmoid
 from tamarack.operators.text import pack_vectors
-from tamarack.staging import Stage, broadcast_if_bounded, written
+from tamarack.staging import Stage, broadcast_if_bounded
 
 # Slots of a pass that are not weights.
 LOSS, RESIDUAL, ROWS = -1, -2, -3
 
-# Counts of distinct observations up to this number are iterated over on the driver.
-COLLECT_LIMIT = 10_000
-
 
 @dataclass
 class Fit:
@@ -152,7 +149,8 @@ def hinge_pass(rows: DataFrame, weights: np.ndarray, c: float) -> tuple[float, n
 def descend(step, start: np.ndarray, *, rate: float, tolerance: float, max_steps: int, before: float | None = None) -> Fit:
     """Gradient descent with a bold driver: halve the rate when the loss rose, else raise it by 10 %.
 
-    ``step(weights)`` gives (loss, gradient).  Stops when the loss moved by no more than the tolerance.
+    ``step(weights)`` gives (loss, gradient).  Stops when the loss moved by no more than the tolerance,
+    and fails if ``max_steps`` do not get there; a tolerance of 0 asks for just that many steps.
     ``before`` is the loss to compare the first one with; by default the first step is always taken.
     """
     weights = start.copy()
@@ -166,6 +164,8 @@ def descend(step, start: np.ndarray, *, rate: float, tolerance: float, max_steps
         rate *= 0.5 if new_loss > loss else 1.1
         loss = new_loss
         fit.losses.append(loss)
+    if tolerance > 0 and change > tolerance:
+        raise RuntimeError(f"the loss still moves by {change} after {max_steps} steps")
     fit.weights = weights
     return fit
 
@@ -247,32 +247,18 @@ def em_binomial(observations: DataFrame, *, start: tuple[float, float] = (0.79,
 
     Observations are reduced to counts per (n, k) first; a step is one aggregate over those.
     """
-    spark = observations.sparkSession
     counted = observations.groupBy("n", "k").agg(F.count("*").alias("w"))
-    # With a fixed number of flips there are n + 1 rows; many different n may give more.
-    few = counted.limit(COLLECT_LIMIT + 1).toPandas()
-    if len(few) <= COLLECT_LIMIT:
-        k, n, w = (few[c].to_numpy(float) for c in ("k", "n", "w"))
-
-        def expect(p1: float, p2: float):
-            gap = binomial_log_odds(p1, p2)
-            first = w / (1.0 + np.exp(-np.clip(k * gap[0] + (n - k) * gap[1], -700, 700)))
-            return first @ k, first @ n, (w - first) @ k, (w - first) @ n
-
-    else:
-        stats = written(counted, "flips")
-
-        def expect(p1: float, p2: float):
-            gap = binomial_log_odds(p1, p2)
-            k, n, w = F.col("k"), F.col("n"), F.col("w")
-            first = w * sigmoid(k * gap[0] + (n - k) * gap[1])
-            return stats.agg(F.sum(first * k), F.sum(first * n), F.sum((w - first) * k), F.sum((w - first) * n)).first()
-
+    stats = Stage(counted, "flips")
+    k, n, w = F.col("k"), F.col("n"), F.col("w")
     p1, p2 = start
     trace = []
     for step in range(1, steps + 1):
-        heads1, flips1, heads2, flips2 = expect(p1, p2)
+        gap = binomial_log_odds(p1, p2)
+        first = w * sigmoid(k * gap[0] + (n - k) * gap[1])
+        sums = stats.df.agg(F.sum(first * k), F.sum(first * n), F.sum((w - first) * k), F.sum((w - first) * n)).first()
+        heads1, flips1, heads2, flips2 = sums
         p1 = float(heads1 / flips1) if flips1 else p1
         p2 = float(heads2 / flips2) if flips2 else p2
         trace.append((step, p1, p2))
-    return spark.createDataFrame(trace, "step long, p1 double, p2 double")
+    stats.drop()
+    return observations.sparkSession.createDataFrame(trace, "step long, p1 double, p2 double")

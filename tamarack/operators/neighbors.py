@@ -22,9 +22,6 @@ HELD_ROWS = 32_768
 BLOCK_CELLS = 4_000_000
 SMALLEST_BLOCK = 256
 
-# Below this number of pairs a plain scan is faster than the rounds that avoid it.
-PLAIN_SCAN_PAIRS = 1_000_000_000
-
 
 def _bounded_rows(most: int, cells_per_row: int) -> int:
     return max(SMALLEST_BLOCK, min(most, BLOCK_CELLS // max(1, cells_per_row)))
@@ -171,7 +168,6 @@ def knn_outliers_pruned(
     sample: int = 1_024,
     probes: int = 8,
     seed: int = 0,
-    plain_below: int = PLAIN_SCAN_PAIRS,
 ) -> DataFrame:
     """Same answer as ``knn_outliers`` without scoring every point.
 
@@ -181,8 +177,6 @@ def knn_outliers_pruned(
     """
     n = points.count()
     sample = max(sample, 4 * k)
-    if n <= sample or n * n <= plain_below:
-        return _strongest(kth_distance(points, points, k, sizes=(n, n)), m)
     anchors = points.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample)
     near_anchors = nearest(points, anchors, k, exclude_self=True, sizes=(n, sample))
     bounded = near_anchors.groupBy(F.col("query_id").alias("id")).agg(F.max("distance").alias("bound"))

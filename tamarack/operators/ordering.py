@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamarack.staging import parallelism, written
+from tamarack.staging import Stage, parallelism, written
+
+# Positions, and then blocks, that make up a block of the next level of sums.
+RADIX = 16
 
 
 def _slices(df: DataFrame, order: list[Column]) -> DataFrame:
@@ -78,33 +81,69 @@ def sliding_windows(
     return runs.filter(complete).select("first_key", "last_key", "total")
 
 
+def _run(first: Column, end: Column) -> Column:
+    """first, ..., end - 1 as an array; empty where there are none."""
+    return F.when(first < end, F.sequence(first, end - 1)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _at_level(t: int, blocks: Column) -> Column:
+    return F.transform(blocks, lambda b: F.struct(F.lit(t).alias("level"), b.alias("block")))
+
+
+def _cover(start: str, end: str, depth: int) -> Column:
+    """The aligned blocks (level, block) that make up positions start .. end - 1, as few as their alignment allows."""
+    parts = []
+    for t in range(depth + 1):
+        width, wider = RADIX**t, RADIX ** (t + 1)
+        low, high = F.expr(f"({start} + {width - 1}) div {width}"), F.expr(f"{end} div {width}")
+        inner_low, inner_high = F.expr(f"({start} + {wider - 1}) div {wider}"), F.expr(f"{end} div {wider}")
+        if t == depth:
+            blocks = _run(low, high)
+        else:
+            # What whole blocks of the next level cover is left to that level.
+            edges = F.concat(_run(low, inner_low * RADIX), _run(inner_high * RADIX, high))
+            blocks = F.when(inner_low < inner_high, edges).otherwise(_run(low, high))
+        parts.append(_at_level(t, blocks))
+    return F.concat(*parts)
+
+
 def range_totals(
     ranges: DataFrame, points: DataFrame, *, low: str, high: str, at: str, value: str, total: str = "total"
 ) -> DataFrame:
     """Sum of point values inside [low, high] for every range; NULL where no point lies inside.
 
-    Difference of two running totals over the distinct positions, joined by equality: the work is
-    one sort of points and endpoints, whatever the number of points inside a range.
+    The positions are numbered, and sums are kept for aligned blocks of ``RADIX`` positions, of that many blocks, and
+    so on.  A range adds the few blocks that make it up, found by equality, so the work does not grow with the number of
+    points inside, and no value outside a range touches its sum: doubles lose no digits, and NaN stays where it is.
     """
-    summed = points.groupBy(F.col(at).alias("_x")).agg(F.sum(value).alias("_v"), F.count(value).alias("_c"))
+    summed = points.groupBy(F.col(at).alias("_x")).agg(F.sum(value).alias("_v")).filter("_x IS NOT NULL")
     ends = ranges.select(F.explode(F.array(low, high)).alias("_x")).filter("_x IS NOT NULL").distinct()
-    zero = ends.select("_x", F.lit(None).cast(summed.schema["_v"].dataType).alias("_v"), F.lit(0).cast("long").alias("_c"))
-    positions = (
-        summed.filter("_x IS NOT NULL")
-        .unionByName(zero)
-        .groupBy("_x")
-        .agg(F.coalesce(F.sum("_v"), F.lit(0)).alias("_v"), F.sum("_c").alias("_c"))
-    )
-    prefix = running_totals(positions, ["_x"], {"_sv": "_v", "_sc": "_c"}).select(
-        "_x", "_sv", "_sc", (F.col("_sv") - F.col("_v")).alias("_bv"), (F.col("_sc") - F.col("_c")).alias("_bc")
-    )
-    upper = prefix.select(F.col("_x").alias("_hi"), F.col("_sv").alias("_hv"), F.col("_sc").alias("_hc"))
-    lower = prefix.select(F.col("_x").alias("_lo"), F.col("_bv").alias("_lv"), F.col("_bc").alias("_lc"))
-    inside = F.when(
-        (F.col(low) <= F.col(high)) & (F.col("_hc") > F.col("_lc")), F.col("_hv") - F.col("_lv")
+    nothing = ends.select("_x", F.lit(None).cast(summed.schema["_v"].dataType).alias("_v"))
+    positions = summed.unionByName(nothing).groupBy("_x").agg(F.sum("_v").alias("_v"))
+    placed = Stage(global_index(positions, ["_x"], index="_i"), "positions", {"n": F.count("*")})
+    depth = 0
+    while RADIX**depth < (placed.sums["n"] or 0):
+        depth += 1
+
+    level = placed.df.select(F.col("_i").alias("_b"), "_v")
+    blocks = level.select(F.lit(0).alias("_t"), "_b", "_v")
+    for t in range(1, depth + 1):
+        level = level.groupBy(F.expr(f"_b div {RADIX}").alias("_b")).agg(F.sum("_v").alias("_v"))
+        blocks = blocks.unionByName(level.select(F.lit(t).alias("_t"), "_b", "_v"))
+    # Written, so that joins with many ranges on one block or on one pair of ends can be split.
+    blocks = written(blocks, "range-blocks")
+
+    spans = (
+        ranges.select(F.col(low).alias("_lo"), F.col(high).alias("_hi"))
+        .filter("_lo <= _hi")
+        .distinct()
+        .join(placed.df.select(F.col("_x").alias("_lo"), F.col("_i").alias("_from")), "_lo")
+        .join(placed.df.select(F.col("_x").alias("_hi"), (F.col("_i") + 1).alias("_to")), "_hi")
     )
-    return (
-        ranges.join(upper, F.col(high) == F.col("_hi"), "left")
-        .join(lower, F.col(low) == F.col("_lo"), "left")
-        .select(*ranges.columns, inside.alias(total))
+    pieces = spans.select("_lo", "_hi", F.explode(_cover("_from", "_to", depth)).alias("_p")).select(
+        "_lo", "_hi", F.col("_p.level").alias("_t"), F.col("_p.block").alias("_b")
     )
+    totals = pieces.join(blocks, ["_t", "_b"]).groupBy("_lo", "_hi").agg(F.sum("_v").alias("_total"))
+    totals = written(totals, "range-totals")
+    same = (F.col(low) == F.col("_lo")) & (F.col(high) == F.col("_hi"))
+    return ranges.join(totals, same, "left").select(*ranges.columns, F.col("_total").alias(total))

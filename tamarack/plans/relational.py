@@ -299,6 +299,23 @@ def range_totals_query(spark: SparkSession, sf: str) -> DataFrame:
     return range_totals(bands, prices, low="low", high="high", at="o_totalprice", value="n", total="n").select("s_suppkey", "n")
 
 
+@register(
+    "range_sums",
+    """
+    SELECT s.s_suppkey, ROUND(SUM(o.o_totalprice), 2) AS total
+    FROM supplier s LEFT JOIN orders o ON o.o_totalprice BETWEEN s.s_acctbal * 40 AND s.s_acctbal * 41
+    GROUP BY 1
+    """,
+)
+def range_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """Worth of the orders in each supplier's band; NULL where there is none."""
+    balance = F.col("s_acctbal")
+    bands = table(spark, sf, "supplier").select("s_suppkey", (balance * 40).alias("low"), (balance * 41).alias("high"))
+    worth = table(spark, sf, "orders").select("o_totalprice", F.col("o_totalprice").alias("worth"))
+    found = range_totals(bands, worth, low="low", high="high", at="o_totalprice", value="worth")
+    return found.select("s_suppkey", F.round("total", 2).alias("total"))
+
+
 @register(
     "absolute_change",
     """

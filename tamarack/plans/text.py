@@ -17,7 +17,6 @@ from tamarack.staging import spread
 QUERIES, ORACLES, register = registry()
 
 VOCABULARY = words.VOCABULARY_SIZE
-CUBE_WORDS = 2_000
 PAIR_WORDS = 2_000
 NEIGHBOURS = 10
 
@@ -268,18 +267,17 @@ def co_occurrence(spark: SparkSession, sf: str) -> DataFrame:
     return words.co_occurrence(presence, size=PAIR_WORDS)
 
 
-def count_cube(spark: SparkSession, sf: str) -> tuple[DataFrame, words.TermIndex]:
-    """(doc, topic, word, n): sources as documents, languages as topics, vocabulary indexes as words."""
-    fitted = index(spark, sf, CUBE_WORDS)
-    axes = documents(spark, sf).select("doc_id", F.col("source").alias("doc"), F.col("lang").alias("topic"))
-    cells = fitted.counts.join(axes, "doc_id").groupBy("doc", "topic", F.col("idx").alias("word")).agg(F.sum("n").alias("n"))
-    return cells, fitted
+def count_cube(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc, topic, word, n): sources as documents, languages as topics, all words of the corpus."""
+    axes = F.struct(F.col("source").alias("doc"), F.col("lang").alias("topic")).alias("axes")
+    said = words.document_words(documents(spark, sf).select(axes, "text"), doc="axes")
+    return said.groupBy(F.col("axes.doc").alias("doc"), F.col("axes.topic").alias("topic"), "word").agg(F.count("*").alias("n"))
 
 
-_CUBE = f"""{vocabulary_sql(CUBE_WORDS)},
+_CUBE = f"""{WORDS_SQL},
     cube_cells AS (
-        SELECT d.source AS doc, d.lang AS topic, v.idx AS word, COUNT(*) AS n
-        FROM words w JOIN vocab v ON v.word = w.word JOIN documents d ON d.doc_id = w.doc_id GROUP BY 1, 2, 3)
+        SELECT d.source AS doc, d.lang AS topic, w.word, COUNT(*) AS n
+        FROM words w JOIN documents d ON d.doc_id = w.doc_id GROUP BY 1, 2, 3)
 """
 
 
@@ -289,33 +287,30 @@ _CUBE = f"""{vocabulary_sql(CUBE_WORDS)},
 )
 def cube_slice(spark: SparkSession, sf: str) -> DataFrame:
     """One document's total over a range of topics."""
-    cells, _ = count_cube(spark, sf)
-    return cubes.slice_total(cells, (F.col("doc") == "src7") & F.col("topic").between("de", "es"))
+    return cubes.slice_total(count_cube(spark, sf), (F.col("doc") == "src7") & F.col("topic").between("de", "es"))
 
 
 @register("cube_total", f"WITH {_CUBE} SELECT CAST(SUM(n) AS BIGINT) AS n FROM cube_cells")
 def cube_total(spark: SparkSession, sf: str) -> DataFrame:
-    return cubes.slice_total(count_cube(spark, sf)[0])
+    return cubes.slice_total(count_cube(spark, sf))
 
 
 @register("cube_topic_totals", f"WITH {_CUBE} SELECT topic, CAST(SUM(n) AS BIGINT) AS n FROM cube_cells GROUP BY 1")
 def cube_topic_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return cubes.axis_totals(count_cube(spark, sf)[0], "topic")
+    return cubes.axis_totals(count_cube(spark, sf), "topic")
 
 
 @register(
     "cube_topic_words",
     f"""
     WITH {_CUBE}
-    SELECT v.idx AS word, CAST(COALESCE(SUM(c.n), 0) AS BIGINT) AS n
-    FROM vocab v LEFT JOIN cube_cells c ON c.word = v.idx AND c.topic = 'de' GROUP BY 1
+    SELECT word, CAST(SUM(CASE WHEN topic = 'de' THEN n ELSE 0 END) AS BIGINT) AS n FROM cube_cells GROUP BY 1
     """,
 )
 def cube_topic_words(spark: SparkSession, sf: str) -> DataFrame:
     """Word vector of one topic, zeros included."""
-    cells, fitted = count_cube(spark, sf)
-    members = fitted.vocab.select(F.col("idx").alias("word"))
-    return cubes.axis_vector(cells, "word", F.col("topic") == "de", members)
+    cells = count_cube(spark, sf)
+    return cubes.axis_vector(cells, "word", F.col("topic") == "de", cells.select("word").distinct())
 
 
 @register(
@@ -327,7 +322,7 @@ def cube_topic_words(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def cube_topic_argmax(spark: SparkSession, sf: str) -> DataFrame:
-    return cubes.leading_topic(count_cube(spark, sf)[0])
+    return cubes.leading_topic(count_cube(spark, sf))
 
 
 _NEIGHBOURS = f"""{tf_idf_sql(VOCABULARY)},

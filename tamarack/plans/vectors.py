@@ -46,7 +46,7 @@ def outliers(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("knn_outliers_pruned", _OUTLIERS)
 def outliers_pruned(spark: SparkSession, sf: str) -> DataFrame:
-    return knn_outliers_pruned(points(spark, sf), sample=128, plain_below=0).withColumn("score", F.round("score", 9))
+    return knn_outliers_pruned(points(spark, sf), sample=128).withColumn("score", F.round("score", 9))
 
 
 @register(
@@ -128,7 +128,7 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "prediction_quality",
     """
-    WITH s AS (SELECT label, CAST(embedding AS DOUBLE[])[1:10] AS v FROM embeddings),
+    WITH s AS (SELECT label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
     t AS (
         SELECT label, v, list_max(v) AS top,
                list_max(v) + ln(list_sum(list_transform(v, lambda x: exp(x - list_max(v))))) - v[label + 1] AS loss,
@@ -139,10 +139,8 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def quality(spark: SparkSession, sf: str) -> DataFrame:
-    """The first ten coordinates taken as scores of the ten classes."""
-    scored = table(spark, sf, "embeddings").select(
-        "label", F.slice(vec.as_doubles(F.col("embedding")), 1, 10).alias("scores")
-    )
+    """Each coordinate taken as the score of one class."""
+    scored = table(spark, sf, "embeddings").select("label", vec.as_doubles(F.col("embedding")).alias("scores"))
     result = prediction_quality(scored)
     return result.withColumn("accuracy", F.round("accuracy", 9)).withColumn("loss", F.round("loss", 9))
 
@@ -151,12 +149,12 @@ def quality(spark: SparkSession, sf: str) -> DataFrame:
     "softmax",
     """
     WITH c AS (
-        SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])[1:10]) AS x, unnest(range(0, 10)) AS class FROM embeddings)
+        SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(range(0, len(embedding))) AS class FROM embeddings)
     SELECT vec_id, class, ROUND(exp(x) / SUM(exp(x)) OVER (PARTITION BY vec_id), 9) AS p FROM c
     """,
 )
 def softmax(spark: SparkSession, sf: str) -> DataFrame:
-    rows = points(spark, sf).select("id", vec.softmax(F.slice("features", 1, 10)).alias("p"))
+    rows = points(spark, sf).select("id", vec.softmax(F.col("features")).alias("p"))
     return rows.select(F.col("id").alias("vec_id"), F.posexplode("p").alias("class", "p")).select(
         "vec_id", F.col("class").cast("long").alias("class"), F.round("p", 9).alias("p")
     )

@@ -2,9 +2,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from tamarack.operators import graph
+from tamarack.staging import written
 
 
 def make(spark, nodes, edges):
@@ -173,3 +175,26 @@ def test_ranks_that_do_not_settle_are_no_result(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 2)], "src long, dst long")
     with pytest.raises(RuntimeError):
         graph.page_rank(nodes, edges, max_rounds=1, tolerance=1e-12)
+
+
+def test_edges_of_a_hub_are_split(spark):
+    """The joins of edges with written minima split a centre that holds most edges."""
+    keys = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        edges = spark.range(1, 200_000, 1, 8).selectExpr("id AS u", "CASE WHEN id % 3 = 0 THEN id - 1 ELSE 0 END AS v")
+        least = written(graph._least_around(edges), "least")
+        hung = graph._large_star(edges, least).agg(F.count("*").alias("n"), F.max("v").alias("v"))
+        assert hung.first()["n"] == 199_999
+        assert "skew=true" in hung._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

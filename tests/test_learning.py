@@ -128,17 +128,18 @@ def em(k, n, p, steps):
     return out
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_em_small_and_large_statistics(spark, monkeypatch, limit):
-    monkeypatch.setattr(learning, "COLLECT_LIMIT", limit)
+def test_em_follows_its_formulas(spark):
     flips = coin_flips(spark, seed=2).unionByName(spark.createDataFrame([(900, 0, 10), (901, 10, 10)], "id long, k long, n long"))
     data = flips.toPandas()
-    steps = 20 if limit else 4
-    expected = em(data["k"].to_numpy(float), data["n"].to_numpy(float), (0.79, 0.51), steps)
-    got = [(r["p1"], r["p2"]) for r in learning.em_binomial(flips, steps=steps).orderBy("step").collect()]
+    expected = em(data["k"].to_numpy(float), data["n"].to_numpy(float), (0.79, 0.51), 20)
+    got = [(r["p1"], r["p2"]) for r in learning.em_binomial(flips).orderBy("step").collect()]
     assert np.allclose(got, expected)
-    if limit:
-        assert abs(got[-1][0] - got[-2][0]) < 1e-3 and got[-1][0] > got[-1][1]
+    assert abs(got[-1][0] - got[-2][0]) < 1e-3 and got[-1][0] > got[-1][1]
+
+
+def test_descent_that_does_not_settle_fails():
+    with pytest.raises(RuntimeError, match="still moves"):
+        learning.descend(lambda w: (float(w @ w), 2 * w), np.ones(2), rate=0.01, tolerance=1e-12, max_steps=3)
 
 
 def test_metrics_edge_cases(spark):

@@ -69,7 +69,7 @@ def test_pruned_equals_full_and_brute_force(spark, seed):
     expected = outliers(points, 5, 4)
     df = frame(spark, points)
     check(nb.knn_outliers(df, k=5, m=4), expected)
-    check(nb.knn_outliers_pruned(df, k=5, m=4, sample=30, probes=2, plain_below=0), expected)
+    check(nb.knn_outliers_pruned(df, k=5, m=4, sample=30, probes=2), expected)
 
 
 def test_pruned_with_uniform_scores_keeps_every_candidate(spark):
@@ -78,20 +78,23 @@ def test_pruned_with_uniform_scores_keeps_every_candidate(spark):
     points = np.stack([np.round(np.cos(angle), 6), np.round(np.sin(angle), 6)], axis=1)
     df = frame(spark, points)
     full = rows(nb.knn_outliers(df, k=3, m=6))
-    assert rows(nb.knn_outliers_pruned(df, k=3, m=6, sample=20, plain_below=0)) == full
+    assert rows(nb.knn_outliers_pruned(df, k=3, m=6, sample=20)) == full
 
 
 def test_duplicates_count_at_distance_zero_and_few_points(spark):
     check(nb.knn_outliers(frame(spark, [[0.0], [0.0], [0.0], [5.0]]), k=2, m=2), [(3, 5.0), (0, 0.0)])
     check(nb.knn_outliers(frame(spark, [[0.0], [1.0], [5.0]]), k=10, m=2), [(0, 5.0), (2, 5.0)])
     assert nb.knn_outliers(frame(spark, [[0.0]]), k=3).collect() == []
+    # The sample is then all points, and each bound a score.
+    check(nb.knn_outliers_pruned(frame(spark, [[0.0], [0.0], [0.0], [5.0]]), k=2, m=2), [(3, 5.0), (0, 0.0)])
+    assert nb.knn_outliers_pruned(frame(spark, [[0.0]]), k=3).collect() == []
 
 
 def test_generated_cloud_finds_planted_outliers(spark):
     cloud = planted_outliers(spark, seed=4)
     full = rows(nb.knn_outliers(cloud))
     assert len(full) == 5 and all(r[0] >= 3000 for r in full)
-    assert rows(nb.knn_outliers_pruned(cloud, plain_below=0)) == full
+    assert rows(nb.knn_outliers_pruned(cloud)) == full
 
 
 def sparse(spark, matrix, first=0):

@@ -68,6 +68,32 @@ def test_range_totals_against_brute_force(spark):
     assert {r["id"]: r["total"] for r in got.collect()} == expected
 
 
+def test_range_totals_of_doubles_keep_their_digits(spark):
+    ranges = spark.createDataFrame([(1, 1, 1), (2, 2, 2), (3, 3, 3), (4, 2, 3), (4, 2, 3)], "id long, lo long, hi long")
+    for first in (1e17, float("nan"), float("inf")):
+        points = spark.createDataFrame([(1, first), (2, 1.0), (3, 5.0)], "x long, v double")
+        got = range_totals(ranges, points, low="lo", high="hi", at="x", value="v")
+        assert rows(got.filter("id > 1").select("id", "total")) == [(2, 1.0), (3, 5.0), (4, 6.0), (4, 6.0)]
+
+
+def test_range_totals_over_several_levels_of_blocks(spark):
+    rng = random.Random(5)
+    ranges = [(i, *sorted((rng.randrange(5000), rng.randrange(5000)))) for i in range(60)]
+    points = spark.range(5000).select(F.col("id").alias("x"), (F.col("id") * F.col("id") % 97).alias("v"))
+    got = range_totals(
+        spark.createDataFrame(ranges, "id long, lo long, hi long"), points, low="lo", high="hi", at="x", value="v"
+    )
+    expected = {i: sum(x * x % 97 for x in range(lo, hi + 1)) for i, lo, hi in ranges}
+    assert {r["id"]: r["total"] for r in got.collect()} == expected
+
+
+def test_range_totals_of_nothing(spark):
+    ranges = spark.createDataFrame([(1, 1, 2)], "id long, lo long, hi long")
+    points = spark.createDataFrame([], "x long, v double")
+    assert rows(range_totals(ranges, points, low="lo", high="hi", at="x", value="v")) == [(1, 1, 2, None)]
+    assert rows(range_totals(ranges.limit(0), points, low="lo", high="hi", at="x", value="v")) == []
+
+
 def test_no_single_partition_exchange_of_rows(spark):
     df = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
     plan = sliding_windows(df, key="k", value="v", width=5)._jdf.queryExecution().executedPlan().toString()
