@@ -13,8 +13,12 @@ Documents with the same words are one *node*, named by a hash of the words, so c
 
 Lists of up to ``SHORT`` nodes give their pairs.  A longer one (thousands of near copies) is first compared with one
 node per size band only, then those outside the list's largest component with a few more nodes of it.  Members of that
-component need no comparison among themselves; every member that is still outside is compared with all of the list.  So no link between components is lost, and a group of
-m near copies costs about m comparisons.  Every pair found is checked on the whole sets.
+component need no comparison among themselves; every member that is still outside is compared with all of the list.  So
+no link between components is lost, and a group of m near copies costs about m comparisons.
+
+A pair found is first held against its sets' outlines: bitmaps of two to four bits per element, each bit the parity of the
+elements that fall on it (an odd sketch).  Two outlines differ in at most as many bits as the sets in elements, so no link
+is lost, and few pairs beside the links are left.  Those are checked on the whole sets.
 
 Shuffles carry packed arrays of keys and nodes, one per task batch and bucket.  A key's list beyond ``PIECE`` entries
 is dealt over several buckets, and the joins on long lists have a written side, which the adaptive join may split.
@@ -43,6 +47,7 @@ WIDTH = 5
 SHORT = 24  # nodes of a list whose pairs are all taken at once
 HEAVY = 8  # documents from which a cell of shingles can count as frequent
 MOST_HEAVY = 200_000  # frequent cells known to all tasks: 16 bytes each
+MARK_BITS = 22
 CELL_SHIFT = 35  # a cell of the counts is what is left of a shingle's 64 bits
 PIECE = 5_000  # entries of a list per bucket
 ROUNDS = 2  # further nodes that those outside a list's largest component are compared with, before all
@@ -58,11 +63,17 @@ def needed(n: np.ndarray | int) -> np.ndarray | int:
     return (3 * n + 3) // 4
 
 
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
 class Shingler:
     """Turns texts into sets; remembers the hashes of words."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = _WordHashes()
 
     def words(self, text: str) -> list[bytes]:
         # For bytes, lower() changes A-Z only and split() knows exactly the six white space characters.
@@ -80,8 +91,6 @@ class Shingler:
         known = self.known
         if len(known) > 1 << 18:
             known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w)
         h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
         width = min(WIDTH, len(words))
         total = np.full(len(h) - width + 1, width, dtype=np.uint64)
@@ -93,14 +102,44 @@ class Shingler:
         return np.unique(total ^ (total >> np.uint64(31)))
 
 
-def how_often(items: np.ndarray, heavy: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The counts of shingles in frequent cells, 0 for others."""
-    if not len(heavy):
-        return np.zeros(len(items), dtype=np.int64)
-    cells = items >> np.uint64(CELL_SHIFT)
-    at = np.searchsorted(heavy, cells)
-    at[at == len(heavy)] = 0
-    return np.where(heavy[at] == cells, counts[at], 0)
+class Frequent:
+    """The counts of frequent cells."""
+
+    def __init__(self, heavy: np.ndarray, counts: np.ndarray):
+        self.heavy, self.counts = heavy, counts
+        # By a cell's lower bits, whether any frequent one has them: most cells need no search.
+        self.marks = np.zeros(1 << MARK_BITS, dtype=bool)
+        self.marks[heavy & np.uint64((1 << MARK_BITS) - 1)] = True
+
+    def how_often(self, items: np.ndarray) -> np.ndarray:
+        """The counts of shingles in frequent cells, 0 for others."""
+        often = np.zeros(len(items), dtype=np.int64)
+        cells = items >> np.uint64(CELL_SHIFT)
+        maybe = np.flatnonzero(self.marks[cells & np.uint64((1 << MARK_BITS) - 1)])
+        if len(maybe):
+            cells = cells[maybe]
+            at = np.searchsorted(self.heavy, cells)
+            at[at == len(self.heavy)] = 0
+            often[maybe] = np.where(self.heavy[at] == cells, self.counts[at], 0)
+        return often
+
+
+def outline(items: np.ndarray) -> bytes:
+    """A set's odd sketch, of the least power of two of bits that holds two per element, 64 at least."""
+    bits = max(64, 1 << (2 * len(items) - 1).bit_length())
+    odd = np.bincount((items & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def outlines_differ(x: bytes, y: bytes) -> int:
+    """A lower bound of how many elements are in one set only."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        # The halves of an outline fold into the outline of half as many bits.
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def prefix(items: np.ndarray, length: int, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,22 +170,41 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def members(docs: DataFrame, seed: int) -> DataFrame:
-    """(doc_id, node, proof, n) of every document."""
+    """(doc_id, node, proof, n, outline) of every document; a task gives a node's outline once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler, seen = Shingler(), set()
         for batch in _strings(batches):
-            nodes, proofs, sizes = [], [], []
+            nodes, proofs, sizes, outlines = [], [], [], []
             for text in batch.column(1).to_pylist():
                 words = shingler.words(text)
                 node, proof = shingler.node(words, seed)
                 nodes.append(node)
                 proofs.append(proof)
-                sizes.append(len(shingler.hashes(words)))
-            columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(proofs, pa.string()), pa.array(sizes, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "proof", "n"])
+                items = shingler.hashes(words)
+                sizes.append(len(items))
+                outlines.append(None if node in seen or not words else outline(items))
+                seen.add(node)
+            columns = [
+                batch.column(0),
+                pa.array(nodes, pa.int64()),
+                pa.array(proofs, pa.string()),
+                pa.array(sizes, pa.int32()),
+                pa.array(outlines, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "proof", "n", "outline"])
+
+    return docs.mapInArrow(run, "doc_id long, node long, proof string, n int, outline binary")
 
-    return docs.mapInArrow(run, "doc_id long, node long, proof string, n int")
+
+def _steps(ascending: np.ndarray) -> bytes:
+    """Ascending 32-bit numbers as their differences, all first bytes first: the shuffle's compression does the rest."""
+    return np.diff(ascending, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_steps(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(packed, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32)
 
 
 def _cell_counts(docs: DataFrame, seed: int, shingles: float) -> DataFrame:
@@ -178,14 +236,14 @@ def _cell_counts(docs: DataFrame, seed: int, shingles: float) -> DataFrame:
             held = np.unique(bucket)
             ends = np.searchsorted(bucket, held, side="right")
             starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-            blobs = [flat[x:y].tobytes() for x, y in zip(starts, ends, strict=True)]
+            blobs = [_steps(flat[x:y]) for x, y in zip(starts, ends, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "cells"])
 
     names = ["cell", "m", *(f"c{i}" for i in range(len(BOUNDARIES)))]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A task's buckets are ranges of cells, the kinds of a cell next to each other but for a bucket's ends.
-        parts = [np.frombuffer(x.as_buffer(), np.uint32) for batch in batches for x in batch.column(1)]
+        parts = [_from_steps(x.as_py()) for batch in batches for x in batch.column(1)]
         if parts:
             flat = np.sort(np.concatenate(parts))
             cell = flat >> np.uint32(3)
@@ -226,7 +284,7 @@ def candidates(docs: DataFrame, seed: int, heavy: np.ndarray, counts: np.ndarray
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(), set()
-        frequent, known_counts = sent.value
+        frequent = Frequent(*sent.value)
         for whole in batches:
             keys, nodes, sizes, counted = [], [], [], []
             for batch in _strings(iter([whole])):
@@ -239,7 +297,7 @@ def candidates(docs: DataFrame, seed: int, heavy: np.ndarray, counts: np.ndarray
                     items = shingler.hashes(words)
                     n = len(items)
                     small = 1 < n <= limit
-                    often_here = how_often(items, frequent, known_counts)
+                    often_here = frequent.how_often(items)
                     # For lists of frequent elements, beside its size, how many infrequent elements a set has.
                     described = n | int((often_here == 0).sum()) << 32
                     own = []
@@ -346,6 +404,23 @@ def sets_of(docs: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     return docs.join(wanted, same, "left_semi").mapInArrow(run, "node long, items binary")
 
 
+def close(pairs: DataFrame, outlines: DataFrame) -> DataFrame:
+    """The pairs (a, b) that may link by their outlines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b, first, second = (batch.column(i).to_pylist() for i in range(2, 6))
+            # With d elements in one set only, similarity 0.75 means 7 d <= n_a + n_b.
+            keep = [7 * outlines_differ(x, y) <= n + m for n, m, x, y in zip(n_a, n_b, first, second, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    first = outlines.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("outline").alias("first"))
+    second = outlines.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("outline").alias("second"))
+    sizes_fit = 4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")
+    both = pairs.join(first, "a").join(second, "b").filter(sizes_fit)
+    return both.select("a", "b", "n_a", "n_b", "first", "second").mapInArrow(run, "a long, b long")
+
+
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets link, checked on all their elements."""
 
@@ -372,6 +447,11 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """(node) of both ends of pairs."""
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+
+
 def _labels(links: DataFrame) -> DataFrame:
     return component_labels(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
@@ -452,12 +532,21 @@ def components(docs: DataFrame) -> DataFrame:
     stand = Stage(banded.groupBy("key", "band").agg(first).select("key", "band", "s.*"), "shingle-stands").df
     stars = _stars(banded, stand.withColumnsRenamed({"node": "stand", "n": "stand_n", "rare": "stand_rare"}), ["key", "band"])
     pairs = Stage(found.df.filter("kind = 0").select("a", "b").unionByName(stars).distinct(), "shingle-pairs")
-    ids = nodes.select("node", "wanted")
-    listed = found.df.filter("kind = 1").select("a")
-    wanted = pairs.df.select("a").unionByName(pairs.df.select(F.col("b").alias("a"))).unionByName(listed).distinct()
-    wanted = Stage(ids.join(wanted.select(F.col("a").alias("node")), "node", "left_semi").select("wanted"), "shingle-wanted")
-    sets = Stage(sets_of(docs, wanted.df, seed), "shingle-sets")
-    links = Stage(linked(pairs.df, sets.df), "shingle-links")
+    listed = _ends(pairs.df).unionByName(long.select("node")).distinct()
+    outlines = known.df.filter("outline IS NOT NULL").select("node", "n", "outline").join(listed, "node", "left_semi")
+    outlines = Stage(outlines.dropDuplicates(["node"]), "shingle-outlines").df
+
+    def checked_links(among: DataFrame) -> Stage:
+        near = Stage(close(among, outlines), "shingle-close", {"n": F.count("*")})
+        if not near.sums["n"]:
+            return near
+        wanted = nodes.join(_ends(near.df).distinct(), "node", "left_semi").select("wanted")
+        sets = Stage(sets_of(docs, Stage(wanted, "shingle-wanted").df, seed), "shingle-sets")
+        real = Stage(linked(near.df, sets.df), "shingle-links", {"n": F.count("*")})
+        sets.drop()
+        return real
+
+    links = checked_links(pairs.df)
     labels = Stage(_labels(links.df), "shingle-labels")
 
     checked = [pairs.df]
@@ -474,7 +563,7 @@ def components(docs: DataFrame) -> DataFrame:
         stand = Stage(stand, "shingle-stands").df
         fresh = Stage(_unchecked(_stars(outside.df, stand, ["key"]).distinct(), checked), "shingle-pairs")
         checked.append(fresh.df)
-        more = Stage(linked(fresh.df, sets.df), "shingle-links", {"n": F.count("*")})
+        more = checked_links(fresh.df)
         if more.sums["n"]:
             links = Stage(links.df.unionByName(more.df), "shingle-links")
             labels = Stage(_labels(links.df), "shingle-labels")
@@ -491,7 +580,7 @@ def components(docs: DataFrame) -> DataFrame:
             .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
             .distinct()
         )
-        more = Stage(linked(Stage(_unchecked(rest, checked), "shingle-rest").df, sets.df), "shingle-links", {"n": F.count("*")})
+        more = checked_links(Stage(_unchecked(rest, checked), "shingle-rest").df)
         if more.sums["n"]:
             labels = Stage(_labels(links.df.unionByName(more.df)), "shingle-labels")
     placed_rows = rows.join(labels.df.select(F.col("id").alias("node"), "component"), "node", "left").select(
