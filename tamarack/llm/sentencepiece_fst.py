@@ -21,12 +21,13 @@ results; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,7 @@ ESCAPE = "▁"
 # Piece types of a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+NONE = -2  # no arc
 REMEMBERED = 1 << 18  # chunks per task
 ROWS = 256  # rows of an output batch
 
@@ -62,6 +64,28 @@ def read_model(path: str) -> dict:
     return values | {"arcs": list(Transducer(values).arcs)}
 
 
+class _Paths(dict):
+    """Paths of chunks, found when first asked for.  Two generations are kept: what was looked up lately survives when the
+    older one is dropped."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        super().__init__()
+        self.find = find
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        path = self.older.get(chunk)
+        if path is None:
+            path = self.find(chunk)
+        # A chunk longer than this is rare and not worth remembering.
+        if len(chunk) <= 64:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[chunk] = path
+        return path
+
+
 class Transducer:
     """Normaliser, pieces and byte fallback of one model, compiled."""
 
@@ -83,21 +107,22 @@ class Transducer:
             self.arcs = {p: usable[p] for p in model["arcs"]}
         else:
             self.arcs = {p: i for p, i in usable.items() if len(p) == 1 or not self.bpe or self._merged(p) == [p]}
-        # The trie: per first three characters, the lengths that occur, longest first; and each piece's next shorter
-        # beginning that is a piece.
+        # The trie: per first three characters, the lengths that occur, longest first; and of each arc its length and the
+        # next shorter one that it begins with.  The last place, -1, is a character outside the vocabulary.
         lengths: dict[str, set[int]] = {}
         for p in self.arcs:
             if len(p) > 2:
                 lengths.setdefault(p[:3], set()).add(len(p))
         self.lengths = {k: sorted(v, reverse=True) for k, v in lengths.items()}
-        self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.arcs), None) for p in self.arcs}
+        self.size, self.shorter = [1] * (len(self.pieces) + 1), [NONE] * (len(self.pieces) + 1)
+        for p, i in self.arcs.items():
+            self.size[i] = len(p)
+            self.shorter[i] = next((self.arcs[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.arcs), NONE)
         if any(ESCAPE in p.lstrip(ESCAPE) for p in self.arcs):
             raise ValueError("pieces cross into white space")
-        self.chunks = regex.compile(f"{ESCAPE}*[^{ESCAPE}]+|{ESCAPE}+")
+        self.chunks = re.compile(f"{ESCAPE}*[^{ESCAPE}]+|{ESCAPE}+")
         self.pairs: dict[int, bool] = {}
-        # Two generations: what was looked up lately survives when the older one is dropped.
-        self.memory: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.memory = _Paths(lambda chunk: np.array(self._path(chunk), dtype=np.int32).tobytes())
 
     def _merged(self, text: str) -> list[str]:
         """The model's merges on a short text: again and again the best-scored pair, the leftmost of equals."""
@@ -127,96 +152,91 @@ class Transducer:
     def normalise(self, text: str) -> str:
         """The normaliser's output, with spaces still as spaces."""
         if self.squeeze:
-            text = regex.sub(" +", " ", text.strip(" "))
+            text = re.sub(" +", " ", text.strip(" "))
         return " " + text if self.prefix and text else text
 
-    def _longest(self, chunk: str, at: int) -> str:
-        """The longest arc from a position; a character outside the vocabulary is one, too."""
-        n, arcs = len(chunk), self.arcs
+    def _longest(self, chunk: str, at: int) -> int:
+        """The longest arc from a position; -1, a character, if there is none."""
+        arcs = self.arcs
         for length in self.lengths.get(chunk[at : at + 3], ()):
-            if at + length <= n and chunk[at : at + length] in arcs:
-                return chunk[at : at + length]
-        two = chunk[at : at + 2]
-        return two if two in arcs else chunk[at]
+            i = arcs.get(chunk[at : at + length])
+            if i is not None:
+                return i
+        i = arcs.get(chunk[at : at + 2])
+        return arcs.get(chunk[at], -1) if i is None else i
 
-    def _merge_path(self, chunk: str) -> list[str]:
+    def _merge_path(self, chunk: str) -> list[int]:
         """The path of weight 0 over a chunk, for a BPE model."""
-        n, arcs, pairs = len(chunk), self.arcs, self.pairs
-        taken: list[str] = []
+        n, size, shorter, pairs, longest = len(chunk), self.size, self.shorter, self.pairs, self._longest
+        taken: list[int] = []
         dead: set[int] = set()
-        at, last = 0, -1
-        piece: str | None = self._longest(chunk, 0)
+        at, last, i = 0, -1, longest(chunk, 0)
         while True:
-            if piece is None:
+            if i == NONE:
                 dead.add(at)
                 back = taken.pop()
-                at -= len(back)
-                # Across a character outside the vocabulary every pair weighs 0.
-                last = arcs.get(taken[-1], -1) if taken else -1
-                piece = self.shorter.get(back)
+                at -= size[back]
+                last = taken[-1] if taken else -1
+                i = shorter[back]
                 continue
-            i, end = arcs.get(piece, -1), at + len(piece)
-            fits = end not in dead
+            end = at + size[i]
+            fits: bool | None = end not in dead
+            # Across a character outside the vocabulary every pair weighs 0.
             if fits and last >= 0 and i >= 0:
                 fits = pairs.get(last << 20 | i)
                 if fits is None:
                     fits = self._compatible(last, i)
             if fits:
-                taken.append(piece)
+                taken.append(i)
                 at, last = end, i
                 if at == n:
                     return taken
-                piece = self._longest(chunk, at)
+                i = longest(chunk, at)
             else:
-                piece = self.shorter.get(piece)
+                i = shorter[i]
 
-    def _score_path(self, chunk: str) -> list[str]:
+    def _score_path(self, chunk: str) -> list[int]:
         """The path of least weight over a chunk, for a unigram model."""
-        n = len(chunk)
+        n, size = len(chunk), self.size
         cost: list[float] = [0.0] + [float("inf")] * n
-        last: list[str] = [""] * (n + 1)
+        last: list[int] = [NONE] * (n + 1)
         for start in range(n):
-            piece: str | None = self._longest(chunk, start)
-            while piece is not None:
-                end, weight = start + len(piece), -self.score[piece] if piece in self.score else 1e6
+            i = self._longest(chunk, start)
+            while i != NONE:
+                end, weight = start + size[i], -self.score[self.pieces[i]] if i >= 0 else 1e6
                 if cost[start] + weight < cost[end]:
-                    cost[end], last[end] = cost[start] + weight, piece
-                following = self.shorter.get(piece)
+                    cost[end], last[end] = cost[start] + weight, i
+                following = self.shorter[i]
                 # Single characters are always arcs, known or not.
-                piece = following if following is not None or len(piece) == 1 else piece[0]
+                i = following if following != NONE or size[i] == 1 else -1
         taken = []
         while n:
             taken.append(last[n])
-            n -= len(last[n])
+            n -= size[last[n]]
         return taken[::-1]
 
     def _path(self, chunk: str) -> list[int]:
+        path = self._merge_path(chunk) if self.bpe else self._score_path(chunk)
+        if -1 not in path:
+            return path
         out: list[int] = []
-        for piece in self._merge_path(chunk) if self.bpe else self._score_path(chunk):
-            i = self.arcs.get(piece)
-            if i is not None:
+        at = 0
+        for i in path:
+            if i >= 0:
                 out.append(i)
             elif self.fallback:
-                out += [self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")]
+                out += [self.bytes[b] for b in chunk[at].encode("utf-8", "surrogatepass")]
             else:
                 out.append(self.unknown)
+            at += self.size[i]
         return out
 
+    def packed(self, normal: str) -> bytes:
+        """The pieces of a normalised text, four bytes each."""
+        return b"".join(map(self.memory.__getitem__, self.chunks.findall(normal.replace(" ", ESCAPE))))
+
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        memory, older = self.memory, self.older
-        for chunk in self.chunks.findall(self.normalise(text).replace(" ", ESCAPE)):
-            path = memory.get(chunk)
-            if path is None:
-                path = older.get(chunk) or self._path(chunk)
-                # A chunk longer than this is rare and not worth remembering.
-                if len(chunk) <= 64:
-                    if len(memory) >= REMEMBERED:
-                        self.older = older = memory
-                        self.memory = memory = {}
-                    memory[chunk] = path
-            out += path
-        return out
+        return np.frombuffer(self.packed(self.normalise(text)), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The normalised text of pieces; control pieces are silent."""
@@ -251,15 +271,18 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
             for start in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(start, ROWS)
                 given = batch.column(1).to_pylist()
-                ids = [machine.encode(t) for t in given]
-                decoded = [machine.decode(x) for x in ids]
-                expected = [machine.normalise(t).replace(ESCAPE, " ") for t in given]
+                normal = [machine.normalise(t) for t in given]
+                packed = [machine.packed(t) for t in normal]
+                flat = np.frombuffer(b"".join(packed), np.int32)
+                ends = np.cumsum([0, *(len(x) // 4 for x in packed)], dtype=np.int32)
+                decoded = [machine.decode(np.frombuffer(x, np.int32).tolist()) for x in packed]
+                expected = [t.replace(ESCAPE, " ") for t in normal]
                 if machine.prefix:
                     expected = [e[1:] if e.startswith(" ") else e for e in expected]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
-                        pa.array(ids, pa.list_(pa.int32())),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                         pa.array(decoded, pa.string()),
                         pa.array([a == b for a, b in zip(decoded, expected, strict=True)]),
                     ],

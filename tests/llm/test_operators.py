@@ -397,3 +397,19 @@ def test_pipeline_keeps_columns_and_effects(spark):
     kept = {r.doc_id for r in got.collect()}
     copies = exact.op4(spark.read.parquet(f"{FOLDER}/documents.parquet")).filter("not kept").select("doc_id", "keep_id").collect()
     assert not any(r.doc_id in kept and r.keep_id in kept for r in copies)
+
+
+def test_outlines_bound_the_difference():
+    rng = np.random.default_rng(5)
+    for n in (1, 3, 40, 900):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for m in (1, 2 * n // 3, 3 * n):
+            b = np.unique(np.concatenate([a[: n // 2], rng.integers(0, 1 << 63, m, dtype=np.uint64)]))
+            assert jaccard.outlines_differ(jaccard.outline(a), jaccard.outline(b)) <= len(np.setxor1d(a, b))
+        assert jaccard.outlines_differ(jaccard.outline(a), jaccard.outline(a)) == 0
+
+
+def test_counted_cells_survive_packing():
+    for cells in ([], [0], [7, 7, 7], [1, 5, 1 << 20, (1 << 32) - 1]):
+        given = np.array(cells, dtype=np.uint32)
+        assert jaccard._from_steps(jaccard._steps(given)).tolist() == cells
