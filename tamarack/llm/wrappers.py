@@ -5,11 +5,11 @@ folded into repeated groups.  The streams of a host are then aligned with each o
 of tasks, until one expression is left: what only one side has becomes an optional group, repetitions on either side
 become repeated groups, and texts that differ become slots.  Every page of a host takes part.
 
-The wrapper tells, per slot, where it stands (its open block elements), how many words it holds in the host and whether
-it says the same on every page.  A page's main text is then what stands in the article: slots inside ``article`` (else
-``main``, else elements named like content, else the element that holds most of the host's varying words), without those
-in menus, headers, footers, sidebars, notices, adverts, forms and comments, and without fixed labels that the wrapper
-found to be the same on all pages.
+A page is matched to its host's expression, which is read as an automaton, and each of its slots is bound to a place of
+the expression.  The wrapper tells, per place, where it stands (its open block elements), how many words it holds in the host and
+whether it says the same on every page.  A page's main text is what is bound in the article: slots inside ``article``
+(else ``main``, else elements named like content, else the element that holds most of the host's varying words), without
+those in menus, headers, footers, sidebars, notices, adverts, forms and comments, and without fixed labels.
 
 Defined cases: a null or empty html gives an empty text; a null url is the host ''; broken markup is read leniently
 (an unclosed element ends with its parent); a null page_id is kept; repeated rows give repeated results; an empty table
@@ -22,7 +22,7 @@ import hashlib
 import html as entities
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from urllib.parse import urlsplit
 
 import pandas as pd
@@ -371,59 +371,139 @@ def inferred(expressions: list[list[list]]) -> list[list]:
 
 
 class Wrapper:
-    """What a host's expression says about its slots."""
+    """A host's expression as an automaton over its items, and what it says about its slots."""
 
     def __init__(self, items: list[list], pages: int):
+        self.pages = pages
+        self.keys: list[str] = [""]  # per place of the expression: the token it takes; place 0 is before the first
+        self.labels: list[str] = [""]  # the digest of a text that is the same on all pages
+        self.slots: list[tuple[int, str, int]] = []  # (place, path, words)
+        self.follow: list[dict[int, None]] = [{}]
+        nullable, first, last = self._built(items, False)
+        self.follow[0] = dict.fromkeys(first)
+        self.ends = set(last) | ({0} if nullable else set())
+        self.steps: dict[tuple[tuple[int, ...], str], tuple[tuple[int, ...], tuple[int, ...]]] = {}
+        self.stands: dict[str, int | None] = {}
         self.words: dict[str, int] = {}  # varying words by path
-        self.labels: set[tuple[str, str]] = set()
-        self._walk(items, pages, False)
-
-    def _walk(self, items: list[list], pages: int, repeated: bool) -> None:
+        for place, path, n in self.slots:
+            if not self.labels[place] and "!" not in path:
+                self.words[path] = self.words.get(path, 0) + n
+        self.root: str | None = None
+
+    def _built(self, items: list[list], repeated: bool) -> tuple[bool, list[int], list[int]]:
+        """Adds the places of some items; (may be left out, first places, last places)."""
+        nullable, first, last = True, [], []
         for i in items:
-            if i[0] == "s":
-                fixed = i[2] and not repeated and pages >= FIXED_PAGES and i[4] >= pages
-                if fixed:
-                    self.labels.add((i[1], i[2]))
-                elif "!" not in i[1]:
-                    self.words[i[1]] = self.words.get(i[1], 0) + i[3]
-            elif i[0] != "t":
-                self._walk(i[1], pages, repeated or i[0] == "+")
-
-    def container(self) -> str:
-        """The innermost element that holds most of the varying words."""
-        total, best = sum(self.words.values()), ""
+            if i[0] in "ts":
+                place, skip = len(self.keys), False
+                fixed = i[0] == "s" and i[2] and not repeated and self.pages >= FIXED_PAGES and i[4] >= self.pages
+                self.keys.append(i[0] + i[1])
+                self.labels.append(i[2] if fixed else "")
+                self.follow.append({})
+                if i[0] == "s":
+                    self.slots.append((place, i[1], i[3]))
+                begin, end = [place], [place]
+            else:
+                skip, begin, end = self._built(i[1], repeated or i[0] == "+")
+                if i[0] == "+":
+                    for p in end:
+                        self.follow[p].update(dict.fromkeys(begin))
+                skip = skip or i[0] == "?"
+            for p in last:
+                self.follow[p].update(dict.fromkeys(begin))
+            if nullable:
+                first = first + begin
+            last = last + end if skip else end
+            nullable = nullable and skip
+        return nullable, first, last
+
+    @staticmethod
+    def _sums(words: Iterable[tuple[str, int]]) -> dict[str, int]:
+        """Words below each element."""
         sums: dict[str, int] = {}
-        for path, n in self.words.items():
+        for path, n in words:
             parts = path.split("/")
             for k in range(1, len(parts) + 1):
                 key = "/".join(parts[:k])
                 sums[key] = sums.get(key, 0) + n
+        return sums
+
+    def container(self) -> str:
+        """The innermost element that holds most of the varying words."""
+        total, best = sum(self.words.values()), ""
+        sums = self._sums(self.words.items())
         for key in sorted(sums, key=lambda k: k.count("/")):
             tag = key.rpartition("/")[2].partition(".")[0]
             if 2 * sums[key] > total and key.startswith(best) and tag not in ("p", "li", "h1", "h2", "h3", "td", "tr"):
                 best = key
         return best
 
+    def bound(self, tokens: list[str]) -> list[int] | None:
+        """The place of the expression that each of a page's tokens is bound to; None if the page doesn't match.
+
+        Of several ways the one that goes on with a group, and takes an optional one, comes first.
+        """
+        states, trail = (0,), []
+        for t in tokens:
+            key = "s" + t[1:] if t[0] == "#" else "t" + t
+            step = self.steps.get((states, key))
+            if step is None:
+                found: dict[int, int] = {}
+                for k, p in enumerate(states):
+                    for q in self.follow[p]:
+                        if self.keys[q] == key and q not in found:
+                            found[q] = k
+                if len(self.steps) >= 100_000:
+                    self.steps.clear()
+                step = self.steps[states, key] = (tuple(found), tuple(found.values()))
+            if not step[0]:
+                return None
+            trail.append(step)
+            states = step[0]
+        at = next((k for k, p in enumerate(states) if p in self.ends), None)
+        if at is None:
+            return None
+        places = []
+        for here, back in reversed(trail):
+            places.append(here[at])
+            at = back[at]
+        return places[::-1]
+
+    def _stands(self, path: str) -> int | None:
+        """Where a slot stands: in an article 0, main 1, something named like content 2, elsewhere 3; aside None."""
+        if path not in self.stands:
+            if "!" in path:
+                stands = None
+            elif re.search(r"/article(?:[./]|$)", path):
+                stands = 0
+            elif re.search(r"/main(?:[./]|$)|\.(?:[^/]*\s)?main(?:[\s/]|$)", path):
+                stands = 1
+            else:
+                stands = 2 if any(CONTENT_NAMES.search(s.partition(".")[2]) for s in path.split("/") if "." in s) else 3
+            self.stands[path] = stands
+        return self.stands[path]
+
+    def _main(self, page: str) -> tuple[int, list[tuple[str, str, str]]]:
+        """Where a page's main text stands, and its slots (path, text, digest if a label) there."""
+        tokens, slots = read_page(page)
+        places = self.bound(tokens) or [0] * len(tokens)
+        labels = [self.labels[p] for t, p in zip(tokens, places, strict=True) if t[0] == "#"]
+        shown = [(self._stands(p), p, t, d) for (p, t), d in zip(slots, labels, strict=True)]
+        at = min((s for s, *_ in shown if s is not None), default=3)
+        chosen = [(p, t, d) for s, p, t, d in shown if s == at]
+        if at == 3:
+            if self.root is None:
+                self.root = self.container()
+            chosen = [x for x in chosen if x[0].startswith(self.root)] or chosen
+        return at, chosen
+
+    def _without_labels(self, chosen: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+        """Without what reads the same on all pages, if something varies."""
+        return [x for x in chosen if not x[2]] if any(p in self.words for p, _, _ in chosen) else chosen
+
     def text(self, page: str) -> str:
-        """A page's main text: its blocks, joined by line breaks."""
-        _, slots = read_page(page)
-        shown = [(p, t) for p, t in slots if "!" not in p]
-        for inside in (
-            lambda p: re.search(r"/article(?:[./]|$)", p),
-            lambda p: re.search(r"/main(?:[./]|$)|\.(?:[^/]*\s)?main(?:[\s/]|$)", p),
-            lambda p: any(CONTENT_NAMES.search(s.partition(".")[2]) for s in p.split("/") if "." in s),
-        ):
-            chosen = [(p, t) for p, t in shown if inside(p)]
-            if chosen:
-                break
-        else:
-            root = self.container()
-            chosen = [(p, t) for p, t in shown if p.startswith(root)] or shown
-        if self.labels and any(p in self.words for p, _ in chosen):
-            digest = lambda t: hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
-            paths = {p for p, _ in self.labels}
-            chosen = [(p, t) for p, t in chosen if p not in paths or (p, digest(t)) not in self.labels]
-        return "\n".join(t for _, t in chosen)
+        """What varies of a page's main text: its blocks, joined by line breaks, without fixed labels."""
+        return "\n".join(t for _, t, _ in self._without_labels(self._main(page)[1]))
 
 
 def infer(pages: DataFrame) -> DataFrame:

@@ -185,6 +185,31 @@ def test_wrapper_drops_labels_and_keeps_repeats():
     assert wrapper.text(pages[2]) == "item 2 0\nitem 2 1\nitem 2 2"
 
 
+def inferred_wrapper(pages):
+    return wrappers.Wrapper(wrappers.inferred([wrappers.expression(p) for p in pages]), len(pages))
+
+
+def test_slots_are_bound_to_places_of_the_expression(spark):
+    # The text of a label, but at the place of a varying slot with the same path.
+    bodies = [f"body {i}" for i in range(8)]
+    bodies[3] = "Notes"
+    pages = [f"<div><p>Notes</p><h2>t{i}</h2><p>{b}</p></div>" for i, b in enumerate(bodies)]
+    assert inferred_wrapper(pages).text(pages[3]) == "t3\nNotes"
+    # Every page matches its host's expression.
+    rng = random.Random(4)
+    block = lambda d: "".join(
+        f"<{t}>{rng.choice('abc') if d > 2 or rng.random() < 0.5 else block(d + 1)}</{t}>" for t in rng.choices(("div", "p", "ul", "h2"), k=rng.randint(1, 5))
+    )
+    odd = [block(0) for _ in range(40)]
+    given = [r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()]
+    for pages in (odd, given):
+        wrapper = inferred_wrapper(pages)
+        for page in pages:
+            tokens, _ = wrappers.read_page(page)
+            places = wrapper.bound(tokens)
+            assert [wrapper.keys[p] for p in places] == ["s" + t[1:] if t[0] == "#" else "t" + t for t in tokens]
+
+
 def test_whole_pages(spark):
     got = {r.page_id: r for r in queries.QUERIES["op3_html_text"](spark, FOLDER).collect()}
     for page in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
