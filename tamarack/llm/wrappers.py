@@ -9,7 +9,8 @@ A page is matched to its host's expression, which is read as an automaton, and e
 the expression.  The wrapper tells, per place, where it stands (its open block elements), how many words it holds in the host and
 whether it says the same on every page.  A page's main text is what is bound in the article: slots inside ``article``
 (else ``main``, else elements named like content, else the element that holds most of the host's varying words), without
-those in menus, headers, footers, sidebars, notices, adverts, forms and comments, and without fixed labels.
+those in menus, headers, footers, sidebars, notices, adverts, forms and comments.  An article or main
+element keeps all of the rest; elsewhere fixed labels, the same on all of 5 pages or more, go.
 
 Defined cases: a null or empty html gives an empty text; a null url is the host ''; broken markup is read leniently
 (an unclosed element ends with its parent); a null page_id is kept; repeated rows give repeated results; an empty table
@@ -505,6 +506,11 @@ class Wrapper:
         """What varies of a page's main text: its blocks, joined by line breaks, without fixed labels."""
         return "\n".join(t for _, t, _ in self._without_labels(self._main(page)[1]))
 
+    def article(self, page: str) -> str:
+        """A page's main text: all of an article or main element; elsewhere, what varies."""
+        at, chosen = self._main(page)
+        return "\n".join(t for _, t, _ in (chosen if at < 2 else self._without_labels(chosen)))
+
 
 def infer(pages: DataFrame) -> DataFrame:
     """(host, wrapper, pages): one expression per host, as JSON, from all its pages."""
@@ -546,7 +552,7 @@ def extract(pages: DataFrame) -> DataFrame:
                     if len(known) >= 1_000:
                         known.clear()
                     known[key] = Wrapper(json.loads(w) if w else [], int(n) if w else 0)
-                out.append(known[key].text(page))
+                out.append(known[key].article(page))
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": out})
 
     keyed = _with_host(pages.select(F.col("page_id").cast("string").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html")))

@@ -210,6 +210,14 @@ def test_slots_are_bound_to_places_of_the_expression(spark):
             assert [wrapper.keys[p] for p in places] == ["s" + t[1:] if t[0] == "#" else "t" + t for t in tokens]
 
 
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_articles_keep_what_all_pages_say(spark, tag):
+    page = f"<body><p>Site</p><{tag}><h1>One title</h1><p>One lead</p><p>Revision {{}}</p></{tag}></body>"
+    rows = [(i, f"http://h.org/{i}", page.format(i)) for i in range(8)]
+    got = wrappers.op3(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"One title\nOne lead\nRevision {i}" for i in range(8)}
+
+
 def test_whole_pages(spark):
     got = {r.page_id: r for r in queries.QUERIES["op3_html_text"](spark, FOLDER).collect()}
     for page in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
