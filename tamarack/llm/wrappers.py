@@ -6,11 +6,13 @@ of tasks, until one expression is left: what only one side has becomes an option
 become repeated groups, and texts that differ become slots.  Every page of a host takes part.
 
 A page is matched to its host's expression, which is read as an automaton, and each of its slots is bound to a place of
-the expression.  The wrapper tells, per place, where it stands (its open block elements), how many words it holds in the host and
-whether it says the same on every page.  A page's main text is what is bound in the article: slots inside ``article``
-(else ``main``, else elements named like content, else the element that holds most of the host's varying words), without
-those in menus, headers, footers, sidebars, notices, adverts, forms and comments.  An article or main
-element keeps all of the rest; elsewhere fixed labels, the same on all of 5 pages or more, go.
+the expression.  The wrapper tells, per place, where it stands (its open block elements), how many words it holds in the
+host and whether it says the same on every page.  A page's main text is what is bound in the article: slots inside
+``article`` (else ``main``, else elements named like content, else the element that holds most of the host's varying
+words), without those in menus, headers, footers, asides and hidden elements.  What is only named like a sidebar, notice,
+advert or comment (and a form) is left out where it holds no more than half of the host's words in the article around it
+(else the page); an article that isn't so named itself is read whatever the elements around it are named.  An article or
+main element keeps all of its text; elsewhere fixed labels, the same on all of 5 pages or more, go.
 
 Defined cases: a null or empty html gives an empty text; a null url is the host ''; broken markup is read leniently
 (an unclosed element ends with its parent); a null page_id is kept; repeated rows give repeated results; an empty table
@@ -44,7 +46,9 @@ CLOSED_BY = {  # an open element that such a start tag ends
     "p": BLOCKS - {"html", "body"},
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
 }
-ASIDE = {"nav", "footer", "aside", "form", "menu", "dialog", "fieldset"}
+ASIDE = {"nav", "footer", "aside", "menu", "dialog"}
+FORMS = {"form", "fieldset"}  # may also hold a whole page
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # Names of classes, ids and roles, as whole words.
 ASIDE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|header|masthead|footer|sidebar|aside|ad|ads|advert|adverts|advertisement|advertising|"
@@ -55,7 +59,9 @@ ASIDE_NAMES = re.compile(
 )
 CONTENT_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|text|body|main)(?:$|[\s_-])", re.IGNORECASE)
 OWN_HEADING = re.compile(r"\b(?:article|post|entry|story|content)[_-]header\b", re.IGNORECASE)
+HEADING = re.compile(r"\b(?:header|masthead)\b", re.IGNORECASE)
 HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
+INSIDE = re.compile(r"/(?:article|main)(?:[./]|$)")
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 TAG = re.compile(r"""</?([a-zA-Z][-\w:]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|</?([a-zA-Z][-\w:]*)([^>]*)>""")
 SPACES = re.compile(r"\s+")
@@ -72,8 +78,8 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-def _named(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """(signature, aside, content) of a start tag."""
+def _named(tag: str, attributes: str, inside: bool) -> tuple[str, bool, bool]:
+    """(signature, hidden, named like something aside) of a start tag, which may stand inside an article or main element."""
     names, hidden = [], False
     if attributes and not attributes.isspace():
         for name, a, b, c in ATTRIBUTE.findall(attributes):
@@ -83,24 +89,26 @@ def _named(tag: str, attributes: str) -> tuple[str, bool, bool]:
             elif name == "hidden" or (name == "style" and HIDDEN.search(a or b or c)) or (name == "aria-hidden" and (a or b or c) == "true"):
                 hidden = True
     text = " ".join(names)
-    signature = tag + ("." + re.sub(r"[0-9]+", "", text.lower().replace("/", "")) if text else "")
-    # An article's own heading is no page header.
-    named = OWN_HEADING.sub(" ", text)
-    return signature, hidden or bool(named and ASIDE_NAMES.search(named)), bool(text and CONTENT_NAMES.search(text))
+    signature = tag + ("." + re.sub(r"[0-9/!~]+", "", text.lower()) if text else "")
+    # A heading is never aside by its name, and an article's own heading is no page header.
+    named = "" if tag in HEADINGS else (HEADING if inside else OWN_HEADING).sub(" ", text)
+    return signature, hidden, bool(named and ASIDE_NAMES.search(named))
 
 
 def read_page(page: str) -> tuple[list[str], list[tuple[str, str]]]:
     """(tokens, slots): block tags and slots in page order, and per slot (path, text).
 
     A token is a start tag's signature, ``/`` and an end tag, or ``#`` and a slot's path.  A path joins the signatures
-    of the open block elements by ``/``; one that ends up aside has ``!`` before its first such element.
+    of the open block elements by ``/``; an element that is aside by what it is has ``!`` before it, one that only its
+    name (or a form) makes so has ``~``, which the host's statistics confirm or not.  An article or main element clears
+    the ``~`` above it.
     """
     tokens: list[str] = []
     slots: list[tuple[str, str]] = []
     stack: list[tuple[str, str]] = []  # (tag, path below it)
     text: list[str] = []
     silent = 0  # depth of inline elements whose text isn't shown
-    remembered: dict[str, tuple[str, bool, bool]] = {}
+    remembered: dict[tuple[str, str, bool], tuple[str, bool, bool]] = {}
 
     def path() -> str:
         return stack[-1][1] if stack else ""
@@ -172,19 +180,21 @@ def read_page(page: str) -> tuple[list[str], list[tuple[str, str]]]:
                     break
             if tag == "hr":
                 continue
-            key = tag + " " + attributes
+            above = path()
+            inside = bool(INSIDE.search(above))
+            key = (tag, attributes, inside)
             named = remembered.get(key)
             if named is None:
-                named = remembered[key] = _named(tag, attributes)
-            signature, aside, _ = named
-            above = path()
-            inside = "/article" in above or "/main" in above
-            aside = aside or tag in ASIDE or (tag == "header" and not inside)
+                named = remembered[key] = _named(tag, attributes, inside)
+            signature, hidden, maybe = named
+            mark = "!" if hidden or tag in ASIDE or (tag == "header" and not inside) else "~" if maybe or tag in FORMS else ""
             # An article or body that is only named like something aside is still read.
-            if aside and tag in ("html", "body", "article", "main"):
-                aside = bool(attributes and HIDDEN.search(attributes))
+            if tag in ("html", "body", "article", "main"):
+                mark = "!" if attributes and HIDDEN.search(attributes) else ""
+                if tag in ("article", "main") and not maybe and not re.search(r"/article(?:[./]|$)", above):
+                    above = above.replace("/~", "/")
             tokens.append(signature)
-            stack.append((tag, f"{above}/{'!' if aside else ''}{signature}"))
+            stack.append((tag, f"{above}/{mark}{signature}"))
         else:
             if tag in SILENT and tag not in BLOCKS:
                 silent = max(0, silent - 1)
@@ -384,10 +394,11 @@ class Wrapper:
         self.follow[0] = dict.fromkeys(first)
         self.ends = set(last) | ({0} if nullable else set())
         self.steps: dict[tuple[tuple[int, ...], str], tuple[tuple[int, ...], tuple[int, ...]]] = {}
+        self.sums = self._sums((path, n) for _, path, n in self.slots if "/!" not in path)
         self.stands: dict[str, int | None] = {}
         self.words: dict[str, int] = {}  # varying words by path
         for place, path, n in self.slots:
-            if not self.labels[place] and "!" not in path:
+            if not self.labels[place] and not self._aside(path):
                 self.words[path] = self.words.get(path, 0) + n
         self.root: str | None = None
 
@@ -429,6 +440,23 @@ class Wrapper:
                 sums[key] = sums.get(key, 0) + n
         return sums
 
+    def _aside(self, path: str) -> bool:
+        """Whether a path is aside: by an element that is, or by one so named that holds no more than half of the host's
+        words in the article (main element, page) around it."""
+        if "/!" in path:
+            return True
+        at = path.find("/~")
+        while at >= 0:
+            end = path.find("/", at + 1)
+            element = path if end < 0 else path[:end]
+            around = ""
+            for m in INSIDE.finditer(path, 0, at + 1):
+                around = path[: path.find("/", m.start() + 1)]
+            if 0 < self.sums.get(around, 0) >= 2 * self.sums.get(element, 0):
+                return True
+            at = path.find("/~", at + 1)
+        return False
+
     def container(self) -> str:
         """The innermost element that holds most of the varying words."""
         total, best = sum(self.words.values()), ""
@@ -473,11 +501,11 @@ class Wrapper:
     def _stands(self, path: str) -> int | None:
         """Where a slot stands: in an article 0, main 1, something named like content 2, elsewhere 3; aside None."""
         if path not in self.stands:
-            if "!" in path:
+            if self._aside(path):
                 stands = None
             elif re.search(r"/article(?:[./]|$)", path):
                 stands = 0
-            elif re.search(r"/main(?:[./]|$)|\.(?:[^/]*\s)?main(?:[\s/]|$)", path):
+            elif re.search(r"/~?main(?:[./]|$)|\.(?:[^/]*\s)?main(?:[\s/]|$)", path):
                 stands = 1
             else:
                 stands = 2 if any(CONTENT_NAMES.search(s.partition(".")[2]) for s in path.split("/") if "." in s) else 3

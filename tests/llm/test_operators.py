@@ -218,6 +218,23 @@ def test_articles_keep_what_all_pages_say(spark, tag):
     assert {r.page_id: r.text for r in got} == {i: f"One title\nOne lead\nRevision {i}" for i in range(8)}
 
 
+def test_names_alone_remove_nothing():
+    text = lambda page: inferred_wrapper([page]).article(page)
+    long = "<div>" + "word " * 50 + "</div>"
+    for name in ('class="content with-sidebar"', 'class="post has-comments"'):
+        assert text(f"<body>{long}<div {name}><article><p>A b</p></article></div></body>") == "A b"
+        assert text(f"<body>{long}<main><div {name}><article><p>A b</p></article></div>{long}</main></body>") == "A b"
+        assert text(f"<body>{long}<div {name}><main><p>A b</p></main></div></body>") == "A b"
+    assert text("<body><div id='search-results'><p>One two three</p></div><div>x</div></body>") == "One two three"
+    assert text("<article><h1 class='page-header'>T</h1><p>One two three</p></article>") == "T\nOne two three"
+    assert text("<body><form id='page'><main><p>One two</p></main></form></body>") == "One two"
+    assert text("<article class='!mt-0'><p>One two</p></article>") == "One two"
+    # Names still count where the host's words agree.
+    comments = "<section class='comments'><article class='comment'><p>first</p></article></section>"
+    assert text(f"<body><article><p>One two three</p><div class='share'>Share</div>{comments}</article>{comments}</body>") == "One two three"
+    assert text(f"<body><main><p>One two three</p>{comments}</main></body>") == "One two three"
+
+
 def test_whole_pages(spark):
     got = {r.page_id: r for r in queries.QUERIES["op3_html_text"](spark, FOLDER).collect()}
     for page in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
