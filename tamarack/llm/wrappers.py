@@ -28,6 +28,7 @@ import re
 from collections.abc import Iterable, Iterator
 from urllib.parse import urlsplit
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,9 +67,8 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|
 TAG = re.compile(r"""</?([a-zA-Z][-\w:]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|</?([a-zA-Z][-\w:]*)([^>]*)>""")
 SPACES = re.compile(r"\s+")
 
-LONGEST_PERIOD = 24  # tokens of a repeated group
 FIXED_PAGES = 5  # pages from which a text that never changes is a label
-ALIGNED = 3_000_000  # cells of one alignment; longer streams are aligned by their common ends
+ALIGNED = 3_000_000  # cells of a table; longer alignments are cut where a longest one passes
 
 
 def host_of(url: str | None) -> str:
@@ -245,11 +245,14 @@ def varying(item: list) -> list:
 
 def fold(items: list[list]) -> list[list]:
     """Immediate repetitions as repeated groups, short ones first."""
-    for period in range(1, LONGEST_PERIOD + 1):
+    keys = [shape(i) for i in items]
+    codes, period = _codes(keys), 0
+    while 2 * (period + 1) <= len(items):
+        period += 1
         n = len(items)
-        if 2 * period > n:
-            break
-        keys = [shape(i) for i in items]
+        # Seldom enough places are alike for a group of that period.
+        if np.count_nonzero(codes[period:] == codes[:-period]) < period:
+            continue
         # How long, from each place, the stream goes on like it does one period later.
         run = [0] * (n + 1)
         for i in range(n - period - 1, -1, -1):
@@ -270,10 +273,18 @@ def fold(items: list[list]) -> list[list]:
             else:
                 out.append(items[i])
                 i += 1
-        items = out
+        if len(out) < n:
+            items, keys = out, [shape(x) for x in out]
+            codes = _codes(keys)
     return items
 
 
+def _codes(keys: list[str]) -> np.ndarray:
+    """Equal numbers for equal keys."""
+    numbers: dict[str, int] = {}
+    return np.array([numbers.setdefault(k, len(numbers)) for k in keys], np.int64)
+
+
 def expression(page: str) -> list[list]:
     """A page's own expression."""
     tokens, slots = read_page(page)
@@ -343,29 +354,53 @@ def _optional(items: list[list]) -> list[list]:
 
 def _middle(p: list[list], q: list[list]) -> list[list]:
     """The longest common subsequence of shapes, with optional runs between."""
-    n, m = len(p), len(q)
-    if not n or not m or n * m > ALIGNED:
-        return _optional(p) + _optional(q)
-    x, y = [shape(i) for i in p], [shape(i) for i in q]
+    out, i, j = [], 0, 0
+    for k, m in [*_matched([shape(x) for x in p], [shape(x) for x in q]), (len(p), len(q))]:
+        out += _optional(p[i:k]) + _optional(q[j:m])
+        if k < len(p):
+            out.append(united(p[k], q[m]))
+        i, j = k + 1, m + 1
+    return out
+
+
+def _matched(x: list[str], y: list[str]) -> list[tuple[int, int]]:
+    """The places of a longest common subsequence, in linear memory (Hirschberg)."""
+    n, m = len(x), len(y)
+    if not n or not m:
+        return []
+    if n > 1 and n * m > ALIGNED:
+        half = n // 2
+        cut = int(np.argmax(_lengths(x[:half], y) + _lengths(x[half:][::-1], y[::-1])[::-1]))
+        return _matched(x[:half], y[:cut]) + [(i + half, j + cut) for i, j in _matched(x[half:], y[cut:])]
     table = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         row, below = table[i], table[i + 1]
         for j in range(m - 1, -1, -1):
             row[j] = below[j + 1] + 1 if x[i] == y[j] else max(below[j], row[j + 1])
-    out, i, j, left, right = [], 0, 0, [], []
+    found, i, j = [], 0, 0
     while i < n and j < m:
         if x[i] == y[j]:
-            out += _optional(left) + _optional(right)
-            left, right = [], []
-            out.append(united(p[i], q[j]))
+            found.append((i, j))
             i, j = i + 1, j + 1
         elif table[i + 1][j] >= table[i][j + 1]:
-            left.append(p[i])
             i += 1
         else:
-            right.append(q[j])
             j += 1
-    return out + _optional(left + p[i:]) + _optional(right + q[j:])
+    return found
+
+
+def _lengths(x: list[str], y: list[str]) -> np.ndarray:
+    """How long a common subsequence x has with each beginning of y: a row of the table as bits of one number."""
+    at: dict[str, int] = {}
+    for j, c in enumerate(y):
+        at[c] = at.get(c, 0) | 1 << j
+    full = (1 << len(y)) - 1
+    row = full
+    for c in x:
+        same = row & at.get(c, 0)
+        row = ((row + same) | (row - same)) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(y) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(y)]
+    return np.concatenate([[0], np.cumsum(bits == 0)])
 
 
 def inferred(expressions: list[list[list]]) -> list[list]:

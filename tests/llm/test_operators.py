@@ -235,6 +235,21 @@ def test_names_alone_remove_nothing():
     assert text(f"<body><main><p>One two three</p>{comments}</main></body>") == "One two three"
 
 
+def test_long_streams_are_aligned_and_folded_as_short_ones(monkeypatch):
+    rng = random.Random(6)
+    streams = [[["t", rng.choice("abcde")] for _ in range(n)] for n in (90, 70)]
+    whole = [sum(i[0] == "t" for i in wrappers._middle(*streams))]
+    monkeypatch.setattr(wrappers, "ALIGNED", 40)
+    cut = wrappers._middle(*streams)
+    assert [sum(i[0] == "t" for i in cut)] == whole and whole[0] > 30
+    flat = lambda items: sum(([i[1]] if i[0] == "t" else flat(i[1]) for i in items), [])
+    assert len(flat(cut)) == 90 + 70 - whole[0]
+    # A repeated group of 60 items.
+    body = [["t", f"x{i}"] for i in range(59)] + [["s", "/p", "d", 1, 1]]
+    folded = wrappers.fold(body * 3 + [["t", "end"]])
+    assert [i[0] for i in folded] == ["+", "t"] and len(folded[0][1]) == 60
+
+
 def test_whole_pages(spark):
     got = {r.page_id: r for r in queries.QUERIES["op3_html_text"](spark, FOLDER).collect()}
     for page in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
