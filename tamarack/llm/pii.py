@@ -1,10 +1,12 @@
 """Personal data: fixed patterns, widened by bootstrapped contextual extraction.
 
 The fixed patterns give *base* spans (e-mail, IP, card and phone), which seed the bootstrap.  A seed's left
-context (its last one and last two words) becomes a lexical pattern.  Patterns and the identifier-like tokens that
-follow them form a bipartite graph over the whole corpus; for some rounds a pattern's confidence is the share of
-its instances that are believed to be of a kind, and a token's belief is the noisy-or of its patterns.  Tokens that
-reach the threshold become further spans; base spans always stay.
+context (its last one and last two words) and right context (its first one and first two) become lexical patterns.
+Patterns and the candidates beside them form a bipartite graph over the whole corpus.  Candidates are identifier-like
+tokens and runs of such tokens with single spaces between, whose context is that of the run.  For some rounds a
+pattern's confidence is the share of its instances that are believed to be of a kind, and a candidate's belief is the
+noisy-or of its patterns.  Candidates that reach the threshold become further spans, a run before the tokens in it; base
+spans always stay.
 
 Text is read once; what follows works on tables of occurrences, which are small.  Everything is JVM-side.
 
@@ -32,18 +34,23 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
-CANDIDATE = rf"(?<![^{SPACE}])[^{SPACE}]*[0-9@][^{SPACE}]*"
-CONTEXT_CHARS = 80  # how far left of a span its context is looked for
+# An identifier-like token: with a digit, an @, or a sign other than a hyphen or an apostrophe between its letters.
+CANDIDATE = rf"(?<![^{SPACE}])(?=[^{SPACE}]*?(?:[0-9@]|[A-Za-z][^A-Za-z0-9{SPACE}'’-]++[A-Za-z]))[^{SPACE}]++"
+CONTEXT_CHARS = 80  # how far left and right of a span its context is looked for
 
 
 def _found(text: Column, pattern: str, when: Column) -> Column:
-    """Matches as (gap since the last match, value, left context)."""
+    """Matches as (gap since the last match, value, left context, right context)."""
     gaps, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    near = F.lit(CONTEXT_CHARS)
     pairs = F.zip_with(
-        F.slice(gaps, 1, F.size(values)),
+        F.arrays_zip(F.slice(gaps, 1, F.size(values)).alias("gap"), F.slice(gaps, 2, F.size(values)).alias("next")),
         values,
         lambda g, v: F.struct(
-            F.length(g).cast("long").alias("gap"), v.alias("value"), F.right(g, F.lit(CONTEXT_CHARS)).alias("left")
+            F.length(g["gap"]).cast("long").alias("gap"),
+            v.alias("value"),
+            F.right(g["gap"], near).alias("left"),
+            F.left(g["next"], near).alias("right"),
         ),
     )
     return F.when(when & (F.size(values) > 0), pairs)
@@ -73,7 +80,7 @@ def _valid(kind: Column, value: Column) -> Column:
 
 
 def _occurrences(found: DataFrame) -> DataFrame:
-    """(uid, kind, start, end, value, left) of all matches and candidates; kind is null for candidates."""
+    """(uid, kind, start, end, value, left, right) of all matches and candidate tokens, whose kind is other."""
     each = None
     for kind in (*KINDS, "other"):
         rows = found.filter(F.col(kind).isNotNull()).select("uid", F.lit(kind).alias("kind"), F.posexplode(kind).alias("i", "m"))
@@ -81,28 +88,75 @@ def _occurrences(found: DataFrame) -> DataFrame:
     length = F.length("m.value").cast("long")
     end = F.sum(F.col("m.gap") + length).over(Window.partitionBy("uid", "kind").orderBy("i"))
     return each.withColumn("end", end).select(
-        "uid", "kind", (F.col("end") - length).alias("start"), "end", F.col("m.value").alias("value"), F.col("m.left").alias("left")
+        "uid",
+        "kind",
+        (F.col("end") - length).alias("start"),
+        "end",
+        F.col("m.value").alias("value"),
+        F.col("m.left").alias("left"),
+        F.col("m.right").alias("right"),
     )
 
 
-def _trimmed(occurrences: DataFrame) -> DataFrame:
-    """Candidates without the punctuation around them."""
-    lead = F.length(F.regexp_extract("value", r"^[^A-Za-z0-9+@]*", 0))
-    core = F.regexp_extract("value", r"^[^A-Za-z0-9+@]*+(.*?)[^A-Za-z0-9]*$", 1)
+def _free(base: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(uid, start, end, value, left, right) of the tokens that no base span of their document overlaps."""
+    columns = ["uid", "start", "end", "value", "left", "right"]
+    marked = base.select(*columns, F.lit(True).alias("is_base")).unionByName(tokens.select(*columns, F.lit(False).alias("is_base")))
+    # The furthest end before it, the next start after.
+    by_start = Window.partitionBy("uid").orderBy("start", F.col("is_base").desc(), "end")
+    reach = F.max(F.when(F.col("is_base"), F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    # From the end, as a frame that has no end is read anew for every row.
+    from_end = Window.partitionBy("uid").orderBy(F.col("start").desc(), "is_base", F.col("end").desc())
+    upcoming = F.min(F.when(F.col("is_base"), F.col("start"))).over(from_end.rowsBetween(Window.unboundedPreceding, -1))
+    apart = (F.coalesce("reach", F.lit(0)) <= F.col("start")) & (F.coalesce("upcoming", F.col("end")) >= F.col("end"))
+    return marked.withColumns({"reach": reach, "upcoming": upcoming}).filter(~F.col("is_base") & apart).select(*columns)
+
+
+def _runs(tokens: DataFrame) -> DataFrame:
+    """Runs of two tokens or more, with one space between each and the next."""
+    by_start = Window.partitionBy("uid").orderBy("start")
+    follows = (F.lag("end").over(by_start) == F.col("start") - 1) & (F.col("left") == " ")
+    numbered = tokens.withColumn("begins", F.when(follows, 0).otherwise(1)).withColumn("run", F.sum("begins").over(by_start))
+    parts = F.array_sort(F.collect_list(F.struct("start", "value")))
+    return (
+        numbered.groupBy("uid", "run")
+        .agg(
+            F.min("start").alias("start"),
+            F.max("end").alias("end"),
+            F.concat_ws(" ", F.transform(parts, lambda t: t["value"])).alias("value"),
+            F.min_by("left", "start").alias("left"),
+            F.max_by("right", "start").alias("right"),
+            F.count("*").alias("n"),
+        )
+        .filter("n > 1")
+        .drop("run", "n")
+    )
+
+
+def _trimmed(candidates: DataFrame) -> DataFrame:
+    """Candidates without the punctuation around them; a bracket that is closed inside of one stays."""
+    opening = r"(?:\((?=[^()]*+\)[^A-Za-z0-9]*+[A-Za-z0-9]))?"
+    lead = F.length(F.regexp_extract("value", rf"^([^A-Za-z0-9+@]*?){opening}[A-Za-z0-9+@]", 1))
+    core = F.regexp_extract("value", rf"^[^A-Za-z0-9+@]*?({opening}[A-Za-z0-9+@].*?)[^A-Za-z0-9]*$", 1)
     return (
-        occurrences.withColumns({"start": F.col("start") + lead, "value": core})
+        candidates.withColumns({"start": F.col("start") + lead, "value": core})
         .withColumn("end", F.col("start") + F.length("value"))
         .filter(F.length("value") >= 4)
     )
 
 
-def _patterns(left: Column) -> Column:
-    """The last one and the last two words, lower case, as lexical patterns."""
-    words = F.filter(F.split(F.lower(left), rf"[{SPACE}]+"), lambda w: w != "")
-    n = F.size(words)
-    last = F.when(n >= 1, F.element_at(words, -1))
-    two = F.when(n >= 2, F.concat_ws(" ", F.element_at(words, -2), F.element_at(words, -1)))
-    return F.filter(F.array(last, two), lambda w: w.isNotNull())
+def _patterns(left: Column, right: Column) -> Column:
+    """The last one and two words before, and the first one and two after, lower case, as lexical patterns."""
+    words = lambda text: F.filter(F.split(F.lower(text), rf"[{SPACE}]+"), lambda w: w != "")
+    before, after = words(left), words(right)
+    some = lambda n, x: F.when(n, F.concat_ws(" ", *x))
+    found = F.array(
+        some(F.size(before) >= 1, [F.element_at(before, -1), F.lit("_")]),
+        some(F.size(before) >= 2, [F.element_at(before, -2), F.element_at(before, -1), F.lit("_")]),
+        some(F.size(after) >= 1, [F.lit("_"), F.element_at(after, 1)]),
+        some(F.size(after) >= 2, [F.lit("_"), F.element_at(after, 1), F.element_at(after, 2)]),
+    )
+    return F.filter(found, lambda w: w.isNotNull())
 
 
 def bootstrap(
@@ -110,14 +164,14 @@ def bootstrap(
 ) -> DataFrame:
     """(value, kind) of candidate values that high-confidence patterns reach.
 
-    ``base``: (kind, value, left) of seeds; ``candidates``: (value, left).  A pattern counts for a kind once it has
+    ``base``: (kind, value, left, right) of seeds; ``candidates``: (value, left, right).  A pattern counts for a kind once it has
     ``min_seeds`` different believed instances; its confidence is their share of all its different instances.
     """
     seeds = base.select("value", "kind", F.lit(1.0).alias("belief")).distinct()
     edges = Stage(
-        base.select("value", "left")
-        .unionByName(candidates.select("value", "left"))
-        .select("value", F.explode(_patterns(F.col("left"))).alias("pattern"))
+        base.select("value", "left", "right")
+        .unionByName(candidates.select("value", "left", "right"))
+        .select("value", F.explode(_patterns(F.col("left"), F.col("right"))).alias("pattern"))
         .distinct(),
         "pii-edges",
     )
@@ -165,27 +219,25 @@ def find_pii(docs: DataFrame, **bootstrap_options) -> DataFrame:
             F.monotonically_increasing_id().alias("uid"),
             "doc_id",
             *[_found(text, PATTERNS[k], text.contains(NEEDS[k]) & (digit if k != "email" else F.lit(True))).alias(k) for k in KINDS],
-            _found(text, CANDIDATE, digit | text.contains("@")).alias("other"),
+            _found(text, CANDIDATE, F.lit(True)).alias("other"),
         ),
         "pii-found",
     )
     occurrences = Stage(_occurrences(found.df).filter(_valid(F.col("kind"), F.col("value"))), "pii-occurrences").df
     base = occurrences.filter(F.col("kind") != "other")
-    # A candidate is free if no base span of its document overlaps it: the furthest end before it, the next start after.
-    marked = base.select("uid", "start", "end", F.lit(True).alias("is_base"), "value", "left").unionByName(
-        _trimmed(occurrences.filter(F.col("kind") == "other")).select("uid", "start", "end", F.lit(False).alias("is_base"), "value", "left")
+    # Base spans overlap single tokens only, so a run is what stands between them.
+    tokens = Stage(_free(base, occurrences.filter(F.col("kind") == "other")), "pii-tokens").df
+    # Trimmed tokens may be free where the whole ones aren't.
+    single = _free(base, _trimmed(occurrences.filter(F.col("kind") == "other")))
+    free = Stage(single.unionByName(_trimmed(_runs(tokens)).select(single.columns)), "pii-free").df
+    discovered = bootstrap(base.select("kind", "value", "left", "right"), free, **bootstrap_options)
+    reached = free.join(discovered, "value").select("uid", "kind", "start", "end", "value")
+    # A run goes before the tokens in it.
+    wider = Window.partitionBy("uid").orderBy("start", F.col("end").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    covered = F.coalesce(F.max("end").over(wider), F.lit(0))
+    extra = reached.withColumn("covered", covered).filter(F.col("covered") <= F.col("start")).select(
+        "uid", "kind", "start", "end", "value", F.lit(False).alias("is_base")
     )
-    by_start = Window.partitionBy("uid").orderBy("start", F.col("is_base").desc(), "end")
-    reach = F.max(F.when(F.col("is_base"), F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    upcoming = F.min(F.when(F.col("is_base"), F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing))
-    free = Stage(
-        marked.withColumns({"reach": reach, "upcoming": upcoming})
-        .filter(~F.col("is_base") & (F.coalesce("reach", F.lit(0)) <= F.col("start")) & (F.coalesce("upcoming", F.col("end")) >= F.col("end")))
-        .select("uid", "start", "end", "value", "left"),
-        "pii-free",
-    ).df
-    discovered = bootstrap(base.select("kind", "value", "left"), free, **bootstrap_options)
-    extra = free.join(discovered, "value").select("uid", "kind", "start", "end", "value", F.lit(False).alias("is_base"))
     order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")
     span = F.struct("start", order.alias("order"), "end", "kind", "value")
     each = base.select("uid", "kind", "start", "end", "value", F.lit(True).alias("is_base")).unionByName(extra).groupBy("uid").agg(

@@ -124,6 +124,21 @@ def test_pii_bootstrap_discovers(spark):
     assert found[12] == f"email:{start}:{start + len('u99@intranet')}"
 
 
+def test_pii_discovers_runs_and_right_contexts(spark):
+    seeds = [f"word{'abcdefghijkl'[i]} call +1 (705) 555-55{i + 10} today please" for i in range(12)]
+    seeds += [f"{'abcdefghijkl'[i]} u{i}@host{i}.org wrote back" for i in range(12)]
+    texts = [
+        ("someone should call (521) 555-6210 tomorrow", "phone", "(521) 555-6210"),
+        ("call 521 555 62104", "phone", "521 555 62104"),
+        ("then jane[at]host.org wrote back", "email", "jane[at]host.org"),
+        ("then (joe@intranet) wrote back", "email", "joe@intranet"),
+    ]
+    rows = [(i, t) for i, t in enumerate(seeds + [t for t, _, _ in texts])]
+    found = {r.doc_id: r.spans for r in pii.op1(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (text, kind, value) in enumerate(texts, len(seeds)):
+        assert found[i] == f"{kind}:{text.index(value)}:{text.index(value) + len(value)}"
+
+
 def test_tool_calls_order_and_validation(spark):
     calls = spark.createDataFrame(
         [
