@@ -3,9 +3,9 @@
 The fixed patterns give *base* spans (e-mail, IP, card and phone), which seed the bootstrap.  A seed's left
 context (its last one and last two words) and right context (its first one and first two) become lexical patterns.
 Patterns and the candidates beside them form a bipartite graph over the whole corpus.  Candidates are identifier-like
-tokens and runs of such tokens with single spaces between, whose context is that of the run.  For some rounds a
+tokens and runs of such tokens with single spaces between, whose context is that of the run.  In each round a
 pattern's confidence is the share of its instances that are believed to be of a kind, and a candidate's belief is the
-noisy-or of its patterns.  Candidates that reach the threshold become further spans, a run before the tokens in it; base
+noisy-or of its patterns, until nothing changes.  Candidates that reach the threshold become further spans, a run before the tokens in it; base
 spans always stay.
 
 Text is read once; what follows works on tables of occurrences, which are small.  Everything is JVM-side.
@@ -160,12 +160,13 @@ def _patterns(left: Column, right: Column) -> Column:
 
 
 def bootstrap(
-    base: DataFrame, candidates: DataFrame, *, rounds: int = 3, min_seeds: int = 4, confidence: float = 0.8
+    base: DataFrame, candidates: DataFrame, *, min_seeds: int = 4, confidence: float = 0.8, tolerance: float = 1e-3
 ) -> DataFrame:
     """(value, kind) of candidate values that high-confidence patterns reach.
 
     ``base``: (kind, value, left, right) of seeds; ``candidates``: (value, left, right).  A pattern counts for a kind once it has
-    ``min_seeds`` different believed instances; its confidence is their share of all its different instances.
+    ``min_seeds`` different believed instances; its confidence is their share of all its different instances.  Rounds go
+    on until none changes a kind or raises a belief by more than the tolerance; beliefs never fall, so they settle.
     """
     seeds = base.select("value", "kind", F.lit(1.0).alias("belief")).distinct()
     edges = Stage(
@@ -175,15 +176,16 @@ def bootstrap(
         .distinct(),
         "pii-edges",
     )
-    known = Stage(seeds, "pii-belief")
+    first = Stage(seeds, "pii-belief").df
     sizes = edges.df.groupBy("pattern").agg(F.count("*").alias("instances"))
     # Patterns of one instance can't reach anything; the rest is what is iterated over.
     live = Stage(edges.df.join(sizes.filter(F.col("instances") > min_seeds), "pattern"), "pii-graph")
     edges.drop()
-    first = known.df
-    for _ in range(rounds):
+    found = Stage(first.limit(0), "pii-reached")
+    moved = 1
+    while moved:
         scored = (
-            live.df.join(known.df, "value")
+            live.df.join(first.unionByName(found.df), "value")
             .groupBy("pattern", "kind")
             .agg(F.sum("belief").alias("mass"), F.count("*").alias("believed"), F.max("instances").alias("instances"))
             .select("pattern", "kind", (F.col("mass") / F.col("instances")).alias("conf"), "believed")
@@ -195,15 +197,21 @@ def bootstrap(
             .groupBy("value", "kind")
             .agg((1 - F.exp(doubt)).alias("belief"))
             .join(first.select("value"), "value", "left_anti")
+            .select("value", "kind", "belief", F.lit(False).alias("known"))
+        )
+        rank = F.struct("belief", F.translate("kind", "eicp", "zyxw"))
+        better = (
+            reached.unionByName(found.df.withColumn("known", F.lit(True)))
             .groupBy("value")
-            .agg(F.max_by(F.struct("kind", "belief"), F.struct("belief", F.translate("kind", "eicp", "zyxw"))).alias("b"))
-            .select("value", "b.kind", "b.belief")
+            .agg(F.max_by(F.struct("kind", "belief"), rank).alias("b"), F.max(F.when(F.col("known"), F.struct("belief", "kind"))).alias("before"))
         )
-        following = Stage(first.unionByName(reached), "pii-belief")
-        if known.df is not first:
-            known.drop()
-        known = following
-    return known.df.join(first.select("value"), "value", "left_anti").filter(F.col("belief") >= confidence).select("value", "kind")
+        changed = (F.col("b.belief") - F.col("before.belief") > tolerance) | (F.col("b.kind") != F.col("before.kind"))
+        better = better.select("value", "b.kind", "b.belief", F.coalesce(changed, F.lit(True)).alias("changed"))
+        following = Stage(better, "pii-reached", {"moved": F.sum(F.col("changed").cast("long"))})
+        found.drop()
+        moved = following.sums["moved"] or 0
+        following.df, found = following.df.drop("changed"), following
+    return found.df.filter(F.col("belief") >= confidence).select("value", "kind")
 
 
 def find_pii(docs: DataFrame, **bootstrap_options) -> DataFrame:

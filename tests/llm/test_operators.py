@@ -139,6 +139,18 @@ def test_pii_discovers_runs_and_right_contexts(spark):
         assert found[i] == f"{kind}:{text.index(value)}:{text.index(value) + len(value)}"
 
 
+def test_pii_bootstrap_goes_on_until_settled(spark):
+    # Each value of a level stands behind a word that all values of the level before stand behind: four levels.
+    levels = [[f"v{k}x{i}" for i in range(20 if k < 4 else 1)] for k in range(5)]
+    base = [("email", v, "", "") for v in levels[0]]
+    others = [(w, f"after{v}", "") for a, b in zip(levels, levels[1:]) for v in b for w in (*a, v)]
+    found = pii.bootstrap(
+        spark.createDataFrame(base, "kind string, value string, left string, right string"),
+        spark.createDataFrame(others, "value string, left string, right string"),
+    )
+    assert {tuple(r) for r in found.collect()} == {(v, "email") for level in levels[1:] for v in level}
+
+
 def test_tool_calls_order_and_validation(spark):
     calls = spark.createDataFrame(
         [
