@@ -600,12 +600,18 @@ def op10(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without all but one of each component, that of the smallest id; all columns are kept.
+    """The documents without all but one row of each component: that of the smallest id, one without an id last.
 
-    Rows that share that id all stay, as do rows without an id.
+    All columns are kept.  Of rows that share the smallest id one stays.
     """
-    gone = components(docs).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    gone = Stage(gone, "near-copies").df
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-
-
+    # Rows are named by a written key, as ids may be missing or shared.
+    keyed = Stage(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows").df
+    placed = components(keyed.select(F.col("_row").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_component")
+    )
+    placed = Stage(placed, "near-placed").df
+    wanted = F.col("doc_id").cast("long")
+    first = F.min_by("_row", F.struct(wanted.isNull(), wanted, "_row")).alias("_first")
+    kept = keyed.select("_row", "doc_id").join(placed, "_row").groupBy("_component").agg(first)
+    gone = Stage(placed.join(kept, "_component").filter(F.col("_row") != F.col("_first")).select("_row"), "near-copies").df
+    return keyed.join(gone, "_row", "left_anti").drop("_row")

@@ -472,6 +472,15 @@ def test_near_duplicates_odd_rows(odd):
     assert jaccard.keep_one(odd).columns == odd.columns
 
 
+def test_one_row_of_each_component_stays(spark):
+    near = [" ".join(["same"] + [f"w{i}" for i in range(60)] + [f"end{k}"]) for k in range(4)]
+    other = " ".join(f"z{i}" for i in range(40))
+    rows = [(None, near[0], "a"), (7, near[1], "b"), (7, near[2], "c"), (9, near[3], "d"), (None, other, "e"), (None, other + " x", "f"), (None, "", "g"), (3, "", "h")]
+    got = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    ids = sorted((r.doc_id is None, r.doc_id or 0, r.text == "") for r in got)
+    assert ids == [(False, 3, True), (False, 7, False), (True, 0, False), (True, 0, True)]
+
+
 def test_boundary_follows_cost():
     few = {n: 1 for n in range(1, 40)}
     assert jaccard.boundary(few, 1000.0, [1e9, 1e9, 1e9, 1e9, 0.0]) == 32
