@@ -35,22 +35,19 @@ PATTERNS = {
 }
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 # An identifier-like token: with a digit, an @, or a sign other than a hyphen or an apostrophe between its letters.
-CANDIDATE = rf"(?<![^{SPACE}])(?=[^{SPACE}]*?(?:[0-9@]|[A-Za-z][^A-Za-z0-9{SPACE}'’-]++[A-Za-z]))[^{SPACE}]++"
+CANDIDATE = rf"(?<![^{SPACE}])(?=[^{SPACE}]*?(?:[0-9@]|\p{{L}}[^\p{{L}}\p{{M}}\p{{N}}{SPACE}'’-]++\p{{L}}))[^{SPACE}]++"
 CONTEXT_CHARS = 80  # how far left and right of a span its context is looked for
 
 
 def _found(text: Column, pattern: str, when: Column) -> Column:
-    """Matches as (gap since the last match, value, left context, right context)."""
+    """Matches as (gap since the last match, value, left context, gap's beginning), and what follows the last one."""
     gaps, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     near = F.lit(CONTEXT_CHARS)
     pairs = F.zip_with(
-        F.arrays_zip(F.slice(gaps, 1, F.size(values)).alias("gap"), F.slice(gaps, 2, F.size(values)).alias("next")),
+        gaps,
         values,
         lambda g, v: F.struct(
-            F.length(g["gap"]).cast("long").alias("gap"),
-            v.alias("value"),
-            F.right(g["gap"], near).alias("left"),
-            F.left(g["next"], near).alias("right"),
+            F.length(g).cast("long").alias("gap"), v.alias("value"), F.right(g, near).alias("left"), F.left(g, near).alias("head")
         ),
     )
     return F.when(when & (F.size(values) > 0), pairs)
@@ -86,15 +83,10 @@ def _occurrences(found: DataFrame) -> DataFrame:
         rows = found.filter(F.col(kind).isNotNull()).select("uid", F.lit(kind).alias("kind"), F.posexplode(kind).alias("i", "m"))
         each = rows if each is None else each.unionByName(rows)
     length = F.length("m.value").cast("long")
-    end = F.sum(F.col("m.gap") + length).over(Window.partitionBy("uid", "kind").orderBy("i"))
-    return each.withColumn("end", end).select(
-        "uid",
-        "kind",
-        (F.col("end") - length).alias("start"),
-        "end",
-        F.col("m.value").alias("value"),
-        F.col("m.left").alias("left"),
-        F.col("m.right").alias("right"),
+    by_place = Window.partitionBy("uid", "kind").orderBy("i")
+    each = each.withColumns({"end": F.sum(F.col("m.gap") + length).over(by_place), "right": F.lead("m.head").over(by_place)})
+    return each.filter("m.value IS NOT NULL").select(
+        "uid", "kind", (F.col("end") - length).alias("start"), "end", F.col("m.value").alias("value"), F.col("m.left").alias("left"), "right"
     )
 
 
