@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from tamarack.llm import chunking, exact, jaccard, mixing, pii, quality, sentencepiece_fst, toolcalls, toxicity, wrappers
+from tamarack.llm import (
+    chunking,
+    exact,
+    jaccard,
+    mixing,
+    pii,
+    quality,
+    reputation,
+    sentencepiece_fst,
+    toolcalls,
+    toxicity,
+    wrappers,
+)
 from tamarack.plans.registry import registry
 from tamarack.sources.tables import table
 
@@ -57,3 +69,8 @@ def op10_near_duplicates(spark, sf_dir):
 @register("op3_html_text")
 def op3_html_text(spark, sf_dir):
     return wrappers.op3(table(spark, sf_dir, "pages"))
+
+
+@register("op13_url_filters", reputation.ORACLE)
+def op13_url_filters(spark, sf_dir):
+    return reputation.op13(table(spark, sf_dir, "pages"))
