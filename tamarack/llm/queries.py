@@ -6,6 +6,7 @@ from tamarack.llm import (
     chunking,
     exact,
     jaccard,
+    merkle,
     mixing,
     pii,
     quality,
@@ -74,3 +75,8 @@ def op3_html_text(spark, sf_dir):
 @register("op13_url_filters", reputation.ORACLE)
 def op13_url_filters(spark, sf_dir):
     return reputation.op13(table(spark, sf_dir, "pages"))
+
+
+@register("op11_merkle_manifest", merkle.ORACLE)
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.op11(table(spark, sf_dir, "documents"))
