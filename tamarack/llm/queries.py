@@ -8,6 +8,7 @@ from tamarack.llm import (
     jaccard,
     merkle,
     mixing,
+    periods,
     pii,
     quality,
     reputation,
@@ -80,3 +81,8 @@ def op13_url_filters(spark, sf_dir):
 @register("op11_merkle_manifest", merkle.ORACLE)
 def op11_merkle_manifest(spark, sf_dir):
     return merkle.op11(table(spark, sf_dir, "documents"))
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    return periods.op12(table(spark, sf_dir, "documents"))
