@@ -1,15 +1,19 @@
 """Training by full-batch descent, binomial mixtures and scoring.
 
 One step is one pass over packed rows: every task adds up its part of the loss and of the gradient
-with NumPy, and one row per weight and task is summed by Spark.  Only sums of the model's size reach
-the driver.
+with NumPy, and the parts are summed in a tree of tasks, by blocks of weights.  The driver gets each
+block once, whatever the number of tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +21,11 @@ from tamarack.functions.numeric import binomial_log_odds, sigmoid
 from tamarack.operators.text import pack_vectors
 from tamarack.staging import Stage, broadcast_if_bounded
 
-# Slots of a pass that are not weights.
-LOSS, RESIDUAL, ROWS = -1, -2, -3
+# Sums of a pass that stand before those of the weights.
+LOSS, RESIDUAL, ROWS, SUMS = 0, 1, 2, 3
+# Sums that go through the tree together, and parts that one task of it adds up.
+BLOCK, FAN_IN = 1 << 16, 32
+PART = "part long, block long, sums binary"
 
 
 @dataclass
@@ -38,12 +45,72 @@ def weight_table(spark: SparkSession, weights: np.ndarray) -> DataFrame:
     return spark.createDataFrame(rows, "idx long, weight double")
 
 
-def _sum_slots(partial: DataFrame, size: int) -> tuple[np.ndarray, dict[int, float]]:
-    sums = partial.groupBy("slot").agg(F.sum("total").alias("total")).toPandas()
-    grad = np.zeros(size)
-    at = sums["slot"].to_numpy()
-    grad[at[at >= 0]] = sums["total"].to_numpy()[at >= 0]
-    return grad, {int(s): float(t) for s, t in zip(sums["slot"], sums["total"]) if s < 0}
+def blocks_of(sums: np.ndarray) -> pa.RecordBatch:
+    """A task's sums, cut into blocks, under the number of the task."""
+    starts = range(0, len(sums), BLOCK)
+    part = TaskContext.get().partitionId()
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([part] * len(starts), pa.int64()),
+            pa.array([s // BLOCK for s in starts], pa.int64()),
+            pa.array([sums[s : s + BLOCK].tobytes() for s in starts], pa.binary()),
+        ],
+        names=["part", "block", "sums"],
+    )
+
+
+def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of the blocks (part, block, sums) that lie next to each other under one part and block."""
+    key, total = None, None
+    for b in batches:
+        for part, block, sums in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            here = np.frombuffer(sums)
+            if key == (part, block):
+                total += here
+                continue
+            if key is not None:
+                yield _block(key, total)
+            key, total = (part, block), here.copy()
+    if key is not None:
+        yield _block(key, total)
+
+
+def _block(key: tuple[int, int], total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]]), pa.array([total.tobytes()])], names=["part", "block", "sums"])
+
+
+def summed(parts: DataFrame, tasks: int, size: int) -> np.ndarray:
+    """The sum of ``tasks`` vectors of ``size`` numbers, each given in blocks (part, block, sums).
+
+    Levels of tasks add up ``FAN_IN`` parts of a block each, until every block has one part.
+    """
+    blocks = -(-size // BLOCK)
+    while True:
+        tasks = -(-tasks // FAN_IN)
+        grouped = parts.select(F.expr(f"part div {FAN_IN}").alias("part"), "block", "sums")
+        grouped = grouped.repartition(tasks * blocks, "part", "block").sortWithinPartitions("part", "block")
+        parts = grouped.mapInArrow(_add_blocks, PART)
+        if tasks == 1:
+            break
+    out = np.zeros(size)
+    for row in parts.select("block", "sums").toLocalIterator() if blocks > FAN_IN else parts.select("block", "sums").collect():
+        here = np.frombuffer(row["sums"])
+        out[row["block"] * BLOCK : row["block"] * BLOCK + len(here)] = here
+    return out
+
+
+def partitions(rows: DataFrame) -> int:
+    return max(1, rows.rdd.getNumPartitions())
+
+
+@contextmanager
+def laid_out(rows: DataFrame) -> Iterator[tuple[DataFrame, int]]:
+    """The rows of many passes, kept by the executors as far as they have room, and their partitions."""
+    held = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held, partitions(held)
+    finally:
+        held.unpersist()
 
 
 def sparse_rows(features: DataFrame, labels: DataFrame, *, doc: str = "doc_id") -> Stage:
@@ -76,18 +143,20 @@ class Standardiser:
         return cls(mean, std)
 
 
-def logistic_pass(rows: DataFrame, weights: np.ndarray, scaler: Standardiser, reg: float) -> tuple[float, np.ndarray]:
-    """Mean logistic loss + reg |r|^2 / n, and its gradient, in one pass over packed rows."""
+def logistic_pass(
+    rows: DataFrame, weights: np.ndarray, scaler: Standardiser, reg: float, tasks: int | None = None
+) -> tuple[float, np.ndarray]:
+    """Mean logistic loss + reg |r|^2 / n, and its gradient, in one pass over packed rows.
+
+    ``tasks`` is the number of partitions of the rows, if known.
+    """
     size = len(weights)
     scaled = weights * scaler.scale
     offset = float(scaled @ scaler.mean)
-    loss_slot, residual_slot, rows_slot = LOSS, RESIDUAL, ROWS
 
     def add_up(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        grad, loss, residual, n = np.zeros(size), 0.0, 0.0, 0
+        sums = np.zeros(SUMS + size)
+        grad = sums[SUMS:]
         for b in batches:
             sizes = b.column("idx").value_lengths().to_numpy(zero_copy_only=False)
             idx = b.column("idx").flatten().to_numpy(zero_copy_only=False)
@@ -97,52 +166,45 @@ def logistic_pass(rows: DataFrame, weights: np.ndarray, scaler: Standardiser, re
             theta = np.bincount(row, val * scaled[idx], len(y)) - offset
             e = np.exp(-np.abs(theta))
             residuals = np.where(theta >= 0, 1.0 / (1.0 + e), e / (1.0 + e)) - y
-            loss += float(np.sum(np.maximum(theta, 0.0) + np.log1p(e) - y * theta))
             grad += np.bincount(idx, val * residuals[row], size)
-            residual += float(residuals.sum())
-            n += len(y)
-        at = np.flatnonzero(grad)
-        slots = np.concatenate([at, [loss_slot, residual_slot, rows_slot]]).astype(np.int64)
-        totals = np.concatenate([grad[at], [loss, residual, float(n)]])
-        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(totals)], names=["slot", "total"])
-
-    grad, sums = _sum_slots(rows.select("label", "idx", "val").mapInArrow(add_up, "slot long, total double"), size)
-    n = sums[rows_slot]
-    full = (grad - scaler.mean * sums[residual_slot]) * scaler.scale
+            sums[LOSS] += float(np.sum(np.maximum(theta, 0.0) + np.log1p(e) - y * theta))
+            sums[RESIDUAL] += float(residuals.sum())
+            sums[ROWS] += len(y)
+        yield blocks_of(sums)
+
+    taken = rows.select("label", "idx", "val")
+    sums = summed(taken.mapInArrow(add_up, PART), tasks or partitions(taken), SUMS + size)
+    n = sums[ROWS]
+    full = (sums[SUMS:] - scaler.mean * sums[RESIDUAL]) * scaler.scale
     return (
-        (sums[loss_slot] + reg * float(weights @ weights)) / n,
+        float((sums[LOSS] + reg * float(weights @ weights)) / n),
         (full + 2.0 * reg * weights) / n,
     )
 
 
-def hinge_pass(rows: DataFrame, weights: np.ndarray, c: float) -> tuple[float, np.ndarray]:
+def hinge_pass(rows: DataFrame, weights: np.ndarray, c: float, tasks: int | None = None) -> tuple[float, np.ndarray]:
     """Regularised hinge loss and sub-gradient over (label, features) rows; penalty 1/(n c)."""
     size = len(weights)
-    loss_slot, rows_slot = LOSS, ROWS
 
     def add_up(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        grad, loss, n = np.zeros(size), 0.0, 0
+        sums = np.zeros(SUMS + size)
         for b in batches:
             x = b.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
             y = b.column("label").to_numpy(zero_copy_only=False).astype(float)
             slack = 1.0 - y * (x @ weights)
-            loss += float(np.maximum(slack, 0.0).sum())
             # A margin of exactly 1 counts as active.
-            grad -= (y * (slack >= 0)) @ x
-            n += len(y)
-        slots = np.concatenate([np.arange(size), [loss_slot, rows_slot]]).astype(np.int64)
-        totals = np.concatenate([grad, [loss, float(n)]])
-        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(totals)], names=["slot", "total"])
-
-    grad, sums = _sum_slots(rows.select("label", "features").mapInArrow(add_up, "slot long, total double"), size)
-    n = sums[rows_slot]
+            sums[SUMS:] -= (y * (slack >= 0)) @ x
+            sums[LOSS] += float(np.maximum(slack, 0.0).sum())
+            sums[ROWS] += len(y)
+        yield blocks_of(sums)
+
+    taken = rows.select("label", "features")
+    sums = summed(taken.mapInArrow(add_up, PART), tasks or partitions(taken), SUMS + size)
+    n = sums[ROWS]
     penalty = 1.0 / (n * c)
     return (
-        penalty / 2.0 * float(weights @ weights) + sums[loss_slot] / n,
-        grad / n + penalty * weights,
+        float(penalty / 2.0 * float(weights @ weights) + sums[LOSS] / n),
+        sums[SUMS:] / n + penalty * weights,
     )
 
 
@@ -184,9 +246,10 @@ def train_logistic(
     """Logistic regression on packed rows with labels 0/1."""
     used = scaler or Standardiser.identity(size)
     first = np.zeros(size) if start is None else start
-    return descend(
-        lambda w: logistic_pass(rows, w, used, reg), first, rate=rate, tolerance=tolerance, max_steps=max_steps
-    )
+    with laid_out(rows) as (held, tasks):
+        return descend(
+            lambda w: logistic_pass(held, w, used, reg, tasks), first, rate=rate, tolerance=tolerance, max_steps=max_steps
+        )
 
 
 def train_logistic_warm(rows: DataFrame, sample: DataFrame, **options) -> Fit:
@@ -207,10 +270,11 @@ def train_svm(
 ) -> Fit:
     """Linear SVM on (label +1/-1, features) rows."""
     first = np.zeros(size) if start is None else start
-    before = hinge_pass(rows, first + 1.0, c)[0]
-    return descend(
-        lambda w: hinge_pass(rows, w, c), first, rate=rate, tolerance=tolerance, max_steps=max_steps, before=before
-    )
+    with laid_out(rows) as (held, tasks):
+        before = hinge_pass(held, first + 1.0, c, tasks)[0]
+        return descend(
+            lambda w: hinge_pass(held, w, c, tasks), first, rate=rate, tolerance=tolerance, max_steps=max_steps, before=before
+        )
 
 
 def sparse_scores(

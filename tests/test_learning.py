@@ -63,12 +63,27 @@ def test_training_follows_the_bold_driver(spark, rate):
     mean, std, z = standard()
     table = learning.sparse_rows(*sparse_rows(spark)).df
     fit = learning.train_logistic(
-        table, size=12, scaler=learning.Standardiser(mean, std), reg=0.1, rate=rate, tolerance=1e-3, max_steps=25
+        table, size=12, scaler=learning.Standardiser(mean, std), reg=0.1, rate=rate, tolerance=1e-3, max_steps=500
     )
-    w, losses = bold(lambda r: logistic(z, LABELS, r, 0.1), np.zeros(12), rate, 1e-3, 25)
+    w, losses = bold(lambda r: logistic(z, LABELS, r, 0.1), np.zeros(12), rate, 1e-3, 500)
+    assert 2 < len(losses) < 500
     assert len(fit.losses) == len(losses) and np.allclose(fit.weights, w) and np.allclose(fit.losses, losses)
 
 
+def test_training_that_does_not_settle_is_an_error(spark):
+    table = learning.sparse_rows(*sparse_rows(spark)).df
+    with pytest.raises(RuntimeError, match="after 3 steps"):
+        learning.train_logistic(table, size=12, tolerance=1e-9, max_steps=3)
+
+
+def test_blocks_of_many_tasks_are_summed_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(learning, "BLOCK", 4)
+    monkeypatch.setattr(learning, "FAN_IN", 3)
+    parts = [(t, b, np.arange(b * 4, min(b * 4 + 4, 10)) * float(t + 1)) for t in range(11) for b in range(3)]
+    df = spark.createDataFrame([(t, b, v.astype(float).tobytes()) for t, b, v in parts], learning.PART).repartition(5)
+    assert np.allclose(learning.summed(df, 11, 10), np.arange(10) * 66.0)
+
+
 def test_warm_start_begins_where_the_sample_ended(spark):
     table = learning.sparse_rows(*sparse_rows(spark)).df
     options = dict(size=12, tolerance=0.0, max_steps=2)
