@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.functions.numeric import ratio_or_zero
 from tamarack.functions.text import NON_LETTERS, is_letters, kept_tokens, letter_words, space_tokens
-from tamarack.staging import broadcast_if_bounded, written
+from tamarack.operators.ordering import global_index
+from tamarack.staging import Stage, broadcast_if_bounded, written
 
 VOCABULARY_SIZE = 20_000
+MOST_TILE_TASKS = 100_000
 
 
 def word_count(lines: DataFrame, *, text: str = "value") -> DataFrame:
@@ -166,62 +170,98 @@ def pack_vectors(features: DataFrame, *, doc: str, value: str = "value") -> Data
     )
 
 
-def co_occurrence(presence: DataFrame, *, size: int, doc: str = "doc_id", tile_cells: int = 8_000_000) -> DataFrame:
+def indexed_words(words: DataFrame) -> DataFrame:
+    """(word, idx, count) of all words, indexed by (count desc, word): ``vocabulary`` without a bound."""
+    counts = words.groupBy("word").agg(F.count("*").alias("count"))
+    return global_index(counts, [F.col("count").desc(), "word"], index="idx").select("word", "idx", "count")
+
+
+def co_occurrence(
+    presence: DataFrame, *, size: int, doc: str = "doc_id", tile_cells: int = 4_194_304, task_pairs: int = 50_000_000
+) -> DataFrame:
     """(w1, w2, n_docs): documents that hold both words, diagonal and both orders included.
 
-    ``presence`` has distinct (doc, idx) with idx in [0, size).  Counting a pair by emitting it for
-    every document costs the square of a document's length in rows.  Here each task multiplies its
-    documents' presence matrix with itself, and emits every pair of words at most once.
-    Wide vocabularies are cut into tiles of rows so that a task's sums stay small.
+    ``presence`` has distinct (doc, idx) with idx in [0, size).  A sparse product by blocks of words: a document's words
+    are cut into a list per block, its lists meet in pairs of blocks, and a task adds up one pair of blocks at a time in
+    a tile of ``tile_cells`` counts, whatever the number of words.  A pair of words is emitted once by each task that
+    holds its blocks.  Of how many tasks that are follows from the sums of squared list lengths, which bound a tile's
+    pairs (Cauchy-Schwarz): tiles above ``task_pairs`` are dealt to several by document, and only theirs are summed again.
     """
-    rows = max(1, min(size, tile_cells // size))
-    held = presence.groupBy(doc).agg(F.sort_array(F.collect_list(F.col("idx").cast("int"))).alias("words"))
-    tiles = F.array_distinct(F.transform("words", lambda w: F.floor(w / rows).cast("int")))
-    per_tile = held.select(doc, F.explode(tiles).alias("tile"), "words")
-    if rows < size:
-        # A task meets its tiles one after the other, and holds the sums of one at a time.
-        parts = int(presence.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        salt = F.pmod(F.xxhash64(doc), F.lit(parts))
-        per_tile = per_tile.repartition(parts, "tile", salt).sortWithinPartitions("tile")
+    width = max(1, math.isqrt(tile_cells))
+    spark = presence.sparkSession
+    block = F.expr(f"cast(idx div {width} as int)")
+    offset = F.expr(f"cast(idx % {width} as int)")
+    lists = presence.groupBy(F.col(doc).alias("doc"), block.alias("block")).agg(F.collect_list(offset).alias("held"))
+    lists = Stage(lists, "word-blocks")
+    # One number per block, so at most size / width of them.
+    length = F.size("held").cast("double")
+    squares = {r["block"]: r["q"] for r in lists.df.groupBy("block").agg(F.sum(length * length).alias("q")).collect()}
+    load = spark.createDataFrame([(b, math.sqrt(q)) for b, q in squares.items()], "block int, load double")
+    weighed = lists.df.join(broadcast_if_bounded(load, -(-size // width)), "block")
+    first = weighed.select("doc", F.col("block").alias("b1"), F.col("held").alias("held1"), F.col("load").alias("load1"))
+    second = weighed.select("doc", F.col("block").alias("b2"), F.col("held").alias("held2"), F.col("load").alias("load2"))
+    deals = F.ceil(F.col("load1") * F.col("load2") / task_pairs)
+    met = (
+        first.join(second, "doc")
+        .filter(F.col("b1") <= F.col("b2"))
+        .select("b1", "b2", F.pmod(F.xxhash64("doc"), deals).alias("deal"), (deals > 1).alias("dealt"), "held1", "held2")
+    )
+    tasks = sum(math.ceil(math.sqrt(p * q) / task_pairs) for i, p in squares.items() for j, q in squares.items() if i <= j)
+    laid = met.repartition(min(max(tasks, 1), MOST_TILE_TASKS), "b1", "b2", "deal").sortWithinPartitions("b1", "b2", "deal")
 
     def multiply(batches):
         import numpy as np
         import pyarrow as pa
 
-        def emit(tile, total):
-            # The lower half is the upper one mirrored, which is done after the sums.
-            w1, w2 = np.nonzero(np.triu(total, tile * rows))
-            for at in range(0, len(w1), 100_000):
-                a, b = w1[at : at + 100_000], w2[at : at + 100_000]
-                columns = [pa.array(a + tile * rows), pa.array(b), pa.array(total[a, b])]
-                yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "n"])
+        tile = np.zeros(width * width, np.int32)
+
+        def emit(b1, b2, dealt):
+            cells = np.flatnonzero(tile)
+            for at in range(0, len(cells), 100_000):
+                here = cells[at : at + 100_000]
+                w1, w2, n = here // width + b1 * width, here % width + b2 * width, tile[here].astype(np.int64)
+                # Of a block with itself, the lower half is the upper one mirrored.
+                up = w1 <= w2
+                columns = [pa.array(c[up]) for c in (w1, w2, n)] + [pa.array(np.full(int(up.sum()), dealt))]
+                yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "n", "dealt"])
+            tile[cells] = 0
 
-        current, total = None, None
+        current = None
         for batch in batches:
-            words = batch.column("words")
-            flat = words.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))
-            starts = ends - words.value_lengths().to_numpy(zero_copy_only=False)
-            tile_of = batch.column("tile").to_numpy(zero_copy_only=False)
-            for tile in np.unique(tile_of).tolist():
-                base = tile * rows
-                height = min(rows, size - base)
-                if tile != current:
-                    if current is not None:
-                        yield from emit(current, total)
-                    current, total = tile, np.zeros((height, size), np.int64)
-                mine = np.flatnonzero(tile_of == tile)
-                for chunk in np.array_split(mine, 1 + len(mine) * size // 4_000_000):
-                    block = np.zeros((len(chunk), size), np.float32)
-                    for r, d in enumerate(chunk):
-                        block[r, flat[starts[d] : ends[d]]] = 1.0
-                    # Whole numbers far below 2^24 stay exact in single precision.
-                    total += (block[:, base : base + height].T @ block).astype(np.int64)
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("b1", "b2", "deal", "dealt")), strict=True))
+            one, two = batch.column("held1"), batch.column("held2")
+            flat1, flat2 = (c.flatten().to_numpy(zero_copy_only=False) for c in (one, two))
+            ends1, ends2 = (np.cumsum(c.value_lengths().to_numpy(zero_copy_only=False)) for c in (one, two))
+            start1 = start2 = 0
+            for key, end1, end2 in zip(keys, ends1.tolist(), ends2.tolist(), strict=True):
+                if current is not None and key != current:
+                    yield from emit(current[0], current[1], current[3])
+                current = key
+                # Words of a list are distinct, so no cell occurs twice.
+                cells = (flat1[start1:end1, None] * width + flat2[start2:end2]).ravel()
+                tile[cells] += 1
+                start1, start2 = end1, end2
         if current is not None:
-            yield from emit(current, total)
+            yield from emit(current[0], current[1], current[3])
 
-    partial = per_tile.select("tile", "words").mapInArrow(multiply, "w1 long, w2 long, n long")
-    summed = partial.groupBy("w1", "w2").agg(F.sum("n").alias("n_docs"))
+    cells = laid.mapInArrow(multiply, "w1 long, w2 long, n long, dealt boolean")
+    if any(math.sqrt(p * q) > task_pairs for p in squares.values() for q in squares.values()):
+        cells = Stage(cells, "word-pairs").df
+        again = cells.filter("dealt").groupBy("w1", "w2").agg(F.sum("n").alias("n"))
+        cells = cells.filter("NOT dealt").select("w1", "w2", "n").unionByName(again)
     pair, mirrored = F.struct("w1", "w2"), F.struct(F.col("w2").alias("w1"), F.col("w1").alias("w2"))
     both = F.when(F.col("w1") == F.col("w2"), F.array(pair)).otherwise(F.array(pair, mirrored))
-    return summed.select(F.explode(both).alias("p"), "n_docs").select("p.w1", "p.w2", "n_docs")
+    return cells.select(F.explode(both).alias("p"), F.col("n").alias("n_docs")).select("p.w1", "p.w2", "n_docs")
+
+
+def co_occurrence_profile(pairs: DataFrame) -> DataFrame:
+    """(w1, n_words, n_docs, most, partner, mark) of each word's pairs: how many words it meets, in how many documents in all
+    and at most, the first other word that it meets most often, and a sum over all its pairs that tells them apart."""
+    other = F.when(F.col("w1") != F.col("w2"), F.struct(F.col("n_docs").alias("n"), (-F.col("w2")).alias("w")))
+    profile = pairs.groupBy("w1").agg(
+        F.count("*").alias("n_words"),
+        F.sum("n_docs").alias("sum_docs"),
+        F.max(other).alias("top"),
+        F.sum(F.col("n_docs") * (F.col("w2") % 1009 + 1)).alias("mark"),
+    )
+    return profile.select("w1", "n_words", F.col("sum_docs").alias("n_docs"), F.col("top.n").alias("most"), (-F.col("top.w")).alias("partner"), "mark")

@@ -12,7 +12,7 @@ from tamarack.operators.neighbors import majority_vote, nearest_sparse
 from tamarack.plans.registry import registry
 from tamarack.sources.lines import tagged_documents
 from tamarack.sources.tables import table
-from tamarack.staging import spread
+from tamarack.staging import Stage, spread
 
 QUERIES, ORACLES, register = registry()
 
@@ -267,6 +267,28 @@ def co_occurrence(spark: SparkSession, sf: str) -> DataFrame:
     return words.co_occurrence(presence, size=PAIR_WORDS)
 
 
+@register(
+    "co_occurrence_all",
+    f"""
+    WITH {WORDS_SQL},
+    vocab AS MATERIALIZED (
+        SELECT word, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, word) - 1 AS idx FROM words GROUP BY word),
+    presence AS MATERIALIZED (SELECT DISTINCT w.doc_id, v.idx FROM words w JOIN vocab v ON v.word = w.word),
+    pairs AS (SELECT a.idx AS w1, b.idx AS w2, COUNT(*) AS n FROM presence a JOIN presence b ON a.doc_id = b.doc_id GROUP BY 1, 2)
+    SELECT w1, COUNT(*) AS n_words, CAST(SUM(n) AS BIGINT) AS n_docs, MAX(n) FILTER (w2 <> w1) AS most,
+        CAST(-MAX(n * 1000000000 - w2) FILTER (w2 <> w1) + 1000000000 * MAX(n) FILTER (w2 <> w1) AS BIGINT) AS partner,
+        CAST(SUM(n * (w2 % 1009 + 1)) AS BIGINT) AS mark
+    FROM pairs GROUP BY 1
+    """,
+)
+def co_occurrence_all(spark: SparkSession, sf: str) -> DataFrame:
+    """What each word of the corpus shares documents with, by all pairs of all words."""
+    said = words.document_words(texts(spark, sf))
+    vocab = Stage(words.indexed_words(said), "all-words", {"n": F.count("*")})
+    presence = said.distinct().join(vocab.df, "word").select("doc_id", "idx")
+    return words.co_occurrence_profile(words.co_occurrence(presence, size=vocab.sums["n"]))
+
+
 def count_cube(spark: SparkSession, sf: str) -> DataFrame:
     """(doc, topic, word, n): sources as documents, languages as topics, all words of the corpus."""
     axes = F.struct(F.col("source").alias("doc"), F.col("lang").alias("topic")).alias("axes")

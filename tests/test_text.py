@@ -127,6 +127,21 @@ def test_co_occurrence_single_and_many_tiles(spark):
     for cells in (8_000_000, 30 * 7, 30):
         got = {(r["w1"], r["w2"]): r["n_docs"] for r in text.co_occurrence(df, size=30, tile_cells=cells).collect()}
         assert got == dict(expected)
+    # Tiles above the bound are dealt to several tasks and summed again.
+    dealt = text.co_occurrence(df, size=30, tile_cells=100, task_pairs=40).collect()
+    assert {(r["w1"], r["w2"]): r["n_docs"] for r in dealt} == dict(expected) and len(dealt) == len(expected)
+    nothing = text.co_occurrence(df.limit(0), size=1)
+    assert nothing.count() == text.co_occurrence_profile(nothing).count() == 0
+
+
+def test_co_occurrence_profile_and_unbounded_vocabulary(spark):
+    docs = spark.createDataFrame([(1, "b a c a"), (2, "a B"), (3, "a"), (4, "")], "doc_id long, text string")
+    said = text.document_words(docs)
+    vocab = text.indexed_words(said)
+    assert rows(vocab) == [("a", 0, 4), ("b", 1, 2), ("c", 2, 1)]
+    presence = said.distinct().join(vocab, "word").select("doc_id", "idx")
+    got = rows(text.co_occurrence_profile(text.co_occurrence(presence, size=3)))
+    assert got == [(0, 3, 6, 2, 1, 3 * 1 + 2 * 2 + 1 * 3), (1, 3, 5, 2, 0, 2 * 1 + 2 * 2 + 1 * 3), (2, 3, 3, 1, 0, 1 + 2 + 3)]
 
 
 def test_cube_totals_and_ties(spark):
