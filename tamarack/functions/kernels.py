@@ -76,6 +76,16 @@ def dense_closest(qid, q, pid, p, k: int, exclude_self: bool) -> tuple[np.ndarra
     return np.concatenate([d for d, _ in parts]), np.concatenate([i for _, i in parts])
 
 
+def kth(found: tuple[np.ndarray, np.ndarray], *, short_of: int = 0) -> np.ndarray:
+    """Distance of the last neighbour found per row, infinite if fewer than ``short_of`` were; nothing found is -inf."""
+    distance = found[0]
+    n = np.isfinite(distance).sum(axis=1)
+    if not distance.shape[1]:
+        return np.full(len(distance), np.inf if short_of else -np.inf)
+    last = np.take_along_axis(distance, np.maximum(n - 1, 0)[:, None], 1)[:, 0]
+    return np.where(n < short_of, np.inf, np.where(n > 0, last, -np.inf))
+
+
 def sparse_closest(qid, q, pid, p, k: int, digits: int) -> tuple[np.ndarray, np.ndarray]:
     """k nearest packed sparse rows of ``p`` for each of ``q``; distances rounded to ``digits``."""
     if not len(qid) or not len(pid):

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.functions import kernels
-from tamarack.staging import Stage, broadcast_if_bounded, written
+from tamarack.staging import Stage, broadcast_if_bounded
 
 # Bounds on one hash block, and on a side that is handed to every task: rows, and matrix cells.
 BLOCK_ROWS = 4_096
@@ -171,33 +172,74 @@ def knn_outliers_pruned(
 ) -> DataFrame:
     """Same answer as ``knn_outliers`` without scoring every point.
 
-    The k-th distance to a sample bounds a point's score from above.  The exact scores of the most
-    promising points give a cutoff, and points bounded below it cannot be among the m strongest.
-    However many remain are scored exactly.
+    The k-th distance to a sample bounds a point's score from above.  Points are scored in blocks, those of the largest
+    bounds first; the m-th best score so far is the cutoff, which rises from block to block, until no bound reaches it.
+    Points that fit into a task are handed to every task, which bounds and scores the queries that it streams past them;
+    more are bounded against the sample, and scored in rounds of ``probes * m`` points and then eight times as many.
     """
     n = points.count()
     sample = max(sample, 4 * k)
+    first = points.select(F.size("features")).first()
+    if first is None:
+        return points.select("id", F.lit(0.0).alias("score")).limit(0)
+    if n <= _bounded_rows(HELD_ROWS, first[0]):
+        return _pruned_in_tasks(points, k, m, sample, block=probes * m, seed=seed)
+    return _pruned_in_rounds(points, n, k, m, sample, block=probes * m, seed=seed)
+
+
+def _pruned_in_tasks(points: DataFrame, k: int, m: int, sample: int, *, block: int, seed: int) -> DataFrame:
+    held = points.select("id", "features").toArrow()
+    pid, p = held["id"].to_numpy(), kernels.dense(held["features"])
+    anchors = np.random.default_rng(seed).permutation(len(pid))[:sample]
+
+    def score(batches):
+        best: list[tuple[float, int]] = []
+        for batch in batches:
+            qid, q = batch["id"].to_numpy(), kernels.dense(batch["features"])
+            bounds = kernels.kth(kernels.dense_closest(qid, q, pid[anchors], p[anchors], k, True), short_of=k)
+            order = np.argsort(-bounds, kind="stable")
+            at, width = 0, block
+            while at < len(order):
+                here = order[at : at + width]
+                # Room for the last digits, in which a bound and a score may differ.
+                if len(best) == m and bounds[here[0]] < best[-1][0] - 1e-9 * abs(best[-1][0]):
+                    break
+                scores = kernels.kth(kernels.dense_closest(qid[here], q[here], pid, p, k, True))
+                best += [(float(x), int(i)) for x, i in zip(scores, qid[here], strict=True) if np.isfinite(x)]
+                best = sorted(best, key=lambda b: (-b[0], b[1]))[:m]
+                at, width = at + width, width * 2
+        yield pa.RecordBatch.from_arrays([pa.array([b[1] for b in best], pa.int64()), pa.array([b[0] for b in best], pa.float64())], names=["id", "score"])
+
+    return _strongest(points.select("id", "features").mapInArrow(score, "id long, score double"), m)
+
+
+def _pruned_in_rounds(points: DataFrame, n: int, k: int, m: int, sample: int, *, block: int, seed: int) -> DataFrame:
     anchors = points.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample)
     near_anchors = nearest(points, anchors, k, exclude_self=True, sizes=(n, sample))
-    bounded = near_anchors.groupBy(F.col("query_id").alias("id")).agg(F.max("distance").alias("bound"))
-    bounds = Stage(bounded, "bounds")
-
-    n_probes = probes * m
-    chosen = bounds.df.orderBy(F.col("bound").desc(), "id").limit(n_probes).select("id")
-    probing = points.join(broadcast_if_bounded(chosen, n_probes), "id", "left_semi")
-    probed = Stage(kth_distance(probing, points, k, sizes=(n_probes, n)), "probed")
-    weakest = _strongest(probed.df, m).agg(F.min("score"), F.count("*")).first()
-    # Room for the last digits, in which a bound and a score may differ.
-    floor = weakest[0] - 1e-9 * abs(weakest[0]) if weakest[1] == m else float("-inf")
-    rest = bounds.df.filter(F.col("bound") >= F.lit(floor)).select("id").join(probed.df.select("id"), "id", "left_anti")
-    n_rest = rest.count()
-    scored = probed.df
-    if n_rest:
-        scored = scored.unionByName(kth_distance(points.join(rest, "id", "left_semi"), points, k, sizes=(n_rest, n)))
-    result = written(_strongest(scored, m), "outliers")
+    bounds = Stage(
+        near_anchors.groupBy(F.col("query_id").alias("id")).agg(
+            # With fewer than k anchors near, nothing bounds the score.
+            F.when(F.count("*") < k, F.lit(float("inf"))).otherwise(F.max("distance")).alias("bound")
+        ),
+        "bounds",
+    )
+    best: list[tuple[float, int]] = []
+    left = bounds.df
+    while True:
+        cutoff = best[-1][0] - 1e-9 * abs(best[-1][0]) if len(best) == m else float("-inf")
+        # At most ``block`` ids come to the driver, and no task holds more than HELD_ROWS queries.
+        chosen = left.filter(F.col("bound") >= F.lit(cutoff)).orderBy(F.col("bound").desc(), "id").limit(block).collect()
+        if not chosen:
+            break
+        ids = points.sparkSession.createDataFrame([(r["id"],) for r in chosen], "id long")
+        probing = points.join(broadcast_if_bounded(ids, block), "id", "left_semi")
+        scored = _strongest(kth_distance(probing, points, k, sizes=(block, n)), m).collect()
+        best = sorted({*best, *((r["score"], r["id"]) for r in scored)}, key=lambda b: (-b[0], b[1]))[:m]
+        last = chosen[-1]
+        left = bounds.df.filter((F.col("bound") < F.lit(last["bound"])) | ((F.col("bound") == F.lit(last["bound"])) & (F.col("id") > last["id"])))
+        block = min(block * 8, HELD_ROWS)
     bounds.drop()
-    probed.drop()
-    return result
+    return points.sparkSession.createDataFrame([(i, s) for s, i in best], "id long, score double")
 
 
 def majority_vote(neighbours: DataFrame, *, by: str = "query_id", label: str = "label") -> DataFrame:

@@ -62,8 +62,11 @@ def check(df, expected):
     assert np.allclose([g[1] for g in got], [e[1] for e in expected])
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_pruned_equals_full_and_brute_force(spark, seed):
+@pytest.mark.parametrize("seed, held", [(1, 32_768), (2, 32_768), (3, 32_768), (1, 50), (2, 50)])
+def test_pruned_equals_full_and_brute_force(spark, seed, held, monkeypatch):
+    # Points that don't fit into a task are scored in rounds.
+    monkeypatch.setattr(nb, "HELD_ROWS", held)
+    monkeypatch.setattr(nb, "SMALLEST_BLOCK", min(held, nb.SMALLEST_BLOCK))
     rng = np.random.default_rng(seed)
     points = np.concatenate([rng.normal(0, 1, (160, 4)), rng.normal(4, 3, (12, 4)), np.zeros((3, 4)) + 9.0])
     expected = outliers(points, 5, 4)
@@ -81,6 +84,18 @@ def test_pruned_with_uniform_scores_keeps_every_candidate(spark):
     assert rows(nb.knn_outliers_pruned(df, k=3, m=6, sample=20)) == full
 
 
+def test_pruned_scores_few_points(spark, monkeypatch):
+    """In the generated cloud the planted outliers have the largest bounds, so the first blocks settle the answer."""
+    rng = np.random.default_rng(7)
+    points = np.concatenate([rng.normal(0, 1, (2000, 6)), rng.normal(0, 20, (8, 6))])
+    scored = []
+    found = nb.kth_distance
+    monkeypatch.setattr(nb, "HELD_ROWS", 300)
+    monkeypatch.setattr(nb, "kth_distance", lambda q, p, k, **o: scored.append(o["sizes"][0]) or found(q, p, k, **o))
+    check(nb.knn_outliers_pruned(frame(spark, points), k=5, m=4, sample=200), outliers(points, 5, 4))
+    assert sum(scored) <= 300
+
+
 def test_duplicates_count_at_distance_zero_and_few_points(spark):
     check(nb.knn_outliers(frame(spark, [[0.0], [0.0], [0.0], [5.0]]), k=2, m=2), [(3, 5.0), (0, 0.0)])
     check(nb.knn_outliers(frame(spark, [[0.0], [1.0], [5.0]]), k=10, m=2), [(0, 5.0), (2, 5.0)])
