@@ -13,8 +13,10 @@ Documents with the same words are one *node*, named by a hash of the words, so c
 
 Lists of up to ``SHORT`` nodes give their pairs.  A longer one (thousands of near copies) is first compared with one
 node per size band only, then those outside the list's largest component with a few more nodes of it.  Members of that
-component need no comparison among themselves; every member that is still outside is compared with all of the list.  So
-no link between components is lost, and a group of m near copies costs about m comparisons.
+component need no comparison among themselves.  Every member that is still outside could link with any of the list: for
+those lists, what each member shares with one pivot of the list is counted by parts of the universe of shingles, once per
+member.  Two members share no more than the smaller of their counts, part by part, and only pairs that could link by that
+are compared.  So no link between components is lost, and a group of m near copies costs about m comparisons.
 
 A pair found is first held against its sets' outlines: bitmaps of two to four bits per element, each bit the parity of the
 elements that fall on it (an odd sketch).  Two outlines differ in at most as many bits as the sets in elements, so no link
@@ -50,6 +52,7 @@ MOST_HEAVY = 200_000  # frequent cells known to all tasks: 16 bytes each
 MARK_BITS = 22
 CELL_SHIFT = 35  # a cell of the counts is what is left of a shingle's 64 bits
 PIECE = 5_000  # entries of a list per bucket
+PARTS = 16  # of the universe, by which what a member shares with a pivot is counted
 ROUNDS = 2  # further nodes that those outside a list's largest component are compared with, before all
 BUCKET_BYTES = 32 << 20
 BOUNDARIES = (0, 4, 8, 16, 32)  # sizes that may part small sets from large ones
@@ -447,6 +450,31 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+def overlaps(pairs: DataFrame, sets: DataFrame, heavy: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """(node, pivot, shared, often) of pairs (node, pivot): the numbers of elements that their sets share, and of frequent
+    ones among them, by ``PARTS`` parts of the universe."""
+    sent = pairs.sparkSession.sparkContext.broadcast((heavy, counts))  # at most MOST_HEAVY numbers each
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = Frequent(*sent.value)
+        for batch in batches:
+            shared, often = [], []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                both = np.intersect1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True)
+                part = (both % np.uint64(PARTS)).astype(np.int64)
+                shared.append(np.bincount(part, minlength=PARTS))
+                often.append(np.bincount(part, frequent.how_often(both) > 0, PARTS).astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(shared, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64()))],
+                names=["node", "pivot", "shared", "often"],
+            )
+
+    own = sets.select("node", F.col("items").alias("items_a"))
+    other = sets.select(F.col("node").alias("pivot"), F.col("items").alias("items_b"))
+    both = pairs.join(own, "node").join(other, "pivot").select("node", "pivot", "items_a", "items_b")
+    return both.mapInArrow(run, "node long, pivot long, shared array<long>, often array<long>")
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     """(node) of both ends of pairs."""
     return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
@@ -466,6 +494,20 @@ def _may_link(n: str, rare: str, other_n: str, other_rare: str) -> Column:
     return 7 * most >= 3 * (F.col(n) + F.col(other_n))
 
 
+def _total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0).cast("long"), lambda total, x: total + x)
+
+
+def _may_link_by_pivot() -> Column:
+    """``_may_link`` of (n, near, beyond) and (n_a, near_a, beyond_a), by what two members share with their list's pivot.
+
+    Of the elements of a member that count, ``near`` are in the pivot's set, by parts of the universe, and ``beyond`` are
+    not.  Of each part and of the rest two members share no more than the one with fewer holds.
+    """
+    inside = _total(F.zip_with("near", "near_a", lambda x, y: F.least(x, y)))
+    return 7 * (inside + F.least("beyond", "beyond_a")) >= 3 * (F.col("n") + F.col("n_a"))
+
+
 def _stars(entries: DataFrame, stands: DataFrame, on: list[str]) -> DataFrame:
     """(a, b), a < b: each entry of a list with the node that stands for it, if their sizes allow a link."""
     return (
@@ -567,16 +609,31 @@ def components(docs: DataFrame) -> DataFrame:
         if more.sums["n"]:
             links = Stage(links.df.unionByName(more.df), "shingle-links")
             labels = Stage(_labels(links.df), "shingle-labels")
-    # What is still outside, against all of its lists.
+    # What is still outside, against those of its lists that can link by what both share with one member of the list.
     placed, largest, outside = _outside(long, labels.df)
     if outside.sums["n"]:
-        against = outside.df.select(
-            "key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("rare").alias("rare_a"), F.col("component").alias("c_a")
+        core = placed.df.join(largest.df, "key").filter(F.col("component") == F.col("largest"))
+        pivots = Stage(core.groupBy("key").agg(F.min(F.struct("rare", "node")).alias("p")).select("key", F.col("p.node").alias("pivot")), "shingle-pivots")
+        entries = Stage(placed.df.join(pivots.df, "key"), "shingle-entries").df
+        measured = Stage(entries.select("node", "pivot").distinct(), "shingle-measured").df
+        of_both = measured.select("node").unionByName(measured.select(F.col("pivot").alias("node"))).distinct()
+        wanted = Stage(nodes.join(of_both, "node", "left_semi").select("wanted"), "shingle-wanted").df
+        sets = Stage(sets_of(docs, wanted, seed), "shingle-sets")
+        shares = Stage(overlaps(measured, sets.df, heavy, counts), "shingle-overlaps").df
+        # In a list of infrequent elements no element is counted as rare, and all count.
+        near = F.when(F.col("rare") == 0, F.col("shared")).otherwise(F.col("often"))
+        entries = entries.join(shares, ["node", "pivot"]).select("key", "node", "n", "rare", "component", near.alias("near"))
+        entries = Stage(entries.withColumn("beyond", F.col("n") - F.col("rare") - _total(F.col("near"))), "shingle-near").df
+        sets.drop()
+        against = entries.join(largest.df, "key").filter(F.col("component") != F.col("largest")).select(
+            "key",
+            F.col("node").alias("a"),
+            *[F.col(c).alias(f"{c}_a") for c in ("n", "rare", "near", "beyond")],
+            F.col("component").alias("c_a"),
         )
-        fits = (F.col("component") != F.col("c_a")) & _may_link("n", "rare", "n_a", "rare_a")
         rest = (
-            against.join(placed.df.join(largest.df.select("key"), "key", "left_semi"), "key")
-            .filter(fits)
+            against.join(entries, "key")
+            .filter((F.col("component") != F.col("c_a")) & _may_link("n", "rare", "n_a", "rare_a") & _may_link_by_pivot())
             .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
             .distinct()
         )
