@@ -15,6 +15,8 @@ different rows, of which one stays; empty tables give empty results; other colum
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -213,21 +215,38 @@ def op4(docs: DataFrame) -> DataFrame:
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    decided = Stage(deduplicated(docs).select("doc_id", "digest", "row", "keep_row"), "decisions").df
-    gone = decided.groupBy("doc_id", "digest").agg(
-        F.max((F.col("row") == F.col("keep_row")).cast("int")).alias("stays"), F.count("*").alias("n")
+    """The documents that stay, with all their columns, whatever their names.
+
+    Ids of which no row stays are taken out by the id alone, so that texts needn't move where those ids are few.  Rows
+    without an id, and rows that share one, are told apart by their texts; of such with equal texts one stays.
+    """
+    stays = (F.col("row") == F.col("keep_row")).cast("int").alias("stays")
+    decided = Stage(deduplicated(docs).select("doc_id", "digest", stays), "decisions").df
+    return without(docs, decided, lambda rows: rows.withColumn("name", digest(F.coalesce(F.col("doc.text").cast("string"), F.lit("")))), "digest")
+
+
+def without(docs: DataFrame, decided: DataFrame, named: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """The documents that stay by (doc_id, ``name``, stays); ``named`` gives rows (doc, id) their ``name`` anew.
+
+    Of rows of equal id and name one stays, if any does; a null name stands for rows that are all kept.
+    """
+    by_id = decided.groupBy("doc_id").agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
+    shared = (F.col("stays") == 1) & (F.col("doc_id").isNull() | (F.col("n") > 1))
+    out = Stage(
+        by_id.filter((F.col("stays") == 0) | shared).select(F.col("doc_id").alias("gone"), shared.alias("shared")),
+        "dropped-ids",
+        {"shared": F.sum(F.col("shared").cast("long"))},
     )
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "stays", "n").filter("stays = 0 or n > 1")
-    gone = Stage(gone, "dropped", {"repeated": F.sum((F.col("stays") * (F.col("n") > 1).cast("int")).cast("long"))})
-    keyed = docs.withColumn("_d", digest(text_of())).withColumn("_k", F.col("doc_id").cast("long"))
-    same = F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_d") == F.col("_digest"))
-    kept = keyed.join(gone.df, same, "left_anti")
-    if gone.sums["repeated"]:
-        # Rows equal in id and text: one of them stays.
-        repeated = keyed.join(gone.df.filter("stays = 1"), same, "left_semi")
-        kept = kept.unionByName(repeated.dropDuplicates(["_k", "_d"]))
-    return kept.select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"))
+    same = F.col("id").eqNullSafe(F.col("gone"))
+    kept = rows.join(out.df, same, "left_anti").select("doc")
+    if out.sums["shared"]:
+        staying = decided.filter("stays = 1").select(F.col("doc_id").alias("of"), F.col(name).alias("called")).distinct()
+        several = named(rows.join(out.df.filter("shared"), same, "left_semi"))
+        one = several.join(staying, F.col("id").eqNullSafe(F.col("of")) & (F.col("name") == F.col("called")), "left_semi")
+        kept = kept.unionByName(one.dropDuplicates(["id", "name"]).select("doc"))
+        kept = kept.unionByName(several.filter("name IS NULL").select("doc"))
+    return kept.select("doc.*")
 
 
 ORACLE = """

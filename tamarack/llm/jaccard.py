@@ -40,8 +40,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tamarack.llm.common import shuffle_parts, texts
+from tamarack.llm.exact import without
 from tamarack.operators.graph import component_labels
 from tamarack.staging import Stage
 
@@ -538,8 +540,11 @@ def _outside(long: DataFrame, labels: DataFrame) -> tuple[Stage, Stage, Stage]:
     return placed, largest, Stage(outside, "shingle-outside", {"n": F.count("*")})
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
+def placed(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(doc_id, node, n, component) of every document, written, and the seed of the nodes' names.
+
+    A component is named by one of its nodes; a document without words is in none.
+    """
     docs = texts(docs)
     seed = 0
     while True:
@@ -593,11 +598,11 @@ def components(docs: DataFrame) -> DataFrame:
 
     checked = [pairs.df]
     for again in range(1, ROUNDS + 1):
-        placed, largest, outside = _outside(long, labels.df)
+        listed, largest, outside = _outside(long, labels.df)
         if not outside.sums["n"]:
             break
         # Those outside against one more member of the largest component, another one each time.
-        inside = placed.df.join(largest.df, "key").filter(F.col("component") == F.col("largest"))
+        inside = listed.df.join(largest.df, "key").filter(F.col("component") == F.col("largest"))
         other = F.min(F.struct(F.xxhash64("node", F.lit(again)).alias("h"), "node", "n", "rare")).alias("s")
         stand = inside.groupBy("key").agg(other).select(
             "key", F.col("s.node").alias("stand"), F.col("s.n").alias("stand_n"), F.col("s.rare").alias("stand_rare")
@@ -610,11 +615,11 @@ def components(docs: DataFrame) -> DataFrame:
             links = Stage(links.df.unionByName(more.df), "shingle-links")
             labels = Stage(_labels(links.df), "shingle-labels")
     # What is still outside, against those of its lists that can link by what both share with one member of the list.
-    placed, largest, outside = _outside(long, labels.df)
+    listed, largest, outside = _outside(long, labels.df)
     if outside.sums["n"]:
-        core = placed.df.join(largest.df, "key").filter(F.col("component") == F.col("largest"))
+        core = listed.df.join(largest.df, "key").filter(F.col("component") == F.col("largest"))
         pivots = Stage(core.groupBy("key").agg(F.min(F.struct("rare", "node")).alias("p")).select("key", F.col("p.node").alias("pivot")), "shingle-pivots")
-        entries = Stage(placed.df.join(pivots.df, "key"), "shingle-entries").df
+        entries = Stage(listed.df.join(pivots.df, "key"), "shingle-entries").df
         measured = Stage(entries.select("node", "pivot").distinct(), "shingle-measured").df
         of_both = measured.select("node").unionByName(measured.select(F.col("pivot").alias("node"))).distinct()
         wanted = Stage(nodes.join(of_both, "node", "left_semi").select("wanted"), "shingle-wanted").df
@@ -640,12 +645,16 @@ def components(docs: DataFrame) -> DataFrame:
         more = checked_links(Stage(_unchecked(rest, checked), "shingle-rest").df)
         if more.sums["n"]:
             labels = Stage(_labels(links.df.unionByName(more.df)), "shingle-labels")
-    placed_rows = rows.join(labels.df.select(F.col("id").alias("node"), "component"), "node", "left").select(
-        "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("component")
-    )
-    placed_rows = Stage(placed_rows, "shingle-rows").df
-    least = Stage(placed_rows.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("least")), "shingle-least")
-    return placed_rows.join(least.df, "component", "left").select(
+    component = F.when(F.col("n") > 0, F.coalesce("component", "node")).alias("component")
+    named = labels.df.select(F.col("id").alias("node"), "component")
+    return Stage(rows.join(named, "node", "left").select("doc_id", "node", "n", component), "shingle-rows").df, seed
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document."""
+    rows, _ = placed(docs)
+    least = Stage(rows.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("least")), "shingle-least")
+    return rows.join(least.df, "component", "left").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
@@ -656,19 +665,31 @@ def op10(docs: DataFrame) -> DataFrame:
     return components(docs)
 
 
+def named(rows: DataFrame, seed: int) -> DataFrame:
+    """Rows (doc, id) with the ``name`` of their node, null where the text has no words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in _strings(batches):
+            said = [shingler.words(t or "") for t in batch.column(2).to_pylist()]
+            names = [shingler.node(words, seed)[0] if words else None for words in said]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.int64())], names=["doc", "id", "name"])
+
+    schema = StructType([*rows.select("doc", "id").schema.fields, StructField("name", LongType())])
+    return rows.select("doc", "id", F.col("doc.text").cast("string").alias("text")).mapInArrow(run, schema)
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents without all but one row of each component: that of the smallest id, one without an id last.
 
-    All columns are kept.  Of rows that share the smallest id one stays.
+    All columns are kept, whatever their names.  Of rows that share the smallest id one stays, and so do all rows whose
+    text has no words.
     """
-    # Rows are named by a written key, as ids may be missing or shared.
-    keyed = Stage(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows").df
-    placed = components(keyed.select(F.col("_row").alias("doc_id"), "text")).select(
-        F.col("doc_id").alias("_row"), F.col("component_id").alias("_component")
-    )
-    placed = Stage(placed, "near-placed").df
-    wanted = F.col("doc_id").cast("long")
-    first = F.min_by("_row", F.struct(wanted.isNull(), wanted, "_row")).alias("_first")
-    kept = keyed.select("_row", "doc_id").join(placed, "_row").groupBy("_component").agg(first)
-    gone = Stage(placed.join(kept, "_component").filter(F.col("_row") != F.col("_first")).select("_row"), "near-copies").df
-    return keyed.join(gone, "_row", "left_anti").drop("_row")
+    rows, seed = placed(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
+    # Written before it is joined, so that the adaptive join may split a large component.
+    first = Stage(rows.filter("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("first")), "near-first").df
+    stays = F.col("component").isNull() | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.node")))
+    node = F.when(F.col("component").isNotNull(), F.col("node")).alias("node")
+    decided = rows.join(first, "component", "left").select("doc_id", node, stays.cast("int").alias("stays"))
+    return without(docs, Stage(decided, "near-decided").df, lambda held: named(held, seed), "node")

@@ -120,8 +120,21 @@ def _step(docs: DataFrame, state: DataFrame) -> DataFrame:
     return joined.select("src", "copies", after.alias("a")).select("src", "copies", "a.*")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
-    """(doc_id, h, source, size, source_size, target, copies) of every document: how often the mix takes it."""
+def _source_key() -> Column:
+    """A key of sources that is never null."""
+    return F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null"))
+
+
+def _copies() -> Column:
+    """How often a document of (size, h) is taken, by its source's (copies, taken_in)."""
+    more = F.exists(
+        "taken_in", lambda i: (F.col("h") > i["above"]) & (F.col("h") < i["under"]) & (F.col("size") <= i["up_to"])
+    ) & (F.col("size") > 0)
+    return F.when(F.col("size") > 0, F.col("copies") + more.cast("long")).otherwise(0)
+
+
+def settled_sources(docs: DataFrame, weights: tuple[int, ...], most: int) -> tuple[DataFrame, DataFrame]:
+    """The documents' (doc_id, source, size, h), and one row per source that says which of them are taken how often."""
     sized = Stage(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text_of().alias("text")
@@ -129,8 +142,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
         "mix-sizes",
     )
     goals = Stage(targets(sized.df.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "mix-targets").df
-    # Sources are joined by a key that is never null.
-    key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null"))
+    key = _source_key()
     narrow = sized.df.filter(F.col("size") > 0).select(key.alias("source"), "size", "h")
     whole = F.floor(F.col("target") / F.greatest("source_size", F.lit(1))).cast("long")
     budget = F.floor(F.col("target") - F.col("copies") * F.col("source_size")).cast("long")
@@ -156,14 +168,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
         following = Stage(_step(narrow, state.df), "mix-state", still)
         state.drop()
         state = following
-    settled = goals.withColumn("src", key).join(state.df.select("src", "copies", "taken_in"), "src").drop("source")
-    more = F.exists(
-        "taken_in", lambda i: (F.col("h") > i["above"]) & (F.col("h") < i["under"]) & (F.col("size") <= i["up_to"])
-    ) & (F.col("size") > 0)
+    return sized.df, goals.withColumn("src", key).join(state.df.select("src", "copies", "taken_in"), "src").drop("source")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
+    """(doc_id, h, source, size, source_size, target, copies) of every document: how often the mix takes it."""
+    sized, settled = settled_sources(docs, weights, most)
     return (
-        sized.df.withColumn("src", key)
+        sized.withColumn("src", _source_key())
         .join(settled, "src")
-        .select("doc_id", "h", "source", "size", "source_size", "target", F.when(F.col("size") > 0, F.col("copies") + more.cast("long")).otherwise(0).alias("copies"))
+        .select("doc_id", "h", "source", "size", "source_size", "target", _copies().alias("copies"))
     )
 
 
@@ -172,16 +186,18 @@ def op6(docs: DataFrame) -> DataFrame:
 
 
 def apply_mix(docs: DataFrame) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with all columns they came with."""
-    # Rows of one id and text are taken alike, so one of them tells for all.
-    taken = mix(docs).filter(F.col("copies") > 0).groupBy("doc_id", "h").agg(F.max("copies").alias("_copies"))
-    taken = taken.select(F.col("doc_id").alias("_doc_id"), F.col("h").alias("_h"), "_copies")
-    held = docs.withColumn("_key", mixing_hash(F.col("doc_id").cast("long"), text_of()))
-    return (
-        held.join(taken, (F.col("_key") == F.col("_h")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")))
-        .withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-        .select(*[docs[c] for c in docs.columns])
+    """The documents of the mix, each as often as it is taken, with all columns they came with, whatever their names.
+
+    What a source takes is one row, so a document's size and hash tell in its own row how often it is taken; no text moves.
+    """
+    _, settled = settled_sources(docs, WEIGHTS, MOST_COPIES)
+    settled = Stage(settled.select("src", "copies", "taken_in"), "mix-settled").df
+    rows = docs.select(
+        F.struct("*").alias("doc"), F.col("source").cast("string").alias("source"), F.col("doc_id").cast("long").alias("id"), text_of().alias("text")
     )
+    held = rows.select("doc", _source_key().alias("src"), word_count(F.col("text")).alias("size"), mixing_hash(F.col("id"), F.col("text")).alias("h"))
+    taken = held.join(settled, "src").select("doc", _copies().alias("times")).filter("times > 0")
+    return taken.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("doc.*")
 
 
 ORACLE = f"""

@@ -514,3 +514,27 @@ def test_counted_cells_survive_packing():
     for cells in ([], [0], [7, 7, 7], [1, 5, 1 << 20, (1 << 32) - 1]):
         given = np.array(cells, dtype=np.uint32)
         assert jaccard._from_steps(jaccard._steps(given)).tolist() == cells
+
+
+CLASHING = "doc_id long, text string, source string, _row long, _d string, _key long, _h long, id long, doc string, name string, src string, node long"
+
+
+@pytest.mark.parametrize("stage", [exact.drop_duplicates, jaccard.keep_one, mixing.apply_mix])
+def test_stages_keep_columns_whatever_their_names(spark, empty, stage):
+    rows = [(r[0], r[1], r[2], i, "d", 5, 6, 7, "doc", "name", "src", 8) for i, r in enumerate(ROWS)]
+    table = spark.createDataFrame(rows, CLASHING)
+    got = stage(table)
+    assert got.schema == table.schema
+    assert set(map(tuple, got.collect())) <= set(rows) and got.count() > 0
+    assert stage(empty).count() == 0 and stage(empty).columns == empty.columns
+
+
+def test_stages_tell_rows_of_one_id_apart(spark):
+    a, b, c = ("x%d " * 30 % tuple(range(k, k + 30)) for k in (0, 100, 200))
+    rows = [(1, a), (1, a), (1, b), (None, a), (None, c), (None, c), (2, b), (3, c), (4, ""), (4, ""), (None, None), (5, " ")]
+    table = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")
+    key = lambda r: (r is None, repr(r))
+    texts_of = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=key)
+    assert texts_of(exact.drop_duplicates(table)) == sorted([(1, a), (1, b), (3, c), (4, ""), (5, " ")], key=key)
+    everything = [(1, a), (1, b), (3, c), (4, ""), (4, ""), (None, None), (5, " ")]
+    assert texts_of(jaccard.keep_one(table)) == sorted(everything, key=key)
