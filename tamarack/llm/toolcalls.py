@@ -10,7 +10,8 @@ argument.  Everything is JVM-side.
 Defined cases: of calls (or results) with the same identifier the earliest place counts, then the smaller text, and
 ``n_calls``/``n_results`` tell how many there were; a null conversation is one of its own, a null or missing argument
 document is an empty one, text that is no JSON object is reported as ``arguments: not an object``; a call without result has status
-``no_result``, a result without call is returned with status ``orphan_result``; empty tables give empty results.
+``no_result``, a result without call is returned with status ``orphan_result``; a call that needs one that isn't there is
+invalid, with the error ``needs: no call <id>``; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ TYPES = {
 
 
 def _scope(conv: str = "conv_id") -> Column:
-    return F.coalesce(F.col(conv).cast("string"), F.lit(""))
+    """A key of conversations that is never null, and another one for null than for an empty name."""
+    return F.coalesce(F.concat(F.lit("="), F.col(conv).cast("string")), F.lit(""))
 
 
 def _once(rows: DataFrame, payload: str, count: str, *more: str) -> DataFrame:
@@ -154,7 +156,15 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     depths = order_depths(asked, needs)
     none = F.lit(0).cast("long")
     placed = asked.withColumns({"depth": none, "cyclic": F.lit(False)}) if depths is None else asked.join(depths, ["scope", "call_id"])
-    joined = argument_errors(placed, schemas).join(got, ["scope", "call_id"], "left")
+    checked = argument_errors(placed, schemas)
+    known = asked.select("scope", F.col("call_id").alias("needed"))
+    missing = Stage(needs.join(known, ["scope", "needed"], "left_anti"), "call-missing", {"n": F.count("*")})
+    if missing.sums["n"]:
+        said = F.array_sort(F.collect_set(F.concat(F.lit("needs: no call "), F.col("needed")))).alias("lacking")
+        lacking = missing.df.groupBy("scope", "call_id").agg(said)
+        all_errors = F.concat("errors", F.coalesce("lacking", F.array().cast("array<string>")))
+        checked = checked.join(lacking, ["scope", "call_id"], "left").withColumn("errors", all_errors).drop("lacking")
+    joined = checked.join(got, ["scope", "call_id"], "left")
     # Keys in code point order, no white space; a null content is left out by Spark and written as null here.
     text = F.concat(
         F.lit('{"arguments":'), F.col("canonical"),
@@ -194,7 +204,8 @@ def exchanges(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The identifier names conversation and turn; a call needs the call two turns before it, if there is one.
     """
-    name = lambda turn: F.concat(F.lit("c"), _scope(), F.lit("-t"), turn.cast("string"))
+    conv = F.coalesce(F.col("conv_id").cast("string"), F.lit(""))
+    name = lambda turn: F.concat(F.lit("c"), conv, F.lit("-t"), turn.cast("string"))
     user, answer = turns.filter("role = 'user'"), turns.filter("role = 'assistant'")
     before = user.select(_scope().alias("scope"), (F.col("turn") + 2).alias("turn")).distinct()
     earlier = before.select("scope", "turn", F.lit(True).alias("follows"))
