@@ -35,7 +35,7 @@ WINDOW = 32  # bytes that a 32-bit gear hash remembers
 _random = np.random.default_rng(20)  # the gear table: any fixed random numbers do
 GEAR = _random.integers(0, 2**32, 256, dtype=np.uint32)
 ROWS = 256
-LAST_ID = (1 << 63) - 1  # where null ids are put
+LAST_ID = (1 << 63) - 1  # where null ids are put, after a document of that id
 
 
 def gear_hashes(data: bytes) -> np.ndarray:
@@ -106,7 +106,7 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - cut] + following[:cut]
 
 
-SENT = "slice int, id long, tie string, own boolean, body binary"
+SENT = "slice int, id long, none boolean, tie string, own boolean, body binary"
 RESULT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 )
@@ -116,7 +116,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     """One row per document: its fingerprint, that of its edited text, and how near the edited and the next text are."""
     spark = docs.sparkSession
     parts = shuffle_parts(spark)
-    base = texts(docs).select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text")
+    base = texts(docs).select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text", F.col("doc_id").isNull().alias("none"))
     # As many numbers as there are slices come to the driver.
     cuts = base.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0] or [0]
     # As doubles, ids keep their order, and equal ones stay together.
@@ -135,21 +135,21 @@ def with_next(docs: DataFrame) -> DataFrame:
             for start in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(start, ROWS)
                 rows = []
-                for id_, text, slice_ in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                for id_, text, slice_, none in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                     raw = text.encode()
                     tie, body = hashlib.blake2b(raw, digest_size=16).hexdigest(), press.compress(raw)
-                    rows.append((int(slice_), id_, tie, True, body))
+                    rows.append((int(slice_), id_, none, tie, True, body))
                     if id_ in sent_back:
-                        rows.append((sent_back[id_], id_, tie, False, body))
+                        rows.append((sent_back[id_], id_, none, tie, False, body))
                 columns = list(zip(*rows, strict=True))
-                kinds = (pa.int32(), pa.int64(), pa.string(), pa.bool_(), pa.binary())
+                kinds = (pa.int32(), pa.int64(), pa.bool_(), pa.string(), pa.bool_(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["slice", "id", "tie", "own", "body"]
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["slice", "id", "none", "tie", "own", "body"]
                 )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
-        held = None  # (slice, id, text, chunks) of the row whose next one is awaited
+        held = None  # (slice, id or None, text, chunks) of the row whose next one is awaited
         done: list[tuple] = []
 
         def finish(text: str, found: dict[str, int]) -> None:
@@ -159,7 +159,7 @@ def with_next(docs: DataFrame) -> DataFrame:
             other = own if new == own_text else chunks(raw)
             done.append(
                 (
-                    None if id_ == LAST_ID else id_,
+                    id_,
                     len(own_text),
                     hashlib.sha256(raw).hexdigest(),
                     written(own),
@@ -179,7 +179,7 @@ def with_next(docs: DataFrame) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(start, ROWS)
-                for slice_, id_, own, body in zip(*(batch.column(c).to_pylist() for c in ("slice", "id", "own", "body")), strict=True):
+                for slice_, id_, none, own, body in zip(*(batch.column(c).to_pylist() for c in ("slice", "id", "none", "own", "body")), strict=True):
                     raw = unpress.decompress(body)
                     text, found = raw.decode(), chunks(raw)
                     if held is not None and held[0] == slice_:
@@ -187,15 +187,15 @@ def with_next(docs: DataFrame) -> DataFrame:
                         held = None
                     # What was sent back only ends its slice; further rows of that id were not awaited.
                     if own:
-                        held = (slice_, id_, text, found)
+                        held = (slice_, None if none else id_, text, found)
                 if done:
                     yield out()
         if done:
             yield out()
 
-    sent = placed(base).select("id", "text", F.col("_slice").cast("int").alias("slice")).mapInArrow(send, SENT)
+    sent = placed(base).select("id", "text", F.col("_slice").cast("int").alias("slice"), "none").mapInArrow(send, SENT)
     # Within a slice: its own rows by id and tie, then what was sent back to it.
-    laid = sent.repartitionById(max(1, len(splits) - 1), "slice").sortWithinPartitions("slice", F.col("own").desc(), "id", "tie")
+    laid = sent.repartitionById(max(1, len(splits) - 1), "slice").sortWithinPartitions("slice", F.col("own").desc(), "id", "none", "tie")
     return laid.mapInArrow(meet, RESULT)
 
 

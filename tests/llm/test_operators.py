@@ -538,3 +538,52 @@ def test_stages_tell_rows_of_one_id_apart(spark):
     assert texts_of(exact.drop_duplicates(table)) == sorted([(1, a), (1, b), (3, c), (4, ""), (5, " ")], key=key)
     everything = [(1, a), (1, b), (3, c), (4, ""), (4, ""), (None, None), (5, " ")]
     assert texts_of(jaccard.keep_one(table)) == sorted(everything, key=key)
+
+
+def test_null_and_empty_conversations_are_two(spark):
+    turns = [(c, t, r, x) for c in (None, "") for t, r, x in ((1, "user", "hi"), (2, "assistant", f"from {c}"))]
+    table = spark.createDataFrame([t for t in turns + turns], "conv_id string, turn long, role string, text string")
+    got = sorted(((r.conv_id, r.n_calls, r.n_results, r.status, r.json) for r in toolcalls.op2(table).collect()), key=repr)
+    assert [g[:4] for g in got] == [("", 2, 2, "linked"), (None, 2, 2, "linked")]
+    assert "from None" in got[1][4] and "from None" not in got[0][4]
+
+
+def test_needed_calls_that_are_missing_are_reported(spark):
+    calls = [("c", "a", 1, "reply", '{"prompt":"x","turn":1}', ["gone", "b", "away"]), ("c", "b", 2, "reply", '{"prompt":"y","turn":2}', [])]
+    calls = spark.createDataFrame(calls, "conv_id string, call_id string, place long, name string, arguments string, needs array<string>")
+    results = spark.createDataFrame([("c", "a", 3, "ok"), ("c", "b", 4, "ok")], "conv_id string, call_id string, place long, content string")
+    got = {r.call_id: r for r in toolcalls.link_calls(calls, results, toolcalls.reply_schema(calls)).collect()}
+    assert (got["a"].status, got["a"].errors, got["a"].depth) == ("invalid", "needs: no call away; needs: no call gone", 1)
+    assert (got["b"].status, got["b"].errors) == ("linked", "")
+
+
+def rolling(data):
+    """Ends of chunks by one byte after the other, from the constants alone."""
+    ends, start, h = [], 0, 0
+    for i, byte in enumerate(data):
+        h = (2 * h + int(chunking.GEAR[byte])) % 2**32
+        size = i + 1 - start
+        mask = int(chunking.STRICT) if size < chunking.NORMAL else int(chunking.LOOSE)
+        if size >= chunking.LARGEST or i + 1 == len(data) or (size >= chunking.LEAST and h & mask == 0):
+            ends.append(i + 1)
+            start = i + 1
+    return ends
+
+
+def test_chunk_borders_by_a_loop_over_bytes():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 7, 8, 9, 31, 32, 33, 400, 5000):
+        data = rng.integers(97, 103, n, dtype=np.uint8).tobytes()
+        assert chunking.borders(data) == rolling(data)
+    assert chunking.borders(b"a" * 1000) == rolling(b"a" * 1000)
+
+
+def test_fingerprints_of_the_largest_id_and_of_none(spark):
+    last = 2**63 - 1
+    table = spark.createDataFrame([(last, "the last text"), (None, "none"), (1, "first"), (None, "more")], "doc_id long, text string")
+    got = chunking.op9(table).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(["1", "None", "None", str(last)])
+    edited = {r.doc_id: r.edited_sha256 for r in got}
+    assert edited[1] == hashlib.sha256(b"firs" + b"t").hexdigest()
+    after = [hashlib.sha256(b"the last t" + text).hexdigest() for text in (b"non", b"mor")]
+    assert edited[last] in after
