@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions.hashing import KEY_BITS, sample_key, sample_uniform
 from tamarack.operators.ordering import global_index
+from tamarack.operators.selection import key_at_rank, keys_at_ranks
 from tamarack.staging import broadcast_if_bounded, written
 
 RANGE_BITS = 14
@@ -86,17 +87,33 @@ def prefix_split(df: DataFrame, *, row_id: str, n: int, split: str = "split") ->
 
 
 def draw_batch(df: DataFrame, *, size: int, ids: list[str], seed: int) -> DataFrame:
-    """``size`` rows drawn with replacement, each row with equal odds; ``draw`` numbers the draws."""
-    indexed = global_index(df, ids, index="_i")
+    """``size`` rows drawn with replacement, each row with equal odds; ``draw`` numbers the draws.
+
+    A draw picks a place in the order of ``ids``.  By a single integer id the rows of those places are found by counting,
+    and nothing but the drawn rows is kept; by other ids the table is numbered.
+    """
     n = df.count()
     if n == 0:
-        return indexed.withColumn("draw", F.lit(0).cast("long")).select("draw", *df.columns)
+        return df.limit(0).select(F.lit(0).cast("long").alias("draw"), *df.columns)
     draws = df.sparkSession.range(size).select(
         F.col("id").alias("draw"), F.floor(sample_uniform(seed, F.col("id")) * n).alias("_i")
     )
+    if len(ids) == 1 and df.schema[ids[0]].dataType.typeName() in ("byte", "short", "integer", "long"):
+        places = draws.select(F.col("_i").alias("rank")).distinct()
+        at = keys_at_ranks(df.select(*ids), ids[0], places).select(F.col("rank").alias("_i"), F.col(ids[0]).alias("_key"))
+        keyed = draws.join(at, "_i").select("draw", "_key")
+        return df.join(broadcast_if_bounded(keyed, size), F.col(ids[0]) == F.col("_key")).select("draw", *df.columns)
+    indexed = global_index(df, ids, index="_i")
     return indexed.join(broadcast_if_bounded(draws, size), "_i").select("draw", *df.columns)
 
 
+def split_before_rank(df: DataFrame, *, key: str, n: int, split: str = "split") -> DataFrame:
+    """The ``n`` rows of the smallest unique keys are 'train', the rest 'test'; only the key that parts them is looked for."""
+    parting = key_at_rank(df, key, n)
+    first = F.lit(True) if parting is None else F.col(key) < F.lit(parting)
+    return df.withColumn(split, F.when(first, "train").otherwise("test"))
+
+
 def shuffled(df: DataFrame, *, ids: list[str], seed: int) -> DataFrame:
     """Rows in a seeded random order."""
     return df.orderBy(sample_key(seed, *[F.col(c) for c in ids]), *ids)

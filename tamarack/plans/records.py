@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tamarack.operators.relational import top_rows
 from tamarack.plans.registry import registry
-from tamarack.sources.lines import dropped_records, keyed_records, pair_records, read_lines, timed_records
+from tamarack.sources.keyed import look_up, write_keyed
+from tamarack.sources.lines import dropped_records, keyed_records, pair_records, read_lines, read_numbered_lines, timed_records
 from tamarack.sources.sinks import write_pairs
 from tamarack.sources.tables import table
 from tamarack.staging import checkpoint_root, spread
@@ -121,6 +122,35 @@ def written_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return pair_records(read_lines(spark, path)).select("key", F.col("amount").alias("revenue"))
 
 
+@register(
+    "keyed_lookup",
+    f"""
+    SELECT 'S' || l_suppkey AS key, ROUND(SUM(l_extendedprice), 2) AS revenue
+    FROM lineitem WHERE l_suppkey = 7 AND {_GOOD_AMOUNT}
+    GROUP BY 1
+    """,
+)
+def keyed_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """One key of the sums by key, from a table written for look-ups."""
+    path = f"{checkpoint_root(spark)}/keyed-{uuid.uuid4().hex}"
+    write_keyed(revenue_by_key(spark, sf), path, key="key", buckets=16)
+    return look_up(spark, path, key="key", value="S7", buckets=16)
+
+
+@register(
+    "numbered_lines",
+    """
+    SELECT ROW_NUMBER() OVER (ORDER BY c_custkey) - 1 AS row_id, CAST(c_custkey AS VARCHAR) || ',' || c_mktsegment AS value FROM customer
+    """,
+)
+def numbered_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers written in order as lines of many files, and numbered as they lie in them."""
+    path = f"{checkpoint_root(spark)}/lines-{uuid.uuid4().hex}"
+    customers = table(spark, sf, "customer").repartitionByRange(12, "c_custkey").sortWithinPartitions("c_custkey")
+    customers.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_mktsegment").alias("value")).write.text(path)
+    return read_numbered_lines(spark, path)
+
+
 @register(
     "pair_records",
     """

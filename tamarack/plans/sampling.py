@@ -82,8 +82,7 @@ def shuffled(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def prefix_split(spark: SparkSession, sf: str) -> DataFrame:
-    rows = global_index(table(spark, sf, "embeddings").select("vec_id"), ["vec_id"], index="row_id")
-    return sampling.prefix_split(rows, row_id="row_id", n=400).select("vec_id", "split")
+    return sampling.split_before_rank(table(spark, sf, "embeddings").select("vec_id"), key="vec_id", n=400)
 
 
 def corpora(spark: SparkSession, sf: str) -> DataFrame:

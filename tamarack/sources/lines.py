@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarack.functions.rows import computed_once
-from tamarack.operators.ordering import global_index
+from tamarack.operators.ordering import running_totals
+from tamarack.staging import Stage
 
 # Layout of the delimited record.
 RECORD_FIELDS = 11
@@ -22,15 +23,22 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with ``row_id`` = 0, 1, ... in file order, for rules that depend on row order."""
+    """Lines with ``row_id`` = 0, 1, ... in file order, for rules that depend on row order.
+
+    Lines are numbered where they are read: a first pass counts them by block of a file, the blocks' counts are added up in
+    the order of files and blocks, and a line's number is its block's offset and its place in the block.  No text moves.
+    """
     lines = spark.read.text(path).select(
         "value",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seen"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        # Ascending along the lines of a block, as one task reads it from its beginning to its end.
+        F.monotonically_increasing_id().alias("seen"),
     )
-    indexed = global_index(lines, ["_file", "_block", "_seen"], index="row_id")
-    return indexed.select("row_id", "value")
+    counted = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("seen").alias("first"))
+    blocks = running_totals(counted, ["file", "block"], {"upto": "n"})
+    offsets = Stage(blocks.select("file", "block", (F.col("upto") - F.col("n") - F.col("first")).alias("offset")), "line-blocks").df
+    return lines.join(offsets, ["file", "block"]).select((F.col("offset") + F.col("seen")).alias("row_id"), "value")
 
 
 def _fields(line: Column) -> Column:
