@@ -587,3 +587,40 @@ def test_fingerprints_of_the_largest_id_and_of_none(spark):
     assert edited[1] == hashlib.sha256(b"firs" + b"t").hexdigest()
     after = [hashlib.sha256(b"the last t" + text).hexdigest() for text in (b"non", b"mor")]
     assert edited[last] in after
+
+
+def test_near_copies_far_from_their_list_equal_all_pairs(spark):
+    """Copies of one text with more and more words changed, and copies of those: links beside the largest component."""
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(150)]
+
+    def changed(words, n):
+        words = list(words)
+        for at in rng.sample(range(len(words)), n):
+            words[at] = f"n{rng.randrange(10**9)}"
+        return words
+
+    said = [changed(base, rng.choice([0, 1, 2, 3, 4, 5, 6, 7])) for _ in range(260)]
+    for _ in range(12):
+        far = changed(base, rng.choice([5, 6, 7, 8]))
+        said += [far] * rng.choice([1, 9]) + [changed(far, rng.choice([1, 2, 3])) for _ in range(3)]
+    said += [base[:70] + [f"p{i}-{j}" for j in range(rng.choice([10, 20, 80]))] for i in range(60)]
+    texts = [" ".join(w) for w in said]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    low = list(range(len(texts)))
+
+    def root(i):
+        while low[i] != i:
+            i = low[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if 100 * shared >= 75 * (len(sets[i]) + len(sets[j]) - shared):
+                a, b = root(i), root(j)
+                low[max(a, b)] = min(a, b)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.op10(rows).collect()}
+    assert got == {i: root(i) for i in range(len(texts))}
+    assert len(set(got.values())) > 20
