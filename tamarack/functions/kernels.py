@@ -86,6 +86,43 @@ def kth(found: tuple[np.ndarray, np.ndarray], *, short_of: int = 0) -> np.ndarra
     return np.where(n < short_of, np.inf, np.where(n > 0, last, -np.inf))
 
 
+class Pivots:
+    """Distances to a bounded number of points, and what the triangle inequality makes of them."""
+
+    def __init__(self, vectors: np.ndarray):
+        # Rounding grows with the size of the numbers, not with their distances, so take their mean off.
+        self.middle = vectors.mean(axis=0)
+        self.at = vectors - self.middle
+        self.squares = np.einsum("ij,ij->i", self.at, self.at)
+
+    def away(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distances of each row to each pivot, and per row how far they may be off."""
+        x = x - self.middle
+        squares = np.einsum("ij,ij->i", x, x)
+        distance = np.sqrt(np.maximum(squares[:, None] + self.squares - 2.0 * (x @ self.at.T), 0.0))
+        return distance, np.sqrt(1e-15 * x.shape[1] * (squares + self.squares.max()))
+
+    def reach(self, x: np.ndarray, radius: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) pairs: the cells that may hold one of a row's k nearest points.
+
+        ``first``: per cell the smallest distances of its points to its pivot, ascending, infinite where it has fewer;
+        ``radius``: the largest.  A point's distance is at most the row's to the pivot and the pivot's to the point, so
+        the k-th smallest such sum bounds the k-th neighbour; only the k cells with the smallest sums can hold it.
+        """
+        rows, cells = [], []
+        for at in range(0, len(x), CHUNK):
+            d, off = self.away(x[at : at + CHUNK])
+            some = np.argpartition(d + first[:, 0], min(k, d.shape[1]) - 1, axis=1)[:, :k]
+            sums = (np.take_along_axis(d, some, 1)[:, :, None] + first[some]).reshape(len(d), -1)
+            bound = np.partition(sums, k - 1, axis=1)[:, k - 1] if sums.shape[1] >= k else np.full(len(d), np.inf)
+            # A cell's points lie within its radius, and no nearer to the row's own pivot than to the cell's.
+            least = np.maximum(d - radius, (d - d.min(axis=1)[:, None]) / 2)
+            row, cell = np.nonzero((least <= (bound + 8 * off)[:, None]) & np.isfinite(first[:, 0]))
+            rows.append(row + at)
+            cells.append(cell)
+        return (np.concatenate(rows), np.concatenate(cells)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
 def sparse_closest(qid, q, pid, p, k: int, digits: int) -> tuple[np.ndarray, np.ndarray]:
     """k nearest packed sparse rows of ``p`` for each of ``q``; distances rounded to ``digits``."""
     if not len(qid) or not len(pid):

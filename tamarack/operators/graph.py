@@ -107,14 +107,39 @@ def components_of_size(nodes: DataFrame, edges: DataFrame, *, above: int = 4, up
     return nodes.select("id", "title").join(labels.join(fitting, "component"), "id").select("id", "title", "component", "size")
 
 
-def reachable(nodes: DataFrame, edges: DataFrame, seeds: DataFrame) -> DataFrame:
+def reachable(nodes: DataFrame, edges: DataFrame, seeds: DataFrame, *, levels: int = 16) -> DataFrame:
     """Ids that can be reached, edges taken both ways, from any id in ``seeds``.
 
-    Undirected reach is the seeds' components, so it takes logarithmic rounds on long paths too.
+    Level by level: a level's neighbours lie in it, in the one before or in the next, so only the ids found last meet the
+    edges, and they are held against two levels, not against all that was reached.  What is left after ``levels`` of them,
+    as on long paths, is settled by components of the part that was not reached, in logarithmic rounds.
     """
-    labels = connected_components(nodes, edges)
-    home = labels.join(seeds.select("id").distinct(), "id", "left_semi").select("component").distinct()
-    return labels.join(home, "component", "left_semi").select("id")
+    links = Stage(undirected(edges).filter(F.col("src") != F.col("dst")), "links").df
+    known = nodes.select("id").unionByName(edges.select(F.col("src").alias("id"))).unionByName(edges.select(F.col("dst").alias("id")))
+    count = {"n": F.count("*")}
+    found = [Stage(seeds.select("id").distinct().join(known, "id", "left_semi"), "level", count)]
+    while found[-1].sums.get("n") and len(found) <= levels:
+        last = found[-1].df.select(F.col("id").alias("src"))
+        near = links.join(last, "src", "left_semi").select(F.col("dst").alias("id")).distinct()
+        before = found[-1].df if len(found) == 1 else found[-1].df.unionByName(found[-2].df)
+        found.append(Stage(near.join(before, "id", "left_anti"), "level", count))
+    reached = found[0].df
+    for level in found[1:]:
+        reached = reached.unionByName(level.df)
+    if not found[-1].sums.get("n"):
+        return reached
+    # Paths to what is left lead through ids of the last level and beyond only.
+    open_links = links
+    if len(found) > 1:
+        inner = found[0].df
+        for level in found[1:-1]:
+            inner = inner.unionByName(level.df)
+        inner = written(inner, "inner")
+        for end in ("src", "dst"):
+            open_links = open_links.join(inner.withColumnRenamed("id", end), end, "left_anti")
+    labels = written(component_labels(open_links.select("src", "dst"), found[-1].df), "labels")
+    home = written(labels.join(found[-1].df, "id", "left_semi").select("component").distinct(), "home")
+    return reached.unionByName(labels.join(home, "component", "left_semi").select("id")).distinct()
 
 
 def page_rank(

@@ -1,12 +1,15 @@
 """Exact nearest neighbours, distance-based outliers and text classification by neighbours.
 
 A bounded side is handed to every task and the other side is streamed past it where it lies.  When
-both are large, both are cut into hash blocks, and a task compares one block of queries with one
-block of points.  Either way a task keeps only the k nearest per query; pairs never become rows.
+both are large, dense points are put into the cells of pivots, and a query goes only to the cells that
+the triangle inequality can't exclude; sparse ones are cut into hash blocks, and a task compares one
+block of queries with one block of points.  Either way a task keeps only the k nearest per query; pairs
+never become rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -89,14 +92,99 @@ def _search(
     return _merge(points.mapInArrow(stream_points, kernels.NEIGHBOUR_FIELDS), k)
 
 
+CELL_FIELDS = "id long, features array<double>, cell int, away double"
+
+
+def pivot_cells(
+    queries: DataFrame, points: DataFrame, k: int, *, n_points: int, dimensions: int, exclude_self: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Points in the cell of their nearest pivot, and a copy of each query per cell that may hold one of its k nearest.
+
+    Both are written: (id, features, cell, away).  Pivots are some square root of ``n_points`` of the points, so that
+    they lie where points do; they, and per cell its radius and k distances, come to the driver.
+    """
+    k += exclude_self  # the query itself may be one of those that bound it
+    wanted = min(_bounded_rows(HELD_ROWS, dimensions), math.isqrt(n_points) + 1)
+    chosen = points.orderBy(F.xxhash64("id"), "id").limit(wanted).select("features").toArrow()
+    pivots = kernels.Pivots(kernels.dense(chosen["features"]))
+
+    def assign(batches):
+        for batch in batches:
+            x = kernels.dense(batch["features"])
+            for at in range(0, len(x), kernels.CHUNK):
+                d, _ = pivots.away(x[at : at + kernels.CHUNK])
+                cell = d.argmin(axis=1)
+                part = batch.slice(at, len(cell))
+                columns = [part["id"], part["features"], pa.array(cell, pa.int32()), pa.array(d[np.arange(len(cell)), cell])]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "features", "cell", "away"])
+
+    assigned = points.select("id", "features").mapInArrow(assign, CELL_FIELDS)
+    # Of equal points only those of the smallest ids can be among anyone's k nearest.
+    equal = Window.partitionBy("cell", "features").orderBy("id")
+    kept = assigned.withColumn("_r", F.row_number().over(equal)).filter(F.col("_r") <= k).drop("_r")
+    cells = Stage(kept, "cells").df
+    radii = cells.groupBy("cell").agg(F.max("away").alias("away")).collect()
+    inmost = Window.partitionBy("cell").orderBy("away", "id")
+    nearest_to_pivot = cells.select("id", "cell", "away").withColumn("place", F.row_number().over(inmost)).filter(F.col("place") <= k)
+    radius, first = np.zeros(len(pivots.at)), np.full((len(pivots.at), k), np.inf)
+    for r in radii:
+        radius[r["cell"]] = r["away"]
+    for r in nearest_to_pivot.select("cell", "away", "place").collect():
+        first[r["cell"], r["place"] - 1] = r["away"]
+
+    def reach(batches):
+        for batch in batches:
+            x = kernels.dense(batch["features"])
+            row, cell = pivots.reach(x, radius, first, k)
+            for at in range(0, len(row), BLOCK_ROWS):
+                taken = pa.array(row[at : at + BLOCK_ROWS])
+                columns = [batch["id"].take(taken), batch["features"].take(taken), pa.array(cell[at : at + BLOCK_ROWS], pa.int32())]
+                columns.append(pa.nulls(len(taken), pa.float64()))
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "features", "cell", "away"])
+
+    return cells, Stage(queries.select("id", "features").mapInArrow(reach, CELL_FIELDS), "reached").df
+
+
+def _in_cells(queries: DataFrame, points: DataFrame, k: int, *, n_points: int, dimensions: int, exclude_self: bool) -> DataFrame:
+    """``nearest`` by cells; a cell of more than a block's rows on either side is compared in blocks."""
+    cells, reached = pivot_cells(queries, points, k, n_points=n_points, dimensions=dimensions, exclude_self=exclude_self)
+    block = _bounded_rows(BLOCK_ROWS, dimensions)
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+
+    # A row per cell, of which there are HELD_ROWS at most.
+    sizes = broadcast_if_bounded(blocks(reached, "_qb").join(blocks(cells, "_pb"), "cell"), HELD_ROWS)
+
+    def cut(df: DataFrame, own: str, other: str) -> DataFrame:
+        placed = df.select("id", "features", "cell").join(sizes, "cell")
+        return placed.select(
+            "id",
+            "features",
+            "cell",
+            F.pmod(F.xxhash64("id"), F.col("_" + own)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.col("_" + other) - 1)).alias(other),
+        ).groupBy("cell", "qb", "pb")
+
+    def compare(q: pa.Table, p: pa.Table) -> pa.Table:
+        qid = q["id"].to_numpy()
+        found = kernels.dense_closest(qid, kernels.dense(q["features"]), p["id"].to_numpy(), kernels.dense(p["features"]), k, exclude_self)
+        return pa.Table.from_batches([kernels.neighbour_batch(qid, found)])
+
+    return _merge(cut(reached, "qb", "pb").cogroup(cut(cells, "pb", "qb")).applyInArrow(compare, kernels.NEIGHBOUR_FIELDS), k)
+
+
 def nearest(
     queries: DataFrame, points: DataFrame, k: int, *, exclude_self: bool = False, sizes: tuple[int, int] | None = None
 ) -> DataFrame:
     """(query_id, point_id, distance, place): the k nearest points, Euclidean, ties by point id.
 
-    Both inputs have (id LONG, features ARRAY<DOUBLE>).
+    Both inputs have (id LONG, features ARRAY<DOUBLE>); a point's id is its own.
     """
     first = points.select(F.size("features")).first()
+    sizes = sizes or (queries.count(), points.count())
+    if first and min(sizes) > _bounded_rows(HELD_ROWS, first[0]):
+        return _in_cells(queries, points, k, n_points=sizes[1], dimensions=first[0], exclude_self=exclude_self)
 
     def load(table):
         return kernels.dense(table["features"])
@@ -108,7 +196,7 @@ def nearest(
         queries.select("id", "features"),
         points.select("id", "features"),
         k,
-        sizes=sizes or (queries.count(), points.count()),
+        sizes=sizes,
         cells=first[0] if first else 1,
         load=load,
         find=find,

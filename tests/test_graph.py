@@ -170,6 +170,29 @@ def test_reachable_from_several_seeds(spark):
     assert rows(graph.reachable(nodes, edges, seeds)) == [(1,), (2,), (3,), (4,)]
 
 
+@pytest.mark.parametrize("levels", [0, 1, 3, 16])
+def test_reachable_at_every_number_of_levels(spark, levels):
+    """A long path, a cycle, a star, loops and repeated edges; seeds on several, one of them on nothing."""
+    path = [(i, i + 1) if i % 2 else (i + 1, i) for i in range(100, 112)]
+    pairs = path + [(1, 2), (2, 3), (3, 1), (3, 3)] + [(50, i) for i in range(51, 60)] + [(50, 51), (200, 201)]
+    nodes = spark.createDataFrame([(i,) for i in (1, 2, 7, 8, 200)], "id long")
+    edges = spark.createDataFrame(pairs, "src long, dst long")
+    seeds = spark.createDataFrame([(104,), (104,), (2,), (7,), (55,), (999,)], "id long")
+    expected = {1, 2, 3, 7, *range(50, 60), *range(100, 113)}
+    assert sorted(r.id for r in graph.reachable(nodes, edges, seeds, levels=levels).collect()) == sorted(expected)
+    assert rows(graph.reachable(nodes, edges, seeds.limit(0), levels=levels)) == []
+
+
+def test_reachable_touches_only_the_reached_part(spark, monkeypatch):
+    written_rows = []
+    stage = graph.Stage
+    monkeypatch.setattr(graph, "Stage", lambda df, name, sums=None: written_rows.append((name, df.count())) or stage(df, name, sums))
+    nodes = spark.range(0, 3000)
+    edges = spark.range(10, 2990).selectExpr("id AS src", "id + 1 AS dst").union(spark.createDataFrame([(1, 2), (2, 3)], "src long, dst long"))
+    assert rows(graph.reachable(nodes, edges, nodes.filter("id = 2"))) == [(1,), (2,), (3,)]
+    assert [n for name, n in written_rows if name == "level"] == [1, 2, 0]
+
+
 def test_ranks_that_do_not_settle_are_no_result(spark):
     nodes = spark.createDataFrame([(i,) for i in range(1, 5)], "id long")
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 2)], "src long, dst long")

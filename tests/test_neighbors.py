@@ -39,6 +39,30 @@ def test_nearest_in_every_layout(spark, monkeypatch, layout):
     same(got, brute(q, p, 4, True))
 
 
+@pytest.mark.parametrize("exclude_self", [True, False])
+def test_cells_find_neighbours_across_borders(spark, monkeypatch, exclude_self):
+    """Clusters, a third of all points equal, far queries and fewer points in a cell than neighbours asked for."""
+    monkeypatch.setattr(nb, "BLOCK_ROWS", 30)
+    monkeypatch.setattr(nb, "HELD_ROWS", 60)
+    monkeypatch.setattr(nb, "SMALLEST_BLOCK", 30)
+    rng = np.random.default_rng(5)
+    p = np.concatenate([rng.normal(c, 0.3, (40, 4)) for c in (0.0, 3.0, 7.0)] + [np.full((60, 4), 3.0), rng.uniform(-20, 20, (10, 4))])
+    q = p if exclude_self else np.concatenate([p[::2] + 0.01, np.full((3, 4), 500.0), np.full((2, 4), 3.0)])
+    got = nb.nearest(frame(spark, q).repartition(3), frame(spark, p).repartition(5), 6, exclude_self=exclude_self)
+    same(got, brute(q, p, 6, exclude_self))
+
+
+def test_queries_go_to_few_cells_and_equal_points_to_few_copies(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.uniform(-100, 100, (30, 5))
+    p = np.concatenate([c + rng.normal(0, 0.5, (60, 5)) for c in centres] + [np.zeros((900, 5))])
+    df = frame(spark, p)
+    cells, reached = nb.pivot_cells(df, df, 5, n_points=len(p), dimensions=5, exclude_self=True)
+    assert cells.count() == 30 * 60 + 6
+    per_row = reached.count() / len(p)
+    assert cells.select("cell").distinct().count() >= 25 and per_row < 4
+
+
 def test_nearly_equal_points_keep_their_digits(spark):
     base = np.full((1, 5), 1e6)
     p = np.concatenate([base + i * 1e-6 for i in range(30)])
