@@ -85,11 +85,13 @@ def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return out, np.array([len(x) + 1 for x in lines], dtype=np.float64)
 
 
-def _chains(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _chains(
+    scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, steps: np.ndarray, weight: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forward-backward over many chains at once, those of equal position together.
 
     ``scores``: weight of good against bad, per line of all chains.  Returns the marginals of good, per line; the
-    expected counts of the four steps, summed; and each chain's log normaliser.
+    expected counts of the four steps, summed (each with the ``weight`` of its line); and each chain's log normaliser.
     """
     order = np.argsort(-lengths, kind="stable")
     starts, lengths = starts[order], lengths[order]
@@ -125,7 +127,8 @@ def _chains(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray, steps:
         tail = backward[at] + emit[at]
         for a in range(2):
             for b in range(2):
-                counts[a, b] = np.exp(np.clip(forward[at - 1, a] + steps[a, b] + tail[:, b] - of_line[at], -700, 0)).sum()
+                share = np.exp(np.clip(forward[at - 1, a] + steps[a, b] + tail[:, b] - of_line[at], -700, 0))
+                counts[a, b] = share.sum() if weight is None else share @ weight[at]
     back = np.empty(len(norm))
     back[order] = norm
     return good, counts, back
@@ -162,8 +165,38 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
-def fit(documents: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *, rounds: int = 150, rate: float = 0.1, ridge: float = 1e-3) -> LineModel:
-    """Maximum likelihood by Adam; both labels weigh the same, and every document as much as its lines' share of it."""
+def likelihood(
+    params: np.ndarray, x: np.ndarray, y: np.ndarray, starts: np.ndarray, lengths: np.ndarray, weight: np.ndarray, ridge: np.ndarray
+) -> tuple[float, np.ndarray]:
+    """Sum of the chains' weighted log likelihoods, less ridge/2 of each squared parameter, and its slope.
+
+    ``params``: weights of the features, then of the four steps; ``y``: labels by line; ``weight``: by line, one per chain.
+    """
+    width = x.shape[1]
+    steps, scores = params[width:].reshape(2, 2), x @ params[:width]
+    good, counts, norms = _chains(scores, starts, lengths, steps, weight)
+    inner = np.ones(len(y), dtype=bool)
+    inner[starts] = False
+    follows = np.flatnonzero(inner)
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (y[follows - 1].astype(int), y[follows].astype(int)), weight[follows])
+    value = weight @ (y * scores) + (seen * steps).sum() - weight[starts] @ norms - (ridge * params**2).sum() / 2
+    return float(value), np.concatenate([x.T @ (weight * (y - good)), (seen - counts).ravel()]) - ridge * params
+
+
+def fit(
+    documents: list[tuple[np.ndarray, np.ndarray]],
+    labels: np.ndarray,
+    *,
+    rounds: int = 150,
+    rate: float = 0.1,
+    ridge: float = 1e-3,
+    step_ridge: float = 0.01,
+) -> LineModel:
+    """Maximum of the chains' likelihood by Adam; both labels weigh the same, and every document 1 over its lines.
+
+    All lines of a document have its label, so ``step_ridge`` alone keeps steps from drowning a line's own features.
+    """
     width = 3 * FEATURES + 3
     share = float(labels.mean()) if len(labels) else 0.5
     if not len(labels) or not 0 < share < 1:
@@ -181,20 +214,13 @@ def fit(documents: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *, r
     # Per document 1/its lines, and the rarer label as much as the other in sum.
     weight = np.repeat(np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / lengths / len(labels), lengths)
     params = np.zeros(width + 4)
-    inner = np.ones(len(y), dtype=bool)
-    inner[starts] = False
-    follows = np.flatnonzero(inner)
-    # Every line of a document has its label, so all its steps stay where they are.
-    seen = np.array([[np.sum(1 - y[follows]), 0.0], [0.0, np.sum(y[follows])]])
+    ridges = np.concatenate([np.full(width, ridge), np.full(4, step_ridge)])
     first, second = np.zeros_like(params), np.zeros_like(params)
     for k in range(1, rounds + 1):
-        steps = params[width:].reshape(2, 2)
-        good, counts, _ = _chains(x @ params[:width], starts, lengths, steps)
-        slope = np.concatenate([x.T @ (weight * (y - good)), ((seen - counts) / len(y)).ravel() * 0.5]) - ridge * params
+        _, slope = likelihood(params, x, y, starts, lengths, weight, ridges)
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         params = params + rate * (first / (1 - 0.9**k)) / (np.sqrt(second / (1 - 0.999**k)) + 1e-8)
-    # A limit on the steps keeps a line's own features heard.
-    model = LineModel(scale, shift, params[:width], np.clip(params[width:].reshape(2, 2), -2.0, 2.0), (1.0, 0.0))
+    model = LineModel(scale, shift, params[:width], params[width:].reshape(2, 2), (1.0, 0.0))
     z = _logit(model.raw(features, sizes, starts, lengths))
     a, b = 1.0, 0.0
     for _ in range(50):  # Newton steps of a logistic fit with a light ridge

@@ -112,8 +112,30 @@ def telling(documents: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     return (ratio > TELLING) & (with_slot[0] + with_slot[1] >= SEEN)
 
 
+def likelihood(links: np.ndarray, thresholds: np.ndarray, grade: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cumulative-link log likelihood log(s(t_g - x) - s(t_(g-1) - x)) of each row's grade g, where s is the sigmoid and the
+    thresholds go from minus to plus infinity; its slopes by the link x, and by the thresholds (row, threshold)."""
+    rows = np.arange(len(grade))
+    edges = np.concatenate([[-np.inf], thresholds, [np.inf]])
+    high, low = edges[grade + 1] - links, edges[grade] - links
+    gap = -np.expm1(edges[grade] - edges[grade + 1])  # 1 where one of them is infinite
+    up, down = _sigmoid(high), _sigmoid(low)
+    # s(a) - s(b) = s(a) s(-b) (1 - exp(b - a)), which keeps its digits at both ends.
+    value = np.log(up) + np.log(_sigmoid(-low)) + np.log(gap)
+    by_threshold = np.zeros((len(grade), len(edges)))
+    by_threshold[rows, grade + 1] = _sigmoid(-high) / (_sigmoid(-low) * gap)
+    by_threshold[rows, grade] = -down / (up * gap)
+    return value, up + down - 1, by_threshold[:, 1:-1]
+
+
+def ordered(gaps: np.ndarray) -> np.ndarray:
+    """Thresholds by the first one and the logs of the steps up."""
+    return np.concatenate([gaps[:1], gaps[0] + np.cumsum(np.exp(gaps[1:]))])
+
+
 def fit(documents: list[np.ndarray], grade: np.ndarray, *, rounds: int = 150, rate: float = 0.05, ridge: float = 1e-4) -> SeverityModel:
-    """Maximum likelihood by Adam over all rows; ``documents``: each one's slots, repeats included."""
+    """Maximum of the mean cumulative-link likelihood, less ridge/2 of the squared weights, by Adam over all rows;
+    ``documents``: each one's slots, repeats included."""
     rate_of_toxic = float((grade > 0).mean()) if len(grade) else 0.0
     if not 0 < rate_of_toxic < 1:
         level = np.log(np.clip(rate_of_toxic, 1e-9, 1 - 1e-9) / (1 - np.clip(rate_of_toxic, 1e-9, 1 - 1e-9)))
@@ -123,23 +145,20 @@ def fit(documents: list[np.ndarray], grade: np.ndarray, *, rounds: int = 150, ra
     used, at = np.unique(flat, return_inverse=True)
     weights, gaps = np.zeros(len(used)), np.array([1.0, 0.0, 0.0])  # thresholds: the first, then logs of the steps up
     first, second = np.zeros(len(used) + GRADES), np.zeros(len(used) + GRADES)
-    higher = grade[:, None] > np.arange(GRADES)
     n = len(grade)
     for k in range(1, rounds + 1):
-        thresholds = np.concatenate([gaps[:1], gaps[0] + np.cumsum(np.exp(gaps[1:]))])
         links = np.bincount(row, weights=weights[at], minlength=n)
-        # The likelihood of the cut points, summed over the thresholds: a proper score for each P(grade > k).
-        off = higher - _sigmoid(links[:, None] - thresholds)
-        up = np.bincount(at, weights=off.sum(axis=1)[row], minlength=len(used)) / n - ridge * weights
-        down = -off.sum(axis=0) / n
-        steps = np.exp(gaps[1:])
-        slope = np.concatenate([up, [down.sum()], [down[1:].sum() * steps[0], down[2] * steps[1]]])
+        _, by_link, by_threshold = likelihood(links, ordered(gaps), grade)
+        up = np.bincount(at, weights=by_link[row], minlength=len(used)) / n - ridge * weights
+        moved = by_threshold.mean(axis=0)
+        # A step up moves its threshold and all above it.
+        slope = np.concatenate([up, [moved.sum()], np.cumsum(moved[::-1])[::-1][1:] * np.exp(gaps[1:])])
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         move = rate * (first / (1 - 0.9**k)) / (np.sqrt(second / (1 - 0.999**k)) + 1e-8)
         weights, gaps = weights + move[: len(used)], gaps + move[len(used) :]
     whole = np.zeros(SLOTS)
     whole[used] = weights
-    return SeverityModel(whole, np.concatenate([gaps[:1], gaps[0] + np.cumsum(np.exp(gaps[1:]))]))
+    return SeverityModel(whole, ordered(gaps))
 
 
 def train(docs: DataFrame, labels: DataFrame, *, most: int = SAMPLE_DOCS) -> SeverityModel:

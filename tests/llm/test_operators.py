@@ -2,9 +2,11 @@
 
 import hashlib
 import html
+import math
 import random
 import re
 import string
+import zlib
 
 import numpy as np
 import pytest
@@ -376,6 +378,61 @@ def test_marginals_agree_with_enumeration():
     assert np.allclose(counts[1, 0], sum(w * sum(a == 1 and b == 0 for a, b in zip(p, p[1:])) for p, w in weights.items()) / total)
 
 
+def slopes(f, at, e=1e-6):
+    """Numeric slopes of f."""
+    return np.array([(f(at + e * d) - f(at - e * d)) / (2 * e) for d in np.eye(len(at))])
+
+
+def test_quality_fits_one_likelihood():
+    """The value by enumeration of all paths, the slope by differences, at weights where chains differ in weight."""
+    rng = np.random.default_rng(8)
+    lengths = np.array([3, 1, 4])
+    starts, total, width = np.array([0, 3, 4]), 8, 2
+    x, y = rng.normal(size=(total, width)), np.repeat([1.0, 0.0, 0.0], lengths)
+    weight, ridge = np.repeat([0.5, 2.0, 0.3], lengths), np.array([0.1, 0.2, 0.3, 0.3, 0.3, 0.3])
+    params = rng.normal(size=width + 4)
+
+    def by_paths(at):
+        steps, scores, value = at[width:].reshape(2, 2), x @ at[:width], -(ridge * at**2).sum() / 2
+        for s, n in zip(starts, lengths, strict=True):
+            of = lambda p: sum(g * scores[s + i] for i, g in enumerate(p)) + sum(steps[a, b] for a, b in zip(p, p[1:]))  # noqa: B023, E731
+            value += weight[s] * (of([int(v) for v in y[s : s + n]]) - np.log(sum(np.exp(of(p)) for p in np.ndindex(*[2] * n))))
+        return value
+
+    value, slope = quality.likelihood(params, x, y, starts, lengths, weight, ridge)
+    assert np.isclose(value, by_paths(params)) and np.allclose(slope, slopes(by_paths, params), atol=1e-6)
+
+
+def test_toxicity_fits_the_cumulative_link():
+    rng = np.random.default_rng(9)
+    links, grade, thresholds = rng.normal(size=12) * 3, np.arange(12) % 4, np.array([-0.5, 0.1, 2.0])
+
+    def plain(links, thresholds):
+        below = lambda k: 1.0 if k == 3 else 0.0 if k < 0 else 1 / (1 + np.exp(links - thresholds[k]))
+        p = np.stack([np.broadcast_to(below(k), len(links)) - below(k - 1) for k in range(4)], axis=1)
+        return np.log(p[np.arange(len(links)), grade])
+
+    value, by_link, by_threshold = toxicity.likelihood(links, thresholds, grade)
+    assert np.allclose(value, plain(links, thresholds))
+    assert np.allclose(by_link, slopes(lambda x: plain(x, thresholds).sum(), links), atol=1e-6)
+    assert np.allclose(by_threshold.sum(axis=0), slopes(lambda t: plain(links, t).sum(), thresholds), atol=1e-6)
+    far = toxicity.likelihood(np.array([700.0, -700.0]), thresholds, np.array([0, 3]))
+    assert all(np.isfinite(v).all() for v in far)
+
+
+def test_toxicity_scores_against_plain_sums(spark):
+    """Every document's severity from the fitted numbers, word by word and without the operator's code."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in toxicity.severities(docs, model).collect():
+        words = {w.strip(".,;:!?\"'()[]{}|*#$%&-") for w in text[r.doc_id].lower().split()} - {""}
+        keys = [k for w in words for k in [w] + [f"{n}^{w[:n]}" for n in (4, 5, 6) if len(w) >= n]]
+        link = sum(float(model.weights[zlib.crc32(k.encode()) % len(model.weights)]) for k in keys)
+        above = [1 / (1 + math.exp(min(700.0, t - link))) for t in model.thresholds]
+        assert math.isclose(r.severity, sum(above), abs_tol=1e-6) and math.isclose(r.score, above[0], abs_tol=1e-6)
+
+
 def test_toxicity_on_held_out_rows(spark, odd, labels):
     right, toxic = accuracy(spark, "op8_toxicity", "toxic")
     assert right > 0.97 and toxic > 0.85
