@@ -7,12 +7,14 @@ become repeated groups, and texts that differ become slots.  Every page of a hos
 
 A page is matched to its host's expression, which is read as an automaton, and each of its slots is bound to a place of
 the expression.  The wrapper tells, per place, where it stands (its open block elements), how many words it holds in the
-host and whether it says the same on every page.  A page's main text is what is bound in the article: slots inside
-``article`` (else ``main``, else elements named like content, else the element that holds most of the host's varying
-words), without those in menus, headers, footers, asides and hidden elements.  What is only named like a sidebar, notice,
-advert or comment (and a form) is left out where it holds no more than half of the host's words in the article around it
-(else the page); an article that isn't so named itself is read whatever the elements around it are named.  An article or
-main element keeps all of its text; elsewhere fixed labels, the same on all of 5 pages or more, go.
+host and whether it says the same on every page.  A page's main text is what is bound in the article: all slots inside
+``article`` (else ``main``, else elements named like content, else the innermost element that holds most of the host's
+words, those that vary from page to page where there are such), without those in menus, headers, footers, asides and
+hidden elements.  What is only named like a sidebar, notice, advert or comment (and a form) is left out, however long it
+is, where the article around it keeps words of its own besides headings, or where another element does that is an
+article, main or named like content; where nothing does, if it holds no more than half of the host's words.  A name says
+so by its last word (``post-comments``, but not ``has-comments`` or ``comments-open``), and an element that is also
+named like content is content.
 
 Defined cases: a null or empty html gives an empty text; a null url is the host ''; broken markup is read leniently
 (an unclosed element ends with its parent); a null page_id is kept; repeated rows give repeated results; an empty table
@@ -62,12 +64,14 @@ CONTENT_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|tex
 OWN_HEADING = re.compile(r"\b(?:article|post|entry|story|content)[_-]header\b", re.IGNORECASE)
 HEADING = re.compile(r"\b(?:header|masthead)\b", re.IGNORECASE)
 HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
-INSIDE = re.compile(r"/(?:article|main)(?:[./]|$)")
+INSIDE = re.compile(r"/~?(?:article|main)(?:[./]|$)")
+IN_ARTICLE = re.compile(r"/~?article(?:[./]|$)")
+# A name that speaks of what an element has, or how it is set, not of what it is.
+MODIFIER = re.compile(r"^(?:has|have|with|without|no|non|is|show|hide)[_-]|[_-](?:open|closed|enabled|disabled|left|right)$", re.IGNORECASE)
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 TAG = re.compile(r"""</?([a-zA-Z][-\w:]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|</?([a-zA-Z][-\w:]*)([^>]*)>""")
 SPACES = re.compile(r"\s+")
 
-FIXED_PAGES = 5  # pages from which a text that never changes is a label
 ALIGNED = 3_000_000  # cells of a table; longer alignments are cut where a longest one passes
 
 
@@ -92,7 +96,19 @@ def _named(tag: str, attributes: str, inside: bool) -> tuple[str, bool, bool]:
     signature = tag + ("." + re.sub(r"[0-9/!~]+", "", text.lower()) if text else "")
     # A heading is never aside by its name, and an article's own heading is no page header.
     named = "" if tag in HEADINGS else (HEADING if inside else OWN_HEADING).sub(" ", text)
-    return signature, hidden, bool(named and ASIDE_NAMES.search(named))
+    said = [n for n in named.split() if not MODIFIER.search(n)]
+    return signature, hidden, any(ASIDE_NAMES.search(n) for n in said) and not any(_like_content(n) for n in said)
+
+
+def _like_content(name: str) -> bool:
+    """Whether one class, id or role names content and nothing aside."""
+    return bool(CONTENT_NAMES.search(name)) and not ASIDE_NAMES.search(name)
+
+
+def _is_body(element: str) -> bool:
+    """Whether an element of a path is an article, main or named like content."""
+    tag, _, names = element.lstrip("~").partition(".")
+    return tag in ("article", "main") or (tag != "body" and not element.startswith("~") and any(map(_like_content, names.split())))
 
 
 def read_page(page: str) -> tuple[list[str], list[tuple[str, str]]]:
@@ -190,8 +206,8 @@ def read_page(page: str) -> tuple[list[str], list[tuple[str, str]]]:
             mark = "!" if hidden or tag in ASIDE or (tag == "header" and not inside) else "~" if maybe or tag in FORMS else ""
             # An article or body that is only named like something aside is still read.
             if tag in ("html", "body", "article", "main"):
-                mark = "!" if attributes and HIDDEN.search(attributes) else ""
-                if tag in ("article", "main") and not maybe and not re.search(r"/article(?:[./]|$)", above):
+                mark = "!" if attributes and HIDDEN.search(attributes) else "~" if maybe and tag == "article" else ""
+                if tag in ("article", "main") and not maybe and not IN_ARTICLE.search(above):
                     above = above.replace("/~", "/")
             tokens.append(signature)
             stack.append((tag, f"{above}/{mark}{signature}"))
@@ -247,20 +263,14 @@ def fold(items: list[list]) -> list[list]:
     """Immediate repetitions as repeated groups, short ones first."""
     keys = [shape(i) for i in items]
     codes, period = _codes(keys), 0
-    while 2 * (period + 1) <= len(items):
-        period += 1
+    while period := _next_period(codes, period):
         n = len(items)
-        # Seldom enough places are alike for a group of that period.
-        if np.count_nonzero(codes[period:] == codes[:-period]) < period:
-            continue
         # How long, from each place, the stream goes on like it does one period later.
-        run = [0] * (n + 1)
-        for i in range(n - period - 1, -1, -1):
-            run[i] = run[i + 1] + 1 if keys[i] == keys[i + period] else 0
+        run = _agreements(codes, period)
         out, i = [], 0
         while i < n:
-            if run[i] >= period and has_slot(items[i : i + period]):
-                times = run[i] // period + 1
+            if i < len(run) and run[i] >= period and has_slot(items[i : i + period]):
+                times = int(run[i]) // period + 1
                 body = [varying(x) for x in items[i : i + period]]
                 for k in range(1, times):
                     body = [united(x, varying(y)) for x, y in zip(body, items[i + k * period : i + (k + 1) * period], strict=True)]
@@ -279,6 +289,51 @@ def fold(items: list[list]) -> list[list]:
     return items
 
 
+def _agreements(codes: np.ndarray, period: int) -> np.ndarray:
+    """From each place, how many items in a row equal the one a period later."""
+    differ = np.flatnonzero(codes[period:] != codes[:-period])
+    places = np.arange(len(codes) - period)
+    ends = np.append(differ, len(places))
+    return ends[np.searchsorted(ends, places)] - places
+
+
+def _next_period(codes: np.ndarray, above: int) -> int:
+    """The shortest period above ``above`` with which something is repeated at once; 0 without one.
+
+    A repeated stretch of 2w to 4w items holds a window of w items that starts at a multiple of w and comes again one
+    period later, so only distances between equal windows are tried; windows of doubled length are named by pairs.
+    """
+    n = len(codes)
+    for period in range(above + 1, min(4, n // 2 + 1)):
+        if (_agreements(codes, period) >= period).any():
+            return period
+    names, w = codes, 1
+    while 4 * w <= n:
+        # Names of windows of 2w items.
+        names = np.unique(names[:-w] * np.int64(n + 1) + names[w:], return_inverse=True)[1]
+        w *= 2
+        if 4 * w - 1 <= above:
+            continue
+        order = np.argsort(names, kind="stable")
+        start = np.arange(0, len(names), w)
+        at = np.empty(len(names), np.int64)
+        at[order] = np.arange(len(names))
+        at, distances = at[start], []
+        while len(start):
+            at = at + 1
+            inside = at < len(order)
+            at, start = at[inside], start[inside]
+            other = order[at]
+            near = (names[other] == names[start]) & (other - start < 4 * w)
+            at, start = at[near], start[near]
+            distances.append(other[near] - start)
+        found = np.unique(np.concatenate(distances))
+        for period in found[(found >= 2 * w) & (found > above) & (2 * found <= n)]:
+            if (_agreements(codes, int(period)) >= period).any():
+                return int(period)
+    return 0
+
+
 def _codes(keys: list[str]) -> np.ndarray:
     """Equal numbers for equal keys."""
     numbers: dict[str, int] = {}
@@ -430,10 +485,12 @@ class Wrapper:
         self.ends = set(last) | ({0} if nullable else set())
         self.steps: dict[tuple[tuple[int, ...], str], tuple[tuple[int, ...], tuple[int, ...]]] = {}
         self.sums = self._sums((path, n) for _, path, n in self.slots if "/!" not in path)
+        self.keeps = self._keeps()
         self.stands: dict[str, int | None] = {}
-        self.words: dict[str, int] = {}  # varying words by path
-        for place, path, n in self.slots:
-            if not self.labels[place] and not self._aside(path):
+        self.words: dict[str, int] = {}  # varying words by path, or all where none vary
+        shown = [(path, n, self.labels[place]) for place, path, n in self.slots if not self._aside(path)]
+        for path, n, label in shown:
+            if not label or all(x[2] for x in shown):
                 self.words[path] = self.words.get(path, 0) + n
         self.root: str | None = None
 
@@ -443,7 +500,7 @@ class Wrapper:
         for i in items:
             if i[0] in "ts":
                 place, skip = len(self.keys), False
-                fixed = i[0] == "s" and i[2] and not repeated and self.pages >= FIXED_PAGES and i[4] >= self.pages
+                fixed = i[0] == "s" and i[2] and not repeated and i[4] >= self.pages > 1
                 self.keys.append(i[0] + i[1])
                 self.labels.append(i[2] if fixed else "")
                 self.follow.append({})
@@ -475,19 +532,40 @@ class Wrapper:
                 sums[key] = sums.get(key, 0) + n
         return sums
 
+    def _keeps(self) -> set[str]:
+        """Articles, main elements and what is named like content that hold words, besides headings and what is only
+        named aside; '' if there is any."""
+        found: set[str] = set()
+        for _, path, _ in self.slots:
+            if "/!" in path or path.rpartition("/")[2].partition(".")[0] in HEADINGS:
+                continue
+            end = len(path)
+            while end > 0:
+                start = path.rfind("/", 0, end)
+                element = path[start + 1 : end]
+                if _is_body(element):
+                    found.add(path[:end])
+                    if "/~" not in path[: start + 1] and not element.startswith("~"):
+                        found.add("")
+                if element.startswith("~"):
+                    break
+                end = start
+        return found
+
     def _aside(self, path: str) -> bool:
-        """Whether a path is aside: by an element that is, or by one so named that holds no more than half of the host's
-        words in the article (main element, page) around it."""
+        """Whether a path is aside: by an element that is, or by one so named that the text can do without."""
         if "/!" in path:
             return True
         at = path.find("/~")
         while at >= 0:
             end = path.find("/", at + 1)
             element = path if end < 0 else path[:end]
-            around = ""
-            for m in INSIDE.finditer(path, 0, at + 1):
-                around = path[: path.find("/", m.start() + 1)]
-            if 0 < self.sums.get(around, 0) >= 2 * self.sums.get(element, 0):
+            around, start = "", at
+            while start > 0 and not around:
+                before = path.rfind("/", 0, start)
+                around = path[:start] if _is_body(path[before + 1 : start]) else ""
+                start = before
+            if around in self.keeps or (not around and self.sums.get("", 0) >= 2 * self.sums.get(element, 0)):
                 return True
             at = path.find("/~", at + 1)
         return False
@@ -538,7 +616,7 @@ class Wrapper:
         if path not in self.stands:
             if self._aside(path):
                 stands = None
-            elif re.search(r"/article(?:[./]|$)", path):
+            elif IN_ARTICLE.search(path):
                 stands = 0
             elif re.search(r"/~?main(?:[./]|$)|\.(?:[^/]*\s)?main(?:[\s/]|$)", path):
                 stands = 1
@@ -547,32 +625,19 @@ class Wrapper:
             self.stands[path] = stands
         return self.stands[path]
 
-    def _main(self, page: str) -> tuple[int, list[tuple[str, str, str]]]:
-        """Where a page's main text stands, and its slots (path, text, digest if a label) there."""
+    def article(self, page: str) -> str:
+        """A page's main text: its blocks, joined by line breaks."""
         tokens, slots = read_page(page)
-        places = self.bound(tokens) or [0] * len(tokens)
-        labels = [self.labels[p] for t, p in zip(tokens, places, strict=True) if t[0] == "#"]
-        shown = [(self._stands(p), p, t, d) for (p, t), d in zip(slots, labels, strict=True)]
+        places = self.bound(tokens)
+        bound = [self.keys[p][1:] for p in places if self.keys[p][0] == "s"] if places is not None else [p for p, _ in slots]
+        shown = [(self._stands(p), p, t) for p, (_, t) in zip(bound, slots, strict=True)]
         at = min((s for s, *_ in shown if s is not None), default=3)
-        chosen = [(p, t, d) for s, p, t, d in shown if s == at]
+        chosen = [(p, t) for s, p, t in shown if s == at]
         if at == 3:
             if self.root is None:
                 self.root = self.container()
             chosen = [x for x in chosen if x[0].startswith(self.root)] or chosen
-        return at, chosen
-
-    def _without_labels(self, chosen: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
-        """Without what reads the same on all pages, if something varies."""
-        return [x for x in chosen if not x[2]] if any(p in self.words for p, _, _ in chosen) else chosen
-
-    def text(self, page: str) -> str:
-        """What varies of a page's main text: its blocks, joined by line breaks, without fixed labels."""
-        return "\n".join(t for _, t, _ in self._without_labels(self._main(page)[1]))
-
-    def article(self, page: str) -> str:
-        """A page's main text: all of an article or main element; elsewhere, what varies."""
-        at, chosen = self._main(page)
-        return "\n".join(t for _, t, _ in (chosen if at < 2 else self._without_labels(chosen)))
+        return "\n".join(t for _, t in chosen)
 
 
 def infer(pages: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import string
+import time
 import zlib
 
 import numpy as np
@@ -207,13 +208,6 @@ def test_main_text(spark, tag):
     assert len(got) == 6
 
 
-def test_wrapper_drops_labels_and_keeps_repeats():
-    page = "<article><p>Read more from us</p><div><ul>{}</ul></div></article>"
-    pages = [page.format("".join(f"<li>item {i} {k}</li>" for k in range(i + 1))) for i in range(8)]
-    wrapper = wrappers.Wrapper(wrappers.inferred([wrappers.expression(p) for p in pages]), len(pages))
-    assert wrapper.text(pages[2]) == "item 2 0\nitem 2 1\nitem 2 2"
-
-
 def inferred_wrapper(pages):
     return wrappers.Wrapper(wrappers.inferred([wrappers.expression(p) for p in pages]), len(pages))
 
@@ -223,7 +217,9 @@ def test_slots_are_bound_to_places_of_the_expression(spark):
     bodies = [f"body {i}" for i in range(8)]
     bodies[3] = "Notes"
     pages = [f"<div><p>Notes</p><h2>t{i}</h2><p>{b}</p></div>" for i, b in enumerate(bodies)]
-    assert inferred_wrapper(pages).text(pages[3]) == "t3\nNotes"
+    wrapper = inferred_wrapper(pages)
+    places = [p for p in wrapper.bound(wrappers.read_page(pages[3])[0]) if wrapper.keys[p][0] == "s"]
+    assert [bool(wrapper.labels[p]) for p in places] == [True, False, False]
     # Every page matches its host's expression.
     rng = random.Random(4)
     block = lambda d: "".join(
@@ -264,6 +260,64 @@ def test_names_alone_remove_nothing():
     assert text(f"<body><main><p>One two three</p>{comments}</main></body>") == "One two three"
 
 
+COMMENTS = "".join(f"<div class='comment'><p>reader {{i}} says {k} and many more words than the article has</p></div>" for k in range(6))
+ASIDES = {
+    "section class='comments'": COMMENTS,
+    "div id='comments'": COMMENTS,
+    "div class='related-posts'": "<ul>" + "".join(f"<li>another story {{i}} {k} with a long title</li>" for k in range(9)) + "</ul>",
+    "div class='cookie-banner'": "<p>" + "we use cookies {i} " * 40 + "</p>",
+}
+
+
+@pytest.mark.parametrize("body", ["article", "main", "div class='story'"])
+@pytest.mark.parametrize("name", ASIDES)
+@pytest.mark.parametrize("n", [1, 8])
+def test_what_stands_aside_goes_whatever_its_length(body, name, n):
+    end = lambda tag: f"</{tag.split()[0]}>"
+    aside = f"<{name}>{ASIDES[name]}{end(name)}"
+    inside = f"<body><{body}><h1>T {{i}}</h1><p>Short {{i}}</p>{aside}{end(body)}</body>"
+    below = f"<body><{body}><h1>T {{i}}</h1><p>Short {{i}}</p>{end(body)}{aside}</body>"
+    for page in (inside, below):
+        pages = [page.replace("{i}", str(i)) for i in range(n)]
+        wrapper = inferred_wrapper(pages)
+        assert [wrapper.article(p) for p in pages] == [f"T {i}\nShort {i}" for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 5, 9])
+def test_what_all_pages_say_stays_however_many_there_are(n):
+    pages = [f"<body><div>Home</div><div class='story'><h1>Same title</h1><p>Same lead</p><p>Body {i} text</p></div></body>" for i in range(n)]
+    wrapper = inferred_wrapper(pages)
+    assert [wrapper.article(p) for p in pages] == [f"Same title\nSame lead\nBody {i} text" for i in range(n)]
+    same = [pages[0]] * n
+    assert {inferred_wrapper(same).article(p) for p in same} == {"Same title\nSame lead\nBody 0 text"}
+
+
+def test_names_of_what_an_element_has_are_no_asides():
+    text = lambda page: inferred_wrapper([page]).article(page)
+    for name in ("post has-comments", "entry-content sidebar-left", "wrap with-sidebar", "story comments-open", "post widget"):
+        assert text(f"<article><h1>T</h1><p>Lead</p><div class='{name}'><p>One two</p></div></article>") == "T\nLead\nOne two"
+    # An element named aside that holds all there is besides headings is the text.
+    assert text("<article><h1>T</h1><div class='widget'><p>One two</p></div></article>") == "T\nOne two"
+    assert text("<main><article class='post'><p>One two</p></article><article class='comment'><p>a b c d e f</p></article></main>") == "One two"
+
+
+def test_repetitions_are_found_as_by_trying_all_periods():
+    rng = random.Random(12)
+    for _ in range(300):
+        letters, stream = rng.choice(["ab", "abcd", "abcdefgh"]), []
+        while len(stream) < 60:
+            stream += rng.choices(letters, k=rng.randint(1, 12)) * rng.choice([1, 1, 2, 3])
+        codes, above = wrappers._codes(stream), rng.randint(0, 12)
+        squares = [p for p in range(above + 1, len(stream) // 2 + 1) if any(stream[i : i + p] == stream[i + p : i + 2 * p] for i in range(len(stream) - 2 * p + 1))]
+        assert wrappers._next_period(codes, above) == (squares[0] if squares else 0)
+    start = time.monotonic()
+    rng = random.Random(13)
+    page = "".join(f"<{t}>word {i}</{t}>" for i, t in enumerate(rng.choices(("p", "div", "ul", "h2", "section", "table"), k=200_000)))
+    wrapper = wrappers.Wrapper(wrappers.expression(page), 1)
+    assert wrapper.article(page).count("\n") == 199_999
+    assert time.monotonic() - start < 60
+
+
 def test_long_streams_are_aligned_and_folded_as_short_ones(monkeypatch):
     rng = random.Random(6)
     streams = [[["t", rng.choice("abcde")] for _ in range(n)] for n in (90, 70)]
