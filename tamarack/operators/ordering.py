@@ -125,11 +125,12 @@ def range_totals(
     while RADIX**depth < (placed.sums["n"] or 0):
         depth += 1
 
-    level = placed.df.select(F.col("_i").alias("_b"), "_v")
-    blocks = level.select(F.lit(0).alias("_t"), "_b", "_v")
-    for t in range(1, depth + 1):
-        level = level.groupBy(F.expr(f"_b div {RADIX}").alias("_b")).agg(F.sum("_v").alias("_v"))
-        blocks = blocks.unionByName(level.select(F.lit(t).alias("_t"), "_b", "_v"))
+    blocks = placed.df.select(F.lit(0).alias("_t"), F.col("_i").alias("_b"), "_v")
+    if depth:
+        # All levels in one pass; neighbours lie in one task, which sums them before the shuffle.
+        widths = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(RADIX**t).alias("w")) for t in range(1, depth + 1)]))
+        wider = placed.df.select("_i", "_v", widths.alias("_l")).groupBy(F.col("_l.t").alias("_t"), F.expr("_i div _l.w").alias("_b"))
+        blocks = blocks.unionByName(wider.agg(F.sum("_v").alias("_v")))
     # Written, so that joins with many ranges on one block or on one pair of ends can be split.
     blocks = written(blocks, "range-blocks")
 

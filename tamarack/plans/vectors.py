@@ -9,7 +9,7 @@ from tamarack.functions import vectors as vec
 from tamarack.operators.metrics import prediction_quality
 from tamarack.operators.neighbors import knn_outliers, knn_outliers_pruned, nearest
 from tamarack.plans.registry import registry
-from tamarack.sources.lines import labelled_rows
+from tamarack.sources.lines import dropped_labelled, labelled_rows
 from tamarack.sources.tables import table
 from tamarack.staging import spread
 
@@ -103,6 +103,28 @@ def vector_functions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    """(vec_id, label, value): each embedding as an ``id,class,x1,...`` line."""
+    e = table(spark, sf, "embeddings")
+    cells = F.array_join(vec.as_doubles(F.col("embedding")).cast("array<string>"), ",")
+    line = F.concat_ws(",", F.col("vec_id").cast("string"), F.when(F.col("label") < 5, "M").otherwise("B"), cells)
+    return e.select("vec_id", "label", line.alias("value"))
+
+
+@register(
+    "dropped_labelled",
+    """
+    SELECT CASE WHEN label = 1 THEN 'field_count' WHEN label = 2 THEN 'number' ELSE 'kept' END AS outcome, COUNT(*) AS n
+    FROM embeddings GROUP BY 1
+    """,
+)
+def dropped(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of label 1 get a field too many, in those of label 2 one number is none."""
+    value = F.col("value")
+    odd = F.when(F.col("label") == 1, F.concat(value, F.lit(",7"))).when(F.col("label") == 2, F.regexp_replace(value, ",[^,]*$", ",n/a"))
+    return dropped_labelled(_lines(spark, sf).select(odd.otherwise(value).alias("value")), n_features=64)
+
+
 @register(
     "labelled_rows",
     """
@@ -113,10 +135,7 @@ def vector_functions(spark: SparkSession, sf: str) -> DataFrame:
 )
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
     """Embeddings written as ``id,class,x1,...`` lines and parsed back."""
-    e = table(spark, sf, "embeddings")
-    cells = F.array_join(vec.as_doubles(F.col("embedding")).cast("array<string>"), ",")
-    line = F.concat_ws(",", F.col("vec_id").cast("string"), F.when(F.col("label") < 5, "M").otherwise("B"), cells)
-    rows = labelled_rows(e.select(line.alias("value")), n_features=64)
+    rows = labelled_rows(_lines(spark, sf).select("value"), n_features=64)
     return rows.select(
         "item",
         F.col("label").cast("long").alias("label"),

@@ -110,21 +110,44 @@ def tagged_documents(lines: DataFrame) -> DataFrame:
     )
 
 
+def _checked_labelled(lines: DataFrame, n_features: int) -> DataFrame:
+    """The lines with _f, their fields, and _x, their numbers; a number that doesn't parse is NULL."""
+    fields = lines.withColumn("_f", F.split("value", ","))
+    return fields.withColumn("_x", F.transform(F.slice("_f", 3, n_features), lambda x: F.trim(x).try_cast("double")))
+
+
+def _labelled_outcome(n_features: int) -> Column:
+    return (
+        F.when(F.col("_f").isNull() | (F.size("_f") != n_features + 2), "field_count")
+        .when(F.exists("_x", lambda x: x.isNull()), "number")
+        .otherwise("kept")
+    )
+
+
 def labelled_rows(lines: DataFrame, *, n_features: int = 30, positive: str = "M") -> DataFrame:
     """(item, label, features) of ``id,class,x1,...,xn`` lines; label +1 for ``positive``, else -1.
 
-    A ``row_id`` column of the input is carried along.
+    Lines of another width and lines with something else than numbers fall out; ``dropped_labelled`` counts them.  A
+    ``row_id`` column of the input is carried along.
     """
-    f = F.split("value", ",")
     carried = [c for c in lines.columns if c == "row_id"]
-    return lines.select(*carried, f.alias("_f")).select(
-        *carried,
-        F.get("_f", F.lit(0)).alias("item"),
-        F.when(F.get("_f", F.lit(1)) == positive, 1).otherwise(-1).alias("label"),
-        F.slice("_f", 3, n_features).cast("array<double>").alias("features"),
+    return (
+        _checked_labelled(lines, n_features)
+        .filter(_labelled_outcome(n_features) == "kept")
+        .select(
+            *carried,
+            F.get("_f", F.lit(0)).alias("item"),
+            F.when(F.get("_f", F.lit(1)) == positive, 1).otherwise(-1).alias("label"),
+            F.col("_x").alias("features"),
+        )
     )
 
 
+def dropped_labelled(lines: DataFrame, *, n_features: int = 30) -> DataFrame:
+    """(outcome, n): how many labelled lines were kept, or fell out by the first rule that they broke."""
+    return _checked_labelled(lines, n_features).groupBy(_labelled_outcome(n_features).alias("outcome")).agg(F.count("*").alias("n"))
+
+
 def classed_lines(*corpora: DataFrame) -> DataFrame:
     """Union of per-class line corpora; class 0, 1, ... in the order given, ids stay per class."""
     labelled = [c.withColumn("label", F.lit(i)) for i, c in enumerate(corpora)]

@@ -117,6 +117,16 @@ def test_labelled_rows_and_numbered_lines(spark, tmp_path):
     assert got[3]["features"] == [3.5, 2.0]
 
 
+def test_labelled_rows_of_odd_lines(spark):
+    lines = ["a,M,1,2", "b,B,1", "c,B,1,2,3", "d,M,x,2", "e,B,, 2", "f,B, 1.5 ,NaN", "", None, "g,M,1,2,"]
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    got = {r["item"]: (r["label"], r["features"]) for r in src.labelled_rows(df, n_features=2).collect()}
+    assert got["a"] == (1, [1.0, 2.0]) and sorted(got) == ["a", "f"]
+    assert got["f"][0] == -1 and got["f"][1][0] == 1.5 and got["f"][1][1] != got["f"][1][1]
+    assert rows(src.dropped_labelled(df, n_features=2)) == [("field_count", 5), ("kept", 2), ("number", 2)]
+    assert src.labelled_rows(df.limit(0), n_features=2).collect() == []
+
+
 def test_generators_are_seeded(spark):
     cloud = planted_outliers(spark, seed=1)
     assert cloud.count() == 3190 and cloud.select("id").distinct().count() == 3190
