@@ -9,7 +9,6 @@ never become rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 import numpy as np
@@ -100,13 +99,14 @@ def pivot_cells(
 ) -> tuple[DataFrame, DataFrame]:
     """Points in the cell of their nearest pivot, and a copy of each query per cell that may hold one of its k nearest.
 
-    Both are written: (id, features, cell, away).  Pivots are some square root of ``n_points`` of the points, so that
-    they lie where points do; they, and per cell its radius and k distances, come to the driver.
+    Both are written: (id, features, cell, away).  Pivots are some of the points, so that they lie where points do,
+    and as many as the points have blocks: where nothing can be excluded, as among random vectors of many dimensions, a
+    query has a copy per block and no more.  They, and per cell its radius and k distances, come to the driver.
     """
     k += exclude_self  # the query itself may be one of those that bound it
-    wanted = min(_bounded_rows(HELD_ROWS, dimensions), math.isqrt(n_points) + 1)
+    wanted = min(_bounded_rows(HELD_ROWS, dimensions), -(-n_points // _bounded_rows(BLOCK_ROWS, dimensions)))
     chosen = points.orderBy(F.xxhash64("id"), "id").limit(wanted).select("features").toArrow()
-    pivots = kernels.Pivots(kernels.dense(chosen["features"]))
+    pivots = kernels.Pivots(np.unique(kernels.dense(chosen["features"]), axis=0))
 
     def assign(batches):
         for batch in batches:

@@ -52,7 +52,9 @@ def test_cells_find_neighbours_across_borders(spark, monkeypatch, exclude_self):
     same(got, brute(q, p, 6, exclude_self))
 
 
-def test_queries_go_to_few_cells_and_equal_points_to_few_copies(spark):
+def test_queries_go_to_few_cells_and_equal_points_to_few_copies(spark, monkeypatch):
+    monkeypatch.setattr(nb, "BLOCK_ROWS", 30)
+    monkeypatch.setattr(nb, "SMALLEST_BLOCK", 30)
     rng = np.random.default_rng(6)
     centres = rng.uniform(-100, 100, (30, 5))
     p = np.concatenate([c + rng.normal(0, 0.5, (60, 5)) for c in centres] + [np.zeros((900, 5))])
