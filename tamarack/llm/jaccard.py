@@ -59,6 +59,7 @@ ROUNDS = 2  # further nodes that those outside a list's largest component are co
 BUCKET_BYTES = 32 << 20
 BOUNDARIES = (0, 4, 8, 16, 32)  # sizes that may part small sets from large ones
 ROWS = 512
+PACKED = 2_048  # documents whose shingles or keys are held at a time
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SCRAMBLE = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -168,10 +169,14 @@ def subset_keys(first: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.nd
     return key ^ (key >> np.uint64(31)), np.minimum(often[i], often[j])
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for start in range(0, whole.num_rows, ROWS):
-            yield whole.slice(start, ROWS)
+        for start in range(0, whole.num_rows, rows):
+            yield whole.slice(start, rows)
+
+
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _slices(batches, ROWS)
 
 
 def members(docs: DataFrame, seed: int) -> DataFrame:
@@ -222,7 +227,7 @@ def _cell_counts(docs: DataFrame, seed: int, shingles: float) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(), set()
-        for whole in batches:
+        for whole in _slices(batches, PACKED):
             cells = [np.zeros(0, dtype=np.uint32)]
             for batch in _strings(iter([whole])):
                 for text in batch.column(1).to_pylist():
@@ -250,14 +255,17 @@ def _cell_counts(docs: DataFrame, seed: int, shingles: float) -> DataFrame:
         # A task's buckets are ranges of cells, the kinds of a cell next to each other but for a bucket's ends.
         parts = [_from_steps(x.as_py()) for batch in batches for x in batch.column(1)]
         if parts:
-            flat = np.sort(np.concatenate(parts))
+            flat = np.concatenate(parts)
+            parts.clear()
+            flat.sort()
             cell = flat >> np.uint32(3)
             starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
             m = np.diff(np.append(starts, len(flat)))
             often = m >= HEAVY
-            kind = flat & np.uint32(7)
-            above = [np.add.reduceat((kind > i).astype(np.int64), starts)[often] for i in range(len(BOUNDARIES))]
-            columns = [cell[starts][often].astype(np.int64), m[often].astype(np.int64), *above]
+            cell, m, kind = cell[starts[often]].astype(np.int64), m[often], flat[np.repeat(often, m)] & np.uint32(7)
+            firsts = np.cumsum(m) - m  # of the frequent cells' entries
+            above = [np.add.reduceat((kind > i).astype(np.int64), firsts) if len(m) else m for i in range(len(BOUNDARIES))]
+            columns = [cell, m, *above]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     packed = docs.mapInArrow(pack, "bucket int, cells binary")
@@ -290,7 +298,7 @@ def candidates(docs: DataFrame, seed: int, heavy: np.ndarray, counts: np.ndarray
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(), set()
         frequent = Frequent(*sent.value)
-        for whole in batches:
+        for whole in _slices(batches, PACKED):
             keys, nodes, sizes, counted = [], [], [], []
             for batch in _strings(iter([whole])):
                 for text in batch.column(1).to_pylist():
