@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarack.operators.learning import weight_table
-from tamarack.operators.text import TermIndex, document_words, term_counts, term_frequency, with_totals
+from tamarack.operators.text import TermIndex, by_document, document_words, term_counts, term_frequency, text_size, with_totals
 from tamarack.staging import broadcast_if_bounded
 
 COLUMNS = "word string, idx long, idf double, mean double, std double, weight double"
@@ -39,7 +39,8 @@ def score_texts(model: DataFrame, docs: DataFrame, *, size: int, doc: str = "doc
     scale = F.when(F.col("std") > 0, F.col("weight") / F.col("std")).otherwise(F.lit(0.0))
     # One number for all texts: what absent words add up to.
     offset = model.agg(F.sum(F.col("mean") * scale)).first()[0] or 0.0
-    counts = term_counts(document_words(docs, doc=doc, text=text), model, size=size, doc=doc)
+    laid = by_document(docs.select(doc, text), chars=text_size(docs, text=text)[1], doc=doc)
+    counts = term_counts(document_words(laid, doc=doc, text=text), model, size=size, doc=doc)
     tf = term_frequency(with_totals(counts, doc=doc), doc=doc)
     worth = broadcast_if_bounded(model.select("idx", (F.col("idf") * scale).alias("worth")), size)
     return tf.join(worth, "idx").groupBy(doc).agg((F.sum(F.col("tf") * F.col("worth")) - F.lit(offset)).alias("score"))

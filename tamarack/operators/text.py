@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tamarack.functions.numeric import ratio_or_zero
 from tamarack.functions.text import NON_LETTERS, is_letters, kept_tokens, letter_words, space_tokens
 from tamarack.operators.ordering import global_index
-from tamarack.staging import Stage, broadcast_if_bounded, written
+from tamarack.staging import Stage, broadcast_if_bounded, parallelism, written
 
 VOCABULARY_SIZE = 20_000
+TASK_CHARS = 16_000_000  # characters of text whose words one task counts
 MOST_TILE_TASKS = 100_000
 
 
@@ -38,6 +39,21 @@ def bigram_count(lines: DataFrame, *, text: str = "value", min_exclusive: int =
     )
 
 
+def by_document(docs: DataFrame, *, chars: int, doc: str = "doc_id", task_chars: int = TASK_CHARS) -> DataFrame:
+    """Texts of ``chars`` characters in all, hashed by document to as many tasks as keep each one's counts small.
+
+    A task counts (doc, idx) in memory and needs no further shuffle for it, so its share must not grow with the corpus; the
+    splits of a scan, or a fixed number of tasks, would let it.
+    """
+    return docs.repartition(max(2 * parallelism(docs.sparkSession), -(-chars // task_chars)), doc)
+
+
+def text_size(docs: DataFrame, *, text: str = "text") -> tuple[int, int]:
+    """Number of documents, and of characters of their texts."""
+    n, chars = docs.agg(F.count("*"), F.sum(F.length(text))).first()
+    return n, chars or 0
+
+
 def document_words(docs: DataFrame, *, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, word): one row per occurrence of a lower-cased run of letters."""
     return (
@@ -120,14 +136,24 @@ class TermIndex:
     for the vocabulary, then for the counts.
     """
 
-    def __init__(self, docs: DataFrame, *, size: int = VOCABULARY_SIZE, doc: str = "doc_id", text: str = "text"):
+    def __init__(
+        self,
+        docs: DataFrame,
+        *,
+        size: int = VOCABULARY_SIZE,
+        doc: str = "doc_id",
+        text: str = "text",
+        measured: tuple[int, int] | None = None,
+    ):
+        """``measured``: the ``text_size`` of the documents, where it is known or cheaper to find than from ``docs``."""
         self.size, self.doc, self.text = size, doc, text
         words = document_words(docs, doc=doc, text=text)
         self.vocab = written(vocabulary(words, size=size), "vocabulary")
-        counts = with_totals(term_counts(words, self.vocab, size=size, doc=doc), doc=doc)
+        self.n_docs, chars = measured or text_size(docs, text=text)
+        laid = by_document(docs.select(doc, text), chars=chars, doc=doc)
+        counts = with_totals(term_counts(document_words(laid, doc=doc, text=text), self.vocab, size=size, doc=doc), doc=doc)
         self._totals = written(counts, "term-counts")
         self.counts = self._totals.select(doc, "idx", "n")
-        self.n_docs = docs.count()
 
     def tf(self) -> DataFrame:
         return term_frequency(self._totals, doc=self.doc)
@@ -140,7 +166,8 @@ class TermIndex:
 
     def transform(self, docs: DataFrame, *, doc: str, text: str) -> DataFrame:
         """TF-IDF of other documents under this vocabulary and this corpus's idf."""
-        counts = term_counts(document_words(docs, doc=doc, text=text), self.vocab, size=self.size, doc=doc)
+        laid = by_document(docs.select(doc, text), chars=text_size(docs, text=text)[1], doc=doc)
+        counts = term_counts(document_words(laid, doc=doc, text=text), self.vocab, size=self.size, doc=doc)
         return weigh(term_frequency(with_totals(counts, doc=doc), doc=doc), self.idf(), size=self.size, doc=doc)
 
     def n_words(self) -> int:

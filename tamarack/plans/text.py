@@ -67,7 +67,8 @@ def texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def index(spark: SparkSession, sf: str, size: int = VOCABULARY) -> words.TermIndex:
-    return words.TermIndex(texts(spark, sf), size=size)
+    # Measured from the scan, as the spread texts would be shuffled for it.
+    return words.TermIndex(texts(spark, sf), size=size, measured=words.text_size(documents(spark, sf)))
 
 
 _KEPT = "list_transform(list_filter(string_split_regex(line, '[ \t\n\r\f]+'), lambda t: regexp_full_match(t, '[a-zA-Z]+')), lambda t: lower(t))"

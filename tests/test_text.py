@@ -94,6 +94,26 @@ def test_transform_uses_the_fitted_vocabulary(spark):
     assert math.isclose(got[9, vocab["cat"]], 2 / 3 * math.log(6 / 2))
 
 
+def test_counts_are_dealt_to_tasks_by_the_size_of_the_texts(spark, monkeypatch):
+    corpus = [f"a b{i % 7 * 'x'} {'long ' * 40}" for i in range(300)]
+    docs = documents(spark, corpus).repartition(64, "doc_id")
+    expected = rows(text.TermIndex(docs, size=100).counts)
+    n, chars = text.text_size(docs)
+    assert (n, chars) == (300, sum(map(len, corpus))) and text.text_size(docs.limit(0)) == (0, 0)
+    laid = text.by_document(docs, chars=chars, task_chars=500)
+    assert laid.rdd.getNumPartitions() == -(-chars // 500) > 64
+    # Each document lies in one task, and no task holds much more than its share.
+    held = laid.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.length("text")).alias("c"), F.collect_list("doc_id").alias("d")).collect()
+    assert sorted(d for r in held for d in r["d"]) == list(range(300)) and max(r["c"] for r in held) < chars / 20
+    seen = []
+    dealt = text.by_document
+    monkeypatch.setattr(text, "by_document", lambda docs, **given: seen.append(given["chars"]) or dealt(docs, task_chars=500, **given))
+    index = text.TermIndex(docs, size=100)
+    assert rows(index.counts) == expected and seen == [chars]
+    index.transform(documents(spark, ["a long", None]), doc="doc_id", text="text")
+    assert seen == [chars, 6]
+
+
 def test_word_ranks_and_lookup(spark):
     index = text.TermIndex(documents(spark, CORPUS), size=100)
     asked = spark.createDataFrame([("the",), ("nope",), ("dog",)], "word string")
