@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ ESCAPE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 NONE = -2  # no arc
-REMEMBERED = 1 << 18  # chunks per task
+REMEMBERED = 1 << 19  # chunks, or pairs of pieces, per Python worker
 ROWS = 256  # rows of an output batch
 
 
@@ -122,7 +123,7 @@ class Transducer:
             raise ValueError("pieces cross into white space")
         self.chunks = re.compile(f"{ESCAPE}*[^{ESCAPE}]+|{ESCAPE}+")
         self.pairs: dict[int, bool] = {}
-        self.memory = _Paths(lambda chunk: np.array(self._path(chunk), dtype=np.int32).tobytes())
+        self.memory = _Paths(lambda chunk: array("i", self._path(chunk)).tobytes())
 
     def _merged(self, text: str) -> list[str]:
         """The model's merges on a short text: again and again the best-scored pair, the leftmost of equals."""

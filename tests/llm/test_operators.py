@@ -375,6 +375,15 @@ def test_pieces_agree_with_the_library(documents):
         assert machine.decode(ids) == text
 
 
+def test_paths_of_chunks_are_remembered_over_many_others():
+    searched = []
+    memory = sentencepiece_fst._Paths(lambda chunk: searched.append(chunk) or b"")
+    for i in range(600_000):
+        memory[str(i)]
+    assert memory["0"] == b"" and len(searched) == 600_000
+    assert len(memory) + len(memory.older) <= 2 * sentencepiece_fst.REMEMBERED
+
+
 def test_unigram_path_is_the_cheapest():
     pieces = [("<unk>", 0.0, 2), ("a", -2.0, 1), ("b", -2.0, 1), ("ab", -2.5, 1), ("ba", -3.0, 1), ("aba", -9.0, 1), ("▁", -1.0, 1)]
     machine = sentencepiece_fst.Transducer({"pieces": pieces, "bpe": False, "fallback": False, "prefix": True, "squeeze": True})
