@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from tamarack.functions.numeric import ratio_or_zero
 from tamarack.functions.text import NON_LETTERS, is_letters, kept_tokens, letter_words, space_tokens
-from tamarack.operators.ordering import global_index
+from tamarack.operators.ordering import global_index, running_totals
 from tamarack.staging import Stage, broadcast_if_bounded, parallelism, written
 
 VOCABULARY_SIZE = 20_000
 TASK_CHARS = 16_000_000  # characters of text whose words one task counts
 MOST_TILE_TASKS = 100_000
+BLOCK_ENTRIES = 100_000_000  # words of documents that a task holds, four bytes each
 
 
 def word_count(lines: DataFrame, *, text: str = "value") -> DataFrame:
@@ -204,16 +205,26 @@ def indexed_words(words: DataFrame) -> DataFrame:
 
 
 def co_occurrence(
-    presence: DataFrame, *, size: int, doc: str = "doc_id", tile_cells: int = 4_194_304, task_pairs: int = 50_000_000
+    presence: DataFrame,
+    *,
+    size: int,
+    doc: str = "doc_id",
+    tile_cells: int = 4_194_304,
+    task_pairs: int = 50_000_000,
+    folded: bool = False,
 ) -> DataFrame:
     """(w1, w2, n_docs): documents that hold both words, diagonal and both orders included.
 
+    ``folded``: the same pairs, added up to the rows of ``co_occurrence_profile`` where they are found; see ``_folded``.
+
     ``presence`` has distinct (doc, idx) with idx in [0, size).  A sparse product by blocks of words: a document's words
     are cut into a list per block, its lists meet in pairs of blocks, and a task adds up one pair of blocks at a time in
     a tile of ``tile_cells`` counts, whatever the number of words.  A pair of words is emitted once by each task that
     holds its blocks.  Of how many tasks that are follows from the sums of squared list lengths, which bound a tile's
     pairs (Cauchy-Schwarz): tiles above ``task_pairs`` are dealt to several by document, and only theirs are summed again.
     """
+    if folded:
+        return _folded(presence, size=size, doc=doc)
     width = max(1, math.isqrt(tile_cells))
     spark = presence.sparkSession
     block = F.expr(f"cast(idx div {width} as int)")
@@ -281,14 +292,150 @@ def co_occurrence(
     return cells.select(F.explode(both).alias("p"), F.col("n").alias("n_docs")).select("p.w1", "p.w2", "n_docs")
 
 
+def _folded(
+    presence: DataFrame, *, size: int, doc: str, task_entries: int = BLOCK_ENTRIES, sorted_pairs: int = 2_000_000
+) -> DataFrame:
+    """A row per word, (w1, n_words, n_docs, top, mark), of all its pairs, none of which leaves the task that counts it.
+
+    A word's pairs are the words of all its documents.  Words are cut into blocks of about equal numbers of those, and each
+    document goes with all its words to every block that it has a word of.  A task counts one word after the other, a frequent
+    one in an array over all words, rare ones by sorting ``sorted_pairs`` pairs at a time.  It holds the documents of one
+    block, at most some 2 ``task_entries`` words; a word whose documents hold more has a block of its own and needs none of them
+    kept.
+    """
+    spark = presence.sparkSession
+    lists = (
+        presence.filter(F.col(doc).isNotNull())
+        .groupBy(F.col(doc).alias("doc"))
+        .agg(F.collect_list(F.col("idx").cast("int")).alias("words"))
+        .withColumn("length", F.size("words").cast("long"))
+    )
+    lists = Stage(lists, "word-lists", {"entries": F.sum("length"), "pairs": F.sum(F.col("length") * F.col("length"))})
+    entries, pairs = lists.sums["entries"] or 0, lists.sums["pairs"] or 0
+    # While all lists fit a task, blocks serve the cores; above that, they bound what a task holds.
+    share = -(-pairs // (4 * parallelism(spark))) if entries <= task_entries else task_entries
+    share = max(share, 1)
+    held = lists.df.select("doc", "length", F.explode("words").alias("idx"))
+    alone = F.col("load") > task_entries
+    loads = Stage(held.groupBy("idx").agg(F.sum("length").alias("load")), "word-loads", {"alone": F.sum(alone.cast("long"))})
+    n_alone = loads.sums["alone"] or 0
+    totals = running_totals(
+        loads.df.withColumn("few", F.when(alone, 0).otherwise(F.col("load"))).withColumn("one", alone.cast("long")),
+        ["idx"],
+        {"upto": "few", "nth": "one"},
+    )
+    block = F.when(alone, F.col("nth") - 1).otherwise(n_alone + F.floor((F.col("upto") - F.col("few")) / share))
+    blocks = Stage(totals.select("idx", block.cast("int").alias("block")), "word-blocks", {"n": F.max("block")})
+    n_blocks = (blocks.sums["n"] or 0) + 1
+    here = held.join(broadcast_if_bounded(blocks.df, size), "idx").groupBy("doc", "block").agg(F.collect_list("idx").alias("held"))
+    met = here.join(lists.df.select("doc", "words"), "doc").select("block", "held", "words")
+    tasks = min(n_blocks, MOST_TILE_TASKS)
+    laid = met.repartitionById(tasks, F.col("block") % tasks).sortWithinPartitions("block")
+
+    def fold(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def rows(word, w1, w2, n):
+            """The row of each word, of pairs that are sorted by ``w1``; ``word``: the distinct ones."""
+            at = np.flatnonzero(np.r_[True, w1[1:] != w1[:-1]])
+            best = np.maximum.reduceat(np.where(w1 == w2, -1, n * size + (size - 1 - w2)), at)
+            other = best < 0
+            columns = [
+                pa.array(word),
+                pa.array(np.diff(np.r_[at, len(w1)]).astype(np.int64)),
+                pa.array(np.add.reduceat(n, at)),
+                pa.StructArray.from_arrays(
+                    [pa.array(best // size, mask=other), pa.array(best % size - size + 1, mask=other)], names=["n", "w"], mask=pa.array(other)
+                ),
+                pa.array(np.add.reduceat(n * (w2 % 1009 + 1), at)),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["w1", "n_words", "n_docs", "top", "mark"])
+
+        def counted(word, counts):
+            w2 = np.flatnonzero(counts)
+            return rows(np.array([word], np.int64), np.full(len(w2), word, np.int64), w2, counts[w2].astype(np.int64))
+
+        def sort_out(word, parts, loads):
+            """Rows of words whose lists are few: all pairs as numbers, sorted."""
+            span = len(word) * size
+            keys = np.concatenate(parts).astype(np.uint32 if span < 1 << 32 else np.int64)
+            keys += np.repeat(np.arange(len(word), dtype=np.int64) * size, loads).astype(keys.dtype)
+            keys.sort()
+            at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            n, pair = np.diff(np.r_[at, len(keys)]), keys[at].astype(np.int64)
+            return rows(word, word[pair // size], pair % size, n)
+
+        def finish(kept):
+            """Rows of a block's words: documents by word, one word after the other."""
+            lists = [x for _, _, lists in kept for x in lists]
+            word = np.concatenate([w for w, _, _ in kept])
+            firsts = np.cumsum([0, *(len(x) for _, _, x in kept)])
+            row = np.concatenate([r + first for (_, r, _), first in zip(kept, firsts, strict=False)])
+            order = np.argsort(word, kind="stable")
+            word, row = word[order].astype(np.int64), row[order]
+            load = np.array([len(x) for x in lists], np.int64)[row]
+            at = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            names, loads, row = word[at], np.add.reduceat(load, at), row.tolist()
+            waiting: list[int] = []
+            parts, held = [], 0
+            for k, (start, end, most) in enumerate(zip(at.tolist(), [*at[1:].tolist(), len(row)], loads.tolist(), strict=True)):
+                if most > size // 8:
+                    counts = np.bincount(np.concatenate([lists[r] for r in row[start:end]]), minlength=size)
+                    yield counted(names[k], counts)
+                    continue
+                waiting.append(k)
+                parts += [lists[r] for r in row[start:end]]
+                held += most
+                if held >= sorted_pairs:
+                    yield sort_out(names[waiting], parts, loads[waiting])
+                    waiting, parts, held = [], [], 0
+            if waiting:
+                yield sort_out(names[waiting], parts, loads[waiting])
+
+        def close():
+            if counts is not None:
+                yield counted(only, counts)
+            elif kept:
+                yield from finish(kept)
+
+        current, only, counts, kept = None, None, None, []
+        for batch in batches:
+            block = batch.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                if start == end:
+                    continue
+                part = batch.slice(start, end - start)
+                if block[start] != current:
+                    yield from close()
+                    current, only, counts, kept = block[start], None, None, []
+                word = part.column("held").flatten().to_numpy()
+                flat = part.column("words").flatten().to_numpy()
+                if current < n_alone:
+                    only = word[0]
+                    more = np.bincount(flat, minlength=size)
+                    counts = more if counts is None else counts + more
+                    continue
+                row = np.repeat(np.arange(len(part)), part.column("held").value_lengths().to_numpy())
+                ends = np.cumsum(part.column("words").value_lengths().to_numpy())
+                kept.append((word, row, np.split(flat, ends[:-1])))
+        yield from close()
+
+    return laid.mapInArrow(fold, "w1 long, n_words long, n_docs long, top struct<n: bigint, w: bigint>, mark long")
+
+
 def co_occurrence_profile(pairs: DataFrame) -> DataFrame:
     """(w1, n_words, n_docs, most, partner, mark) of each word's pairs: how many words it meets, in how many documents in all
-    and at most, the first other word that it meets most often, and a sum over all its pairs that tells them apart."""
-    other = F.when(F.col("w1") != F.col("w2"), F.struct(F.col("n_docs").alias("n"), (-F.col("w2")).alias("w")))
+    and at most, the first other word that it meets most often, and a sum over all its pairs that tells them apart.
+
+    ``pairs`` may come folded, as sums of some or all of a word's pairs.
+    """
+    if "mark" not in pairs.columns:
+        other = F.when(F.col("w1") != F.col("w2"), F.struct(F.col("n_docs").alias("n"), (-F.col("w2")).alias("w")))
+        mark = F.col("n_docs") * (F.col("w2") % 1009 + 1)
+        pairs = pairs.select("w1", F.lit(1).alias("n_words"), "n_docs", other.alias("top"), mark.alias("mark"))
     profile = pairs.groupBy("w1").agg(
-        F.count("*").alias("n_words"),
-        F.sum("n_docs").alias("sum_docs"),
-        F.max(other).alias("top"),
-        F.sum(F.col("n_docs") * (F.col("w2") % 1009 + 1)).alias("mark"),
+        F.sum("n_words").alias("n_words"), F.sum("n_docs").alias("sum_docs"), F.max("top").alias("top"), F.sum("mark").alias("mark")
     )
     return profile.select("w1", "n_words", F.col("sum_docs").alias("n_docs"), F.col("top.n").alias("most"), (-F.col("top.w")).alias("partner"), "mark")

@@ -287,7 +287,8 @@ def co_occurrence_all(spark: SparkSession, sf: str) -> DataFrame:
     said = words.document_words(texts(spark, sf))
     vocab = Stage(words.indexed_words(said), "all-words", {"n": F.count("*")})
     presence = said.distinct().join(vocab.df, "word").select("doc_id", "idx")
-    return words.co_occurrence_profile(words.co_occurrence(presence, size=vocab.sums["n"]))
+    # Folded where they are found: of rows for all pairs there would be billions at 0.1 GB.
+    return words.co_occurrence_profile(words.co_occurrence(presence, size=vocab.sums["n"], folded=True))
 
 
 def count_cube(spark: SparkSession, sf: str) -> DataFrame:

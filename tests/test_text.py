@@ -164,6 +164,24 @@ def test_co_occurrence_profile_and_unbounded_vocabulary(spark):
     assert got == [(0, 3, 6, 2, 1, 3 * 1 + 2 * 2 + 1 * 3), (1, 3, 5, 2, 0, 2 * 1 + 2 * 2 + 1 * 3), (2, 3, 3, 1, 0, 1 + 2 + 3)]
 
 
+def test_folded_pairs_are_those_of_the_product(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    words = np.minimum(rng.geometric(0.05, 900) - 1, 49)
+    presence = sorted({(int(d), int(w)) for d, w in zip(rng.integers(0, 60, 900), words)}) + [(99, 50), (None, 3), (None, 51)]
+    df = spark.createDataFrame(presence, "doc_id long, idx long")
+    expected = rows(text.co_occurrence_profile(text.co_occurrence(df, size=52)))
+    assert (50, 1, 1, None, None, 51) in expected and len(expected) < 52
+    monkeypatch.setattr(text, "parallelism", lambda spark: 2)
+    for given in ({}, {"task_entries": 400}, {"task_entries": 60, "sorted_pairs": 30}):
+        folded = text._folded(df, size=52, doc="doc_id", **given)
+        assert rows(text.co_occurrence_profile(folded)) == expected
+        # No pair leaves its task: there is a row per word.
+        assert folded.count() == len(expected)
+    asked = text.co_occurrence_profile(text.co_occurrence(df, size=52, folded=True))
+    assert rows(asked) == expected
+    assert text.co_occurrence_profile(text.co_occurrence(df.limit(0), size=1, folded=True)).count() == 0
+
+
 def test_cube_totals_and_ties(spark):
     cells = topic_corpus(spark, docs=10, topics=8, words=40, length=100, seed=3).cache()
     data = {(r["doc"], r["topic"], r["word"]): r["n"] for r in cells.collect()}
