@@ -8,8 +8,8 @@ Documents with the same words are one *node*, named by a hash of the words, so c
 * Large sets are found by scanning the inverted lists of single prefix elements, |s| - ceil(0.75 |s|) + 1 of them.
 * The size that parts small from large is the one of least estimated cost: subsets written against list entries scanned.
   Sets just below it write both, so that a small and a large set meet.
-* The global order puts frequent shingles last (the ``MOST_HEAVY`` most frequent, counted over all documents), so lists
-  are short; a passage that many documents share hardly occurs in prefixes.
+* The global order puts frequent shingles last (of the corpus as it is, counted over all documents, up to ``MOST_HEAVY``),
+  so lists are short; a passage that many documents share hardly occurs in prefixes.
 
 Lists of up to ``SHORT`` nodes give their pairs.  A longer one (thousands of near copies) is first compared with one
 node per size band only, then those outside the list's largest component with a few more nodes of it.  Members of that
@@ -50,8 +50,8 @@ from tamarack.staging import Stage
 WIDTH = 5
 SHORT = 24  # nodes of a list whose pairs are all taken at once
 HEAVY = 8  # documents from which a cell of shingles can count as frequent
-MOST_HEAVY = 200_000  # frequent cells known to all tasks: 16 bytes each
-MARK_BITS = 22
+MOST_HEAVY = 8_000_000  # frequent cells known to all tasks: 8 bytes each
+MARK_BITS = 22  # at least; up to 8 times as many marks as there are frequent cells
 CELL_SHIFT = 35  # a cell of the counts is what is left of a shingle's 64 bits
 PIECE = 5_000  # entries of a list per bucket
 PARTS = 16  # of the universe, by which what a member shares with a pivot is counted
@@ -109,19 +109,21 @@ class Shingler:
 
 
 class Frequent:
-    """The counts of frequent cells."""
+    """The counts of frequent cells, which are ascending."""
 
     def __init__(self, heavy: np.ndarray, counts: np.ndarray):
         self.heavy, self.counts = heavy, counts
         # By a cell's lower bits, whether any frequent one has them: most cells need no search.
-        self.marks = np.zeros(1 << MARK_BITS, dtype=bool)
-        self.marks[heavy & np.uint64((1 << MARK_BITS) - 1)] = True
+        bits = max(MARK_BITS, (4 * len(heavy)).bit_length())
+        self.lower = np.uint32((1 << bits) - 1)
+        self.marks = np.zeros(1 << bits, dtype=bool)
+        self.marks[heavy & self.lower] = True
 
     def how_often(self, items: np.ndarray) -> np.ndarray:
         """The counts of shingles in frequent cells, 0 for others."""
         often = np.zeros(len(items), dtype=np.int64)
-        cells = items >> np.uint64(CELL_SHIFT)
-        maybe = np.flatnonzero(self.marks[cells & np.uint64((1 << MARK_BITS) - 1)])
+        cells = (items >> np.uint64(CELL_SHIFT)).astype(np.uint32)
+        maybe = np.flatnonzero(self.marks[cells & self.lower])
         if len(maybe):
             cells = cells[maybe]
             at = np.searchsorted(self.heavy, cells)
@@ -272,6 +274,26 @@ def _cell_counts(docs: DataFrame, seed: int, shingles: float) -> DataFrame:
     return packed.repartitionById(buckets, "bucket").mapInArrow(count, ", ".join(f"{n} long" for n in names))
 
 
+def frequent_cells(often: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The cells of (cell, m), ascending, and their counts; of more than ``MOST_HEAVY`` those of the largest counts.
+
+    They grow with the corpus: a shingle that they lack counts as rare, and the sets that hold it are compared with each
+    other, however many they are.
+    """
+    # As many rows as there are different counts.
+    known = sorted((r["m"], r["count"]) for r in often.groupBy("m").count().collect())
+    room = MOST_HEAVY
+    while known and known[-1][1] <= room:
+        room -= known.pop()[1]
+    # Of the cells with the largest count that doesn't fit, the share for which there is room.
+    least, cut = (known[-1][0], room * (1 << (64 - CELL_SHIFT)) // known[-1][1]) if known else (0, 0)
+    taken = often.filter((F.col("m") > least) | ((F.col("m") == least) & (F.col("cell") < cut)))
+    rows = taken.select(F.col("cell").cast("int"), F.least("m", F.lit((1 << 31) - 1)).cast("int").alias("m")).toArrow()
+    cells, counts = rows["cell"].to_numpy().astype(np.uint32), rows["m"].to_numpy().astype(np.uint32)
+    order = np.argsort(cells)
+    return cells[order], counts[order]
+
+
 def boundary(sizes: dict[int, int], entries: float, scans: list[float]) -> int:
     """The boundary of least cost: subsets and list entries written, and pairs met in lists.
 
@@ -293,7 +315,7 @@ def candidates(docs: DataFrame, seed: int, heavy: np.ndarray, counts: np.ndarray
     all of them in its lower 32 bits, the infrequent ones above (0 in the list of an infrequent key)."""
     spark = docs.sparkSession
     buckets = max(shuffle_parts(spark), int(entries * 24 / BUCKET_BYTES) + 1)
-    sent = spark.sparkContext.broadcast((heavy, counts))  # at most MOST_HEAVY numbers each
+    sent = spark.sparkContext.broadcast((heavy, counts))  # MOST_HEAVY numbers each, or some more
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(), set()
@@ -463,7 +485,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def overlaps(pairs: DataFrame, sets: DataFrame, heavy: np.ndarray, counts: np.ndarray) -> DataFrame:
     """(node, pivot, shared, often) of pairs (node, pivot): the numbers of elements that their sets share, and of frequent
     ones among them, by ``PARTS`` parts of the universe."""
-    sent = pairs.sparkSession.sparkContext.broadcast((heavy, counts))  # at most MOST_HEAVY numbers each
+    sent = pairs.sparkSession.sparkContext.broadcast((heavy, counts))  # MOST_HEAVY numbers each, or some more
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = Frequent(*sent.value)
@@ -572,9 +594,8 @@ def placed(docs: DataFrame) -> tuple[DataFrame, int]:
     met = {f"s{i}": F.sum(F.col(f"c{i}") * F.least(F.col("m"), F.lit(SHORT)) / 8) for i in range(len(BOUNDARIES))}
     often = Stage(_cell_counts(docs, seed, float(known.sums["shingles"] or 0)), "shingle-counts", met)
     limit = boundary(sizes, entries, [float(often.sums[f"s{i}"] or 0) for i in range(len(BOUNDARIES))])
-    top_rows = often.df.select("cell", "m").orderBy(F.col("m").desc(), "cell").limit(MOST_HEAVY).toPandas().sort_values("cell")
+    heavy, counts = frequent_cells(often.df)
     often.drop()
-    heavy, counts = top_rows["cell"].to_numpy().astype(np.uint64), top_rows["m"].to_numpy().astype(np.int64)
 
     found = Stage(candidates(docs, seed, heavy, counts, limit, entries), "shingle-candidates")
     long = found.df.filter("kind = 1").select(

@@ -601,6 +601,37 @@ def test_one_row_of_each_component_stays(spark):
     assert ids == [(False, 3, True), (False, 7, False), (True, 0, False), (True, 0, True)]
 
 
+def test_all_frequent_shingles_are_known(spark, monkeypatch):
+    """Ten documents share 205,000 shingles and nine of them 15,000 more, too few to link: these come last in all of them."""
+    rng = np.random.default_rng(3)
+    said = lambda n: " ".join(map(str, rng.integers(0, 1 << 30, n).tolist()))
+    by_ten, by_nine = said(205_000), said(15_000)
+    texts = [f"{said(85_000)} {by_ten} {by_nine if i else said(15_000)}" for i in range(10)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(10)
+    pairs = []
+    find = jaccard.close
+    monkeypatch.setattr(jaccard, "close", lambda among, outlines: pairs.append(among.count()) or find(among, outlines))
+    got = jaccard.op10(docs).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(i, i) for i in range(10)]
+    assert all(r["n_shingles"] == 305_000 - 4 for r in got)
+    assert sum(pairs) == 0
+
+
+def test_frequent_cells_have_a_bound(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "MOST_HEAVY", 1_000)
+    step = (1 << 29) // 4_000
+    often = spark.range(4_000).selectExpr(f"id * {step} AS cell", "CASE WHEN id % 10 = 0 THEN 20 + id % 3 WHEN id % 2 = 0 THEN 9 ELSE 8 END AS m")
+    cells, counts = jaccard.frequent_cells(often)
+    # All of the 400 most frequent, and of the 1,600 next as many as there is room for.
+    assert 950 <= len(cells) <= 1_050 and (np.diff(cells.astype(np.int64)) > 0).all()
+    assert (counts >= 20).sum() == 400 and set(counts.tolist()) == {9, 20, 21, 22}
+    assert jaccard.frequent_cells(often.filter("m > 9"))[0].tolist() == [10 * i * step for i in range(400)]
+    known = jaccard.Frequent(cells, counts)
+    asked = (np.arange(4_000) * step).astype(np.uint64) << np.uint64(35)
+    assert known.how_often(asked)[::10].tolist() == [20 + i % 3 for i in range(0, 4_000, 10)]
+    assert (known.how_often(asked) > 0).sum() == len(cells)
+
+
 def test_boundary_follows_cost():
     few = {n: 1 for n in range(1, 40)}
     assert jaccard.boundary(few, 1000.0, [1e9, 1e9, 1e9, 1e9, 0.0]) == 32
