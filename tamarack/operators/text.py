@@ -15,7 +15,11 @@ from tamarack.staging import Stage, broadcast_if_bounded, parallelism, written
 VOCABULARY_SIZE = 20_000
 TASK_CHARS = 16_000_000  # characters of text whose words one task counts
 MOST_TILE_TASKS = 100_000
-BLOCK_ENTRIES = 100_000_000  # words of documents that a task holds, four bytes each
+BLOCK_ENTRIES = 200_000_000  # units of documents' words that a task holds, two bytes each
+LOW_WORDS = 1 << 16  # the most frequent words, of which a document's list holds two bytes each
+ROW_ENTRIES = 250_000  # words of documents in a row of their packed lists
+DOCUMENT_UNITS = 8  # of a document, and of a word that it holds, beside the words' own
+FOLDED_FIELDS = "w1 long, n_words long, n_docs long, top struct<n: bigint, w: bigint>, mark long"
 
 
 def word_count(lines: DataFrame, *, text: str = "value") -> DataFrame:
@@ -292,45 +296,103 @@ def co_occurrence(
     return cells.select(F.explode(both).alias("p"), F.col("n").alias("n_docs")).select("p.w1", "p.w2", "n_docs")
 
 
+def _packed_lists(presence: DataFrame, doc: str) -> DataFrame:
+    """Rows of some documents each, with their words: those below ``LOW_WORDS``, document by document, in two bytes, and the
+    others in four.  ``units``: what the lists take in a task, in two bytes; ``load``: that of each word's documents, summed.
+    """
+    lists = presence.filter(F.col(doc).isNotNull()).groupBy(doc).agg(F.collect_list(F.col("idx").cast("int")).alias("words"))
+
+    def pack(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            flat = batch.column(0).flatten().to_numpy()
+            lengths = batch.column(0).value_lengths().to_numpy().astype(np.int64)
+            ends = np.cumsum(lengths)
+            part = (ends - lengths) // ROW_ENTRIES
+            cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+            for first, last in zip(cuts, cuts[1:], strict=False):
+                if first == last:
+                    continue
+                own = flat[ends[first] - lengths[first] : ends[last - 1]]
+                low = own < LOW_WORDS
+                of = np.repeat(np.arange(last - first), lengths[first:last])
+                n_low = np.bincount(of[low], minlength=last - first)
+                n_high = lengths[first:last] - n_low
+                units = n_low + 2 * n_high + DOCUMENT_UNITS
+                packed = [n_low.astype(np.int32), own[low].astype(np.uint16), n_high.astype(np.int32), own[~low].astype(np.int32)]
+                sums = [pa.array([int(units.sum())]), pa.array([int((units * lengths[first:last]).sum())])]
+                yield pa.RecordBatch.from_arrays(
+                    [*sums, *(pa.array([x.tobytes()], pa.binary()) for x in packed)], names=["units", "load", "n_low", "low", "n_high", "high"]
+                )
+
+    return lists.select("words").mapInArrow(pack, "units long, load long, n_low binary, low binary, n_high binary, high binary")
+
+
+def _unpacked(batch):
+    """(n_low, low, n_high, high) of each row of ``_packed_lists``."""
+    import numpy as np
+
+    kinds = {"n_low": np.int32, "low": np.uint16, "n_high": np.int32, "high": np.int32}
+    columns = [batch.column(batch.schema.get_field_index(c)) for c in kinds]
+    for i in range(batch.num_rows):
+        yield [np.frombuffer(c[i].as_buffer(), kind) for c, kind in zip(columns, kinds.values(), strict=True)]
+
+
+def _word_loads(lists: DataFrame) -> DataFrame:
+    """(idx, load, df) of the words of ``_packed_lists``: the units of a word's documents, and their number."""
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            words, units = [], []
+            for n_low, low, n_high, high in _unpacked(batch):
+                own = n_low.astype(np.int64) + 2 * n_high + DOCUMENT_UNITS
+                words += [low.astype(np.int32), high]
+                units += [np.repeat(own, n_low), np.repeat(own, n_high)]
+            word = np.concatenate(words)
+            order = np.argsort(word, kind="stable")
+            word, unit = word[order], np.concatenate(units)[order]
+            if not len(word):
+                continue
+            at = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            columns = [word[at].astype(np.int64), np.add.reduceat(unit, at), np.diff(np.r_[at, len(word)]).astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["idx", "load", "df"])
+
+    counted = lists.select("n_low", "low", "n_high", "high").mapInArrow(count, "idx long, load long, df long")
+    return counted.groupBy("idx").agg(F.sum("load").alias("load"), F.sum("df").alias("df"))
+
+
 def _folded(
     presence: DataFrame, *, size: int, doc: str, task_entries: int = BLOCK_ENTRIES, sorted_pairs: int = 2_000_000
 ) -> DataFrame:
     """A row per word, (w1, n_words, n_docs, top, mark), of all its pairs, none of which leaves the task that counts it.
 
-    A word's pairs are the words of all its documents.  Words are cut into blocks of about equal numbers of those, and each
-    document goes with all its words to every block that it has a word of.  A task counts one word after the other, a frequent
-    one in an array over all words, rare ones by sorting ``sorted_pairs`` pairs at a time.  It holds the documents of one
-    block, at most some 2 ``task_entries`` words; a word whose documents hold more has a block of its own and needs none of them
-    kept.
+    A word's pairs are the words of all its documents.  Words are cut into blocks of about equal numbers of those, and the task of
+    a block reads the lists of all documents where they are written, and keeps those that hold a word of its block: nothing is
+    copied on disk, whatever the number of blocks.  It then counts one word after the other, a frequent one in an array over all
+    words, rare ones by sorting ``sorted_pairs`` pairs at a time.  It keeps the documents of one block, at most some 2
+    ``task_entries`` units; a word whose documents have more than a block's is counted as they pass, and none of them is kept.
     """
     spark = presence.sparkSession
-    lists = (
-        presence.filter(F.col(doc).isNotNull())
-        .groupBy(F.col(doc).alias("doc"))
-        .agg(F.collect_list(F.col("idx").cast("int")).alias("words"))
-        .withColumn("length", F.size("words").cast("long"))
-    )
-    lists = Stage(lists, "word-lists", {"entries": F.sum("length"), "pairs": F.sum(F.col("length") * F.col("length"))})
-    entries, pairs = lists.sums["entries"] or 0, lists.sums["pairs"] or 0
-    # While all lists fit a task, blocks serve the cores; above that, they bound what a task holds.
-    share = -(-pairs // (4 * parallelism(spark))) if entries <= task_entries else task_entries
-    share = max(share, 1)
-    held = lists.df.select("doc", "length", F.explode("words").alias("idx"))
-    alone = F.col("load") > task_entries
-    loads = Stage(held.groupBy("idx").agg(F.sum("length").alias("load")), "word-loads", {"alone": F.sum(alone.cast("long"))})
-    n_alone = loads.sums["alone"] or 0
-    totals = running_totals(
-        loads.df.withColumn("few", F.when(alone, 0).otherwise(F.col("load"))).withColumn("one", alone.cast("long")),
-        ["idx"],
-        {"upto": "few", "nth": "one"},
-    )
-    block = F.when(alone, F.col("nth") - 1).otherwise(n_alone + F.floor((F.col("upto") - F.col("few")) / share))
-    blocks = Stage(totals.select("idx", block.cast("int").alias("block")), "word-blocks", {"n": F.max("block")})
-    n_blocks = (blocks.sums["n"] or 0) + 1
-    here = held.join(broadcast_if_bounded(blocks.df, size), "idx").groupBy("doc", "block").agg(F.collect_list("idx").alias("held"))
-    met = here.join(lists.df.select("doc", "words"), "doc").select("block", "held", "words")
-    tasks = min(n_blocks, MOST_TILE_TASKS)
-    laid = met.repartitionById(tasks, F.col("block") % tasks).sortWithinPartitions("block")
+    lists = Stage(_packed_lists(presence, doc), "word-lists", {"units": F.sum("units"), "load": F.sum("load")})
+    units, load = lists.sums["units"] or 0, lists.sums["load"] or 0
+    if not units:
+        return spark.createDataFrame([], FOLDED_FIELDS)
+    # While all lists fit a task, blocks serve the cores; above that, they bound what a task keeps: lists, and who holds a word.
+    share = max(1, -(-load // (4 * parallelism(spark))) if units <= task_entries else task_entries)
+    entered = F.ceil(F.col("df") * (DOCUMENT_UNITS * share / task_entries))
+    weight = F.least(F.greatest("load", entered), F.lit(share))
+    weighed = _word_loads(lists.df).select("idx", (F.col("load") > share).alias("passing"), weight.alias("weight"))
+    totals = running_totals(weighed, ["idx"], {"upto": "weight"})
+    block = F.floor((F.col("upto") - F.col("weight")) / share).alias("block")
+    # A row per block. In each is one word at most that is counted as its documents pass, as it weighs a whole share.
+    bounds = totals.groupBy(block).agg(F.min("idx").alias("first"), F.max(F.when(F.col("passing"), F.col("idx"))).alias("passing"))
+    bounds = sorted((r["first"], -1 if r["passing"] is None else r["passing"]) for r in bounds.collect())
+    firsts, passing = [b[0] for b in bounds] + [size], [b[1] for b in bounds]
 
     def fold(batches):
         import numpy as np
@@ -356,73 +418,128 @@ def _folded(
             w2 = np.flatnonzero(counts)
             return rows(np.array([word], np.int64), np.full(len(w2), word, np.int64), w2, counts[w2].astype(np.int64))
 
-        def sort_out(word, parts, loads):
-            """Rows of words whose lists are few: all pairs as numbers, sorted."""
-            span = len(word) * size
-            keys = np.concatenate(parts).astype(np.uint32 if span < 1 << 32 else np.int64)
-            keys += np.repeat(np.arange(len(word), dtype=np.int64) * size, loads).astype(keys.dtype)
-            keys.sort()
-            at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            n, pair = np.diff(np.r_[at, len(keys)]), keys[at].astype(np.int64)
-            return rows(word, word[pair // size], pair % size, n)
-
-        def finish(kept):
-            """Rows of a block's words: documents by word, one word after the other."""
-            lists = [x for _, _, lists in kept for x in lists]
-            word = np.concatenate([w for w, _, _ in kept])
-            firsts = np.cumsum([0, *(len(x) for _, _, x in kept)])
-            row = np.concatenate([r + first for (_, r, _), first in zip(kept, firsts, strict=False)])
-            order = np.argsort(word, kind="stable")
-            word, row = word[order].astype(np.int64), row[order]
-            load = np.array([len(x) for x in lists], np.int64)[row]
-            at = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            names, loads, row = word[at], np.add.reduceat(load, at), row.tolist()
-            waiting: list[int] = []
-            parts, held = [], 0
-            for k, (start, end, most) in enumerate(zip(at.tolist(), [*at[1:].tolist(), len(row)], loads.tolist(), strict=True)):
-                if most > size // 8:
-                    counts = np.bincount(np.concatenate([lists[r] for r in row[start:end]]), minlength=size)
-                    yield counted(names[k], counts)
-                    continue
-                waiting.append(k)
-                parts += [lists[r] for r in row[start:end]]
-                held += most
-                if held >= sorted_pairs:
-                    yield sort_out(names[waiting], parts, loads[waiting])
-                    waiting, parts, held = [], [], 0
-            if waiting:
-                yield sort_out(names[waiting], parts, loads[waiting])
-
-        def close():
-            if counts is not None:
-                yield counted(only, counts)
-            elif kept:
-                yield from finish(kept)
-
-        current, only, counts, kept = None, None, None, []
+        def joined(parts, kind):
+            """One array of many, which go as they are copied."""
+            out, at = np.empty(sum(map(len, parts)), kind), 0
+            parts.reverse()
+            while parts:
+                part = parts.pop()
+                out[at : at + len(part)] = part
+                at += len(part)
+            return out
+
+        def gathered(flat, starts, lengths, rows):
+            """The lists of ``rows``, one after the other."""
+            n = lengths[rows]
+            return flat[np.repeat(starts[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+        class Block:
+            def __init__(self, block):
+                self.first, self.last, self.passing = firsts[block], firsts[block + 1], passing[block]
+                self.counts, self.waiting = None, []
+                self.n, self.word, self.row = 0, [], []
+                self.n_low, self.low, self.n_high, self.high = [], [], [], []
+
+            def add_waiting(self):
+                if self.waiting:
+                    self.counts += np.bincount(np.concatenate(self.waiting), minlength=size)
+                    self.waiting = []
+
+            def pass_by(self, docs, n_low, low, n_high, high):
+                if self.counts is None:
+                    self.counts = np.zeros(size, np.int64)
+                own = np.bincount(low[np.repeat(docs, n_low)])
+                self.counts[: len(own)] += own
+                self.waiting.append(high[np.repeat(docs, n_high)])
+                if sum(map(len, self.waiting)) > size:
+                    self.add_waiting()
+
+            def take(self, n_low, low, n_high, high):
+                found_low = np.flatnonzero((low >= self.first) & (low <= min(self.last, LOW_WORDS) - 1)) if self.first < LOW_WORDS else np.zeros(0, int)
+                found_high = np.flatnonzero((high >= self.first) & (high < self.last)) if self.last > LOW_WORDS else np.zeros(0, int)
+                word = np.concatenate([low[found_low].astype(np.int32), high[found_high]])
+                if not len(word):
+                    return
+                row = np.concatenate([np.searchsorted(np.cumsum(n), at, side="right") for n, at in ((n_low, found_low), (n_high, found_high))])
+                passes = word == self.passing
+                docs = np.zeros(len(n_low), bool)
+                if passes.any():
+                    docs[row[passes]] = True
+                    self.pass_by(docs, n_low, low, n_high, high)
+                    word, row = word[~passes], row[~passes]
+                    docs[:] = False
+                docs[row] = True
+                self.word.append(word)
+                self.row.append((np.cumsum(docs) - 1)[row] + self.n)
+                self.n += int(docs.sum())
+                for held, x in ((self.n_low, n_low[docs]), (self.low, low[np.repeat(docs, n_low)]), (self.n_high, n_high[docs]), (self.high, high[np.repeat(docs, n_high)])):
+                    held.append(x)
+
+            def finished(self):
+                if self.counts is not None:
+                    self.add_waiting()
+                    yield counted(self.passing, self.counts)
+                    self.counts = None
+                if not self.n:
+                    return
+                word, row = joined(self.word, np.int32), joined(self.row, np.int32)
+                low, high = joined(self.low, np.uint16), joined(self.high, np.int32)
+                n_low, n_high = joined(self.n_low, np.int64), joined(self.n_high, np.int64)
+                from_low, from_high = np.cumsum(n_low) - n_low, np.cumsum(n_high) - n_high
+                order = np.argsort(word, kind="stable")
+                word, row = word[order], row[order]
+                del order
+                at = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+                names, ends = word[at].astype(np.int64), np.r_[at[1:], len(word)]
+                loads = np.add.reduceat((n_low + n_high)[row], at)
+                # Words of many pairs alone; of others as many as are sorted at a time, and no more than 32 bits tell apart.
+                many = loads > size // 8
+                weights = np.where(many, 0, np.maximum(loads, sorted_pairs // max(1, (1 << 32) // size) + 1))
+                group = (np.cumsum(weights) - weights) // sorted_pairs
+                fresh = np.r_[True, (group[1:] != group[:-1]) | many[1:] | many[:-1]]
+                cuts = [*np.flatnonzero(fresh).tolist(), len(names)]
+                for i, j in zip(cuts, cuts[1:], strict=False):
+                    own = row[at[i] : ends[j - 1]]
+                    if many[i]:
+                        counts = np.zeros(size, np.int64)
+                        step = max(1, len(own) * sorted_pairs // int(loads[i]))
+                        for k in range(0, len(own), step):
+                            some = own[k : k + step]
+                            n = np.bincount(gathered(low, from_low, n_low, some))
+                            counts[: len(n)] += n
+                        # An array over all words for each step would take longer than the pairs.
+                        step = max(1, len(own) * max(sorted_pairs, size) // int(loads[i]))
+                        for k in range(0, len(own), step):
+                            some = gathered(high, from_high, n_high, own[k : k + step])
+                            if len(some):
+                                counts += np.bincount(some, minlength=size)
+                        yield counted(names[i], counts)
+                        continue
+                    span = (j - i) * size
+                    kind = np.uint32 if span < 1 << 32 else np.int64
+                    first = np.repeat(np.arange(j - i, dtype=np.int64) * size, ends[i:j] - at[i:j]).astype(kind)
+                    keys = np.concatenate([
+                        np.repeat(first, n[own]) + gathered(flat, starts, n, own).astype(kind)
+                        for flat, starts, n in ((low, from_low, n_low), (high, from_high, n_high))
+                    ])
+                    keys.sort()
+                    pair = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+                    n, keys = np.diff(np.r_[pair, len(keys)]), keys[pair].astype(np.int64)
+                    yield rows(names[i:j], names[i:j][keys // size], keys % size, n)
+
+        blocks = {}
         for batch in batches:
-            block = batch.column("block").to_numpy()
-            cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
-            for start, end in zip(cuts, cuts[1:], strict=False):
-                if start == end:
-                    continue
-                part = batch.slice(start, end - start)
-                if block[start] != current:
-                    yield from close()
-                    current, only, counts, kept = block[start], None, None, []
-                word = part.column("held").flatten().to_numpy()
-                flat = part.column("words").flatten().to_numpy()
-                if current < n_alone:
-                    only = word[0]
-                    more = np.bincount(flat, minlength=size)
-                    counts = more if counts is None else counts + more
-                    continue
-                row = np.repeat(np.arange(len(part)), part.column("held").value_lengths().to_numpy())
-                ends = np.cumsum(part.column("words").value_lengths().to_numpy())
-                kept.append((word, row, np.split(flat, ends[:-1])))
-        yield from close()
-
-    return laid.mapInArrow(fold, "w1 long, n_words long, n_docs long, top struct<n: bigint, w: bigint>, mark long")
+            for block, lists in zip(batch.column(batch.schema.get_field_index("block")).to_pylist(), _unpacked(batch), strict=True):
+                if block not in blocks:
+                    blocks[block] = Block(block)
+                blocks[block].take(*lists)
+        for block in list(blocks):
+            yield from blocks.pop(block).finished()
+
+    # All lists as one partition, which each task reads anew; on the other side a partition per block.
+    numbers = spark.range(0, len(passing), 1, len(passing)).select(F.col("id").cast("int").alias("block"))
+    read = lists.df.select("n_low", "low", "n_high", "high").coalesce(1)
+    return read.hint("shuffle_replicate_nl").crossJoin(numbers).mapInArrow(fold, FOLDED_FIELDS)
 
 
 def co_occurrence_profile(pairs: DataFrame) -> DataFrame:

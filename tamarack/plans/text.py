@@ -286,7 +286,9 @@ def co_occurrence_all(spark: SparkSession, sf: str) -> DataFrame:
     """What each word of the corpus shares documents with, by all pairs of all words."""
     said = words.document_words(texts(spark, sf))
     vocab = Stage(words.indexed_words(said), "all-words", {"n": F.count("*")})
-    presence = said.distinct().join(vocab.df, "word").select("doc_id", "idx")
+    asked = documents(spark, sf).filter("doc_id IS NOT NULL").select("doc_id", "text")
+    laid = words.by_document(asked, chars=words.text_size(documents(spark, sf))[1])
+    presence = words.document_words(laid).distinct().join(vocab.df, "word").select("doc_id", "idx")
     # Folded where they are found: of rows for all pairs there would be billions at 0.1 GB.
     return words.co_occurrence_profile(words.co_occurrence(presence, size=vocab.sums["n"], folded=True))
 

@@ -199,3 +199,20 @@ def test_cube_totals_and_ties(spark):
     assert {r["word"]: r["topic"] for r in cube.leading_topic(cells).collect()} == expected
     tie = spark.createDataFrame([(0, 2, 1, 4), (0, 1, 1, 4)], "doc long, topic long, word long, n long")
     assert rows(cube.leading_topic(tie)) == [(1, 1, 4)]
+
+
+def test_folded_lists_are_read_in_place_by_all_blocks(spark, monkeypatch):
+    """Long and short lists, words on both sides of ``LOW_WORDS``, and a word whose documents no task can keep."""
+    monkeypatch.setattr(text, "LOW_WORDS", 20)
+    monkeypatch.setattr(text, "ROW_ENTRIES", 25)
+    rng = np.random.default_rng(8)
+    presence = {(d, int(w)) for d in range(50) for w in np.minimum(rng.geometric(0.04, rng.integers(1, 40)) - 1, 89)}
+    presence = sorted(presence | {(d, 0) for d in range(50)} | {(d, 40) for d in range(40)} | {(77, 89)})
+    df = spark.createDataFrame(presence, "doc_id long, idx long")
+    expected = rows(text.co_occurrence_profile(text.co_occurrence(df, size=90)))
+    for entries, pairs in ((10_000, 1_000_000), (900, 1_000_000), (900, 20), (150, 20)):
+        folded = text._folded(df, size=90, doc="doc_id", task_entries=entries, sorted_pairs=pairs)
+        assert rows(text.co_occurrence_profile(folded)) == expected
+        assert folded.rdd.getNumPartitions() > (1 if entries > 150 else 50)
+        # No list is copied to a block through a shuffle.
+        assert "Exchange" not in folded._jdf.queryExecution().executedPlan().toString()
