@@ -102,27 +102,138 @@ class Pivots:
         distance = np.sqrt(np.maximum(squares[:, None] + self.squares - 2.0 * (x @ self.at.T), 0.0))
         return distance, np.sqrt(1e-15 * x.shape[1] * (squares + self.squares.max()))
 
+    def placed(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest pivot of each row, and its distance."""
+        nearest, distance = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for at in range(0, len(x), CHUNK):
+            d, _ = self.away(x[at : at + CHUNK])
+            nearest.append(d.argmin(axis=1))
+            distance.append(d[np.arange(len(d)), nearest[-1]])
+        return np.concatenate(nearest), np.concatenate(distance)
+
+    def to_one(self, x: np.ndarray, squares: np.ndarray, pivot: int) -> np.ndarray:
+        """Distances to one pivot of rows ``x`` that have their mean taken off, and their ``squares``."""
+        return np.sqrt(np.maximum(squares + self.squares[pivot] - 2.0 * (x @ self.at[pivot]), 0.0))
+
+    def bounds(self, x: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distances of each row to each pivot, and a bound of that to its k-th nearest point, with room for rounding.
+
+        ``first``: per cell the smallest distances of its points to its pivot, ascending, infinite where it has fewer.  A
+        point's distance is at most the row's to the pivot and the pivot's to the point, so the k-th smallest such sum
+        bounds the k-th neighbour; only the k cells with the smallest sums can hold it.
+        """
+        d, off = self.away(x)
+        some = np.argpartition(d + first[:, 0], min(k, d.shape[1]) - 1, axis=1)[:, :k]
+        sums = (np.take_along_axis(d, some, 1)[:, :, None] + first[some]).reshape(len(d), -1)
+        bound = np.partition(sums, k - 1, axis=1)[:, k - 1] if sums.shape[1] >= k else np.full(len(d), np.inf)
+        return d, bound + 8 * off
+
     def reach(self, x: np.ndarray, radius: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, cell) pairs: the cells that may hold one of a row's k nearest points.
 
-        ``first``: per cell the smallest distances of its points to its pivot, ascending, infinite where it has fewer;
-        ``radius``: the largest.  A point's distance is at most the row's to the pivot and the pivot's to the point, so
-        the k-th smallest such sum bounds the k-th neighbour; only the k cells with the smallest sums can hold it.
+        ``radius``: per cell the largest distance of a point to its pivot.
         """
         rows, cells = [], []
         for at in range(0, len(x), CHUNK):
-            d, off = self.away(x[at : at + CHUNK])
-            some = np.argpartition(d + first[:, 0], min(k, d.shape[1]) - 1, axis=1)[:, :k]
-            sums = (np.take_along_axis(d, some, 1)[:, :, None] + first[some]).reshape(len(d), -1)
-            bound = np.partition(sums, k - 1, axis=1)[:, k - 1] if sums.shape[1] >= k else np.full(len(d), np.inf)
-            # A cell's points lie within its radius, and no nearer to the row's own pivot than to the cell's.
-            least = np.maximum(d - radius, (d - d.min(axis=1)[:, None]) / 2)
-            row, cell = np.nonzero((least <= (bound + 8 * off)[:, None]) & np.isfinite(first[:, 0]))
+            d, bound = self.bounds(x[at : at + CHUNK], first, k)
+            row, cell = np.nonzero((least_away(d, d.min(axis=1)[:, None], radius) <= bound[:, None]) & np.isfinite(first[:, 0]))
             rows.append(row + at)
             cells.append(cell)
         return (np.concatenate(rows), np.concatenate(cells)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+def least_away(d: np.ndarray, own: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """The least distance of a cell's points to rows that are ``d`` from its pivot and ``own`` from the nearest one.
+
+    The points lie within the cell's radius, and no nearer to the row's own pivot than to the cell's.
+    """
+    return np.maximum(d - radius, (d - own) / 2)
+
+
+def draw_closer(best, rows, qid, q, pid, p, centre, limit, k: int, exclude_self: bool) -> None:
+    """Put those rows of ``p`` into ``best`` that are among the k nearest of the given rows of ``q``; the others keep theirs.
+
+    ``best``: (distance, point) of k places per row, infinite where a place is empty, ascending, ties by point id.  No point
+    beyond a row's ``limit`` is needed.  As few are nearer, the expanded square is compared with the limit, and distances
+    are taken from direct differences; rows for which many are nearer are searched by ``dense_closest``.
+    """
+    distance, point = best
+    shifted = p - centre
+    p2 = np.einsum("ij,ij->i", shifted, shifted)
+    for at in range(0, len(rows), CHUNK):
+        own = rows[at : at + CHUNK]
+        x = q[own] - centre
+        q2 = np.einsum("ij,ij->i", x, x)
+        rough = x @ shifted.T
+        rough *= -2.0
+        rough += p2
+        most = limit[at : at + CHUNK] ** 2 * (1 + 1e-9) + 1e-9 * (q2 + p2.max()) - q2
+        r, c = np.nonzero(rough <= most[:, None])
+        if len(r) > 32 * len(own):
+            found = dense_closest(qid[own], q[own], pid, p, k, exclude_self)
+            distance[own], point[own] = merge((distance[own], point[own]), found, k)
+            continue
+        if exclude_self:
+            other = qid[own[r]] != pid[c]
+            r, c = r[other], c[other]
+        if not len(r):
+            continue
+        diff = p[c] - q[own[r]]
+        d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+        last, last_point = distance[own[r], -1], point[own[r], -1]
+        enters = (d < last) | ((d == last) & (pid[c] < last_point))
+        if not enters.any():
+            continue
+        r, c, d = r[enters], c[enters], d[enters]
+        changed = np.unique(r)
+        row = np.concatenate([np.searchsorted(changed, r), np.repeat(np.arange(len(changed)), k)])
+        d, i = np.concatenate([d, distance[own[changed]].ravel()]), np.concatenate([pid[c], point[own[changed]].ravel()])
+        order = np.lexsort((i, d, row))
+        row = row[order]
+        starts = np.searchsorted(row, np.arange(len(changed)))
+        kept = order[(starts[:, None] + np.arange(k)).ravel()]
+        distance[own[changed]], point[own[changed]] = d[kept].reshape(-1, k), i[kept].reshape(-1, k)
+
+
+def pack_rows(x: np.ndarray) -> pa.Array:
+    """Each row as bytes, of four to a number where that loses nothing; equal rows are equal bytes."""
+    x = x + 0.0  # no negative zeros
+    with np.errstate(over="ignore"):
+        short = x.astype(np.float32)
+    fits = (short == x).all(axis=1)
+    if not fits.all():
+        return pa.array([(a if f else b).tobytes() for a, b, f in zip(short, x, fits.tolist(), strict=True)], pa.binary())
+    offsets = np.arange(len(x) + 1, dtype=np.int32) * (4 * x.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(short.tobytes())])
+
+
+def unpack_rows(packed: pa.Array, dimensions: int) -> np.ndarray:
+    rows = [np.frombuffer(v.as_buffer(), np.float32 if len(v.as_buffer()) == 4 * dimensions else np.float64) for v in packed]
+    return np.stack(rows).astype(np.float64) if rows else np.zeros((0, dimensions))
+
+
+def pack_matrix(x: np.ndarray) -> bytes:
+    """Rows one after the other, with four bytes to a number where that loses nothing."""
+    with np.errstate(over="ignore"):
+        short = x.astype(np.float32)
+    return (short if (short == x).all() else x).tobytes()
+
+
+def unpack_matrix(packed, rows: int, dimensions: int) -> np.ndarray:
+    kind = np.float32 if len(packed) == 4 * rows * dimensions else np.float64
+    return np.frombuffer(packed, kind).astype(np.float64).reshape(rows, dimensions)
+
+
+def few_equal(x: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Which rows stay if of equal ones only those of the k smallest ids do."""
+    alike = np.unique(np.ascontiguousarray(x + 0.0).view(np.dtype((np.void, x.shape[1] * x.itemsize))).ravel(), return_inverse=True)[1]
+    order = np.lexsort((ids, alike))
+    first = np.searchsorted(alike[order], alike[order], side="left")
+    stays = np.zeros(len(x), bool)
+    stays[order] = np.arange(len(x)) - first < k
+    return stays
+
+
 def sparse_closest(qid, q, pid, p, k: int, digits: int) -> tuple[np.ndarray, np.ndarray]:
     """k nearest packed sparse rows of ``p`` for each of ``q``; distances rounded to ``digits``."""
     if not len(qid) or not len(pid):

@@ -1,10 +1,10 @@
 """Exact nearest neighbours, distance-based outliers and text classification by neighbours.
 
 A bounded side is handed to every task and the other side is streamed past it where it lies.  When
-both are large, dense points are put into the cells of pivots, and a query goes only to the cells that
-the triangle inequality can't exclude; sparse ones are cut into hash blocks, and a task compares one
-block of queries with one block of points.  Either way a task keeps only the k nearest per query; pairs
-never become rows.
+both are large, dense points are written by the cells of pivots, and each task of a block of queries reads
+the points of the cells that the triangle inequality can't exclude; sparse ones are cut into hash blocks, and
+a task compares one block of queries with one block of points.  Either way a task keeps only the k nearest
+per query; pairs never become rows.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarack.functions import kernels
-from tamarack.staging import Stage, broadcast_if_bounded
+from tamarack.staging import Stage, broadcast_if_bounded, parallelism
 
 # Bounds on one hash block, and on a side that is handed to every task: rows, and matrix cells.
 BLOCK_ROWS = 4_096
@@ -91,87 +91,238 @@ def _search(
     return _merge(points.mapInArrow(stream_points, kernels.NEIGHBOUR_FIELDS), k)
 
 
-CELL_FIELDS = "id long, features array<double>, cell int, away double"
+ROW_FIELDS = "block int, id long, vector binary"
+POINT_FIELDS = "cell int, ids binary, vectors binary"
+QUERY_FIELDS = "block int, nth int, ids binary, vectors binary, own binary, bound binary, reached array<int>"
+FILE_BLOCKS = 16  # blocks of points that a task writes
+
+
+class Cells:
+    """The cells of a table of points, each of those nearest to one of the pivots.
+
+    Pivots are some of the points, so that they lie where points do, and as many as the points have blocks.  They, and per
+    cell the number of its points, its radius and k distances, come to the driver.
+    """
+
+    def __init__(self, points: DataFrame, k: int, *, n_points: int, dimensions: int):
+        self.k, self.dimensions, self.block = k, dimensions, _bounded_rows(BLOCK_ROWS, dimensions)
+        wanted = min(_bounded_rows(HELD_ROWS, dimensions), -(-n_points // self.block))
+        chosen = points.orderBy(F.xxhash64("id"), "id").limit(wanted).select("features").toArrow()
+        self.pivots = kernels.Pivots(np.unique(kernels.dense(chosen["features"]), axis=0))
+        self.n, self.radius, self.first = self._measured(points)
+
+    def _measured(self, rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per cell the number of rows, the largest distance to its pivot, and the k smallest."""
+        pivots, n_cells, k = self.pivots, len(self.pivots.at), self.k
+
+        def measure(batches):
+            n, radius, first = np.zeros(n_cells, np.int64), np.zeros(n_cells), np.full((n_cells, k), np.inf)
+            for batch in batches:
+                cell, away = pivots.placed(kernels.dense(batch["features"]))
+                cell, away = cell[np.isfinite(away)], away[np.isfinite(away)]
+                n += np.bincount(cell, minlength=n_cells)
+                np.maximum.at(radius, cell, away)
+                held = np.unique(cell)
+                every, where = np.concatenate([away, first[held].ravel()]), np.concatenate([cell, np.repeat(held, k)])
+                order = np.lexsort((every, where))
+                starts = np.searchsorted(where[order], held)
+                first[held] = every[order[(starts[:, None] + np.arange(k)).ravel()]].reshape(-1, k)
+            held = np.flatnonzero(n)
+            columns = [pa.array(held, pa.int32()), pa.array(n[held]), pa.array(radius[held]), pa.array(list(first[held]), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["cell", "n", "away", "first"])
+
+        by_task = rows.select("features").mapInArrow(measure, "cell int, n long, away double, first array<double>")
+        nearest = F.slice(F.array_sort(F.flatten(F.collect_list("first"))), 1, k)
+        found = by_task.groupBy("cell").agg(F.sum("n").alias("n"), F.max("away").alias("away"), nearest.alias("first")).toArrow()
+        n, radius, first = np.zeros(n_cells, np.int64), np.zeros(n_cells), np.full((n_cells, k), np.inf)
+        if len(found):
+            cell = found["cell"].to_numpy()
+            n[cell], radius[cell], first[cell] = found["n"].to_numpy(), found["away"].to_numpy(), kernels.dense(found["first"])
+        return n, radius, first
+
+    def _in_blocks(self, rows: DataFrame, n: np.ndarray, *, few: bool) -> tuple[DataFrame, np.ndarray]:
+        """(block, id, vector) of rows, and the cell of each block; a cell of more than a block's rows has several.
+
+        ``few``: equal rows go to one block, and of those of a batch only as many as can be among anyone's k nearest.
+        """
+        pieces = np.maximum(1, -(-n // self.block))
+        firsts, pivots, k = np.cumsum(pieces) - pieces, self.pivots, self.k
+
+        def assign(batches):
+            for batch in batches:
+                ids, x = batch["id"].to_numpy(), kernels.dense(batch["features"])
+                cell, away = pivots.placed(x)
+                if few and len(x):
+                    kept = np.flatnonzero(np.isfinite(away))
+                    kept = kept[kernels.few_equal(x[kept], ids[kept], k)]
+                    ids, x, cell = ids[kept], x[kept], cell[kept]
+                if not len(x):
+                    continue
+                key = (x + 0.0).view(np.uint64) if few else ids.view(np.uint64)[:, None]
+                with np.errstate(over="ignore"):
+                    odd = np.arange(1, key.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+                    mixed = ((key ^ (key >> np.uint64(29))) * odd).sum(axis=1, dtype=np.uint64) * np.uint64(0xFF51AFD7ED558CCD)
+                block = firsts[cell] + ((mixed >> np.uint64(32)) % pieces[cell].astype(np.uint64)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(ids), kernels.pack_rows(x)], names=["block", "id", "vector"])
+
+        return rows.select("id", "features").mapInArrow(assign, ROW_FIELDS), np.repeat(np.arange(len(n)), pieces)
+
+    def points(self, points: DataFrame) -> DataFrame:
+        """(cell, ids, vectors), written: the points in blocks.  Of equal points those of the smallest ids stay, as only they
+        can be among anyone's k nearest."""
+        rows, cells = self._in_blocks(points, self.n, few=True)
+        k, dimensions, most = self.k, self.dimensions, self.block
+
+        def pack(batches):
+            last, held, ids, vectors = None, 0, [], []
+
+            def packed(block):
+                x = np.concatenate(vectors)
+                columns = [pa.array([cells[block]], pa.int32()), pa.array([np.concatenate(ids).tobytes()]), pa.array([kernels.pack_matrix(x)])]
+                return pa.RecordBatch.from_arrays([columns[0], *(c.cast(pa.binary()) for c in columns[1:])], names=["cell", "ids", "vectors"])
+
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                block, own, x = batch["block"].to_numpy(), batch["id"].to_numpy(), kernels.unpack_rows(batch["vector"], dimensions)
+                # Equal points follow each other, by id; those of the batch before count too.
+                fresh = np.r_[True, (block[1:] != block[:-1]) | (x[1:] != x[:-1]).any(axis=1)]
+                start = np.maximum.accumulate(np.where(fresh, np.arange(len(x)), 0))
+                place = np.arange(len(x)) - start
+                if last is not None and last[0] == block[0] and (last[1] == x[0]).all():
+                    place[start == 0] += last[2]
+                last = (block[-1], x[-1], place[-1] + 1)
+                stays = place < k
+                cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+                for i, j in zip(cuts, cuts[1:], strict=False):
+                    if ids and (block[i] != held or sum(map(len, ids)) >= most):
+                        yield packed(held)
+                        ids, vectors = [], []
+                    held = block[i]
+                    if stays[i:j].any():
+                        ids.append(own[i:j][stays[i:j]])
+                        vectors.append(x[i:j][stays[i:j]])
+            if ids:
+                yield packed(held)
+
+        tasks = max(min(len(cells), 2 * parallelism(points.sparkSession)), -(-len(cells) // FILE_BLOCKS))
+        laid = rows.repartitionById(tasks, F.col("block") % tasks).sortWithinPartitions("block", "vector", "id")
+        return Stage(laid.mapInArrow(pack, POINT_FIELDS), "cells").df
+
+    def queries(self, queries: DataFrame, n: np.ndarray) -> DataFrame:
+        """(block, nth, ids, vectors, own, bound, reached): the queries in blocks, one to a partition.
+
+        ``own``: the distance to the nearest pivot; ``bound``: one of the k-th neighbour's; ``reached``: the cells that may hold
+        one of any row's k nearest.
+        """
+        rows, cells = self._in_blocks(queries, n, few=False)
+        pivots, radius, first, k, dimensions, most = self.pivots, self.radius, self.first, self.k, self.dimensions, self.block
+
+        def pack(batches):
+            block, nth, held, ids, vectors = None, 0, 0, [], []
+
+            def packed():
+                own_ids, x = np.concatenate(ids), np.concatenate(vectors)
+                own, bound, reached = [], [], np.zeros(len(radius), bool)
+                for at in range(0, len(x), kernels.CHUNK):
+                    d, b = pivots.bounds(x[at : at + kernels.CHUNK], first, k)
+                    own.append(d.min(axis=1))
+                    bound.append(b)
+                    reached |= (kernels.least_away(d, own[-1][:, None], radius) <= b[:, None]).any(axis=0)
+                reached = np.flatnonzero(reached & np.isfinite(first[:, 0])).astype(np.int32)
+                blobs = [own_ids.tobytes(), kernels.pack_matrix(x), np.concatenate(own).tobytes(), np.concatenate(bound).tobytes()]
+                numbers = [pa.array([block], pa.int32()), pa.array([nth], pa.int32())]
+                columns = [*numbers, *(pa.array([b], pa.binary()) for b in blobs), pa.array([reached], pa.list_(pa.int32()))]
+                return pa.RecordBatch.from_arrays(columns, names=["block", "nth", "ids", "vectors", "own", "bound", "reached"])
+
+            for batch in batches:
+                blocks, own, x = batch["block"].to_numpy(), batch["id"].to_numpy(), kernels.unpack_rows(batch["vector"], dimensions)
+                cuts = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
+                for i, j in zip(cuts, cuts[1:], strict=False):
+                    for at in range(i, j, most):
+                        some = slice(at, min(at + most, j))
+                        if ids and (blocks[i] != block or held + some.stop - some.start > most):
+                            yield packed()
+                            nth, held, ids, vectors = nth + 1, 0, [], []
+                        block = blocks[i]
+                        ids.append(own[some])
+                        vectors.append(x[some])
+                        held += some.stop - some.start
+            if ids:
+                yield packed()
+
+        return rows.repartitionById(len(cells), "block").sortWithinPartitions("block").mapInArrow(pack, QUERY_FIELDS)
 
 
 def pivot_cells(
     queries: DataFrame, points: DataFrame, k: int, *, n_points: int, dimensions: int, exclude_self: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Points in the cell of their nearest pivot, and a copy of each query per cell that may hold one of its k nearest.
-
-    Both are written: (id, features, cell, away).  Pivots are some of the points, so that they lie where points do,
-    and as many as the points have blocks: where nothing can be excluded, as among random vectors of many dimensions, a
-    query has a copy per block and no more.  They, and per cell its radius and k distances, come to the driver.
-    """
+    """What a search by cells compares: (id, cell) of the points as written, and of each query with each cell that it reaches."""
     k += exclude_self  # the query itself may be one of those that bound it
-    wanted = min(_bounded_rows(HELD_ROWS, dimensions), -(-n_points // _bounded_rows(BLOCK_ROWS, dimensions)))
-    chosen = points.orderBy(F.xxhash64("id"), "id").limit(wanted).select("features").toArrow()
-    pivots = kernels.Pivots(np.unique(kernels.dense(chosen["features"]), axis=0))
+    cells = Cells(points, k, n_points=n_points, dimensions=dimensions)
+    pivots, radius, first = cells.pivots, cells.radius, cells.first
 
-    def assign(batches):
+    def unpack(batches):
         for batch in batches:
-            x = kernels.dense(batch["features"])
-            for at in range(0, len(x), kernels.CHUNK):
-                d, _ = pivots.away(x[at : at + kernels.CHUNK])
-                cell = d.argmin(axis=1)
-                part = batch.slice(at, len(cell))
-                columns = [part["id"], part["features"], pa.array(cell, pa.int32()), pa.array(d[np.arange(len(cell)), cell])]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "features", "cell", "away"])
-
-    assigned = points.select("id", "features").mapInArrow(assign, CELL_FIELDS)
-    # Of equal points only those of the smallest ids can be among anyone's k nearest.
-    equal = Window.partitionBy("cell", "features").orderBy("id")
-    kept = assigned.withColumn("_r", F.row_number().over(equal)).filter(F.col("_r") <= k).drop("_r")
-    cells = Stage(kept, "cells").df
-    radii = cells.groupBy("cell").agg(F.max("away").alias("away")).collect()
-    inmost = Window.partitionBy("cell").orderBy("away", "id")
-    nearest_to_pivot = cells.select("id", "cell", "away").withColumn("place", F.row_number().over(inmost)).filter(F.col("place") <= k)
-    radius, first = np.zeros(len(pivots.at)), np.full((len(pivots.at), k), np.inf)
-    for r in radii:
-        radius[r["cell"]] = r["away"]
-    for r in nearest_to_pivot.select("cell", "away", "place").collect():
-        first[r["cell"], r["place"] - 1] = r["away"]
+            for cell, ids in zip(batch["cell"].to_pylist(), batch["ids"], strict=True):
+                ids = np.frombuffer(ids.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.full(len(ids), cell), pa.int32())], names=["id", "cell"])
 
     def reach(batches):
         for batch in batches:
-            x = kernels.dense(batch["features"])
-            row, cell = pivots.reach(x, radius, first, k)
-            for at in range(0, len(row), BLOCK_ROWS):
-                taken = pa.array(row[at : at + BLOCK_ROWS])
-                columns = [batch["id"].take(taken), batch["features"].take(taken), pa.array(cell[at : at + BLOCK_ROWS], pa.int32())]
-                columns.append(pa.nulls(len(taken), pa.float64()))
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "features", "cell", "away"])
+            row, cell = pivots.reach(kernels.dense(batch["features"]), radius, first, k)
+            yield pa.RecordBatch.from_arrays([batch["id"].take(pa.array(row)), pa.array(cell, pa.int32())], names=["id", "cell"])
 
-    return cells, Stage(queries.select("id", "features").mapInArrow(reach, CELL_FIELDS), "reached").df
+    written = cells.points(points).mapInArrow(unpack, "id long, cell int")
+    return written, queries.select("id", "features").mapInArrow(reach, "id long, cell int")
 
 
 def _in_cells(queries: DataFrame, points: DataFrame, k: int, *, n_points: int, dimensions: int, exclude_self: bool) -> DataFrame:
-    """``nearest`` by cells; a cell of more than a block's rows on either side is compared in blocks."""
-    cells, reached = pivot_cells(queries, points, k, n_points=n_points, dimensions=dimensions, exclude_self=exclude_self)
-    block = _bounded_rows(BLOCK_ROWS, dimensions)
-
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
-
-    # A row per cell, of which there are HELD_ROWS at most.
-    sizes = broadcast_if_bounded(blocks(reached, "_qb").join(blocks(cells, "_pb"), "cell"), HELD_ROWS)
-
-    def cut(df: DataFrame, own: str, other: str) -> DataFrame:
-        placed = df.select("id", "features", "cell").join(sizes, "cell")
-        return placed.select(
-            "id",
-            "features",
-            "cell",
-            F.pmod(F.xxhash64("id"), F.col("_" + own)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.col("_" + other) - 1)).alias(other),
-        ).groupBy("cell", "qb", "pb")
-
-    def compare(q: pa.Table, p: pa.Table) -> pa.Table:
-        qid = q["id"].to_numpy()
-        found = kernels.dense_closest(qid, kernels.dense(q["features"]), p["id"].to_numpy(), kernels.dense(p["features"]), k, exclude_self)
-        return pa.Table.from_batches([kernels.neighbour_batch(qid, found)])
-
-    return _merge(cut(reached, "qb", "pb").cogroup(cut(cells, "pb", "qb")).applyInArrow(compare, kernels.NEIGHBOUR_FIELDS), k)
+    """``nearest`` by cells.  The task of a block of queries reads all points where they are written, and compares those of the
+    cells that its queries reach: no row is copied on disk, however many blocks there are.  A null id is no one's neighbour."""
+    alike = queries is points
+    points = points.filter("id IS NOT NULL")
+    queries = points if alike else queries.filter("id IS NOT NULL")
+    cells = Cells(points, k + exclude_self, n_points=n_points, dimensions=dimensions)
+    n = cells.n if alike else cells._measured(queries)[0]
+    pivots, radius = cells.pivots, cells.radius
+
+    class Asked:
+        def __init__(self, ids, vectors, own, bound):
+            self.ids, self.own, self.bound = (np.frombuffer(b.as_buffer(), kind).copy() for b, kind in ((ids, np.int64), (own, float), (bound, float)))
+            self.x = kernels.unpack_matrix(vectors.as_buffer(), len(self.ids), dimensions)
+            self.shifted = self.x - pivots.middle
+            self.squares = np.einsum("ij,ij->i", self.shifted, self.shifted)
+            self.off = 8 * np.sqrt(1e-15 * dimensions * (self.squares + pivots.squares.max()))
+            self.best = np.full((len(self.ids), k), np.inf), np.zeros((len(self.ids), k), np.int64)
+
+        def meet(self, cell, ids, vectors):
+            limit = np.minimum(self.bound, self.best[0][:, -1] + self.off)
+            d = pivots.to_one(self.shifted, self.squares, cell)
+            rows = np.flatnonzero(kernels.least_away(d, self.own, radius[cell]) <= limit)
+            if len(rows):
+                ids = np.frombuffer(ids.as_buffer(), np.int64)
+                p = kernels.unpack_matrix(vectors.as_buffer(), len(ids), dimensions)
+                centre = pivots.at[cell] + pivots.middle
+                kernels.draw_closer(self.best, rows, self.ids, self.x, ids, p, centre, limit[rows], k, exclude_self)
+
+    def search(batches):
+        asked = {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch[c][i] for c in batch.schema.names}
+                key = row["block"].as_py(), row["nth"].as_py()
+                if key not in asked:
+                    asked[key] = Asked(*(row[c] for c in ("query_ids", "query_vectors", "own", "bound")))
+                asked[key].meet(row["cell"].as_py(), row["ids"], row["vectors"])
+        for one in asked.values():
+            yield kernels.neighbour_batch(one.ids, one.best)
+
+    # All points as one partition, which each task reads anew; on the other side a partition per block of queries.
+    blocks = cells.queries(queries, n).withColumnsRenamed({"ids": "query_ids", "vectors": "query_vectors"})
+    read = cells.points(points).coalesce(1).hint("shuffle_replicate_nl")
+    met = read.join(blocks, F.array_contains("reached", F.col("cell"))).drop("reached")
+    return _merge(met.mapInArrow(search, kernels.NEIGHBOUR_FIELDS), k)
 
 
 def nearest(

@@ -172,3 +172,22 @@ def test_majority_vote_ties(spark):
         "query_id long, label string, distance double",
     )
     assert rows(nb.majority_vote(df)) == [(1, "b"), (2, "b"), (3, "a")]
+
+
+def test_rows_are_not_copied_to_the_blocks_they_meet(spark, monkeypatch):
+    """Among random vectors nothing is excluded, and every block of queries meets every block of points."""
+    monkeypatch.setattr(nb, "BLOCK_ROWS", 30)
+    monkeypatch.setattr(nb, "HELD_ROWS", 60)
+    monkeypatch.setattr(nb, "SMALLEST_BLOCK", 30)
+    stages = []
+    write = nb.Stage
+    monkeypatch.setattr(nb, "Stage", lambda df, *rest: stages.append(write(df, *rest)) or stages[-1])
+    p = np.random.default_rng(9).normal(0, 1, (600, 24))
+    df = frame(spark, p)
+    found = nb.nearest(df, df, 5, exclude_self=True)
+    assert sum(s.df.count() for s in stages) <= len(p)
+    # Queries are shuffled to their blocks, and what was found for each to one place.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 0
+    same(found, brute(p, p, 5, True))
+    reached = nb.pivot_cells(df, df, 5, n_points=len(p), dimensions=24, exclude_self=True)[1]
+    assert reached.count() > 10 * len(p)
