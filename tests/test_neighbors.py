@@ -191,3 +191,29 @@ def test_rows_are_not_copied_to_the_blocks_they_meet(spark, monkeypatch):
     same(found, brute(p, p, 5, True))
     reached = nb.pivot_cells(df, df, 5, n_points=len(p), dimensions=24, exclude_self=True)[1]
     assert reached.count() > 10 * len(p)
+
+
+@pytest.mark.parametrize("exclude_self", [True, False])
+def test_cells_hold_any_numbers_and_repeated_ids(spark, monkeypatch, exclude_self):
+    """Numbers that need eight bytes beside others, both zeros, many equal points, far from zero and ids that come twice."""
+    monkeypatch.setattr(nb, "BLOCK_ROWS", 25)
+    monkeypatch.setattr(nb, "HELD_ROWS", 50)
+    monkeypatch.setattr(nb, "SMALLEST_BLOCK", 25)
+    monkeypatch.setattr(nb.kernels, "CHUNK", 16)
+    rng = np.random.default_rng(10)
+    short = rng.integers(-4, 5, (60, 3)) / 4.0
+    long = 1e6 + rng.normal(0, 1e-3, (50, 3))
+    equal = np.array([[0.0, -0.0, 0.0], [-0.0, 0.0, 0.0]] * 30 + [[1e6, 1e6, 0.1]] * 9)
+    p = np.concatenate([short, long, equal])[rng.permutation(179)]
+    same(nb.nearest(frame(spark, p).repartition(4), frame(spark, p).repartition(3), 4, exclude_self=exclude_self), brute(p, p, 4, exclude_self))
+    # Of rows of one id none is the neighbour of another, where a point is none of its own.
+    ids = [i // 2 for i in range(len(p))]
+    rows_ = [(i, [float(x) for x in v]) for i, v in zip(ids, p)] + [(None, [0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows_, "id long, features array<double>")
+    got = {}
+    for r in nb.nearest(df, df, 4, exclude_self=exclude_self).collect():
+        got.setdefault(r["query_id"], []).append((r["distance"], r["point_id"]))
+    assert set(got) == set(ids)
+    for i, found in got.items():
+        away = [(float(np.linalg.norm(p[a] - p[b])), ids[b]) for a in range(len(p)) if ids[a] == i for b in range(len(p)) if not (exclude_self and ids[b] == i)]
+        assert np.allclose(sorted(d for d, _ in found), sorted(d for d, _ in away)[:4], atol=1e-12)
