@@ -62,6 +62,7 @@ ROWS = 512
 PACKED = 2_048  # documents whose shingles or keys are held at a time
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SCRAMBLE = np.uint64(0xFF51AFD7ED558CCD)
+_FIRST = np.ones(1, dtype=bool)
 
 
 def needed(n: np.ndarray | int) -> np.ndarray | int:
@@ -100,12 +101,16 @@ class Shingler:
         h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
         width = min(WIDTH, len(words))
         total = np.full(len(h) - width + 1, width, dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            for k in range(width):
-                total = total * _MULTIPLIER + h[k : len(h) - width + 1 + k]
-                total ^= total >> np.uint64(29)
-            total = (total ^ (total >> np.uint64(32))) * _SCRAMBLE
-        return np.unique(total ^ (total >> np.uint64(31)))
+        # Products of arrays wrap around.
+        for k in range(width):
+            total *= _MULTIPLIER
+            total += h[k : len(h) - width + 1 + k]
+            total ^= total >> np.uint64(29)
+        total ^= total >> np.uint64(32)
+        total *= _SCRAMBLE
+        total ^= total >> np.uint64(31)
+        total.sort()
+        return total[np.concatenate([_FIRST, total[1:] != total[:-1]])]
 
 
 class Frequent:
